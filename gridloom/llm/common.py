@@ -57,6 +57,15 @@ def running_total(buckets: DataFrame, group: str, bucket: str, value: str, out:
     return joined.select(F.col("_g").alias(group), bucket, (F.col("_within") + F.col("_before")).alias(out))
 
 
+def numbered(df: DataFrame, group: str, order: str, ties: list[str], buckets: int, out: str) -> DataFrame:
+    """Number each group's rows from 0 without gaps: inside buckets of the order's hash value, plus what smaller buckets hold."""
+    df = df.withColumn("_bucket", F.pmod(order, F.lit(buckets)).cast("int"))
+    before = running_total(df.groupBy(group, "_bucket").agg(F.count("*").alias("_n")), group, "_bucket", "_n", "_before")
+    inside = Window.partitionBy(group, "_bucket").orderBy(order, *ties)
+    df = df.withColumn("_rank", F.row_number().over(inside) - 1).join(before, [group, "_bucket"])
+    return df.withColumn(out, (F.col("_rank") + F.col("_before")).cast("long")).drop("_bucket", "_rank", "_before")
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 40) -> DataFrame:
     """(node, component): the smallest node reachable over the undirected edges, by alternating large and small stars.
 

@@ -1,8 +1,8 @@
 """Mixing sources to target weights: exact block quotas split down a multivariate-hypergeometric tree.
 
 Each source's documents are dealt by hash into blocks of about ``BLOCK_ROWS``. A source whose target is e whole passes and a
-part gives all its blocks e times and, once more, the blocks (in hash order, the last one cut at a document) whose words make
-up the part. The blocks taken are the tree's population: each node draws its left half's composition by source from a
+part gives all its blocks e times and, once more, the blocks (in hash order, the last one cut at a document, and one more
+document that comes nearest to what is missing) whose words make up the part. The blocks taken are the tree's population: each node draws its left half's composition by source from a
 multivariate hypergeometric law, so quotas are exact at every level, and a leaf is an output shard. A source's taken blocks are
 permuted (an affine map modulo their number) and dealt to the shards by quota, so draws are disjoint; rows are then
 shuffled by hash inside their shard. Every draw is seeded, so reruns agree.
@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from .common import cut, running_total, words_of
 
 BLOCK_ROWS = 256
+#: How often the last block is gone through again for documents that still fit.
+FILLS = 3
 CYCLE = (5.0, 2.0, 1.0)
 
 
@@ -104,8 +106,18 @@ def mix(docs: DataFrame, shards: int = 8, seed: int = 17, weights: dict[str | No
     inside = Window.partitionBy("s", "_block").orderBy("_order", "_id", "_sum", "_size").rowsBetween(Window.unboundedPreceding, -1)
     at = rows.join(starts.select(F.col("s").alias("_s2"), F.col("_block").alias("_b2"), "_start"), F.expr("s = _s2 AND _block = _b2")).join(deal, "s")
     at = at.withColumn("_before", F.col("_start") + F.coalesce(F.sum("_size").over(inside), F.lit(0)))
-    extra = F.expr("CAST(_size > 0 AND part > 0 AND _before + _size / 2 <= part AND whole < 3 AS INT)")
-    at = at.withColumn("copies", F.col("whole") + extra)
+    # The part's last block: what fits in hash order, again without what was too large, then the one document that comes
+    # nearest to the words still missing.
+    block = Window.partitionBy("s", "_block")
+    at = at.withColumn("_fits", F.expr("_size > 0 AND part > 0 AND whole < 3 AND _before + _size <= part"))
+    at = at.withColumn("_gap", F.expr("part - _start") - F.coalesce(F.sum(F.expr("CASE WHEN _fits THEN _size END")).over(block), F.lit(0)))
+    for _ in range(FILLS):
+        at = at.withColumn("_try", F.expr("CASE WHEN NOT _fits AND _size > 0 AND part > 0 AND whole < 3 AND _start < part AND _size <= _gap THEN _size ELSE 0 END"))
+        at = at.withColumn("_fits", F.col("_fits") | ((F.col("_try") > 0) & (F.coalesce(F.sum("_try").over(inside), F.lit(0)) + F.col("_try") <= F.col("_gap"))))
+        at = at.withColumn("_gap", F.expr("part - _start") - F.coalesce(F.sum(F.expr("CASE WHEN _fits THEN _size END")).over(block), F.lit(0)))
+    at = at.withColumn("_far", F.expr("CASE WHEN NOT _fits AND _size > 0 AND part > 0 AND whole < 3 AND _start < part AND abs(_size - _gap) < _gap THEN abs(_size - _gap) END"))
+    nearest = F.row_number().over(block.orderBy(F.col("_far").asc_nulls_last(), "_order", "_id", "_sum", "_size"))
+    at = at.withColumn("copies", F.col("whole") + (F.col("_fits") | (F.col("_far").isNotNull() & (nearest == 1))).cast("int"))
     index = "CAST(p AS BIGINT) * blocks + _block"
     rank = f"pmod(({index}) * step + shift, greatest(q, 1))"
     places = F.expr(f"CASE WHEN copies > 0 THEN transform(sequence(0, copies - 1), p -> named_struct('out_shard', CAST(least(size(filter(bounds, b -> b <= {rank})), {shards - 1}) AS INT), 'order', xxhash64(_order, p, {seed}))) ELSE array() END")

@@ -15,10 +15,10 @@ import math
 from collections.abc import Iterable
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, running_total, words_of
+from .common import cut, numbered, words_of
 
 PARCELS = 4096
 #: Groups above this share of a shard's bytes or rows are dealt in pieces of at most that share.
@@ -83,15 +83,11 @@ def shard(docs: DataFrame, shards: int = 8, text: str = "text", id_col: str = "d
     dealt = spark.createDataFrame([(k, v) for k, v in whole.items() if isinstance(k, bytes)], "key binary, shards array<int>")
     parcels = spark.createDataFrame([(k, v[0]) for k, v in whole.items() if isinstance(k, int)], "p int, of_parcel int")
     at = rows.join(F.broadcast(dealt), "key", "left").withColumn("p", parcel).join(F.broadcast(parcels), "p", "left")
-    order = F.xxhash64("doc_id", "text_crc32", "size")
-    at = at.withColumn("shard", F.coalesce(F.element_at("shards", F.pmod(F.xxhash64("doc_id", F.lit("piece")), F.size("shards")).cast("int") + 1), "of_parcel", F.lit(0))).withColumn("order", order)
-    return _slots(at, max(1, math.ceil(total.n / shards / rows_a_bucket)))
-
-
-def _slots(at: DataFrame, buckets: int) -> DataFrame:
-    """Number each shard's rows from 0: inside buckets by hash, plus what the smaller buckets hold."""
-    at = at.withColumn("bucket", F.pmod("order", F.lit(buckets)).cast("int"))
-    before = running_total(at.groupBy("shard", "bucket").agg(F.count("*").alias("n")), "shard", "bucket", "n", "before")
-    inside = Window.partitionBy("shard", "bucket").orderBy("order", "doc_id", "text_crc32", "size")
-    at = at.withColumn("rank", F.row_number().over(inside) - 1).join(before, ["shard", "bucket"])
-    return at.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int"), (F.col("rank") + F.col("before")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    at = at.withColumn("order", F.xxhash64("doc_id", "text_crc32", "size"))
+    ties, buckets = ["doc_id", "text_crc32", "size"], max(1, math.ceil(total.n / rows_a_bucket))
+    # Only groups in pieces need their rows numbered: piece sizes then differ by a row at most.
+    parted = numbered(at.where(F.size("shards") > 1), "key", "order", ties, buckets, "row")
+    at = at.where(F.coalesce(F.size("shards") <= 1, F.lit(True))).withColumn("row", F.lit(0).cast("long")).unionByName(parted.select(*at.columns, "row"))
+    at = at.withColumn("shard", F.coalesce(F.element_at("shards", F.pmod("row", F.size("shards")).cast("int") + 1), "of_parcel", F.lit(0)).cast("int"))
+    out = numbered(at, "shard", "order", ties, max(1, math.ceil(total.n / shards / rows_a_bucket)), "slot")
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
