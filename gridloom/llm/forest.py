@@ -1,9 +1,9 @@
 """Embedding near-dedup by a forest of random-projection trees with spill.
 
-Equal vectors are one class with a weight. Each of ``TREES`` trees splits a node at the median of a random projection; members
-within ``SPILL`` quantiles of the median go both ways. Planes are fitted on a bounded sample (``SAMPLE`` vectors, and again as
+Equal vectors are one class with a weight. Each of ``TREES`` trees splits a node by a random projection; members within the
+spill band round the cut go both ways. Planes are fitted on a bounded sample (``SAMPLE`` vectors, and again as
 many for each node that is still too large, until none is), and every class is sent down every tree. A node whose sample is
-dense (mean cosine ``DENSE`` or more) is not split, as nearly all its pairs link.
+dense (a share ``DENSE`` of its pairs is near) is not split, as a large part of its pairs links.
 
 Leaves are compared exhaustively in double precision, those above ``LEAF`` members in pairs of blocks, so no task holds more
 than two blocks. A pair that shares several leaves is counted in the one with the smallest number only, so links are counted
@@ -28,7 +28,10 @@ TREES = 8
 LEAF = 256
 SAMPLE = 8192
 SPILL = 0.05
-DENSE = 0.8
+TRIES = 8
+#: A node is dense where this share of its sample's pairs has a cosine of NEAR or more.
+DENSE = 0.25
+NEAR = 0.8
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,20 +55,39 @@ def units(vecs: list[bytes]) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def fit(x: np.ndarray, total: float, seed: list[int], leaf: int) -> list[tuple]:
-    """A tree over a sample of ``total`` members: (direction, low, high, left, right), or (None, dense, ...) for a leaf."""
+def fit(x: np.ndarray, total: float, seed: list[int], leaf: int, threshold: float = 0.9) -> list[tuple]:
+    """A tree over a sample of ``total`` members: (direction, low, high, left, right), or (None, dense, ...) for a leaf.
+
+    Of ``TRIES`` random directions and the cuts between their quartiles, a node takes the one whose spill band holds fewest
+    members, so that groups are rarely cut. The band is half as wide as a pair at the threshold spreads under a projection.
+    """
     rng, nodes, todo = np.random.default_rng(seed), [None], [(0, np.arange(len(x)))]
     scale = total / max(len(x), 1)
+    half = 0.5 * np.sqrt(2 * (1 - threshold) / max(x.shape[1], 1))
     while todo:
         at, rows = todo.pop()
-        dense = len(rows) > 1 and float(np.square(x[rows].mean(0)).sum()) >= DENSE
+        few = x[rows[:: max(1, len(rows) // 256)]]
+        dense = len(rows) > 1 and float((few @ few.T >= NEAR).mean()) >= DENSE
         if dense or len(rows) * scale <= leaf or len(rows) <= 16:
             nodes[at] = (None, dense, 0.0, 0, 0)
             continue
-        way = rng.standard_normal(x.shape[1]).astype(np.float32)
+        ways = rng.standard_normal((TRIES, x.shape[1]))
+        ways /= np.linalg.norm(ways, axis=1, keepdims=True)
+        best = (2.0, 0.0, 0.0, ways[0])
+        for way in ways:
+            p = np.sort(x[rows] @ way)
+            cuts = np.quantile(p, np.linspace(0.25, 0.75, 21))
+            held = (np.searchsorted(p, cuts + half, "right") - np.searchsorted(p, cuts - half, "left")) / len(p)
+            i = int(np.argmin(held))
+            best = min(best, (float(held[i]), float(cuts[i] - half), float(cuts[i] + half), way), key=lambda b: b[0])
+        held, low, high, way = best
         p = x[rows] @ way
-        low, high = np.quantile(p, [0.5 - SPILL, 0.5 + SPILL])
-        nodes[at] = (way, float(low), float(high), len(nodes), len(nodes) + 1)
+        if held > 0.3:  # the band would hold too much: spill by quantiles
+            low, high = (float(q) for q in np.quantile(p, [0.5 - SPILL, 0.5 + SPILL]))
+        if (p <= high).all() or (p >= low).all():  # ties: nothing to split by this plane
+            nodes[at] = (None, True, 0.0, 0, 0)
+            continue
+        nodes[at] = (way, low, high, len(nodes), len(nodes) + 1)
         nodes += [None, None]
         todo += [(nodes[at][3], rows[p <= high]), (nodes[at][4], rows[p >= low])]
     return nodes
