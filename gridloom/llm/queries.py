@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, forest, licenses, minhash, mixing, secrets, sharding
+from . import decontaminate, forest, licenses, minhash, mixing, quality, secrets, sharding
 from .common import table
 
 
@@ -36,10 +36,14 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_minhash_near_dedup, op4_decontamination, op6_embedding_near_dedup, op7_sharding, op9_mixing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_minhash_near_dedup, op4_decontamination, op6_embedding_near_dedup, op7_sharding, op8_quality_classifier, op9_mixing)}
 ORACLES: dict[str, str] = {"op1_license_scan": licenses.oracle()}
