@@ -151,6 +151,12 @@ def judged(found: DataFrame, share: float = 0.05) -> DataFrame:
     return found.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * per >= F.col("n_words")))
 
 
+def kept_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated; rows of one id with several texts go if any of them is."""
+    gone = judged(overlaps(docs, benchmark, **options)).where("contaminated").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone.hint("shuffle_hash"), F.expr("doc_id <=> _gone"), "left_anti")
+
+
 def digest(found: DataFrame) -> DataFrame:
     """The counts, and the SHA-256 of the item ids sorted as strings."""
     joined = F.array_join("items", ",")
