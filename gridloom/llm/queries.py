@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, forest, licenses, minhash, mixing, quality, secrets, sharding, templates
+from . import decontaminate, forest, licenses, minhash, mixing, quality, secrets, sharding, substrings, templates
 from .common import table
 
 
@@ -49,5 +49,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_minhash_near_dedup, op4_decontamination, op5_html_extraction, op6_embedding_near_dedup, op7_sharding, op8_quality_classifier, op9_mixing)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_minhash_near_dedup, op4_decontamination, op5_html_extraction, op6_embedding_near_dedup, op7_sharding, op8_quality_classifier, op9_mixing, op10_substring_dedup)}
 ORACLES: dict[str, str] = {"op1_license_scan": licenses.oracle()}
