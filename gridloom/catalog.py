@@ -1,6 +1,15 @@
-"""The registered telemetry queries and their SQL."""
+"""The registered telemetry queries, one for each operator, and the same in DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from .plans import basic, meters, windows
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+for _module in (basic, windows, meters):
+    QUERIES |= _module.REGISTRY.queries
+    ORACLES |= _module.REGISTRY.oracles
