@@ -74,7 +74,7 @@ q("J19_near_miss_bills", lambda v: t.near_miss(_wanted(v).withColumn("cycle_end"
 q("W10_allocation", lambda v: t.spans(v.cycles, v.rates, usage(v)).select("meter", "cycle_start", "cycle_end", "effective_from", "days", "total", "part", "method"), "meter rates cycles", "; " + _ALL + " SELECT meter, cycle_start, cycle_end, effective_from, days, total, part, method FROM spans")
 q("A33_priced_lines", lambda v: doubles(t.price(v.cycles, v.rates, usage(v))), "meter rates cycles", "; " + _ALL + f", {_LINES} SELECT meter, cycle_start, cycle_end, kwh, days, method, basic, energy, dsm, fuel_charge, env, rar, pgr, assistance, electric, school_tax, sales_tax, electric + school_tax + sales_tax AS total FROM l5", doubles=_MONEY)
 q("Q08_price_cycles", lambda v: doubles(t.price(v.cycles, v.rates, usage(v)).groupBy("meter").agg(F.sum("total").alias("total"), F.sum("kwh").alias("kwh"), F.count("*").alias("cycles"))), "meter rates cycles", "; " + _ALL + f", {_LINES} SELECT meter, sum(electric + school_tax + sales_tax) AS total, CAST(sum(kwh) AS BIGINT) AS kwh, count(*) AS cycles FROM l5 GROUP BY ALL", doubles="total")
-q("A34_marginal_rates", lambda v: t.marginal_rates(v.rates, v.cycles, "2024-01-20").join(usage(v).groupBy("meter").agg(F.sum("kwh").alias("kwh")), "meter").withColumn("usd", F.col("kwh") * F.col("usd_per_kwh")), "meter rates cycles", FINE + f", {_USAGE}, p AS (SELECT meter, arg_max(energy, effective_from) AS energy, arg_max(dsm, effective_from) AS dsm FROM rates WHERE effective_from <= DATE '2024-01-20' GROUP BY ALL), c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY meter ORDER BY cycle_end DESC) AS rn FROM cycles) WHERE rn = 1), x AS (SELECT meter, CAST(energy AS DOUBLE) AS e, CAST(energy + dsm + fuel AS DOUBLE) AS base, coalesce(CAST(env_pct AS DOUBLE), 0) / 100 AS env, coalesce(CAST(rar_pct AS DOUBLE), 0) / 100 AS rar, coalesce(CAST(pgr_pct AS DOUBLE), 0) / 100 AS pgr FROM p JOIN c USING (meter)), r AS (SELECT meter, round((base + env * base + rar * (base + env * base) + pgr * e) * 1.03, 5) AS usd_per_kwh FROM x) SELECT meter, usd_per_kwh, sum(kwh) AS kwh, sum(kwh) * usd_per_kwh AS usd FROM r JOIN usage USING (meter) GROUP BY ALL", doubles="usd_per_kwh kwh usd")
+q("A34_marginal_rates", lambda v: t.marginal_rates(v.rates, v.cycles, "2024-01-20").join(usage(v).groupBy("meter").agg(F.sum("kwh").alias("kwh")), "meter").withColumn("usd", F.col("kwh") * F.col("usd_per_kwh")), "meter rates cycles", FINE + f", {_USAGE}, p AS (SELECT meter, arg_max(energy, effective_from) AS energy, arg_max(dsm, effective_from) AS dsm FROM rates WHERE effective_from <= DATE '2024-01-20' GROUP BY ALL), c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY meter ORDER BY cycle_end DESC) AS rn FROM cycles) WHERE rn = 1), x AS (SELECT meter, CAST(energy AS DOUBLE) AS e, CAST(energy + dsm + fuel AS DOUBLE) AS base, coalesce(CAST(env_pct AS DOUBLE), 0) / 100 AS env, coalesce(CAST(rar_pct AS DOUBLE), 0) / 100 AS rar, coalesce(CAST(pgr_pct AS DOUBLE), 0) / 100 AS pgr FROM p JOIN c USING (meter)), r AS (SELECT meter, round((base + env * base + rar * (base + env * base) + pgr * e) * 1.03, 5) AS usd_per_kwh FROM x) SELECT meter, usd_per_kwh, sum(kwh) AS kwh, sum(kwh * usd_per_kwh) AS usd FROM r JOIN usage USING (meter) GROUP BY meter, usd_per_kwh", doubles="usd_per_kwh kwh usd")
 
 
 def _bills(v):
