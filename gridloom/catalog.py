@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import basic, meters, windows
+from .plans import basic, ingest, meters, reports, streams, windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-for _module in (basic, windows, meters):
+for _module in (basic, windows, meters, reports, ingest, streams):
     QUERIES |= _module.REGISTRY.queries
     ORACLES |= _module.REGISTRY.oracles

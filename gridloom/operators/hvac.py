@@ -9,9 +9,11 @@ DEFAULT_W_PER_POINT = 29.9
 
 
 def pearson(x: str, y: str) -> Column:
-    """Correlation; null where a side is flat or there are fewer than three pairs."""
-    r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-    return F.when((F.count(F.col(x) + F.col(y)) >= 3) & (F.stddev_pop(x) > 1e-12) & (F.stddev_pop(y) > 1e-12), r)
+    """Correlation over rows that have both; null where a side is flat or there are fewer than three pairs."""
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    a, b = F.when(both, F.col(x)), F.when(both, F.col(y))
+    r = F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+    return F.when((F.count(a) >= 3) & (F.stddev_pop(a) > 1e-12) & (F.stddev_pop(b) > 1e-12), r)
 
 
 def agreement(pairs: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 #: One row per field an object has, at each sample. ``value_source`` tells a seed from a delta.
 OUTPUT = "hub string, id string, sample_s long, field string, value string, updated_s long, value_source string"
-STATE = "fields string, epoch long, synced boolean, heard_s long, next_s long"
+STATE = "fields string, epoch long, synced boolean, heard_s long, next_s long, since_s long"
 SILENCE_S = 90
 CADENCE_S = 30
 SYNC_TIMEOUT_S = 20
@@ -23,8 +23,8 @@ SYNC_TIMEOUT_S = 20
 class ObjectState:
     """The fields of one object, as a pure value: ``fields`` maps a name to (value, second, epoch, source)."""
 
-    def __init__(self, fields: dict | None = None, epoch: int = 0, synced: bool = False, heard_s: int = 0, next_s: int = 0):
-        self.fields, self.epoch, self.synced, self.heard_s, self.next_s = fields or {}, epoch, synced, heard_s, next_s
+    def __init__(self, fields: dict | None = None, epoch: int = 0, synced: bool = False, heard_s: int = 0, next_s: int = 0, since_s: int = 0):
+        self.fields, self.epoch, self.synced, self.heard_s, self.next_s, self.since_s = fields or {}, epoch, synced, heard_s, next_s, since_s
 
     def apply(self, delta: dict[str, str | None], at_s: int, epoch: int, seed: bool = False, only_older_than: int | None = None) -> tuple[int, int]:
         """(applied, cleared). A seed never overwrites a field that a delta set at or after ``only_older_than``."""
@@ -57,13 +57,15 @@ class ObjectState:
     def samples(self, until_s: int) -> Iterator[tuple]:
         """(second, field, value, updated, source) at each cadence step up to ``until_s``; nothing while the gate is shut."""
         while self.next_s and self.next_s <= until_s:
-            if self.open_at(self.next_s):
-                for name, (value, at, _, source) in sorted(self.fields.items()):
-                    yield self.next_s, name, value, at, source
+            if not self.open_at(self.next_s):  # and shut it stays until the next event
+                self.next_s = (until_s // CADENCE_S + 1) * CADENCE_S
+                return
+            for name, (value, at, _, source) in sorted(self.fields.items()):
+                yield self.next_s, name, value, at, source
             self.next_s += CADENCE_S
 
     def dump(self) -> tuple:
-        return json.dumps(self.fields), self.epoch, self.synced, self.heard_s, self.next_s
+        return json.dumps(self.fields), self.epoch, self.synced, self.heard_s, self.next_s, self.since_s
 
     @classmethod
     def load(cls, row: tuple) -> ObjectState:
@@ -75,14 +77,15 @@ def step(state: ObjectState, event: dict, out: list) -> None:
     at = int(event["at_s"])
     out.extend(state.samples(at - 1))
     kind, epoch = event["kind"], int(event["epoch"])
+    state.since_s = state.since_s or at
     if kind == "connect":
-        state.epoch, state.synced = epoch, False
+        state.epoch, state.synced, state.since_s = epoch, False, at
     elif kind == "sync":
         state.evict_before(epoch)
         state.synced = True
     elif kind in ("delta", "seed"):
         state.apply(json.loads(event["fields"]), at, epoch, kind == "seed", at if kind == "seed" else None)
-        if not state.synced and at - state.heard_s >= SYNC_TIMEOUT_S and state.fields:
+        if not state.synced and at - state.since_s >= SYNC_TIMEOUT_S and state.fields:
             state.synced = True
     if not state.next_s:
         state.next_s = (at // CADENCE_S + 1) * CADENCE_S
