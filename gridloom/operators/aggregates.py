@@ -9,12 +9,15 @@ from ..functions.localtime import local_date
 from ..functions.scalar import level
 from ..schemas import CHANNEL
 
-DAY = F.to_date("local_hour_start")
+
+def local_day() -> Column:
+    """The local day of an hourly row."""
+    return F.to_date("local_hour_start")
 
 
 def daily_kwh(hourly: DataFrame, busy_watts: float = 100.0) -> DataFrame:
     """Per channel and local day: energy, observed seconds, hours, peak, and hours whose mean reached ``busy_watts``."""
-    return hourly.where("metric = 'watts'").groupBy(*CHANNEL, DAY.alias("local_day")).agg(
+    return hourly.where("metric = 'watts'").groupBy(*CHANNEL, local_day().alias("local_day")).agg(
         F.sum("kwh").alias("kwh"), F.sum("observed_seconds").alias("observed_seconds"), F.count("*").alias("hours"), F.max("max").alias("peak_w"), F.count_if(F.col("mean") >= busy_watts).alias("busy_hours")
     )
 
@@ -27,7 +30,7 @@ def label(facts: DataFrame, dim: DataFrame, how: str = "left") -> DataFrame:
 
 def circuits(hourly: DataFrame, dim: DataFrame, poll_interval_s: float, first: str, last: str) -> DataFrame:
     """Channels of local days ``first`` to ``last`` ranked by energy, with coverage of the range's real hours."""
-    day = DAY
+    day = local_day()
     rows = hourly.where("metric = 'watts'").where(day.between(F.lit(first).cast("date"), F.lit(last).cast("date")))
     out = rows.groupBy(*CHANNEL).agg(
         F.sum("kwh").alias("kwh"), F.max("max").alias("peak_w"), F.sum("sample_count").alias("samples"), F.count("*").alias("hours"), F.countDistinct(day).alias("days"), F.min(day).alias("first_day"), F.max(day).alias("last_day")
@@ -38,7 +41,7 @@ def circuits(hourly: DataFrame, dim: DataFrame, poll_interval_s: float, first: s
 
 
 def circuit_days(hourly: DataFrame) -> DataFrame:
-    return hourly.where("metric = 'watts'").groupBy(DAY.alias("local_day"), F.concat_ws("/", "device_id", "channel_id").alias("series"), level().alias("level")).agg(F.sum("kwh").alias("kwh"))
+    return hourly.where("metric = 'watts'").groupBy(local_day().alias("local_day"), F.concat_ws("/", "device_id", "channel_id").alias("series"), level().alias("level")).agg(F.sum("kwh").alias("kwh"))
 
 
 def level_totals(hourly: DataFrame) -> DataFrame:
@@ -48,13 +51,13 @@ def level_totals(hourly: DataFrame) -> DataFrame:
 
 def panel_days(hourly: DataFrame) -> DataFrame:
     """Feeds per local day in two steps: each series' day, then their sum, their number and the worst one's samples."""
-    series = hourly.where("metric = 'watts'").where(level() == "feed").groupBy(DAY.alias("local_day"), *CHANNEL).agg(F.sum("kwh").alias("kwh"), F.sum("sample_count").alias("n"))
+    series = hourly.where("metric = 'watts'").where(level() == "feed").groupBy(local_day().alias("local_day"), *CHANNEL).agg(F.sum("kwh").alias("kwh"), F.sum("sample_count").alias("n"))
     return series.groupBy("local_day").agg(F.sum("kwh").alias("kwh"), F.count("*").alias("series"), F.min("n").alias("worst_samples"))
 
 
 def panel_daily(hourly: DataFrame) -> DataFrame:
     """Feeds per local day with the number of channels, the divisor of coverage."""
-    return hourly.where("metric = 'watts'").where(level() == "feed").groupBy(DAY.alias("local_day")).agg(F.sum("kwh").alias("kwh"), F.sum("observed_seconds").alias("observed_seconds"), F.countDistinct(F.struct("device_id", "channel_id")).alias("channels"))
+    return hourly.where("metric = 'watts'").where(level() == "feed").groupBy(local_day().alias("local_day")).agg(F.sum("kwh").alias("kwh"), F.sum("observed_seconds").alias("observed_seconds"), F.countDistinct(F.struct("device_id", "channel_id")).alias("channels"))
 
 
 def panel_hours(hourly: DataFrame, channels: list[str]) -> DataFrame:
@@ -94,18 +97,18 @@ def leg_mean_sum(obs: DataFrame, bucket: Column, channels: list[str]) -> DataFra
 
 def extremes(hourly: DataFrame, metric: str) -> DataFrame:
     """Lowest and highest of a metric per local day."""
-    return hourly.where(F.col("metric") == metric).groupBy(DAY.alias("local_day")).agg(F.min("min").alias("low"), F.max("max").alias("high"))
+    return hourly.where(F.col("metric") == metric).groupBy(local_day().alias("local_day")).agg(F.min("min").alias("low"), F.max("max").alias("high"))
 
 
 def modulation(hourly: DataFrame) -> DataFrame:
     """Spread of hourly means per channel and local day."""
-    return hourly.groupBy(*CHANNEL, DAY.alias("local_day")).agg((F.max("mean") - F.min("mean")).alias("span"))
+    return hourly.groupBy(*CHANNEL, local_day().alias("local_day")).agg((F.max("mean") - F.min("mean")).alias("span"))
 
 
 def night_floor(hourly: DataFrame, first_hour: int = 1, last_hour: int = 4) -> DataFrame:
     """Lowest night hour of the summed feeds per local day; hours are UTC hours, so the two 01:00 of autumn stay apart."""
     rows = hourly.where("metric = 'watts'").where(level() == "feed").where(F.hour("local_hour_start").between(first_hour, last_hour))
-    hours = rows.groupBy("hour_start_utc", DAY.alias("local_day")).agg(F.sum("mean").alias("w"), F.count("*").alias("feeds"))
+    hours = rows.groupBy("hour_start_utc", local_day().alias("local_day")).agg(F.sum("mean").alias("w"), F.count("*").alias("feeds"))
     return hours.groupBy("local_day").agg(F.min("w").alias("floor_w"), F.count("*").alias("night_hours"))
 
 

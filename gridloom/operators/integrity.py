@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import is_child, level
 from ..schemas import CHANNEL
 from ..vocab import RULES
-from .aggregates import DAY
+from .aggregates import local_day
 from .coverage import islands
 
 
@@ -31,19 +31,19 @@ def frozen_runs(hourly: DataFrame, least_samples: int = 100, least_hours: int =
 
 
 def negative(hourly: DataFrame) -> DataFrame:
-    days = hourly.where("metric = 'watts' AND min < 0").groupBy(*CHANNEL, DAY.alias("day")).agg(F.min("min").alias("low"), F.count("*").alias("n"))
+    days = hourly.where("metric = 'watts' AND min < 0").groupBy(*CHANNEL, local_day().alias("day")).agg(F.min("min").alias("low"), F.count("*").alias("n"))
     return finding(days, "negative_reading", _key(*CHANNEL), F.col("day"), F.concat(F.col("n").cast("string"), F.lit(" hours below zero")))
 
 
 def corrupt(hourly: DataFrame, limit_w: float = 100_000) -> DataFrame:
-    days = hourly.where("metric = 'watts'").where(F.greatest(F.abs("min"), F.abs("max")) >= limit_w).groupBy(*CHANNEL, DAY.alias("day")).agg(F.count("*").alias("n"))
+    days = hourly.where("metric = 'watts'").where(F.greatest(F.abs("min"), F.abs("max")) >= limit_w).groupBy(*CHANNEL, local_day().alias("day")).agg(F.count("*").alias("n"))
     return finding(days, "corrupt_reading", _key(*CHANNEL), F.col("day"), F.concat(F.col("n").cast("string"), F.lit(" hours beyond the limit")))
 
 
 def feed_against_children(hourly: DataFrame, least_children: int = 3, share: float = 0.05, floor_w: float = 100.0) -> DataFrame:
     """(device, hour) where the children together exceed the feeds by more than the tolerance."""
     rows = hourly.where("metric = 'watts'")
-    hours = rows.groupBy("device_id", "hour_start_utc", DAY.alias("local_day")).agg(
+    hours = rows.groupBy("device_id", "hour_start_utc", local_day().alias("local_day")).agg(
         F.sum(F.when(level() == "feed", F.col("mean"))).alias("feed_w"), F.sum(F.when(is_child(), F.col("mean"))).alias("children_w"), F.count_if(is_child()).alias("children")
     )
     excess = F.col("children_w") - F.col("feed_w")
