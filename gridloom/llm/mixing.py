@@ -64,14 +64,15 @@ def split(quotas: Sequence[int], shards: int, seed: int) -> np.ndarray:
 
 
 def mix(docs: DataFrame, shards: int = 8, seed: int = 17, weights: dict[str | None, float] | None = None, most: float = 3.0, text: str = "text", id_col: str = "doc_id", source: str = "source", keep: Sequence[str] = ()) -> DataFrame:
-    """(doc_id, size, source, source_size, target, copies, places) for every row of ``docs``, and the ``keep`` columns.
+    """(doc_id, size, source, source_size, target, copies, places) for every row of ``docs``; ``keep`` columns follow, named
+    ``_k_`` and their name, so none clashes.
 
     ``copies`` is how often the mix takes the row (0 to ``most`` rounded up); ``places`` has an (out_shard, order) for each.
     Sources are weighed by ``weights``, or 5, 2, 1 repeating by code point with null last. Rows without words have size 0 and
     are taken only with whole passes; a source without words has target 0. Repeated rows are taken alike. Empty table: no
     rows. The plan on the driver has one row per source, not per document.
     """
-    kept = [c for c in keep if c in docs.columns and c not in ("doc_id", "source")]
+    kept = [c for c in keep if c in docs.columns]
     narrow = [F.col(id_col).alias("_id"), words_of(text).alias("_size"), F.col(source).cast("string").alias("_source"), F.coalesce(F.xxhash64(text, F.lit(seed)), F.lit(0)).alias("_sum")]
     rows = cut(docs.select(*narrow))
     plan = sorted(rows.groupBy("_source").agg(F.sum("_size").alias("size"), F.count("*").alias("n")).collect(), key=lambda r: (r["_source"] is None, (r["_source"] or "").encode()))
@@ -121,7 +122,7 @@ def mix(docs: DataFrame, shards: int = 8, seed: int = 17, weights: dict[str | No
     index = "CAST(p AS BIGINT) * blocks + _block"
     rank = f"pmod(({index}) * step + shift, greatest(q, 1))"
     places = F.expr(f"CASE WHEN copies > 0 THEN transform(sequence(0, copies - 1), p -> named_struct('out_shard', CAST(least(size(filter(bounds, b -> b <= {rank})), {shards - 1}) AS INT), 'order', xxhash64(_order, p, {seed}))) ELSE array() END")
-    return at.select(F.col("_id").alias("doc_id"), F.col("_size").alias("size"), F.col("_source").alias("source"), "source_size", "target", "copies", places.alias("places"), *(F.col(f"_k_{c}").alias(c) for c in kept))
+    return at.select(F.col("_id").alias("doc_id"), F.col("_size").alias("size"), F.col("_source").alias("source"), "source_size", "target", "copies", places.alias("places"), *(f"_k_{c}" for c in kept))
 
 
 def small(df: DataFrame, rows: int, most: int = 100_000) -> DataFrame:
@@ -145,4 +146,4 @@ def draw(docs: DataFrame, columns: Sequence[str] | None = None, id_col: str = "d
     columns = list(columns or docs.columns)
     taken = mix(docs, id_col=id_col, keep=columns, **options).select("*", F.explode("places").alias("_place"))
     spread = taken.repartition("_place.out_shard", F.shiftright("_place.order", 56)).sortWithinPartitions("_place.out_shard", "_place.order")
-    return spread.select(*columns)
+    return spread.select(*(F.col(f"_k_{c}").alias(c) for c in columns))
