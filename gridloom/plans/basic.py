@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import localtime as lt
 from ..functions import scalar as s
+from ..functions.ranges import report_range
 from ..operators import aggregates as a
 from ..operators import coverage as cov
 from ..operators import dedupe, rollup
@@ -95,3 +96,13 @@ q("A22_night_floor", lambda v: a.night_floor(v.hourly), "hourly", f"SELECT local
 q("A27_observed_energy", lambda v: a.observed_energy(v.obs, lt.bucket("ts_utc", 3600), 3600, POLL_S), "obs", f"SELECT source, device_id, channel_id, sum(w * least(3600, n * {POLL_S})) / 3.6e6 AS kwh, CAST(sum(least(3600, n * {POLL_S})) AS DOUBLE) AS observed_s FROM (SELECT source, device_id, channel_id, date_trunc('hour', ts_utc) AS b, avg(value) AS w, count(*) AS n FROM obs WHERE metric = 'watts' GROUP BY ALL) GROUP BY ALL", doubles="kwh observed_s")
 q("A29_series_summary", lambda v: a.series_summary(v.obs, "2024-01-05 00:00:00", "2024-01-15 00:00:00", POLL_S), "obs", f"SELECT source, device_id, channel_id, metric, count(*) AS n, count(*) FILTER (WHERE value = 0) AS zeros, min(value) AS min, max(value) AS max, avg(value) AS mean, count(*) / (864000 / {POLL_S}) * 100 AS coverage_pct FROM obs WHERE ts_utc >= '2024-01-05' AND ts_utc < '2024-01-15' GROUP BY ALL", doubles="min max mean coverage_pct")
 q("A35_kpi", lambda v: a.kpi(v.hourly), "hourly", f"; d AS (SELECT device_id, channel_id, {DAY} AS local_day, sum(kwh) AS kwh FROM hourly WHERE metric = 'watts' GROUP BY ALL), b AS (SELECT device_id || '/' || channel_id AS k, sum(kwh) AS kwh FROM d WHERE channel_id LIKE 'breaker_%' GROUP BY ALL) SELECT (SELECT sum(kwh) FROM d WHERE {FEED}) AS house_kwh, (SELECT count(DISTINCT local_day) FROM d) AS days, (SELECT arg_max(k, kwh) FROM b) AS top_branch, (SELECT max(kwh) FROM b) AS top_kwh", doubles="house_kwh top_kwh")
+q("P09_exclude_day_grain", lambda v: rollup.hourly_rollup(v.obs.withColumn("metric", F.when(F.col("event_id") % 13 == 0, "kwh_day").otherwise(F.col("metric"))), POLL_S).groupBy("metric").agg(F.sum("sample_count").alias("n")), "obs", "SELECT metric, count(*) AS n FROM obs WHERE event_id % 13 <> 0 GROUP BY ALL")
+q("P22_channel_display", lambda v: a.label(v.obs.select(*CHANNEL).distinct(), v.dim.select(*CHANNEL, "label")).select("device_id", "channel_id", F.coalesce("label", s.channel_name()).alias("name")), "obs dim", "SELECT DISTINCT o.device_id, o.channel_id, coalesce(label, CASE WHEN o.channel_id LIKE 'breaker_p%' THEN 'Breaker ' || regexp_extract(o.channel_id, '([0-9]+)$', 1) WHEN o.channel_id LIKE 'ct_%' THEN 'CT ' || regexp_extract(o.channel_id, '^ct_([0-9]+)', 1) || ' leg ' || upper(right(o.channel_id, 1)) ELSE 'Panel leg ' || upper(right(o.channel_id, 1)) END) AS name FROM obs o LEFT JOIN dim d ON o.source = d.source AND o.device_id = d.device_id AND o.channel_id = d.channel_id")
+
+
+def _in_range(v):
+    first, last = report_range("2024-01-03", "2024-01-12")
+    return a.daily_kwh(v.hourly).where(F.col("local_day").between(F.lit(first), F.lit(last))).groupBy("local_day").agg(F.sum("kwh").alias("kwh"))
+
+
+q("P25_report_range", _in_range, "hourly", f"SELECT {DAY} AS local_day, sum(kwh) AS kwh FROM hourly WHERE metric = 'watts' AND {DAY} BETWEEN DATE '2024-01-03' AND DATE '2024-01-12' GROUP BY ALL", doubles="kwh")

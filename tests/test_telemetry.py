@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gridloom import storage
 from gridloom.functions import localtime as lt
 from gridloom.functions import scalar as s
+from gridloom.functions.ranges import report_range
 from gridloom.operators import anomalies, coverage, dedupe, dimension, hvac, integrity, ledger, meters, rollup, tariffs
 from gridloom.plans.reports import bucket_width
 from gridloom.schemas import OBSERVATION, ContractError, conform
@@ -192,3 +193,11 @@ def test_bucket_choice():
     assert bucket_width(30 * 86400, 1800) == 7200 and bucket_width(3600, 30) == 60
     with pytest.raises(ValueError):
         bucket_width(10**9, 30)
+
+
+def test_report_range():
+    assert report_range("2024-01-03", "2024-01-04") == (date(2024, 1, 3), date(2024, 1, 4))
+    assert report_range(days=2, today=date(2024, 1, 4)) == (date(2024, 1, 3), date(2024, 1, 4))
+    for bad in ({"start": "2024-01-01"}, {"days": 401}, {"days": 0}, {"start": "2024-01-02", "end": "2024-01-01"}):
+        with pytest.raises(ValueError):
+            report_range(**bad)
