@@ -66,27 +66,31 @@ def numbered(df: DataFrame, group: str, order: str, ties: list[str], buckets: in
     return df.withColumn(out, (F.col("_rank") + F.col("_before")).cast("long")).drop("_bucket", "_rank", "_before")
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 40) -> DataFrame:
-    """(node, component): the smallest node reachable over the undirected edges, by alternating large and small stars.
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, component): the smallest node reachable over the undirected edges, by randomised contraction.
 
-    Each round is two aggregations and two joins keyed by node, and is cut to the shared folder. A hub's edges are never
-    collected: the star's centre comes from a partial ``min``, and the join back can be split. No edges: no rows.
+    In each round a node takes the neighbour (or itself) that a round's hash puts first, and edges are renamed to what their
+    ends took, so dense groups collapse at once and long chains by a constant share. A hub's edges are never collected: what
+    a node takes comes from a partial ``min``, and the joins can be split. Rounds are cut to the shared folder. No edges: no rows.
     """
-    now = cut(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    mark = None
-    for _ in range(rounds):
+    now = cut(edges.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).distinct())
+    taken: list[DataFrame] = []
+    while not now.isEmpty():
+        rank = lambda c, seed=len(taken): F.struct(F.xxhash64(c, F.lit(seed)).alias("h"), F.col(c).alias("i"))
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        centre = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-        large = both.join(centre, F.col("u") == F.col("k")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u != v").distinct()
-        parent = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "k")
-        small = large.join(parent, F.col("u") == F.col("k")).select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        now = cut(small.where("u != v").distinct())
-        found = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if (found.n, found.s) == mark:
-            break
-        mark = (found.n, found.s)
-    return now.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component").unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+        takes = cut(both.groupBy("u").agg(F.min(rank("v")).alias("x")).select(F.col("u").alias("k"), F.least("x", rank("u"))["i"].alias("m")))
+        taken.append(takes)
+        half = now.join(takes, F.col("u") == F.col("k")).select(F.col("m").alias("u"), "v")
+        full = half.join(takes, F.col("v") == F.col("k")).select("u", F.col("m").alias("v")).where("u != v")
+        now = cut(full.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    if not taken:
+        return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    roots = taken.pop()
+    for takes in reversed(taken):
+        later = roots.select(F.col("k").alias("k2"), F.col("m").alias("m2"))
+        roots = takes.join(later, F.col("m") == F.col("k2"), "left").select("k", F.coalesce("m2", "m").alias("m"))
+    least = roots.groupBy(F.col("m").alias("root")).agg(F.min("k").alias("component"))
+    return roots.join(least, F.col("m") == F.col("root")).select(F.col("k").alias("node"), "component")
 
 
 def ordered_groups(df: DataFrame, key: str) -> DataFrame:
