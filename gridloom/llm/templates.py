@@ -1,11 +1,12 @@
 """HTML extraction by equivalence classes of template tokens.
 
-Pages are read as tokens: elements in their path, and blocks of text in theirs. For each host, tokens with the same occurrence
-vector over its pages form an equivalence class; vectors are compared by sums of page hashes, so a host's pages are never
-brought together. A class is valid if it occurs on at least ``SUPPORT`` of the host's pages and holds ``SIZE`` tokens or more.
-Valid classes nest by their tokens' paths into the host's template: its paths are the slots. Slots in the article that lie in no
-menu, header, footer, sidebar, notice, advert, form or comment give the main text. A host whose template has no article
-gives the body's slots, without blocks of text that are themselves template tokens.
+Pages are read as tokens: elements in their path, and blocks of text in theirs, inside an article too. For each host, tokens with
+the same occurrence vector over its pages, copies counted once, form an equivalence class; vectors are compared by an XOR of
+page hashes, so a host's pages are never brought together. A class is valid if it occurs on at least ``SUPPORT`` of the host's
+pages and on ``PAGES`` of them, and holds ``SIZE`` tokens or more. Blocks of text in valid classes are the template's constants, on
+whichever side of the article they lie, but for an article's h1, its title; the other blocks fill slots. Slots in the article that
+lie in no menu, header, footer, sidebar, notice, advert, form or comment give the main text; a page without them gives the
+body's slots.
 """
 
 from __future__ import annotations
@@ -20,9 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import cut, small_batches
 
 SUPPORT = 0.5
+#: Distinct pages that a template token occurs on, at least: a host with fewer has no constants.
+PAGES = 3
 SIZE = 2
 #: Templates are joined by (host, salt), so a host with a third of all pages is dealt to so many keys.
 SALTS = 16
@@ -35,6 +38,7 @@ FURNITURE = frozenset("nav header footer aside form dialog menu fieldset".split(
 #: Words of class, id or role that mark furniture.
 WORDS = frozenset("ad ads advert adverts advertisement advertising aside banner breadcrumb breadcrumbs comment comments commentlist complementary consent contentinfo cookie cookies dialog discussion disqus footer form header login masthead menu menubar modal nav navbar navigation newsletter notice notices pagination popup promo promoted promotion related replies respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget widgets".split())
 MAIN = frozenset(("article", "main"))
+TITLE = 2
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)", re.DOTALL | re.IGNORECASE)
 _MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
@@ -49,13 +53,15 @@ def _role(name: str, attributes: str) -> tuple[str, bool]:
     return role, name in FURNITURE or name in OPAQUE or any(w in WORDS for w in words)
 
 
-def parse(page: str) -> Iterator[tuple[str, str, bool, bool]]:
+def parse(page: str) -> Iterator[tuple[str, str, bool, int]]:
     """(kind, value, furniture, main) in page order: kind 'open' with a path, 'text' with decoded text, 'break' between blocks.
 
+    ``main`` is 0 outside an article, 1 inside and ``TITLE`` in its h1.
+
     The path of text is that of the last open element. Comments, scripts and styles are skipped; elements left open close with
     their parents.
     """
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
+    stack: list[tuple[str, str, bool, int]] = [("", "", False, 0)]
     at = 0
     for m in _TOKEN.finditer(page):
         if m.start() > at:
@@ -64,12 +70,12 @@ def parse(page: str) -> Iterator[tuple[str, str, bool, bool]]:
         at = m.end()
         name = (m[3] or "").lower()
         if m[1]:
-            yield "break", "", True, False
+            yield "break", "", True, 0
             continue
         if not name:
             continue
         if name not in INLINE:
-            yield "break", "", False, False
+            yield "break", "", False, 0
         if m[2]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == name:
@@ -85,16 +91,17 @@ def parse(page: str) -> Iterator[tuple[str, str, bool, bool]]:
             continue
         role, furniture = _role(name, m[4])
         path = f"{stack[-1][1]}/{role}"
-        stack.append((name, path, furniture or stack[-1][2], (name in MAIN or stack[-1][3])))
+        main = TITLE if name == "h1" and stack[-1][3] else stack[-1][3] or int(name in MAIN)
+        stack.append((name, path, furniture or stack[-1][2], main))
         yield "open", path, stack[-1][2], stack[-1][3]
     if at < len(page):
         _, path, furniture, main = stack[-1]
         yield "text", html.unescape(page[at:]), furniture, main
 
 
-def blocks(page: str) -> Iterator[tuple[str, str, bool, bool]]:
+def blocks(page: str) -> Iterator[tuple[str, str | None, bool, int]]:
     """(path, text, furniture, main) of each block of text, white space collapsed; and ('path', None, ...) for elements."""
-    path, held, where = "", [], ("", False, False)
+    path, held, where = "", [], ("", False, 0)
     for kind, value, furniture, main in parse(page):
         if kind == "text":
             if not held:
@@ -116,22 +123,24 @@ def blocks(page: str) -> Iterator[tuple[str, str, bool, bool]]:
         yield where[0], text, where[1], where[2]
 
 
-def _text_token(path: str, block: str) -> str:
-    return f"{path}#{hashlib.blake2b(block.encode('utf-8', 'surrogatepass'), digest_size=12).hexdigest()}"
+def _token(path: str, block: str | None = None) -> int:
+    """A 64-bit hash of an element's path, or of a block of text with its path."""
+    value = path if block is None else f"{path}#{block}"
+    return int.from_bytes(hashlib.blake2b(value.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(page_id, host, token, main, n): how often each token occurs on a page; a block of text outside an article is one with its path."""
+    """(content, host, token, constant, n): how often each token occurs on a page; ``constant`` tells blocks of text from elements."""
     for batch in batches:
         rows: list[tuple] = []
-        for page, host, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for content, host, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             count: Counter = Counter()
             for path, block, _, main in blocks(text or ""):
-                if block is None or not main:
-                    count[(path if block is None else _text_token(path, block), main)] += 1
-            rows += [(page, host, token, main, n) for (token, main), n in count.items()]
+                if block is None or main != TITLE:
+                    count[(_token(path, block), block is not None)] += 1
+            rows += [(content, host, token, constant, n) for (token, constant), n in count.items()]
         cols = list(zip(*rows, strict=True)) or [()] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.int64()), strict=True)], names=["page_id", "host", "token", "main", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.int64()), strict=True)], names=["content", "host", "token", "constant", "n"])
 
 
 def host_of(url: str = "url"):
@@ -139,39 +148,36 @@ def host_of(url: str = "url"):
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, token, main) of the tokens in valid classes of each host.
+    """(host, token) of the blocks of text in valid classes of each host.
 
-    ``pages`` has page_id, host and html. An occurrence vector is known by its pages, its total, and two sums of page hashes.
+    ``pages`` has host and html. Pages of a host with the same html count once. An occurrence vector is known by its pages, its total,
+    and an XOR of page hashes. Hashes of contents are cut to the shared folder.
     """
-    seen = pages.select("page_id", "host", "html").mapInArrow(_tokens, "page_id long, host string, token string, main boolean, n long")
-    mark = lambda seed: F.sum(F.pmod(F.xxhash64("page_id", F.lit(seed)), F.lit(1 << 40)).cast("decimal(38,0)") * F.col("n"))
-    vectors = seen.groupBy("host", "token", "main").agg(F.count("*").alias("on"), F.sum("n").alias("total"), mark(1).alias("v1"), mark(2).alias("v2"))
-    sizes = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    common = vectors.join(sizes, "host").where(F.col("on") >= SUPPORT * F.col("pages"))
-    classes = common.groupBy("host", "on", "total", "v1", "v2").agg(F.count("*").alias("size"), F.first("pages").alias("pages"), F.collect_list(F.struct("token", "main")).alias("tokens"))
-    return classes.where((F.col("size") >= SIZE) | (F.col("pages") == 1)).select("host", F.inline("tokens"))
+    pages = pages.select(F.xxhash64("html").alias("content"), "host", "html")
+    contents = cut(pages.groupBy("host", "content").agg(F.count("*").alias("copies")))
+    seen = pages.mapInArrow(_tokens, "content long, host string, token long, constant boolean, n long")
+    if not contents.where("copies > 1").isEmpty():  # copies have the same rows; without any, tokens are exchanged once
+        seen = seen.distinct()
+    vectors = seen.groupBy("host", "token", "constant").agg(F.count("*").alias("on"), F.sum("n").alias("total"), F.bit_xor(F.xxhash64("content", "n")).alias("v"))
+    sizes = contents.groupBy("host").agg(F.count("*").alias("pages"))
+    common = vectors.where(F.col("on") >= PAGES).join(sizes, "host").where(F.col("on") >= SUPPORT * F.col("pages"))
+    classes = common.groupBy("host", "on", "total", "v").agg(F.count("*").alias("size"), F.collect_list(F.when(F.col("constant"), F.col("token"))).alias("tokens"))
+    return classes.where(F.col("size") >= SIZE).select("host", F.explode("tokens").alias("token"))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         pages, template = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-        known: dict[int, tuple[bool, set]] = {}
+        known: dict[tuple, frozenset] = {}
         out = []
         for page, tokens in zip(pages, template, strict=True):
-            key = hash(tuple(tokens or ()))
-            if key not in known:
-                paths = {t for t in tokens or () if "#" not in t}
-                known[key] = (any(p.rsplit("/", 1)[-1].split(".")[0] in MAIN for p in paths), {t for t in tokens or () if "#" in t})
-            article, constant = known[key]
-            parts, inside = [], []
+            key = tuple(tokens or ())
+            constant = known.setdefault(key, frozenset(key))
+            inside, parts = [], []
             for path, block, furniture, main in blocks(page or ""):
-                if block is None or furniture:
-                    continue
-                if main:
-                    inside.append(block)
-                elif _text_token(path, block) not in constant:
-                    parts.append(block)
-            out.append(" ".join(inside if article or inside else parts))
+                if block is not None and not furniture and (main == TITLE or not constant or _token(path, block) not in constant):
+                    (inside if main else parts).append(block)
+            out.append(" ".join(inside or parts))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=["page_id", "url", "text"])
 
 

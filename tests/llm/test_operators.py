@@ -98,6 +98,14 @@ def test_html(spark):
     assert got == {i: (t, len(t)) for i, t in want.items()}
 
 
+def test_html_constants_in_articles(spark):
+    """Blocks that a host repeats in its articles are template, whatever their class; two pages, or copies of one, make no template."""
+    page = lambda i: f"<html><body><article><h1>T{i}</h1><p>own {i}</p><div class='box{i % 2}x'>Join us</div><div class='more'>Read on</div></article></body></html>"
+    rows = [(i, "http://a.x/", page(2 * i)) for i in range(6)] + [(10 + i, "http://b.x/", page(2 * i)) for i in range(2)] + [(20 + i, "http://c.x/", page(2 * (i % 2))) for i in range(8)]
+    got = {r.page_id: r.text for r in templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"T{n} own {n}" + ("" if i < 10 else " Join us Read on") for i, n in [(i, 2 * i) for i in range(6)] + [(10, 0), (11, 2)] + [(20 + i, 2 * (i % 2)) for i in range(8)]}
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(2)
     base = rng.standard_normal((12, 16))
