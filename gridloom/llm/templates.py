@@ -6,7 +6,11 @@ page hashes, so a host's pages are never brought together. A class is valid if i
 pages and on ``PAGES`` of them, and holds ``SIZE`` tokens or more. Blocks of text in valid classes are the template's constants, on
 whichever side of the article they lie, but for an article's h1, its title; the other blocks fill slots. Slots in the article that
 lie in no menu, header, footer, sidebar, notice, advert, form or comment give the main text; a page without them gives the
-body's slots.
+body's slots, and a page whose blocks are all constants gives those.
+
+Elements mark such furniture by name, or by words of class, id or role. Words on html or body mark nothing. Words on an article or
+outside it are weaker: where every article is marked by them, articles count all the same; where there is no article, an
+element that holds more than half of the page's text is no furniture.
 """
 
 from __future__ import annotations
@@ -39,43 +43,46 @@ FURNITURE = frozenset("nav header footer aside form dialog menu fieldset".split(
 WORDS = frozenset("ad ads advert adverts advertisement advertising aside banner breadcrumb breadcrumbs comment comments commentlist complementary consent contentinfo cookie cookies dialog discussion disqus footer form header login masthead menu menubar modal nav navbar navigation newsletter notice notices pagination popup promo promoted promotion related replies respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget widgets".split())
 MAIN = frozenset(("article", "main"))
 TITLE = 2
+ROOTS = frozenset(("html", "body"))
+#: The mark of furniture by name, or by words inside an article; other elements with such words have a number from 1.
+FIXED = -1
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)", re.DOTALL | re.IGNORECASE)
 _MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
-def _role(name: str, attributes: str) -> tuple[str, bool]:
-    """An element's name with its class, id and role, and whether it is furniture."""
+def _role(name: str, attributes: str) -> tuple[str, bool, bool]:
+    """An element's name with its class, id and role, and whether its name or its words make it furniture."""
     marks = " ".join(a or b or c for a, b, c in _MARKS.findall(attributes)).lower() if attributes else ""
     words = [w for w in _SPLIT.split(marks) if w]
     role = name + "".join(f".{w}" for w in words if not w.isdigit())
-    return role, name in FURNITURE or name in OPAQUE or any(w in WORDS for w in words)
+    return role, name in FURNITURE or name in OPAQUE, name not in ROOTS and any(w in WORDS for w in words)
 
 
-def parse(page: str) -> Iterator[tuple[str, str, bool, int]]:
-    """(kind, value, furniture, main) in page order: kind 'open' with a path, 'text' with decoded text, 'break' between blocks.
+def parse(page: str) -> Iterator[tuple[str, str, int, int]]:
+    """(kind, value, mark, main) in page order: kind 'open' with a path, 'text' with decoded text, 'break' between blocks.
 
-    ``main`` is 0 outside an article, 1 inside and ``TITLE`` in its h1.
+    ``mark`` is 0, ``FIXED``, or the number of the outermost element whose words mark it. ``main`` is 0 outside an article, 1 inside and ``TITLE`` in its h1.
 
     The path of text is that of the last open element. Comments, scripts and styles are skipped; elements left open close with
     their parents.
     """
-    stack: list[tuple[str, str, bool, int]] = [("", "", False, 0)]
-    at = 0
+    stack: list[tuple[str, str, int, int]] = [("", "", 0, 0)]
+    at = marks = 0
     for m in _TOKEN.finditer(page):
         if m.start() > at:
-            _, path, furniture, main = stack[-1]
-            yield "text", html.unescape(page[at : m.start()]), furniture, main
+            _, path, mark, main = stack[-1]
+            yield "text", html.unescape(page[at : m.start()]), mark, main
         at = m.end()
         name = (m[3] or "").lower()
         if m[1]:
-            yield "break", "", True, 0
+            yield "break", "", FIXED, 0
             continue
         if not name:
             continue
         if name not in INLINE:
-            yield "break", "", False, 0
+            yield "break", "", 0, 0
         if m[2]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == name:
@@ -89,27 +96,32 @@ def parse(page: str) -> Iterator[tuple[str, str, bool, int]]:
                 stack.pop()
         if name in VOID:
             continue
-        role, furniture = _role(name, m[4])
+        role, furniture, marked = _role(name, m[4])
         path = f"{stack[-1][1]}/{role}"
         main = TITLE if name == "h1" and stack[-1][3] else stack[-1][3] or int(name in MAIN)
-        stack.append((name, path, furniture or stack[-1][2], main))
+        mark = stack[-1][2]
+        if furniture or marked and stack[-1][3]:
+            mark = FIXED
+        elif marked and not mark:
+            mark = marks = marks + 1
+        stack.append((name, path, mark, main))
         yield "open", path, stack[-1][2], stack[-1][3]
     if at < len(page):
-        _, path, furniture, main = stack[-1]
-        yield "text", html.unescape(page[at:]), furniture, main
+        _, path, mark, main = stack[-1]
+        yield "text", html.unescape(page[at:]), mark, main
 
 
-def blocks(page: str) -> Iterator[tuple[str, str | None, bool, int]]:
-    """(path, text, furniture, main) of each block of text, white space collapsed; and ('path', None, ...) for elements."""
-    path, held, where = "", [], ("", False, 0)
-    for kind, value, furniture, main in parse(page):
+def blocks(page: str) -> Iterator[tuple[str, str | None, int, int]]:
+    """(path, text, mark, main) of each block of text, white space collapsed; and ('path', None, ...) for elements."""
+    path, held, where = "", [], ("", 0, 0)
+    for kind, value, mark, main in parse(page):
         if kind == "text":
             if not held:
-                where = (path, furniture, main)
-            elif furniture != where[1]:  # an inline advert or comment inside a block
+                where = (path, mark, main)
+            elif mark != where[1]:  # an inline advert or comment inside a block
                 if text := " ".join("".join(held).split()):
                     yield where[0], text, where[1], where[2]
-                held, where = [], (path, furniture, main)
+                held, where = [], (path, mark, main)
             held.append(value)
             continue
         if kind == "break":
@@ -118,7 +130,7 @@ def blocks(page: str) -> Iterator[tuple[str, str | None, bool, int]]:
             held = []
             continue
         path = value
-        yield value, None, furniture, main
+        yield value, None, mark, main
     if text := " ".join("".join(held).split()):
         yield where[0], text, where[1], where[2]
 
@@ -165,6 +177,19 @@ def templates(pages: DataFrame) -> DataFrame:
     return classes.where(F.col("size") >= SIZE).select("host", F.explode("tokens").alias("token"))
 
 
+def _chosen(page: str, constant: frozenset) -> list[str]:
+    """The blocks of main text of a page whose host has these constants."""
+    texts = [(path, block, mark, main) for path, block, mark, main in blocks(page) if block is not None and mark != FIXED]
+    inside = [t for t in texts if t[3]]
+    inside = [t for t in inside if not t[2]] or inside
+    sizes: Counter = Counter()
+    for _, block, mark, _ in texts:
+        sizes[mark] += len(block)
+    parts = [t for t in texts if not t[3] and (not t[2] or 2 * sizes[t[2]] > sizes.total())]
+    slots = lambda some: [t for t in some if t[3] == TITLE or not constant or _token(t[0], t[1]) not in constant]
+    return [t[1] for t in slots(inside) or slots(parts) or inside or parts or texts]
+
+
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         pages, template = batch.column(2).to_pylist(), batch.column(3).to_pylist()
@@ -173,11 +198,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for page, tokens in zip(pages, template, strict=True):
             key = tuple(tokens or ())
             constant = known.setdefault(key, frozenset(key))
-            inside, parts = [], []
-            for path, block, furniture, main in blocks(page or ""):
-                if block is not None and not furniture and (main == TITLE or not constant or _token(path, block) not in constant):
-                    (inside if main else parts).append(block)
-            out.append(" ".join(inside or parts))
+            out.append(" ".join(_chosen(page or "", constant)))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=["page_id", "url", "text"])
 
 

@@ -106,6 +106,33 @@ def test_html_constants_in_articles(spark):
     assert got == {i: f"T{n} own {n}" + ("" if i < 10 else " Join us Read on") for i, n in [(i, 2 * i) for i in range(6)] + [(10, 0), (11, 2)] + [(20 + i, 2 * (i % 2)) for i in range(8)]}
 
 
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ("<body class='no-sidebar'><article><h1>T</h1><p>own</p></article></body>", "T own"),
+        ("<body class='comments-open'><p>own text</p><div class='sidebar'>side</div></body>", "own text"),
+        ("<body><div class='search-page'><article class='post has-comments'><p>own</p><div class='share'>no</div></article></div></body>", "own"),
+        ("<body><h1>Forum</h1><section id='discussion'><p>first post of some length</p><p>second</p></section></body>", "Forum first post of some length second"),
+        ("<body><article><p>own</p></article><ol class='comments'><article><p>much longer than the article itself</p></article></ol></body>", "own"),
+        ("<body><div><p>own</p><p>more</p></div><nav>Menu</nav></body>", "own more"),
+    ],
+)
+def test_html_whole_pages(spark, page, want):
+    """Words of class or id on body, or around the text, do not take it; a host of one page keeps its text."""
+    got = templates.extract(spark.createDataFrame([(1, "http://a.x/", page)], "page_id long, url string, html string")).first()
+    assert got.text == want
+
+
+def test_html_few_pages(spark):
+    """Hosts of two pages, half of a host being copies, and near copies: no page is emptied."""
+    page = lambda i: f"<body><div><p>own {i}</p><p>more {i}</p></div></body>"
+    rows = [(i, "http://a.x/", page(i)) for i in (1, 2)] + [(10 + i, "http://b.x/", page(i if i < 4 else 0)) for i in range(8)]
+    rows += [(20 + i, "http://c.x/", page(7) + f"<footer>{i}</footer>") for i in range(4)]
+    got = {r.page_id: r.text for r in templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    own = lambda i: f"own {i} more {i}"
+    assert got == {1: own(1), 2: own(2)} | {10 + i: own(i if i < 4 else 0) for i in range(8)} | {20 + i: own(7) for i in range(4)}
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(2)
     base = rng.standard_normal((12, 16))
