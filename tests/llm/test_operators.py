@@ -81,6 +81,31 @@ def test_minhash_large_nodes(spark, monkeypatch):
     assert sum(got[i] == w for i, w in want.items()) >= 0.97 * len(want)
 
 
+def test_minhash_pairs_in_a_crowd(spark, monkeypatch):
+    """Isolated pairs among many documents with one long boilerplate, in nodes far above a leaf's size."""
+    monkeypatch.setattr(minhash, "LEAF", 8)
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(9))
+    boilerplate = [word() for _ in range(170)]
+    texts = [boilerplate + [word() for _ in range(30)] for _ in range(300)]
+    texts += [t[:-8] + [word() for _ in range(8)] for t in texts[:40]]
+    rows = [(i, " ".join(t), "en", "a") for i, t in enumerate(texts)]
+    want = minhash.brute([(i, t) for i, t, *_ in rows], 3, 0.85)
+    assert len({c for _, c in want.values()}) == 300
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(frame(spark, rows), 3, 0.85).collect()}
+    assert got == want
+
+
+def test_minhash_blocks_meet(spark, monkeypatch):
+    """Any two members of a node that does not split are compared."""
+    monkeypatch.setattr(minhash, "LEAF", 8)
+    blocks = defaultdict(set)
+    for r in minhash._blocked(spark.createDataFrame([(1, i) for i in range(40)], "node long, doc_id long")).collect():
+        blocks[r.node].add(r.doc_id)
+    met = {(i, j) for b in blocks.values() for i in b for j in b if i < j}
+    assert len(met) == 40 * 39 // 2
+
+
 def test_decontamination(spark, docs):
     items = [(0, " ".join(docs[9][1].split()[40:75])), (1, "one"), (2, None), (3, "  "), (4, "never seen here at all"), (5, docs[1][1] or "x"), (10, " ".join(docs[9][1].split()[40:53]).upper())]
     bench = spark.createDataFrame(items, "item_id long, text string")
