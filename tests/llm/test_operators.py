@@ -256,3 +256,14 @@ def test_quality(spark):
     assert got[1002].threshold is None and len(got) == len(rows)
     none = quality.classify(frame(spark, rows), labels.limit(0)).collect()
     assert all(r.kept for r in none if r.doc_id < 1000)
+
+
+def test_quality_by_language(spark):
+    """A rare language keeps its rows in a bounded sample, and one with few held-out rows has a threshold."""
+    rng = random.Random(9)
+    good = lambda: " ".join(rng.choice(["the", "river", "runs", "over", "stones", "and", "grass", "in", "morning", "light"]) for _ in range(60))
+    rows = [(i, good(), "en" if i >= 60 else "fr", "a") for i in range(600)] + [(900, "QXZ#%&!0" * 40, "fr", "a")]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(600)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in quality.classify(frame(spark, rows), labels, trusted=100).collect()}
+    assert not got[900].kept and got[0].threshold is not None
+    assert sum(got[i].kept for i in range(600)) >= 570
