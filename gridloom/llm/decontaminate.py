@@ -1,11 +1,11 @@
 """Benchmark decontamination: a prefix-filtered join of item windows with documents.
 
-An item's windows are its runs of ``WINDOW`` words (or all its words, if fewer). Containment of a window is exact, so a prefix
-of one token is enough: the window's rarest word over all documents. A document joins a window on that word, the word's place
-bounds where the window may start (it must lie inside the document), and every word of the window is compared.
-
-Windows are joined in blocks of at most ``BLOCK`` windows. A block's size is thereby bounded, it is broadcast once, and each
-task passes its documents by all blocks; nothing about documents is shuffled or collected.
+An item's windows are its runs of ``WINDOW`` words (or all its words, if fewer). Containment of a window is exact, so a prefix of one
+shingle is enough: of the window's runs of ``SHINGLE`` words (or the whole window, if shorter), the one that is rarest over all
+documents. Documents are passed twice. The first pass counts the benchmark's shingles; the second picks out the prefixes with
+the words around them. Both know the shingles by a bitmap of bounded size: what passes it by chance finds no partner in the join. Windows and
+occurrences are joined on the prefix, the prefix's place bounds where the window may start (it must lie inside the document), and
+every word of the window is compared. Neither windows nor documents pass through the driver.
 """
 
 from __future__ import annotations
@@ -15,134 +15,145 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, NON_ALNUM, Words, cut, slices, small_batches
 
 WINDOW = 13
-#: Windows in a broadcast block, about 150 bytes each.
-BLOCK = 200_000
+SHINGLE = 5
+#: Bits of the bitmap for each shingle, and of the largest bitmap (16 MB).
+BITS = 16
+MOST_BITS = 1 << 27
 
 
 def _words(texts: pa.Array) -> Words:
     return Words(texts, NON_ALNUM, LOWER)
 
 
+def _binary(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.Array:
+    """The 64-bit values from lo to hi of each row, as bytes."""
+    n = hi - lo
+    ends = np.cumsum(n)
+    at = np.repeat(lo - (ends - n), n) + np.arange(int(n.sum()))
+    return pa.Array.from_buffers(pa.large_binary(), len(lo), [None, pa.py_buffer(np.r_[0, 8 * ends].astype(np.int64)), pa.py_buffer(values[at].astype("<u8"))]).cast(pa.binary())
+
+
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(item_id, words): the hashes of each window's words, little-endian."""
+    """(item_id, words, size, shingles): the hashes of each window's words, little-endian, and of its shingles in order."""
     for batch in slices(batches, "text"):
         w = _words(batch.column(1))
-        ids, out = [], []
-        for d, item in enumerate(batch.column(0).to_pylist()):
-            h = w.hash[w.first[d] : w.first[d + 1]]
-            for i in range(max(1, len(h) - WINDOW + 1) if len(h) else 0):
-                ids.append(str(item))
-                out.append(h[i : i + WINDOW].tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(out, pa.binary())], names=["item_id", "words"])
+        ids = batch.column(0)
+        item = np.flatnonzero(w.count)
+        n = np.maximum(w.count[item] - WINDOW + 1, 1)
+        item = np.repeat(item, n)
+        lo = w.first[item] + np.arange(len(item)) - np.repeat(np.cumsum(n) - n, n)
+        size = np.minimum(w.count[item], WINDOW)
+        hashes = {}
+        for k in range(1, SHINGLE + 1):
+            hashes[k] = np.zeros(len(w.hash) + 1, np.uint64)
+            at, h = w.windows(k)
+            hashes[k][at] = h
+        shingles = [hashes[k][i : i + m - k + 1].view(np.int64).tolist() for i, m, k in zip(lo.tolist(), size.tolist(), np.minimum(size, SHINGLE).tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(item)), _binary(w.hash, lo, lo + size), pa.array(size.astype(np.int32)), pa.array(shingles, pa.list_(pa.int64()))], names=["item_id", "words", "size", "shingles"])
+
+
+def _bitmap(shingles: DataFrame) -> np.ndarray:
+    """A bitmap with two bits for each of the distinct ``shingle``s: at most MOST_BITS, whatever their number."""
+    bits = min(MOST_BITS, 1 << max(12, (BITS * shingles.count()).bit_length()))
+    place = F.explode(F.array(F.col("shingle"), F.shiftrightunsigned("shingle", 32))).alias("h")
+    word = F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(bits // 64 - 1)).alias("word")
+    bit = F.expr("shiftleft(1L, CAST(h & 63 AS INT))").alias("bit")
+    found = shingles.select(place).select(word, bit).groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()  # MOST_BITS / 64 rows at most
+    out = np.zeros(bits // 64, np.uint64)
+    out[found.column("word").to_numpy()] = found.column("bit").to_numpy().view(np.uint64)
+    return out
+
+
+def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Places in ``h`` that pass the bitmap."""
+    last = np.uint64(64 * len(bits) - 1)
+    test = lambda i: (bits[i >> np.uint64(6)] >> (i & np.uint64(63))) & np.uint64(1) > 0
+    some = np.flatnonzero(test(h & last))
+    return some[test((h[some] >> np.uint64(32)) & last)]
 
 
-def _count(vocabulary: list[Broadcast], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = [np.zeros(len(v.value), np.int64) for v in vocabulary]
+def _count(bits: np.ndarray, sizes: list[int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shingle, n): how often each passing shingle occurs in a piece of the input."""
     for batch in slices(batches, "text"):
-        seen = np.sort(_words(batch.column(0)).hash)
-        for v, t in zip(vocabulary, total, strict=True):
-            t += np.searchsorted(seen, v.value, "right") - np.searchsorted(seen, v.value, "left")
-    for v, t in zip(vocabulary, total, strict=True):
-        some = np.flatnonzero(t)
-        yield pa.RecordBatch.from_arrays([pa.array(v.value[some].view(np.int64)), pa.array(t[some])], names=["word", "n"])
-
-
-def _blocks(windows: DataFrame) -> Iterator[list[tuple[str, bytes]]]:
-    """Distinct windows with their items, at most BLOCK at a time, through the driver's hands one block after another."""
-    held: list[tuple[str, bytes]] = []
-    for row in windows.toLocalIterator():
-        held.append((row.item_id, bytes(row.words)))
-        if len(held) == BLOCK:
-            yield held
-            held = []
-    if held:
-        yield held
-
-
-class _Block:
-    """Windows of one block: sorted anchors, and for each the windows that start ``offset`` words before it."""
-
-    def __init__(self, rows: list[tuple[str, bytes]], common: dict[int, int]):
-        sizes = np.array([len(w) // 8 for _, w in rows], np.int64)
-        self.items = sorted({i for i, _ in rows})
-        number = {x: k for k, x in enumerate(self.items)}
-        self.item = np.array([number[i] for i, _ in rows], np.int64)
-        self.words = np.zeros((len(rows), WINDOW), np.uint64)
-        anchor, offset = np.zeros(len(rows), np.uint64), np.zeros(len(rows), np.int64)
-        for k, (_, w) in enumerate(rows):
-            h = np.frombuffer(w, np.uint64)
-            self.words[k, : len(h)] = h
-            offset[k] = min(range(len(h)), key=lambda i: (common.get(int(h[i].astype(np.int64)), 0), int(h[i])))
-            anchor[k] = h[offset[k]]
-        order = np.argsort(anchor, kind="stable")
-        self.words, self.size, self.offset, self.item = self.words[order], sizes[order], offset[order], self.item[order]
-        self.anchors, self.lo = np.unique(anchor[order], return_index=True)
-        self.hi = np.r_[self.lo[1:], len(order)]
-
-    def hits(self, w: Words, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(first word, window) of every occurrence in the documents of ``w``."""
-        if not len(self.anchors) or not len(w.hash):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = np.minimum(np.searchsorted(self.anchors, w.hash), len(self.anchors) - 1)
-        word = np.flatnonzero(self.anchors[at] == w.hash)
-        starts, windows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for part in np.array_split(word, max(1, len(word) // 20_000)):
-            n = (self.hi - self.lo)[at[part]]
-            place = np.repeat(part, n)
-            window = np.repeat(self.lo[at[part]], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            start = place - self.offset[window]
-            ok = (start >= w.first[doc[place]]) & (start + self.size[window] <= w.first[doc[place] + 1])  # positional and length bounds
-            start, window = start[ok], window[ok]
-            for i in range(WINDOW):
-                short = self.size[window] <= i
-                same = short | (w.hash[np.minimum(start + i, len(w.hash) - 1)] == self.words[window, i])
-                start, window = start[same], window[same]
-            starts.append(start)
-            windows.append(window)
-        return np.concatenate(starts), np.concatenate(windows)
-
-
-def _scan(blocks: list[Broadcast], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = _words(batch.column(0))
+        for k in sizes:
+            _, h = w.windows(k)
+            u, n = np.unique(h[_has(bits, h)], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n.astype(np.int64))], names=["shingle", "n"])
+
+
+def _occurrences(bits: np.ndarray, sizes: list[int], batches: Iterator[pa.RecordBatch], most: int = 50_000) -> Iterator[pa.RecordBatch]:
+    """A row for each document (with n_words), and for each passing shingle (with its hash, its place, and the words around it).
+
+    ``context`` has the hashes of the words that a window around the shingle may hold, ``before`` of them before it.
+    """
+    names = ["doc_id", "key", "n_words", "shingle", "at", "before", "context"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
     for batch in slices(batches, "text"):
-        w = _words(batch.column(1))
-        doc, edge = w.docs(), np.zeros(len(w.hash) + 1, np.int64)
-        found: dict[int, set[str]] = {}
-        for b in blocks:
-            start, window = b.value.hits(w, doc)
-            np.add.at(edge, start, 1)
-            np.add.at(edge, start + b.value.size[window], -1)
-            for d, i in np.unique(np.stack([doc[start], b.value.item[window]], 1), axis=0).tolist() if len(start) else ():
-                found.setdefault(d, set()).add(b.value.items[i])
-        hit = np.concatenate([[0], np.cumsum(np.cumsum(edge[:-1]) > 0)])
-        n_hit = hit[w.first[1:]] - hit[w.first[:-1]]
-        items = [sorted(found.get(d, ())) for d in range(batch.num_rows)]
-        cols = [batch.column(0), pa.array(w.count.astype(np.int64)), pa.array(n_hit.astype(np.int64)), pa.array(items, pa.list_(pa.string()))]
-        yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_words", "n_hit", "items"])
+        w = _words(batch.column(2))
+        ids, keys = batch.column(0), batch.column(1)
+        none = [pa.nulls(batch.num_rows, t) for t in types[3:]]
+        yield pa.RecordBatch.from_arrays([ids, keys, pa.array(w.count.astype(np.int64)), *none], names=names)
+        owner = w.docs()
+        for k in sizes:
+            place, h = w.windows(k)
+            some = _has(bits, h)
+            for i in range(0, len(some), most):
+                at, own = place[some[i : i + most]], h[some[i : i + most]]
+                doc = owner[at]
+                lo = np.maximum(w.first[doc], at - (WINDOW - SHINGLE)) if k == SHINGLE else at  # a shorter shingle is its window
+                hi = np.minimum(w.first[doc + 1], at + WINDOW) if k == SHINGLE else at + k
+                take = pa.array(doc)
+                yield pa.RecordBatch.from_arrays([ids.take(take), keys.take(take), pa.nulls(len(at), pa.int64()), pa.array(own.view(np.int64)), pa.array(at - w.first[doc]), pa.array((at - lo).astype(np.int32)), _binary(w.hash, lo, hi)], names=names)
+
+
+def _covered(spans: str) -> Column:
+    """Words in the union of sorted (start, size) spans."""
+    step = f"named_struct('end', greatest(a.end, s.start + s.size), 'n', a.n + greatest(0L, s.start + s.size - greatest(a.end, s.start)))"
+    return F.expr(f"aggregate({spans}, named_struct('end', 0L, 'n', 0L), (a, s) -> {step}, a -> a.n)")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_col: str = "doc_id", item_text: str = "text", item_id: str = "item_id") -> DataFrame:
     """(doc_id, n_words, n_hit, items) for every row of ``docs``: words inside any item window, and the items.
 
-    Null and empty texts have no words and no items; items without words have no window; an empty benchmark hits nothing.
-    Repeated documents each have their row, repeated items count once per id. Other columns are ignored.
+    Null and empty texts have no words and no items; items without words have no window; an empty benchmark hits nothing; an
+    item without an id hits words and is not listed. Repeated documents each have their row, repeated items count once per
+    id. Other columns are ignored. A hot prefix is split by adaptive execution, as a join of two large sides.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    windows = cut(benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")).mapInArrow(_item_windows, "item_id string, words binary").distinct())
-    context, parts = spark.sparkContext, []
-    for rows in _blocks(windows):
-        parts.append(context.broadcast(np.unique(np.concatenate([np.frombuffer(w, np.uint64) for _, w in rows]))))
-    counted = docs.select(F.col(text).alias("text")).mapInArrow(lambda it, v=parts: _count(v, it), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    common: dict[int, int] = {r.word: r.n for r in counted.toLocalIterator()} if parts else {}  # at most the benchmark's words
-    blocks = [context.broadcast(_Block(rows, common)) for rows in _blocks(windows)]
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).mapInArrow(lambda it, b=blocks: _scan(b, it), "doc_id long, n_words long, n_hit long, items array<string>")
+    items = benchmark.select(F.col(item_id).cast("string").alias("item_id"), F.col(item_text).alias("text"))
+    of_item = cut(items.mapInArrow(_item_windows, "item_id string, words binary, size int, shingles array<long>"))
+    windows = of_item.groupBy("words").agg(F.first("size").alias("size"), F.first("shingles").alias("shingles"))
+    places = cut(windows.select("words", "size", F.posexplode("shingles").alias("place", "shingle")))
+    sizes = sorted(r.k for r in places.select(F.least("size", F.lit(SHINGLE)).alias("k")).distinct().collect())  # SHINGLE rows at most
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), F.col(text).alias("text"))
+
+    known = spark.sparkContext.broadcast(_bitmap(places.select("shingle").distinct()))  # MOST_BITS at most
+    counts = rows.select("text").mapInArrow(lambda it: _count(known.value, sizes, it), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    rarest = F.min(F.struct("n", "shingle", "place")).alias("prefix")
+    # A window with a shingle that no document holds occurs in none.
+    prefixes = places.join(cut(counts), "shingle", "left").groupBy("words", "size").agg(rarest, F.count("n").alias("seen"), F.count("*").alias("all"))
+    prefixes = cut(prefixes.where("seen = all").select("words", "size", F.col("prefix.shingle").alias("shingle"), F.col("prefix.place").alias("place")))
+
+    picked = spark.sparkContext.broadcast(_bitmap(prefixes.select("shingle").distinct()))  # MOST_BITS at most
+    schema = "doc_id long, key long, n_words long, shingle long, at long, before int, context binary"
+    found = cut(rows.select("doc_id", "key", "text").mapInArrow(lambda it: _occurrences(picked.value, sizes, it), schema))
+    fits = "o.shingle = p.shingle AND p.place <= o.before AND substring(o.context, 8 * (o.before - p.place) + 1, 8 * p.size) = p.words"
+    hits = found.where("shingle IS NOT NULL").alias("o").join(prefixes.alias("p"), F.expr(fits))
+    hits = cut(hits.select("doc_id", "key", F.expr("o.at - p.place").alias("start"), F.expr("CAST(p.size AS BIGINT)").alias("size"), "words"))
+    spans = hits.groupBy("doc_id", "key").agg(F.array_sort(F.collect_set(F.struct("start", "size"))).alias("spans")).select("doc_id", "key", _covered("spans").alias("n_hit"))
+    named = hits.select("doc_id", "key", "words").distinct().join(of_item.select("item_id", "words").distinct(), "words")
+    named = named.groupBy("doc_id", "key").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    facts = spans.alias("a").join(named.alias("b"), F.expr("a.key = b.key AND a.doc_id <=> b.doc_id")).select(F.col("a.key").alias("k"), F.col("a.doc_id").alias("d"), "n_hit", "items")
+    out = found.where("n_words IS NOT NULL").select("doc_id", "key", "n_words").join(facts, F.expr("key = k AND doc_id <=> d"), "left")
+    return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def judged(found: DataFrame, share: float = 0.05) -> DataFrame:
