@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import html
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -31,8 +32,8 @@ SUPPORT = 0.5
 #: Distinct pages that a template token occurs on, at least: a host with fewer has no constants.
 PAGES = 3
 SIZE = 2
-#: Templates are joined by (host, salt), so a host with a third of all pages is dealt to so many keys.
-SALTS = 16
+#: Templates are joined by (host, salt): a host with a third of all pages is dealt to keys of about so many pages.
+KEY_PAGES = 1000
 
 # Element names by role.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -210,8 +211,10 @@ def extract(pages: DataFrame, text: str = "html", id_col: str = "page_id", url:
     small_batches(pages.sparkSession, 500)
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url).alias("url"), host_of(url).alias("host"), F.col(text).alias("html"))
     found = templates(rows).groupBy("host").agg(F.array_sort(F.collect_set("token")).alias("template"))
-    salt = F.pmod(F.xxhash64("page_id"), F.lit(SALTS))
-    salted = found.select(F.col("host").alias("h"), F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")).alias("s"), "template")
-    joined = rows.withColumn("salt", salt).join(salted, F.expr("host = h AND salt = s"), "left").select("page_id", "url", "html", "template")
+    salts = max(1, math.ceil(rows.count() / KEY_PAGES))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)))
+    # A host's template is joined once for each key that the host has pages in.
+    keys = rows.select("host", "salt").distinct().join(found, "host").select(F.col("host").alias("h"), F.col("salt").alias("s"), "template")
+    joined = rows.join(keys, F.expr("host = h AND salt = s"), "left").select("page_id", "url", "html", "template")
     out = joined.mapInArrow(_extract, "page_id long, url string, text string")
     return out.withColumn("n_chars", F.char_length("text").cast("long"))
