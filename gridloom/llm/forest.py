@@ -1,17 +1,23 @@
 """Embedding near-dedup by a forest of random-projection trees with spill.
 
-Equal vectors are one class with a weight. Each of ``TREES`` trees splits a node by a random projection; members within the
-spill band round the cut go both ways. Planes are fitted on a bounded sample (``SAMPLE`` vectors, and again as
-many for each node that is still too large, until none is), and every class is sent down every tree. A node whose sample is
-dense (a share ``DENSE`` of its pairs is near) is not split, as a large part of its pairs links.
+Equal vectors are one class with a weight. Each tree splits a node by a random projection; members within the spill band
+round the cut go both ways. Planes are fitted on a bounded sample (``SAMPLE`` vectors, and again as many for each node that
+is still too large, until none is), and every class is sent down every tree. A node whose sample is dense (a share ``DENSE`` of
+its pairs is near) is not split, as a large part of its pairs links.
 
-Leaves are compared exhaustively in double precision, those above ``LEAF`` members in pairs of blocks, so no task holds more
+Trees are planted until they find all but a share ``MISS`` of pairs at the threshold, as tried on the sample and a copy of it
+that is turned by just that angle; where nodes are to be fitted again, the chance of a tree is taken to fall alike with each
+further split. A narrow band and more trees cost fewer copies of a vector than a wide band and few trees, and the number of
+trees follows the logarithm of the input.
+
+Leaves are compared exhaustively in double precision, those above two leaves' members in pairs of blocks, so no task holds more
 than two blocks. A pair that shares several leaves is counted in the one with the smallest number only, so links are counted
 without listing pairs; for components, leaves give spanning edges.
 """
 
 from __future__ import annotations
 
+import math
 import pickle
 from collections.abc import Iterator
 
@@ -24,10 +30,15 @@ from pyspark.sql import functions as F
 from .common import connected_components, cut, groups_of, mix, ordered_groups, runs
 from .minhash import _forest
 
-TREES = 8
-LEAF = 256
+#: Chance that all trees part a pair at the threshold, at most.
+MISS = 0.01
+#: More trees than this are not planted; the README's recall is for fewer.
+MOST_TREES = 64
+LEAF = 512
 SAMPLE = 8192
 SPILL = 0.05
+#: Half of the spill band's width, in standard deviations of what a pair at the threshold spreads under a projection.
+BAND = 0.25
 TRIES = 8
 #: A node is dense where this share of its sample's pairs has a cosine of NEAR or more.
 DENSE = 0.25
@@ -59,11 +70,11 @@ def fit(x: np.ndarray, total: float, seed: list[int], leaf: int, threshold: floa
     """A tree over a sample of ``total`` members: (direction, low, high, left, right), or (None, dense, ...) for a leaf.
 
     Of ``TRIES`` random directions and the cuts between their quartiles, a node takes the one whose spill band holds fewest
-    members, so that groups are rarely cut. The band is half as wide as a pair at the threshold spreads under a projection.
+    members, so that groups are rarely cut.
     """
     rng, nodes, todo = np.random.default_rng(seed), [None], [(0, np.arange(len(x)))]
     scale = total / max(len(x), 1)
-    half = 0.5 * np.sqrt(2 * (1 - threshold) / max(x.shape[1], 1))
+    half = BAND * np.sqrt(2 * (1 - threshold) / max(x.shape[1], 1))
     while todo:
         at, rows = todo.pop()
         few = x[rows[:: max(1, len(rows) // 256)]]
@@ -108,6 +119,32 @@ def send(nodes: list[tuple], x: np.ndarray) -> Iterator[tuple[int, bool, np.ndar
         todo += [(left, rows[p <= high]), (right, rows[p >= low])]
 
 
+def plant(x: np.ndarray, total: float, leaf: int, threshold: float, miss: float = MISS, seed: int = 0) -> list[list[tuple]]:
+    """Trees over a sample of ``total`` members, as many as ``miss`` asks for."""
+    u = np.random.default_rng([seed, 3]).standard_normal(x.shape)
+    u -= (u * x).sum(1, keepdims=True) * x
+    length = np.linalg.norm(u, axis=1, keepdims=True)
+    y = threshold * x + math.sqrt(max(0.0, 1 - threshold**2)) * u / np.where(length > 0, length, 1)
+    trees: list[list[tuple]] = []
+    met = np.zeros(len(x), np.int64)
+    while len(trees) < MOST_TREES:
+        tree = fit(x, total, [len(trees), seed], leaf, threshold)
+        trees.append(tree)
+        both = np.zeros(len(x), bool)
+        mine = [(at, rows) for at, _, rows in send(tree, x)]
+        theirs = {at: rows for at, _, rows in send(tree, y)}
+        for at, rows in mine:
+            both[np.intersect1d(rows, theirs.get(at, rows[:0]), assume_unique=True)] = True
+        met += both
+        top = max(1.0, math.log2(max(2, sum(n[0] is None for n in tree))))
+        further = max(1.0, math.log2(max(2.0, total / leaf)) / top)  # splits in all, for each split of this tree
+        chance = float(met.mean() / len(trees)) ** further
+        enough = 1 if chance >= 1 else math.ceil(math.log(miss) / math.log(1 - chance)) if chance > 0 else MOST_TREES
+        if float((met > 0).mean()) >= 1 - miss and len(trees) >= enough:
+            break
+    return trees
+
+
 def _number(*parts: int | np.ndarray) -> np.ndarray:
     """A number for a leaf from its tree or parent node and its place in it."""
     h = np.zeros(1, np.uint64)
@@ -119,6 +156,8 @@ def _number(*parts: int | np.ndarray) -> np.ndarray:
 def _sent(trees: dict[int, list[list[tuple]]], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(class, node, dense) down the trees of the vectors' dimension."""
     for batch in batches:
+        if not batch.num_rows:
+            continue
         vecs = batch.column(1).to_pylist()
         sizes = np.array([len(v) for v in vecs])
         cls = batch.column(0).to_numpy()
@@ -137,9 +176,9 @@ def _rows(out: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols, names=["class", "node", "dense"])
 
 
-def _refit(leaf: int, pdf: pd.DataFrame) -> pd.DataFrame:
+def _refit(leaf: int, threshold: float, pdf: pd.DataFrame) -> pd.DataFrame:
     node = int(pdf["node"].iloc[0])
-    return pd.DataFrame({"node": [node], "model": [pickle.dumps(fit(units(pdf["vec"].tolist()), float(pdf["size"].iloc[0]), [node & 0xFFFFFFFF], leaf))]})
+    return pd.DataFrame({"node": [node], "model": [pickle.dumps(fit(units(pdf["vec"].tolist()), float(pdf["size"].iloc[0]), [node & 0xFFFFFFFF], leaf, threshold))]})
 
 
 def _resent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +191,7 @@ def _resent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _rows(out)
 
 
-def leaves(classes: DataFrame, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE) -> DataFrame:
+def leaves(classes: DataFrame, threshold: float, leaf: int = LEAF, sample: int = SAMPLE) -> DataFrame:
     """(node, class) of every class in the leaves of all trees; nodes above four leaves' size are fitted and split again."""
     schema, spark = "class long, node long, dense boolean", classes.sparkSession
     dims = {r.size: r.n for r in classes.groupBy(F.octet_length("vec").alias("size")).agg(F.count("*").alias("n")).collect()}
@@ -160,9 +199,9 @@ def leaves(classes: DataFrame, trees: int = TREES, leaf: int = LEAF, sample: int
     for size, n in dims.items():
         few = classes.where(F.octet_length("vec") == size).select("class", "vec").orderBy(F.xxhash64("class")).limit(sample).collect()  # at most SAMPLE vectors
         x = units([bytes(r.vec) for r in few])
-        forest[size] = [fit(x, float(n), [t, size], leaf) for t in range(trees)]
-    sent = spark.sparkContext.broadcast(forest)  # at most TREES * SAMPLE / 8 planes a dimension
-    now = cut(classes.select("class", "vec").mapInArrow(lambda it: _sent(sent.value, it), schema).dropDuplicates(["node", "class"]))
+        forest[size] = plant(x, float(n), leaf, threshold, seed=size)
+    sent = spark.sparkContext.broadcast(forest)  # at most MOST_TREES * SAMPLE / 8 planes a dimension
+    now = cut(classes.select("class", "vec").mapInArrow(lambda it: _sent(sent.value, it), schema))
     done = []
     while True:
         sizes = now.where("NOT dense").groupBy("node").agg(F.count("*").alias("size")).where(f"size > {4 * leaf}")
@@ -172,9 +211,9 @@ def leaves(classes: DataFrame, trees: int = TREES, leaf: int = LEAF, sample: int
         done.append(now.join(big, "node", "left_anti").select("node", "class"))
         members = now.where("NOT dense").join(big, "node").join(classes.select("class", "vec"), "class")
         picked = members.where(F.pmod(F.xxhash64("node", "class"), F.lit(1 << 30)) < F.lit(float(sample) * (1 << 30)) / F.col("size"))
-        models = picked.select("node", "size", "vec").groupBy("node").applyInPandas(lambda pdf: _refit(leaf, pdf), "node long, model binary")
+        models = picked.select("node", "size", "vec").groupBy("node").applyInPandas(lambda pdf: _refit(leaf, threshold, pdf), "node long, model binary")
         with_model = members.select("node", "class", "vec").join(cut(models), "node")
-        now = cut(with_model.sortWithinPartitions("node").mapInArrow(_resent, schema).dropDuplicates(["node", "class"]))
+        now = cut(with_model.sortWithinPartitions("node").mapInArrow(_resent, schema))
 
 
 def _all(parts: list[DataFrame]) -> DataFrame:
@@ -229,14 +268,14 @@ def _links(least: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 def _places(at: DataFrame, leaf: int) -> DataFrame:
     """(place, side, node, class): a leaf is one place; a larger one is a place for each block and each pair of blocks."""
     sizes = at.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-    at = at.join(sizes, "node").withColumn("parts", F.ceil(F.col("size") / leaf).cast("int"))
+    at = at.join(sizes, "node").withColumn("parts", F.ceil(F.col("size") / (2 * leaf)).cast("int"))
     at = at.withColumn("mine", F.pmod(F.xxhash64("class", "node"), F.col("parts")).cast("int"))
     at = at.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
     lo, hi = F.least("mine", "other"), F.greatest("mine", "other")
     return at.select(F.when(F.col("parts") == 1, F.col("node")).otherwise(F.xxhash64("node", lo, hi)).alias("place"), F.when(lo == hi, F.lit(-1)).otherwise(F.col("mine")).alias("side"), "node", "class")
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.9, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, vec: str = "embedding", id_col: str = "vec_id") -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.9, leaf: int = LEAF, sample: int = SAMPLE, vec: str = "embedding", id_col: str = "vec_id") -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors``.
 
     Null, empty and zero vectors, and those that hold null or non-finite components, link with nothing; vectors of different
@@ -247,7 +286,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, trees: int = TRE
     keys = cut(rows.where("vec IS NOT NULL").groupBy("key").agg(F.min("vec_id").alias("class"), F.count("*").alias("weight")))
     firsts = keys.withColumnRenamed("key", "k")
     classes = cut(rows.join(firsts, F.expr("key = k AND vec_id = class")).select("class", "weight", "vec").dropDuplicates(["class"]))
-    at = cut(leaves(classes, trees, leaf, sample))
+    at = cut(leaves(classes, threshold, leaf, sample))
     nodes = at.groupBy("class").agg(F.collect_set("node").alias("nodes"))
     full = _places(at, leaf).join(classes, "class").join(nodes, "class")
     found = cut(ordered_groups(full, "place").mapInArrow(lambda it: _links(threshold, it), "a long, b long, n long"))
