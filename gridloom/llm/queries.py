@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import decontaminate, forest, licenses, minhash, mixing, quality, secrets, sharding, substrings, templates
 from .common import table
 
 
-def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.report(licenses.scan(table(spark, sf_dir, "documents")))
+def op1_license_scan(spark: SparkSession, sf_dir: str, known: DataFrame | None = None) -> DataFrame:
+    """``known`` may be a table of (digest, license) in place of the fixed one."""
+    return licenses.report(licenses.scan(table(spark, sf_dir, "documents"), known))
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,8 +45,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+    return mixing.taken_words(mixing.mix(table(spark, sf_dir, "documents")))
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
