@@ -29,6 +29,8 @@ GRAM = 7
 #: Segments in a shard, about; and of one gram, before it is dealt by windows.
 SHARD = 20_000
 HOT = 2_000
+#: Bytes of text for each bucket of grams, at most; a bucket is sorted in a task's memory.
+BUCKET = 16 << 20
 _CODEC = "zstd"
 
 
@@ -49,7 +51,7 @@ def _selected(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _prints(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(bucket, grams, rows): what each piece of the input asks of each bucket of grams.
 
-    Bucket -1 needs no answer: grams that several rows of the piece select. Elsewhere a gram stands for one row (its id), or
+    Buckets below 0 need no answer: grams that several rows of the piece select. Elsewhere a gram stands for one row (its id), or
     for several (id 0), so a gram that all documents hold is asked once a piece.
     """
     for batch in slices(batches, "text"):
@@ -245,17 +247,18 @@ def dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFr
     """(doc_id, n_words, n_removed, kept_sha256) for every row of ``docs``.
 
     Null and empty texts have no words; texts of fewer than ``WINDOW`` words lose none. Rows of one id never remove each
-    other's words. No rows, no rows; other columns are ignored.
+    other's words; rows without an id take none and lose none. No rows, no rows; other columns are ignored.
     """
     spark = docs.sparkSession
     small_batches(spark)
     value = F.coalesce(F.col(text), F.lit(""))
     row = F.xxhash64(F.col(id_col), value)
     rows = docs.select(F.when(row == 0, F.lit(1).cast("long")).otherwise(row).alias("row"), F.col(id_col).cast("long").alias("doc_id"), value.alias("text"))
-    buckets = 4 * spread(spark)
-    asked = rows.select("row", "text").mapInArrow(lambda it: _prints(buckets, it), "bucket long, grams binary, rows binary")
-    own = F.when(F.col("bucket") < 0, F.xxhash64("rows")).otherwise(F.col("bucket"))  # answered pieces go anywhere
-    hits = asked.withColumn("to", own).repartition(spread(spark), "to").sortWithinPartitions("bucket").select("bucket", "grams", "rows").mapInArrow(_repeated, "row long, gram long")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(4 * spread(spark), size // BUCKET)
+    asked = rows.where("doc_id IS NOT NULL").select("row", "text").mapInArrow(lambda it: _prints(buckets, it), "bucket long, grams binary, rows binary")
+    own = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("rows"), F.lit(1 << 40))).otherwise(F.col("bucket"))  # answered pieces go anywhere, each alone
+    hits = asked.withColumn("bucket", own).repartition(spread(spark), "bucket").sortWithinPartitions("bucket").mapInArrow(_repeated, "row long, gram long")
     hits = cut(hits.groupBy(F.col("row").alias("r")).agg(F.collect_set("gram").alias("grams")))
     held = rows.join(hits.hint("shuffle_hash"), F.expr("row = r"), "left").select("row", "doc_id", "text", "grams")
     state = cut(held.mapInArrow(_sorted_out, "row long, doc_id long, n_words long, sha string, packed binary, size long, grams array<long>"))
