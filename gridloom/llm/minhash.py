@@ -230,12 +230,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, trees:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
 
     Texts with fewer than ``k`` words are one shingle, the whole sequence; null, empty and wordless texts have none and link
-    with nothing. Rows of one id are one document. Ties do not arise: the smallest id of a component is kept. No rows, no rows.
+    with nothing. Rows of one id are one document; rows without an id link with nothing. Ties do not arise: the smallest id of a
+    component is kept. No rows, no rows.
     """
     spark = docs.sparkSession
     small_batches(spark)
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = cut(named.mapInArrow(lambda it: _signatures(k, it), "doc_id long, n_shingles long, digest binary, sig binary, sketch binary"))
+    signed = cut(named.mapInArrow(lambda it: _signatures(k, it), "doc_id long, n_shingles long, digest binary, sig binary, sketch binary").withColumn("digest", F.when(F.col("doc_id").isNotNull(), F.col("digest"))))
     firsts = cut(signed.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first")))
     classes = cut(signed.join(firsts.withColumnRenamed("digest", "d"), F.expr("digest = d AND doc_id = first"), "left_semi").select("doc_id", "sig", "sketch"))
     leaf = cut(leaves(classes, threshold, trees))
@@ -261,7 +262,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, trees:
 def kept_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component."""
     keep = near_duplicates(docs, **options).where("kept").select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(keep.hint("shuffle_hash"), F.expr("doc_id = _keep"), "left_semi")
+    return docs.join(keep.hint("shuffle_hash"), F.expr("doc_id <=> _keep"), "left_semi")
 
 
 def brute(docs: list[tuple[int, str | None]], k: int, threshold: float) -> dict[int, tuple[int, int]]:

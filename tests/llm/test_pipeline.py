@@ -13,7 +13,7 @@ def test_stages(spark, tmp_path):
     rows = corpus(80, 3)
     docs = spark.createDataFrame([(i, t, lang, src, len(t or "")) for i, t, lang, src in rows], "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
-    items = [(0, " ".join(rows[9][1].split()[:1500]))]
+    items = [(0, " ".join(rows[9][1].split()[:1500])), *((i, rows[i][1]) for i in (20, 22, 23, 25))]
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     kept, now = {}, spark.read.parquet(f"{tmp_path}/documents.parquet")
