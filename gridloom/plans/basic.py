@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions import localtime as lt
 from ..functions import scalar as s
 from ..functions.ranges import report_range
@@ -25,8 +26,23 @@ STATS = "mean min max p95 kwh"
 
 # ------------------------------------------------------------------------------------------------- scans and projections
 q("I01_read_observations", lambda v: conform(v.obs, OBSERVATION).where("ts_utc >= TIMESTAMP_NTZ'2024-01-10 05:00:00' AND ts_utc < TIMESTAMP_NTZ'2024-01-12 05:00:00'"), "obs", "SELECT ts_utc, ts_local, source, device_id, channel_id, metric, value, unit FROM obs WHERE ts_utc >= '2024-01-10 05:00:00' AND ts_utc < '2024-01-12 05:00:00'", doubles="value")
-q("I02_tolerant_hourly", lambda v: tolerant(v.hourly.drop("observed_seconds"), HOURLY).groupBy("metric").agg(F.count("observed_seconds").alias("known"), F.count("*").alias("n")), "hourly", "SELECT metric, CAST(0 AS BIGINT) AS known, count(*) AS n FROM hourly GROUP BY ALL")
-q("I04_read_daily", lambda v: v.daily.where("local_day >= DATE'1996-01-01' AND local_day < DATE'1997-01-01'"), "daily", "SELECT * FROM daily WHERE local_day >= DATE '1996-01-01' AND local_day < DATE '1997-01-01'", doubles="kwh usd")
+def _mixed_files(v):
+    """Hourly files from before a column was added, and after, read as one table."""
+    path, day = storage.new_path(v.spark, "hourly-mixed"), F.to_date("local_hour_start")
+    v.hourly.where(day < F.lit("2024-01-15").cast("date")).drop("observed_seconds").write.parquet(path)
+    v.hourly.where(day >= F.lit("2024-01-15").cast("date")).write.mode("append").parquet(path)
+    return storage.read_tolerant(v.spark, path, HOURLY).groupBy("metric").agg(F.count("observed_seconds").alias("known"), F.count("*").alias("n"), F.sum("kwh").alias("kwh"))
+
+
+def _month_files(v):
+    """Day-grain energy in files by month, read back for a range of days that starts and ends within months."""
+    path = storage.new_path(v.spark, "daily")
+    storage.write_days(v.daily.withColumn("local_month", F.date_format("local_day", "yyyy-MM")), path, day="local_month")
+    return storage.read_months(v.spark, path, v.daily.schema, "1996-01-10", "1997-02-20")
+
+
+q("I02_tolerant_hourly", _mixed_files, "hourly", f"SELECT metric, count(*) FILTER (WHERE observed_seconds IS NOT NULL AND {DAY} >= DATE '2024-01-15') AS known, count(*) AS n, sum(kwh) AS kwh FROM hourly GROUP BY ALL", doubles="kwh")
+q("I04_read_daily", _month_files, "daily", "SELECT * FROM daily WHERE local_day BETWEEN DATE '1996-01-10' AND DATE '1997-02-20'", doubles="kwh usd")
 q("I05_contract", lambda v: conform(v.obs, OBSERVATION).groupBy("source", "metric", "unit").agg(F.count("*").alias("n"), F.sum("value").alias("total")), "obs", "SELECT source, metric, unit, count(*) AS n, sum(value) AS total FROM obs GROUP BY ALL", doubles="total", digits=4)
 q("I19_window_or_predicates", lambda v: v.obs.where("ts_utc >= TIMESTAMP_NTZ'2024-01-05 00:00:00' AND ts_utc < TIMESTAMP_NTZ'2024-01-09 00:00:00'").where("(source = 'leviton' AND metric = 'watts' AND channel_id LIKE 'ct%') OR (source = 'leviton' AND metric = 'volts')").select("event_id", *CHANNEL, "metric", "value"), "obs", "SELECT event_id, source, device_id, channel_id, metric, value FROM obs WHERE ts_utc >= '2024-01-05' AND ts_utc < '2024-01-09' AND ((source = 'leviton' AND metric = 'watts' AND channel_id LIKE 'ct%') OR (source = 'leviton' AND metric = 'volts'))", doubles="value")
 
@@ -68,7 +84,7 @@ q("R03_cadence", lambda v: rollup.cadence(v.obs, 3600), "obs", "; d AS (SELECT t
 q("A36_reconcile", lambda v: rollup.reconcile(v.obs, v.hourly), "obs hourly", "SELECT (SELECT count(*) FROM obs) AS raw_rows, (SELECT CAST(sum(sample_count) AS BIGINT) FROM hourly) AS rolled_rows")
 
 # ------------------------------------------------------------------------------------------------------------------ joins
-q("J01_hour_buckets", lambda v: rollup.in_spine(v.obs, lt.hour_spine(v.obs.where("ts_utc < TIMESTAMP_NTZ'2024-01-04 00:00:00'").select(F.to_date("ts_local").alias("local_day")))).groupBy("local_day", "hour_start_utc").agg(F.count("*").alias("n")), "obs", f"; days AS (SELECT DISTINCT CAST(ts_local AS DATE) AS d FROM obs WHERE ts_utc < '2024-01-04'), spine AS (SELECT d AS local_day, unnest(generate_series({utc_sql('CAST(d AS TIMESTAMP)')}, {utc_sql('CAST(d + 1 AS TIMESTAMP)')} - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS h FROM days) SELECT local_day, h AS hour_start_utc, count(*) AS n FROM obs JOIN spine ON ts_utc >= h AND ts_utc < h + INTERVAL 1 HOUR GROUP BY ALL")
+q("J01_hour_buckets", lambda v: rollup.in_spine(v.obs, lt.hour_spine(v.obs.select(F.to_date("ts_local").alias("local_day")))).groupBy("local_day", "hour_start_utc").agg(F.count("*").alias("n")), "obs", f"; days AS (SELECT DISTINCT CAST(ts_local AS DATE) AS d FROM obs), spine AS (SELECT d AS local_day, unnest(generate_series({utc_sql('CAST(d AS TIMESTAMP)')}, {utc_sql('CAST(d + 1 AS TIMESTAMP)')} - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS h FROM days) SELECT local_day, h AS hour_start_utc, count(*) AS n FROM obs JOIN spine ON ts_utc >= h AND ts_utc < h + INTERVAL 1 HOUR GROUP BY ALL")
 q("J02_dim_left", lambda v: a.label(a.daily_kwh(v.hourly), v.dim.select(*CHANNEL, "label", "category")).groupBy("label", "category").agg(F.sum("kwh").alias("kwh"), F.count("*").alias("n")), "hourly dim", f"; k AS (SELECT source, device_id, channel_id, {DAY} AS d, sum(kwh) AS kwh FROM hourly WHERE metric = 'watts' GROUP BY ALL) SELECT label, category, sum(kwh) AS kwh, count(*) AS n FROM k LEFT JOIN dim USING (source, device_id, channel_id) GROUP BY ALL", doubles="kwh")
 q("J03_dim_category", lambda v: a.label(v.hourly, v.dim.where("category = 'hvac'").select(*CHANNEL, "label"), "inner").groupBy("label").agg(F.sum("kwh").alias("kwh"), F.max("max").alias("peak")), "hourly dim", "SELECT label, sum(kwh) AS kwh, max(max) AS peak FROM hourly JOIN dim USING (source, device_id, channel_id) WHERE category = 'hvac' GROUP BY ALL", doubles="kwh peak")
 q("J05_feed_vs_children_hours", lambda v: v.hourly.where("metric = 'watts'").where(s.level() == "feed").groupBy("device_id", "hour_start_utc").agg(F.sum("mean").alias("feed_w")).join(v.hourly.where("metric = 'watts'").where(s.is_child()).groupBy("device_id", "hour_start_utc").agg(F.sum("mean").alias("children_w")), ["device_id", "hour_start_utc"]), "hourly", f"SELECT * FROM (SELECT device_id, hour_start_utc, sum(mean) AS feed_w FROM hourly WHERE metric = 'watts' AND {FEED} GROUP BY ALL) JOIN (SELECT device_id, hour_start_utc, sum(mean) AS children_w FROM hourly WHERE metric = 'watts' AND (channel_id LIKE 'breaker_%' OR channel_id LIKE 'ct_2%') GROUP BY ALL) USING (device_id, hour_start_utc)", doubles="feed_w children_w")

@@ -9,6 +9,7 @@ from .. import storage
 from ..functions import scalar as s
 from ..operators import dedupe, dimension, rollup
 from ..schemas import CHANNEL, HOURLY, OBSERVATION, conform
+from ..sources import exports
 from ..sources import payloads as p
 from ..views import POLL_S, local_sql, utc_sql
 from .basic import DAY
@@ -93,19 +94,88 @@ def espi_entries(v):
 _ESPI_SQL = "SELECT 'm' || CAST(user_id % 3 AS VARCHAR) AS device_id, date_trunc('second', ts) AS ts_utc, CAST(900 AS INTEGER) AS interval_s, value / 1000 AS value FROM events WHERE user_id % 3 < 2"
 q("I11_espi_intervals", lambda v: p.espi_readings(espi_entries(v)), "", _ESPI_SQL, doubles="value")
 q("J10_link_graph", lambda v: p.espi_readings(espi_entries(v)).groupBy("device_id").agg(F.count("*").alias("n")), "", f"SELECT device_id, count(*) AS n FROM ({_ESPI_SQL}) GROUP BY ALL")
-_LAYOUTS = ["yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy HH:mm"]
-
-
-def usage_text(v):
-    start = F.when(F.col(_ID) % 2 == 0, F.date_format("ts", _LAYOUTS[0])).otherwise(F.date_format("ts", _LAYOUTS[1]))
-    return v.table("events").select(start.alias("start"), F.when(F.col(_ID) % 7 == 0, "").otherwise(F.col("value").cast("string")).alias("usage"), F.when(F.col(_ID) % 5 == 0, "Reverse").otherwise("Forward").alias("direction"), F.concat(F.lit("m"), (F.col("user_id") % 3).cast("string")).alias("device_id"))
-
-
-_CSV_TS = "CASE WHEN event_id % 2 = 0 THEN date_trunc('second', ts) ELSE date_trunc('minute', ts) END"
-_CSV_SQL = f"SELECT {utc_sql(_CSV_TS)} AS ts_utc, {_CSV_TS} AS ts_local, 'm' || CAST(user_id % 3 AS VARCHAR) AS device_id, value, CAST(900 AS INTEGER) AS interval_s FROM events WHERE event_id % 7 > 0 AND event_id % 5 > 0"
-q("I12_usage_csv", lambda v: p.usage_lines(usage_text(v), _LAYOUTS, 900), "", _CSV_SQL, doubles="value")
+def usage_files(v, path: str) -> None:
+    """Usage tables in nine layouts of their times, each with its headers: half of them have end columns, and some flows and readings are to be skipped."""
+    e = v.table("events").withColumn("k", F.col(_ID) % 9)
+    layouts = ("MM/dd/yyyy hh:mm:ss a", "MM/dd/yyyy hh:mm a", "MM/dd/yyyy HH:mm:ss", "M/d/yyyy H:mm", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm", "MM/dd/yyyy", "yyyy-MM-dd")
+    whole = F.floor(F.col("value") * 100)
+    money = F.concat(F.lit("$"), F.format_number(whole, 0))
+    usage = F.when(F.col(_ID) % 7 == 0, "").when(F.col(_ID) % 2 == 0, money).otherwise(whole.cast("string"))
+    flow = F.when(F.col(_ID) % 5 == 0, "Received").when(F.col(_ID) % 5 == 1, "Delivered").when(F.col(_ID) % 5 == 2, "").otherwise("consumption")
+    meter = F.concat(F.lit("Meter #"), (130000 + F.col("user_id") % 3).cast("string"), F.lit(" - Total"))
+    for k, layout in enumerate(layouts):
+        start, end = F.date_format("ts", layout), F.date_format(F.col("ts") + F.expr("INTERVAL 30 MINUTES"), layout)
+        cells = [start.alias("Interval Start"), *([end.alias("Interval End")] if k < 7 and k % 2 else []), usage.alias("Consumption (kWh)" if k % 3 else "Usage"), flow.alias("Flow Direction"), meter.alias("Account, meter")]
+        e.where(f"k = {k}").select(*cells).write.mode("append").option("header", True).csv(path)
+
+
+_CSV_TS = "CASE WHEN event_id % 9 IN (7, 8) THEN date_trunc('day', ts) WHEN event_id % 9 IN (1, 3, 6) THEN date_trunc('minute', ts) ELSE date_trunc('second', ts) END"
+_CSV_STATUS = "CASE WHEN event_id % 5 = 0 THEN 'reverse' WHEN event_id % 7 = 0 THEN 'blank' ELSE 'ok' END"
+_CSV_ALL = f"SELECT {utc_sql(_CSV_TS)} AS ts_utc, {_CSV_TS} AS ts_local, CAST(130000 + user_id % 3 AS VARCHAR) AS device_id, floor(value * 100) AS value, CAST(CASE WHEN event_id % 9 IN (1, 3, 5) THEN 1800 ELSE 900 END AS INTEGER) AS interval_s, {_CSV_STATUS} AS status FROM events"
+_CSV_SQL = f"SELECT * EXCLUDE (status) FROM ({_CSV_ALL}) WHERE status = 'ok'"
+
+
+def feed_files(v, path: str) -> None:
+    """An ESPI feed for each day, of four meters: links from either end, energy, other units, reverse flow, and lengths that only the type states."""
+    e = v.table("events").withColumn("m", (F.col("user_id") % 4).cast("string")).withColumn("day", F.to_date("ts"))
+    start = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(ts AS TIMESTAMP_NTZ))").cast("string")
+    tag = lambda name, text: F.concat(F.lit(f"<espi:{name}>"), text, F.lit(f"</espi:{name}>"))
+    length = F.when(F.col("m") == "1", "").otherwise(tag("duration", F.lit("900")))
+    value = F.when(F.col(_ID) % 13 == 0, "").otherwise(tag("value", F.floor(F.col("value") * 100).cast("string")))
+    reading = tag("IntervalReading", F.concat(tag("timePeriod", F.concat(length, tag("start", start))), value))
+    days = e.groupBy("m", "day").agg(F.concat_ws("", F.collect_list(reading)).alias("readings"))  # a meter's day
+    point = F.concat(F.lit("https://x/espi/1_1/resource/UsagePoint/77"), F.col("m"))
+    meter, kind = F.concat(point, F.lit("/MeterReading/"), F.col("m")), F.concat(F.lit("https://x/espi/1_1/resource/ReadingType/"), F.col("m"))
+    link = lambda rel, href: F.concat(F.lit(f'<link rel="{rel}" href="'), href, F.lit('"/>'))
+    entry = lambda links, content: F.concat(F.lit("<entry>"), *links, F.lit("<content>"), content, F.lit("</content></entry>"))
+    type_ = F.concat(tag("flowDirection", F.when(F.col("m") == "3", "19").otherwise("1")), tag("intervalLength", F.lit("1800")), tag("powerOfTenMultiplier", F.lit("1")), tag("uom", F.when(F.col("m") == "2", "38").otherwise("72")))
+    other = entry([link("self", F.lit("https://x/espi/1_1/resource/ReadingType/other"))], tag("ReadingType", tag("uom", F.lit("38"))))
+    entries = F.concat(
+        entry([link("self", point)], tag("UsagePoint", F.when(F.col("m") == "0", tag("name", F.lit("1308468"))).otherwise(""))),
+        entry([link("self", kind), F.when(F.col("m") == "1", link("related", meter)).otherwise("")], tag("ReadingType", type_)),
+        entry([link("self", meter), link("related", point), F.when(F.col("m") == "1", "").otherwise(link("related", kind))], F.lit("<espi:MeterReading/>")),
+        entry([link("self", F.concat(meter, F.lit("/IntervalBlock/1")))], tag("IntervalBlock", F.col("readings"))),
+    )
+    feeds = days.groupBy("day").agg(F.concat_ws("", F.collect_list(entries)).alias("entries"))
+    head = F.lit('<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom" xmlns:espi="http://naesb.org/espi">')
+    feeds.select(F.concat(head, other, F.col("entries"), F.lit("</feed>")).alias("value")).write.mode("append").option("maxRecordsPerFile", 1).text(path)
+
+
+_FEED_STATUS = "CASE WHEN user_id % 4 = 3 THEN 'reverse' WHEN user_id % 4 = 2 THEN 'unit' WHEN event_id % 13 = 0 THEN 'blank' ELSE 'ok' END"
+_FEED_TS = "date_trunc('second', ts)"
+_FEED_ALL = f"SELECT CASE WHEN user_id % 4 = 0 THEN '1308468' ELSE '77' || CAST(user_id % 4 AS VARCHAR) END AS device_id, {_FEED_TS} AS ts_utc, {local_sql(_FEED_TS)} AS ts_local, CAST(CASE WHEN user_id % 4 = 1 THEN 1800 ELSE 900 END AS INTEGER) AS interval_s, floor(value * 100) / 100 AS value, {_FEED_STATUS} AS status FROM events"
+
+
+def imported(v, *write):
+    """The readings of files that ``write`` lands in one folder."""
+    path = storage.new_path(v.spark, "exports")
+    for w in write:
+        w(v, path)
+    return exports.checked(exports.readings(exports.read_files(v.spark, path), 900))
+
+
+def _statuses(v):
+    found = imported(v, usage_files, feed_files).withColumn("how", F.when(F.col("device_id").startswith("1300"), "csv").otherwise("xml"))
+    return found.groupBy("how", "device_id", "status").agg(F.count("*").alias("rows"), F.sum("value").alias("kwh"))
+
+
+_STATUSES = f"SELECT 'csv' AS how, device_id, status, count(*) AS rows, sum(value) FILTER (WHERE status = 'ok') AS kwh FROM ({_CSV_ALL}) GROUP BY ALL UNION ALL SELECT 'xml', device_id, status, count(*), sum(value) FILTER (WHERE status = 'ok') FROM ({_FEED_ALL}) GROUP BY ALL"
+q("I11_espi_feed_files", lambda v: exports.observations(imported(v, feed_files)), "", f"SELECT * EXCLUDE (status) FROM ({_FEED_ALL}) WHERE status = 'ok'", doubles="value")
+q("I12_usage_csv", lambda v: exports.observations(imported(v, usage_files)), "", _CSV_SQL, doubles="value")
+
+
+def _kinds(v):
+    """Both kinds in one folder: what is told apart by content, whatever the files' names."""
+    path = storage.new_path(v.spark, "mixed")
+    usage_files(v, path)
+    feed_files(v, path)
+    lines = F.when(F.col("feed"), F.regexp_count("text", F.lit("<espi:IntervalReading>"))).otherwise(F.regexp_count("text", F.lit("\n")) - 1)
+    return exports.read_files(v.spark, path).groupBy("feed").agg(F.sum(lines).alias("readings"))
+
+
+q("I13_files_sniffed", _kinds, "", "SELECT unnest([true, false]) AS feed, count(*) AS readings FROM events")
 q("I13_content_sniff", lambda v: v.table("pages").groupBy(p.is_xml(F.col("html")).alias("xml")).agg(F.count("*").alias("n")), "", "SELECT ltrim(html) LIKE '<%' AS xml, count(*) AS n FROM pages GROUP BY ALL")
-q("Q17_import_meter", lambda v: p.usage_lines(usage_text(v), _LAYOUTS, 900).select("device_id", "ts_utc", "interval_s", "value", F.lit("csv").alias("how")).unionByName(p.espi_readings(espi_entries(v)).select("device_id", "ts_utc", "interval_s", "value", F.lit("xml").alias("how"))).groupBy("how", "device_id").agg(F.count("*").alias("rows"), F.sum("value").alias("kwh")), "", f"SELECT 'csv' AS how, device_id, count(*) AS rows, sum(value) AS kwh FROM ({_CSV_SQL}) GROUP BY ALL UNION ALL SELECT 'xml', device_id, count(*), sum(value) FROM ({_ESPI_SQL}) GROUP BY ALL", doubles="kwh", digits=4)
+q("Q17_import_meter", _statuses, "", _STATUSES, doubles="kwh", digits=4)
 
 
 def map_entries(v):
@@ -128,13 +198,13 @@ q("I15_inventory", lambda v: inventory(v).select("id", "label", s.category("role
 
 def live_docs(v):
     one = F.array(F.struct("source", "device_id", "channel_id"))
-    o = v.obs.where("event_id % 2 = 0")
-    shape = lambda n, k: o.where(f"event_id % 6 = {k}").select(F.to_json(F.struct(one.alias(n))).alias("value"))
-    return shape("channels", 0).union(shape("live_channels", 2)).union(shape("mappings", 4))
+    o = v.obs
+    shape = lambda n, k: o.where(f"event_id % 3 = {k}").select(F.to_json(F.struct(one.alias(n))).alias("value"))
+    return shape("channels", 0).union(shape("live_channels", 1)).union(shape("mappings", 2))
 
 
-q("I16_live_channels", lambda v: p.live_channels(live_docs(v)), "obs", "SELECT DISTINCT source, device_id, channel_id FROM obs WHERE event_id % 2 = 0")
-q("Q21_discover_unmapped", lambda v: dimension.unmapped(p.live_channels(live_docs(v)), v.dim).select(*CHANNEL), "obs dim", "SELECT DISTINCT source, device_id, channel_id FROM obs ANTI JOIN dim USING (source, device_id, channel_id) WHERE event_id % 2 = 0")
+q("I16_live_channels", lambda v: p.live_channels(live_docs(v)), "obs", "SELECT DISTINCT source, device_id, channel_id FROM obs")
+q("Q21_discover_unmapped", lambda v: dimension.unmapped(p.live_channels(live_docs(v)), v.dim).select(*CHANNEL), "obs dim", "SELECT DISTINCT source, device_id, channel_id FROM obs ANTI JOIN dim USING (source, device_id, channel_id)")
 
 
 def _tariff(v):

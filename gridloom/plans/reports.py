@@ -15,6 +15,7 @@ from ..schemas import CHANNEL
 from ..views import POLL_S
 from .basic import DAY, FEED, LEVEL
 from .registry import Registry
+from .windows import CHANGE, LAYOUT, LAYOUTS, latest_kinds
 
 REGISTRY = Registry()
 q = REGISTRY.add
@@ -49,7 +50,7 @@ _FOUND = f"""; c AS (SELECT 'corrupt_reading' AS rule, {KEY} AS key, {DAY} AS lo
 n AS (SELECT 'negative_reading', {KEY}, {DAY}, count(*) || ' hours below zero', NULL FROM hourly WHERE metric = 'watts' AND min - 5 < 0 GROUP BY ALL),
 h AS (SELECT device_id, hour_start_utc, {DAY} AS local_day, sum(mean) FILTER (WHERE {FEED}) AS f, sum(mean) FILTER (WHERE channel_id LIKE 'breaker_%' OR channel_id LIKE 'ct_2%') AS c, count(*) FILTER (WHERE channel_id LIKE 'breaker_%' OR channel_id LIKE 'ct_2%') AS k FROM hourly WHERE metric = 'watts' GROUP BY ALL),
 x AS (SELECT 'feed_below_children', device_id, local_day, count(*) || ' hours with children above the feed', NULL FROM h WHERE f IS NOT NULL AND k >= 3 AND c - f > greatest(0.05 * f, 100) GROUP BY ALL)"""
-q("Q02_findings", lambda v: channel_check(v)[0].where("rule <> 'meter_disagreement'"), "hourly", _FOUND + " SELECT rule, key, local_day, headline, CAST(kwh AS DOUBLE) AS kwh FROM c UNION ALL SELECT * FROM n UNION ALL SELECT * FROM x")
+q("Q02_findings", lambda v: channel_check(v)[0], "hourly meter", _DISAGREE + ", " + _FOUND.removeprefix("; ") + " SELECT rule, key, local_day, headline, CAST(kwh AS DOUBLE) AS kwh FROM c UNION ALL SELECT * FROM n UNION ALL SELECT * FROM x UNION ALL SELECT 'meter_disagreement', 'meter', local_day, 'panel and meter differ', kwh - meter_kwh FROM d WHERE skipped IS NULL AND off_pct > 10", doubles="kwh")
 q("Q02_skipped", lambda v: channel_check(v)[1], "hourly meter", _DISAGREE + " SELECT 'meter' AS key, skipped AS reason, count(*) AS n FROM d WHERE skipped IS NOT NULL GROUP BY ALL")
 q("Q02_untrusted", lambda v: channel_check(v)[2], "hourly", _FOUND + " SELECT DISTINCT key FROM (SELECT key FROM c UNION ALL SELECT * FROM (SELECT key FROM (SELECT * FROM n) t(rule, key, d, h, k)))")
 
@@ -136,5 +137,5 @@ q("Q10_component_vs_panel", lambda v: hvac.component_vs_panel(_component(v), fee
 q("Q18_live_panel", lambda v: a.label(a.latest(v.obs.where("ts_utc < TIMESTAMP_NTZ'2024-01-20 12:30:00'")), v.dim.select(*CHANNEL, "label")).withColumn("age_s", F.expr("timestampdiff(SECOND, ts_utc, TIMESTAMP_NTZ'2024-01-20 12:30:00')")).select(s.label_or_tail("label").alias("label"), "metric", "value", "age_s", s.freshness("age_s", POLL_S).alias("freshness")), "obs dim", f"; l AS (SELECT source, device_id, channel_id, metric, max(ts_utc) AS ts, arg_max(value, ts_utc) AS value, date_diff('microsecond', max(ts_utc), TIMESTAMP '2024-01-20 12:30:00') // 1000000 AS age_s FROM obs WHERE ts_utc < '2024-01-20 12:30:00' GROUP BY ALL) SELECT coalesce(label, channel_id || ' · ' || device_id) AS label, metric, value, age_s, CASE WHEN age_s <= {1.5 * POLL_S} THEN 'live' WHEN age_s <= {3 * POLL_S} THEN 'late' ELSE 'silent' END AS freshness FROM l LEFT JOIN dim USING (source, device_id, channel_id)", doubles="value")
 q("P24_coverage_classes", lambda v: cov.matrix(v.hourly, 3600).groupBy("status").agg(F.count("*").alias("n")), "hourly", f"; d AS (SELECT {DAY} AS d, sum(sample_count) / 24 * 100 AS p FROM hourly GROUP BY {DAY}, source, device_id, channel_id, metric) SELECT CASE WHEN p >= 98 THEN 'complete' WHEN p >= 80 THEN 'thin' WHEN p >= 50 THEN 'sparse' ELSE 'mostly missing' END AS status, count(*) AS n FROM d GROUP BY ALL")
 q("J16_decode_join", lambda v: v.obs.withColumn("code", (F.col("event_id") % 6).cast("int")).join(v.spark.createDataFrame([(0, "off"), (1, "low"), (2, "high"), (3, "idle"), (4, "dehumidify")], "code int, word string"), "code", "left").groupBy("code", "word").agg(F.count("*").alias("n")), "obs", "SELECT CAST(event_id % 6 AS INTEGER) AS code, list_element(['off', 'low', 'high', 'idle', 'dehumidify'], CAST(event_id % 6 + 1 AS INTEGER)) AS word, count(*) AS n FROM obs GROUP BY ALL")
-q("Q20_layout_changes", lambda v: dimension.layout_diff(*(v.obs.where(w).groupBy("device_id", "channel_id").agg(F.min("event_type").alias("kind")) for w in ("event_id % 60 = 1", "event_id % 60 = 2")), ["device_id", "channel_id"], "kind").groupBy("change").agg(F.count("*").alias("n")), "obs", "; b AS (SELECT device_id, channel_id, min(event_type) AS before FROM obs WHERE event_id % 60 = 1 GROUP BY ALL), a AS (SELECT device_id, channel_id, min(event_type) AS after FROM obs WHERE event_id % 60 = 2 GROUP BY ALL) SELECT CASE WHEN before IS NULL THEN 'appeared' WHEN after IS NULL THEN 'gone' ELSE 'changed' END AS change, count(*) AS n FROM b FULL JOIN a USING (device_id, channel_id) WHERE before IS DISTINCT FROM after GROUP BY ALL")
+q("Q20_layout_changes", lambda v: dimension.layout_diff(*latest_kinds(v), LAYOUT, "kind").groupBy("change").agg(F.count("*").alias("n")), "obs", f"; {LAYOUTS} SELECT {CHANGE} AS change, count(*) AS n FROM b FULL JOIN a USING (device_id, channel_id, user_id) WHERE before IS DISTINCT FROM after GROUP BY ALL")
 q("Q01_rollup", lambda v: v.hourly.groupBy(F.to_date("local_hour_start").alias("local_day"), "metric").agg(F.sum("sample_count").alias("samples"), F.sum("kwh").alias("kwh"), F.max("p95").alias("p95")), "hourly", f"SELECT {DAY} AS local_day, metric, CAST(sum(sample_count) AS BIGINT) AS samples, sum(kwh) AS kwh, max(p95) AS p95 FROM hourly GROUP BY ALL", doubles="kwh p95")

@@ -22,6 +22,19 @@ KEY = "source, device_id, channel_id, metric"
 SERIES = f"PARTITION BY {KEY} ORDER BY ts_utc"
 _DUP = ["ts_utc", *CHANNEL, "metric", "prec", "value", "unit"]
 
+LAYOUT = ["device_id", "channel_id", "user_id"]
+
+
+def latest_kinds(v):
+    """The layout before and after an instant: what each place last held on either side."""
+    last = F.max(F.struct("ts_utc", "event_type"))["event_type"].alias("kind")
+    return [v.obs.where(f"ts_utc {side} TIMESTAMP_NTZ'2024-01-16 00:00:00'").groupBy(*LAYOUT).agg(last) for side in ("<", ">=")]
+
+
+_SIDE = "SELECT device_id, channel_id, user_id, last(event_type ORDER BY ts_utc, event_type) AS {} FROM obs WHERE ts_utc {} '2024-01-16' GROUP BY ALL"
+LAYOUTS = f"b AS ({_SIDE.format('before', '<')}), a AS ({_SIDE.format('after', '>=')})"
+CHANGE = "CASE WHEN before IS NULL THEN 'appeared' WHEN after IS NULL THEN 'gone' ELSE 'changed' END"
+
 q("W01_dedupe", lambda v: dedupe.dedupe(v.obs_dup.select(*_DUP), precedence=["prec"]), "obs obs_dup", "SELECT ts_utc, source, device_id, channel_id, metric, prec, value, unit FROM (SELECT *, row_number() OVER (PARTITION BY source, device_id, channel_id, metric, ts_utc ORDER BY prec, value, unit) AS rn FROM obs_dup) WHERE rn = 1", doubles="value")
 q("W02_deltas", lambda v: rollup.deltas(v.obs).select("event_id", "delta_s"), "obs", f"SELECT event_id, date_diff('microsecond', p, ts_utc) // 1000000 AS delta_s FROM (SELECT event_id, ts_utc, lag(ts_utc) OVER ({SERIES}) AS p FROM obs) WHERE p IS NOT NULL")
 q("W03_latest", lambda v: a.latest(v.obs), "obs", f"SELECT {KEY}, max(ts_utc) AS ts_utc, arg_max(value, ts_utc) AS value FROM obs GROUP BY ALL", doubles="value")
@@ -56,7 +69,7 @@ q("U03_splice", lambda v: dedupe.splice(v.obs.where("ts_utc < TIMESTAMP_NTZ'2024
 q("U04_copy_proof", lambda v: dedupe.differences(v.obs.select("event_id", "value"), v.obs.where("event_id % 100 <> 7").select("event_id", "value")), "", "SELECT 'only_a' AS side, count(*) FILTER (WHERE event_id % 100 = 7) AS rows FROM events UNION ALL SELECT 'only_b', 0")
 q("U05_vocabulary_coverage", lambda v: dimension.vocabulary_gaps(v.obs.withColumn("metric", F.when(F.col("event_id") % 50 == 0, "lumens").otherwise(F.col("metric"))), UNIT_FOR_METRIC), "", "SELECT 'lumens' AS metric, count(*) AS rows FROM events WHERE event_id % 50 = 0")
 q("J18_superset_proof", lambda v: dedupe.new_keys(v.obs.where(_BASE), v.obs.where("event_id % 7 <> 0")).groupBy(*CHANNEL).agg(F.count("*").alias("missing")), "obs", "SELECT source, device_id, channel_id, count(*) AS missing FROM obs WHERE event_id % 3 <> 0 AND event_id % 7 = 0 GROUP BY ALL")
-q("J20_layout_diff", lambda v: dimension.layout_diff(*(v.obs.where(w).groupBy("device_id", "channel_id").agg(F.max("event_type").alias("kind")) for w in ("event_id % 40 = 1", "event_id % 40 = 2")), ["device_id", "channel_id"], "kind"), "obs", "; b AS (SELECT device_id, channel_id, max(event_type) AS before FROM obs WHERE event_id % 40 = 1 GROUP BY ALL), a AS (SELECT device_id, channel_id, max(event_type) AS after FROM obs WHERE event_id % 40 = 2 GROUP BY ALL) SELECT *, CASE WHEN before IS NULL THEN 'appeared' WHEN after IS NULL THEN 'gone' ELSE 'changed' END AS change FROM b FULL JOIN a USING (device_id, channel_id) WHERE before IS DISTINCT FROM after")
+q("J20_layout_diff", lambda v: dimension.layout_diff(*latest_kinds(v), LAYOUT, "kind"), "obs", f"; {LAYOUTS} SELECT *, {CHANGE} AS change FROM b FULL JOIN a USING (device_id, channel_id, user_id) WHERE before IS DISTINCT FROM after")
 q("A31_drift", lambda v: dimension.drift(v.obs.where("event_id % 3 > 0"), v.obs.where("event_id % 5 > 0").withColumn("value", F.when(F.col("event_id") % 2 == 0, F.col("value")).otherwise(F.col("value") + 1)), ["event_id"], "value"), "", "SELECT count(*) FILTER (WHERE event_id % 3 > 0 OR event_id % 5 > 0) AS compared, count(*) FILTER (WHERE (event_id % 3 > 0) <> (event_id % 5 > 0) OR (event_id % 3 > 0 AND event_id % 5 > 0 AND event_id % 2 = 1)) AS differing FROM events")
 q("A32_latch_verdicts", lambda v: __import__("gridloom.operators.hvac", fromlist=["latch_verdicts"]).latch_verdicts(v.table("events").select(F.when(F.col("event_id") % 7 > 0, F.col("value")).alias("a"), F.when(F.col("event_id") % 3 == 0, F.col("value")).when(F.col("event_id") % 3 == 1, F.col("value") * 1.01).otherwise(F.col("value") * 2).alias("b"), (F.col("event_id") % 90).alias("age_s"))), "", "; x AS (SELECT CASE WHEN event_id % 7 = 0 THEN 'one side only' WHEN event_id % 3 = 0 THEN 'equal' WHEN event_id % 3 = 1 THEN 'close' ELSE 'different' END AS verdict, event_id % 90 AS age_s FROM events) SELECT verdict, count(*) AS n, median(age_s) AS median_age_s, max(age_s) AS max_age_s FROM x GROUP BY ALL".replace("; ", "WITH ", 1), doubles="median_age_s")
 

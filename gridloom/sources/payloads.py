@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.localtime import TZ, local, utc
+from ..functions.localtime import TZ, local
 from ..functions.scalar import encode, fahrenheit, finite, number, stage_pct, to_kwh, truth, two_pole
 
 PANEL = "struct<hub:string,ts:string,breakers:array<struct<position:int,poles:int,model:string,power:double,power2:double>>,cts:array<struct<channel:int,usageType:string,activePower:double,activePower2:double>>>"
@@ -76,25 +76,6 @@ def dated_map(docs: DataFrame, serial: str | None, column: str = "value") -> Dat
     return rows.withColumn("value", number("text")).where("value IS NOT NULL AND local_day IS NOT NULL").drop("text")
 
 
-def usage_lines(lines: DataFrame, layouts: list[str], interval_s: int, tz: str = TZ) -> DataFrame:
-    """CSV usage rows (start, usage, direction as text): several date layouts, blank is no row, reverse flow is skipped."""
-    start = F.coalesce(*(F.try_to_timestamp("start", F.lit(x)) for x in layouts)).cast("timestamp_ntz")
-    rows = lines.withColumn("ts_local", start).withColumn("value", number("usage")).where("value IS NOT NULL AND ts_local IS NOT NULL").where(F.lower("direction") == "forward")
-    return rows.select(utc("ts_local", tz).alias("ts_utc"), "ts_local", "device_id", "value", F.lit(interval_s).alias("interval_s"))
-
-
-def resolve_headers(columns: list[str]) -> dict[str, str]:
-    """Columns of a usage export found by a part of their header; several matches or none are an error naming them."""
-    want = {"start": ("start", "date"), "usage": ("usage", "kwh"), "direction": ("direction", "flow")}
-    out: dict[str, str] = {}
-    for name, parts in want.items():
-        hits = [c for part in parts for c in columns if part in c.lower()]
-        if not hits:
-            raise ValueError(f"no column for {name} among {columns}")
-        out[name] = hits[0]
-    return out
-
-
 def is_xml(text: Column) -> Column:
     """By content, not by extension."""
     return F.ltrim(F.regexp_replace(text, "^\\uFEFF", "")).startswith("<")

@@ -20,9 +20,13 @@ class VerificationError(RuntimeError):
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, which driver and executors share; a new local folder where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.gridloom.data.dir", None)
+    """spark.checkpoint.dir, which driver and executors share. Where it is unset, a new local folder in local mode; on a cluster an error,
+    as each machine would write its own."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.gridloom.data.dir", None)
     if found is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.conf.set("spark.gridloom.data.dir", found := tempfile.mkdtemp(prefix="gridloom-"))
     return found
 
@@ -31,14 +35,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def write_days(df: DataFrame, path: str, day: str = "local_date", mode: str = "overwrite", files_per_day: int = 1) -> None:
+def write_days(df: DataFrame, path: str, day: str = "local_date", mode: str = "overwrite") -> None:
     """Replace the days that ``df`` holds and leave the others: dynamic partition overwrite, canonical order in files, ZSTD.
 
-    A day's rows are dealt by (day, channel hash), so a large day becomes ``files_per_day`` files.
+    Rows are rebalanced by day: adaptive execution splits a large day into files of the advisory size, and puts small days together.
     """
-    part = F.pmod(F.xxhash64(*[c for c in SORT_KEY[:3] if c in df.columns]), F.lit(files_per_day))
     order = [c for c in (*SORT_KEY, "metric", "value", "unit") if c in df.columns]
-    out = df.repartition(F.col(day), part).sortWithinPartitions(day, *order)
+    out = df.hint("rebalance", F.col(day)).sortWithinPartitions(day, *order)
     out.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(day).parquet(path)
 
 
@@ -52,6 +55,19 @@ def read_days(spark: SparkSession, path: str, schema: T.StructType, first: str,
     return spark.read.schema(full).parquet(path).where(F.col("local_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
 
 
+def read_months(spark: SparkSession, path: str, schema: T.StructType, first: str, last: str, day: str = "local_day") -> DataFrame:
+    """Rows of the local days asked for out of files by month: only those months' files are read."""
+    full = T.StructType([*schema.fields, T.StructField("local_month", T.StringType())])
+    lo, hi = F.lit(first).cast("date"), F.lit(last).cast("date")
+    rows = spark.read.schema(full).parquet(path).where(F.col("local_month").between(first[:7], last[:7]))
+    return rows.where(F.col(day).between(lo, hi)).drop("local_month")
+
+
+def read_tolerant(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Files written before and after columns were added, as one table: a file without a column has nulls there."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def verified_write(df: DataFrame, path: str) -> DataFrame:
     """Write, count what was written against what was observed on the way, and return the metrics row or raise."""
     from pyspark.sql import Observation
