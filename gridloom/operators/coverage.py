@@ -26,14 +26,14 @@ def short_hours(hourly: DataFrame, expected: int, share: float = 0.9) -> DataFra
 def absent_hours(hourly: DataFrame, tz: str = TZ) -> DataFrame:
     """Hours of observed days on which a series has no row at all.
 
-    The spine has a row for each hour of each day; the series list one per channel and metric: their product is what the
-    report is about, and is left-anti joined to what was observed.
+    Each series is placed on every observed day, whose hours follow by an equi join, and what was observed is taken away.
     """
     days = hourly.select(F.to_date("local_hour_start").alias("local_day")).distinct()
-    spine = hour_spine(days, tz).select("hour_start_utc", "local_hour_start")
+    spine = hour_spine(days, tz).select("local_day", "hour_start_utc", "local_hour_start")
     series = hourly.select(*CHANNEL, "metric").distinct()
-    return spine.crossJoin(series).join(hourly.select(*CHANNEL, "metric", "hour_start_utc"), [*CHANNEL, "metric", "hour_start_utc"], "left_anti")
-
+    calendar = days.agg(F.collect_set("local_day").alias("days"))  # one row: a few hundred days a year
+    placed = series.crossJoin(F.broadcast(calendar)).select(*CHANNEL, "metric", F.explode("days").alias("local_day"))  # one row beside each
+    return placed.join(spine, "local_day").drop("local_day").join(hourly.select(*CHANNEL, "metric", "hour_start_utc"), [*CHANNEL, "metric", "hour_start_utc"], "left_anti")
 
 def gaps(obs: DataFrame, interval_s: float) -> DataFrame:
     """Stretches between consecutive samples longer than 1.5 intervals, with how many samples are missing."""

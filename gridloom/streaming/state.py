@@ -21,7 +21,7 @@ SYNC_TIMEOUT_S = 20
 
 
 class ObjectState:
-    """The fields of one object, as a pure value: ``fields`` maps a name to (value, second, epoch, source)."""
+    """The fields of one object, as a pure value: ``fields`` maps a name to (value, second, epoch, source); a null value is a cleared field."""
 
     def __init__(self, fields: dict | None = None, epoch: int = 0, synced: bool = False, heard_s: int = 0, next_s: int = 0, since_s: int = 0):
         self.fields, self.epoch, self.synced, self.heard_s, self.next_s, self.since_s = fields or {}, epoch, synced, heard_s, next_s, since_s
@@ -35,20 +35,19 @@ class ObjectState:
                 continue
             if old and seed and only_older_than is not None and old[1] >= only_older_than:
                 continue
-            if value is None:
-                cleared += self.fields.pop(name, None) is not None
-            else:
-                self.fields[name] = (value, at_s, epoch, "seed" if seed else "delta")
-                applied += 1
+            # A cleared field keeps its time, so that an older delta that arrives later does not bring it back.
+            self.fields[name] = (value, at_s, epoch, "seed" if seed else "delta")
+            applied += value is not None
+            cleared += value is None and old is not None and old[0] is not None
         self.heard_s, self.epoch = max(self.heard_s, at_s), max(self.epoch, epoch)
         return applied, cleared
 
     def evict_before(self, epoch: int) -> int:
         """Drop fields that the current connection has not established: by membership, never by age."""
-        gone = [n for n, f in self.fields.items() if f[2] < epoch]
+        gone = {n: f[0] for n, f in self.fields.items() if f[2] < epoch}
         for n in gone:
             del self.fields[n]
-        return len(gone)
+        return sum(v is not None for v in gone.values())
 
     def open_at(self, now_s: int) -> bool:
         """The emission gate: synced, and heard from lately."""
@@ -61,7 +60,8 @@ class ObjectState:
                 self.next_s = (until_s // CADENCE_S + 1) * CADENCE_S
                 return
             for name, (value, at, _, source) in sorted(self.fields.items()):
-                yield self.next_s, name, value, at, source
+                if value is not None:
+                    yield self.next_s, name, value, at, source
             self.next_s += CADENCE_S
 
     def dump(self) -> tuple:
@@ -85,7 +85,7 @@ def step(state: ObjectState, event: dict, out: list) -> None:
         state.synced = True
     elif kind in ("delta", "seed"):
         state.apply(json.loads(event["fields"]), at, epoch, kind == "seed", at if kind == "seed" else None)
-        if not state.synced and at - state.since_s >= SYNC_TIMEOUT_S and state.fields:
+        if not state.synced and at - state.since_s >= SYNC_TIMEOUT_S and any(f[0] is not None for f in state.fields.values()):
             state.synced = True
     if not state.next_s:
         state.next_s = (at // CADENCE_S + 1) * CADENCE_S

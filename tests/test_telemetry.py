@@ -172,6 +172,7 @@ def test_object_state_rules():
     o = ObjectState()
     assert o.apply({"a": "1", "b": "2"}, 10, 1) == (2, 0) and o.apply({"a": None}, 11, 1) == (0, 1)
     assert o.apply({"b": "0"}, 9, 1) == (0, 0)  # older than what is held
+    assert o.apply({"a": "0"}, 10, 1) == (0, 0) and o.fields["a"][0] is None  # and so is what was cleared since
     assert o.apply({"b": "9"}, 12, 1, seed=True, only_older_than=10) == (0, 0)
     o.apply({"c": "3"}, 20, 2)
     assert o.evict_before(2) == 1 and list(o.fields) == ["c"]
