@@ -21,10 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a new local one in local mode (tests); on a
+    cluster an error, as each machine would write its own."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.gridloom.shared.dir", None)
     if found is None:
-        spark.conf.set("spark.gridloom.shared.dir", found := spark.conf.get("spark.gridloom.shared.dir", None) or tempfile.mkdtemp(prefix="gridloom-"))
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        spark.conf.set("spark.gridloom.shared.dir", found := tempfile.mkdtemp(prefix="gridloom-"))
     return found
 
 
