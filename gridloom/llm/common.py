@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 #: Words of the mixing, near-copy and substring operators: runs without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,10 +34,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write the frame to the shared folder and read it back: a lost executor costs a re-read, not the whole lineage."""
+    """Write the frame to the shared folder and read it back: a lost executor costs a re-read, not the whole lineage.
+
+    Nothing reads the write's exchanges again, so Spark removes their files when it ends, and not at some later garbage collection.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

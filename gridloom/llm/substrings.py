@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, Words, cut, groups_of, ordered_groups, runs, slices, small_batches, spread
+from .common import PLACES, SPACES, Words, cut, groups_of, mix, ordered_groups, runs, slices, small_batches, spread
 
 WINDOW = 13
 GRAM = 7
@@ -48,8 +48,16 @@ def _selected(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at, best, place
 
 
+def _message(bucket: int, gram: np.ndarray, row: np.ndarray) -> tuple[int, bytes, bytes, bytes]:
+    """Upper halves of grams by row, and how many each row has: the bucket tells most of the lower half."""
+    order = np.argsort(row, kind="stable")
+    gram, row = gram[order], row[order]
+    lo, hi = runs(row)
+    return bucket, (gram >> np.uint64(32)).astype(np.uint32).tobytes(), row[lo].tobytes(), (hi - lo).astype(np.uint32).tobytes()
+
+
 def _prints(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, grams, rows): what each piece of the input asks of each bucket of grams.
+    """(bucket, grams, rows, counts): what each piece of the input asks of each bucket of grams.
 
     Buckets below 0 need no answer: grams that several rows of the piece select. Elsewhere a gram stands for one row (its id), or
     for several (id 0), so a gram that all documents hold is asked once a piece.
@@ -66,22 +74,23 @@ def _prints(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         lo, hi = runs(gram)
         alone = hi - lo == 1
         several = np.repeat(~alone, hi - lo)
-        out = [(-1, gram[several].tobytes(), ids[doc[several]].tobytes())] if several.any() else []
+        out = [_message(-1, gram[several], ids[doc[several]])] if several.any() else []
         asked, row = gram[lo], np.where(alone, ids[doc[lo]], 0)
         bucket = (asked % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         asked, row, bucket = asked[order], row[order], bucket[order]
-        out += [(int(bucket[i]), asked[i:j].tobytes(), row[i:j].tobytes()) for i, j in zip(*runs(bucket), strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary()), pa.array([o[2] for o in out], pa.binary())], names=["bucket", "grams", "rows"])
+        out += [_message(int(bucket[i]), asked[i:j], row[i:j]) for i, j in zip(*runs(bucket), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), *(pa.array([o[i] for o in out], pa.binary()) for i in (1, 2, 3))], names=["bucket", "grams", "rows", "counts"])
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, gram) of grams that several rows select."""
+    """(row, gram) of grams that several rows select, each by its upper half. Two grams of one bucket and upper half pass for one: more
+    segments are then held, and none is lost."""
     for table in groups_of(batches, "bucket"):
         for lo, hi in zip(*runs(table.column("bucket").to_numpy()), strict=True):
             part = table.slice(lo, hi - lo)
-            gram = np.frombuffer(b"".join(part.column("grams").to_pylist()), np.uint64)
-            row = np.frombuffer(b"".join(part.column("rows").to_pylist()), np.int64)
+            joined = lambda c, t: np.frombuffer(b"".join(part.column(c).to_pylist()), t)  # noqa: B023, E731
+            gram, row = joined("grams", np.uint32), np.repeat(joined("rows", np.int64), joined("counts", np.uint32))
             if part.column("bucket")[0].as_py() >= 0:
                 order = np.argsort(gram, kind="stable")
                 gram, row = gram[order], row[order]
@@ -89,28 +98,61 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 several = np.repeat(b - a > 1, b - a) & (row != 0)
                 gram, row = gram[several], row[several]
             for i in range(0, len(gram), 1 << 18):
-                yield pa.RecordBatch.from_arrays([pa.array(row[i : i + (1 << 18)]), pa.array(gram[i : i + (1 << 18)].view(np.int64))], names=["row", "gram"])
+                yield pa.RecordBatch.from_arrays([pa.array(row[i : i + (1 << 18)]), pa.array(gram[i : i + (1 << 18)].view(np.int32))], names=["row", "gram"])
+
+
+def _digests(w: Words, keep: np.ndarray) -> list[str]:
+    """SHA-256 of each document's words in ``keep``, joined by one space."""
+    start, end, doc = w.start[keep], w.end[keep], w.docs()[keep]
+    data, n = w.bytes.copy(), len(w.bytes)
+    edge = np.zeros(n + 1, np.int8)
+    edge[start] += 1
+    edge[end] -= 1
+    taken = np.cumsum(edge, dtype=np.int8)[:n].astype(bool)
+    between = end[:-1][doc[1:] == doc[:-1]]
+    data[between], taken[between] = 0x20, True
+    flat = data[taken].tobytes()
+    at = np.concatenate([[0], np.cumsum(taken)])[w.bounds].tolist()
+    return [hashlib.sha256(flat[a:b]).hexdigest() for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
-def _digest(words: Words, data: bytes, lo: int, hi: int, keep: np.ndarray | None = None) -> str:
-    spans = zip(words.start[lo:hi].tolist(), words.end[lo:hi].tolist(), strict=True)
-    parts = [data[a:b] for a, b in spans] if keep is None else [data[a:b] for (a, b), k in zip(spans, keep.tolist(), strict=True) if k]
-    return hashlib.sha256(b" ".join(parts)).hexdigest()
+def _lists(offsets: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
 
 
 def _sorted_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents without repeated grams are done: (row, doc_id, n_words, kept_sha256); the others keep their text, packed."""
+    """Documents without repeated grams are done; the others keep their text, packed, and the segments whose gram is repeated.
+
+    ``sha`` is null where there are such grams. Of a segment: its first word's place in the document, its words, its gram, and a hash of
+    its words, which tells it from others of its gram.
+    """
     for batch in slices(batches, "text"):
-        texts, grams = batch.column(2), batch.column(3)
+        texts, lists = batch.column(2), batch.column(3)
         w = Words(texts, SPACES)
-        data, sha, packed, sizes = w.bytes.tobytes(), [], [], []
-        busy = grams.is_valid().to_pylist()
-        for d, some in enumerate(busy):
-            raw = data[w.bounds[d] : w.bounds[d + 1]]
-            sha.append(None if some else _digest(w, data, w.first[d], w.first[d + 1]))
-            packed.append(pa.compress(raw, codec=_CODEC, asbytes=True) if some else None)
-            sizes.append(len(raw))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(w.count.astype(np.int64)), pa.array(sha, pa.string()), pa.array(packed, pa.binary()), pa.array(sizes, pa.int64()), grams], names=["row", "doc_id", "n_words", "sha", "packed", "size", "grams"])
+        data = w.bytes.tobytes()
+        busy = lists.is_valid().to_numpy(zero_copy_only=False)
+        doc_of = w.docs()
+        digests = _digests(w, ~busy[doc_of])
+        raw = [data[w.bounds[d] : w.bounds[d + 1]] for d in range(batch.num_rows)]
+        packed = [pa.compress(r, codec=_CODEC, asbytes=True) if some else None for r, some in zip(raw, busy.tolist(), strict=True)]
+        at, gram, place = _selected(w)
+        lo, hi = runs(place)
+        start, gram, size = at[lo], gram[lo], hi - lo + WINDOW - 1
+        doc = doc_of[start]
+        offsets = lists.offsets.to_numpy()
+        flat = lists.values.to_numpy()[offsets[0] : offsets[-1]].view(np.uint32).astype(np.uint64)
+        owner = np.repeat(np.arange(batch.num_rows, dtype=np.uint64), np.diff(offsets))
+        most = np.uint64(32)
+        ok = np.isin(doc.astype(np.uint64) << most | gram >> most, owner << most | flat)
+        start, gram, size, doc = start[ok], gram[ok], size[ok], doc[ok]
+        key = size.astype(np.uint64)
+        for i in range(int(size.max()) if len(size) else 0):
+            more = size > i
+            key[more] += w.hash[start[more] + i] * PLACES[i]
+        bounds = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+        segments = [_lists(bounds, (start - w.first[doc]).astype(np.int32)), _lists(bounds, size.astype(np.int32)), _lists(bounds, gram.view(np.int64)), _lists(bounds, mix(key).view(np.int64))]
+        sha = [None if some else s for s, some in zip(digests, busy.tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(w.count.astype(np.int64)), pa.array(sha, pa.string()), pa.array(packed, pa.binary()), pa.array(np.diff(w.bounds)), *segments], names=["row", "doc_id", "n_words", "sha", "packed", "size", "ats", "sizes", "grams", "keys"])
 
 
 def _texts(packed: pa.Array, sizes: pa.Array) -> pa.Array:
@@ -127,26 +169,14 @@ def _pieces(batches: Iterator[pa.RecordBatch], most: int = 2 << 20) -> Iterator[
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, doc_id, at, gram, words): the segments whose gram is repeated; at is the first word's place in the document."""
+    """(gram, key, words, doc_id): the documents' segments."""
     for batch in _pieces(batches):
-        w = Words(_texts(batch.column(2), batch.column(3)), SPACES)
-        at, gram, place = _selected(w)
-        if not len(at):
-            continue
-        lo, hi = runs(place)
-        start, gram, size = at[lo], gram[lo], hi - lo + WINDOW - 1
-        doc = w.docs()[start]
-        lists = batch.column(4)
-        flat = lists.values.to_numpy()[lists.offsets[0].as_py() : lists.offsets[-1].as_py()].view(np.uint64)
-        owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-        order = np.lexsort((flat, owner))
-        want = np.stack([owner[order].astype(np.uint64), flat[order]], 1).view([("d", np.uint64), ("g", np.uint64)]).ravel()
-        have = np.stack([doc.astype(np.uint64), gram], 1).copy().view([("d", np.uint64), ("g", np.uint64)]).ravel()
-        ok = np.isin(have, want)
-        start, gram, size, doc = start[ok], gram[ok], size[ok], doc[ok]
-        words = [w.hash[i : i + n].tobytes() for i, n in zip(start.tolist(), size.tolist(), strict=True)]
-        rows, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(rows[doc]), pa.array(ids[doc]), pa.array((start - w.first[doc]).astype(np.int32)), pa.array(gram.view(np.int64)), pa.array(words, pa.binary())], names=["row", "doc_id", "at", "gram", "words"])
+        w = Words(_texts(batch.column(1), batch.column(2)), SPACES)
+        count = np.diff(batch.column(3).offsets.to_numpy())
+        ats, sizes, grams, keys = (batch.column(i).flatten().to_numpy() for i in (3, 4, 5, 6))
+        start = np.repeat(w.first[:-1], count) + ats
+        words = [w.hash[i : i + n].tobytes() for i, n in zip(start.tolist(), sizes.tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(keys), pa.array(words, pa.binary()), pa.array(np.repeat(batch.column(0).to_numpy(), count))], names=["gram", "key", "words", "doc_id"])
 
 
 class FMIndex:
@@ -217,30 +247,24 @@ def firsts(segments: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
 
 
 def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(words, firsts) of each segment of each shard."""
+    """(gram, key, firsts) of each segment of each shard."""
     for table in groups_of(batches, "shard"):
         for lo, hi in zip(*runs(table.column("shard").to_numpy()), strict=True):
-            part = table.slice(lo, hi - lo)
-            words = part.column("words").to_pylist()
-            found = firsts(words, part.column("first").to_numpy())
-            offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))], names=["words", "firsts"])
+            part = table.slice(lo, hi - lo).combine_chunks().to_batches()[0]
+            found = firsts(part.column(3).to_pylist(), part.column(4).to_numpy())
+            offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])])
+            yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), _lists(offsets, np.concatenate(found))], names=["gram", "key", "firsts"])
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _pieces(batches):
-        w = Words(_texts(batch.column(2), batch.column(3)), SPACES)
-        data, sha, removed = w.bytes.tobytes(), [], []
-        for d, starts in enumerate(batch.column(4).to_pylist()):
-            n = int(w.count[d])
-            edge = np.zeros(n + 1, np.int64)
-            at = np.array(starts or (), np.int64)
-            np.add.at(edge, at, 1)
-            np.add.at(edge, np.minimum(at + WINDOW, n), -1)
-            keep = np.cumsum(edge[:n]) == 0
-            sha.append(_digest(w, data, w.first[d], w.first[d + 1], keep))
-            removed.append(n - int(keep.sum()))
-        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(w.count.astype(np.int64)), pa.array(removed, pa.int64()), pa.array(sha, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
+        w = Words(_texts(batch.column(1), batch.column(2)), SPACES)
+        starts, n = batch.column(3), len(w.hash)
+        at = starts.flatten().to_numpy().astype(np.int64)
+        at = at + np.repeat(w.first[:-1], np.diff(starts.offsets.to_numpy()))  # a window ends inside its document
+        keep = np.cumsum(np.bincount(at, minlength=n + 1) - np.bincount(at + WINDOW, minlength=n + 1))[:n] == 0
+        kept = np.diff(np.concatenate([[0], np.cumsum(keep)])[w.first])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(w.count.astype(np.int64)), pa.array((w.count - kept).astype(np.int64)), pa.array(_digests(w, keep), pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
 def dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -255,31 +279,35 @@ def dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFr
     row = F.xxhash64(F.col(id_col), value)
     rows = docs.select(F.when(row == 0, F.lit(1).cast("long")).otherwise(row).alias("row"), F.col(id_col).cast("long").alias("doc_id"), value.alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(4 * spread(spark), size // BUCKET)
-    asked = rows.where("doc_id IS NOT NULL").select("row", "text").mapInArrow(lambda it: _prints(buckets, it), "bucket long, grams binary, rows binary")
+    buckets = max(spread(spark), size // BUCKET)
+    asked = rows.where("doc_id IS NOT NULL").select("row", "text").mapInArrow(lambda it: _prints(buckets, it), "bucket long, grams binary, rows binary, counts binary")
     own = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("rows"), F.lit(1 << 40))).otherwise(F.col("bucket"))  # answered pieces go anywhere, each alone
-    hits = asked.withColumn("bucket", own).repartition(spread(spark), "bucket").sortWithinPartitions("bucket").mapInArrow(_repeated, "row long, gram long")
-    hits = cut(hits.groupBy(F.col("row").alias("r")).agg(F.collect_set("gram").alias("grams")))
-    held = rows.join(hits.hint("shuffle_hash"), F.expr("row = r"), "left").select("row", "doc_id", "text", "grams")
-    state = cut(held.mapInArrow(_sorted_out, "row long, doc_id long, n_words long, sha string, packed binary, size long, grams array<long>"))
+    hits = asked.withColumn("bucket", own).repartition(spread(spark), "bucket").sortWithinPartitions("bucket").mapInArrow(_repeated, "row long, gram int")
+    hits = cut(hits.groupBy(F.col("row").alias("r")).agg(F.collect_set("gram").alias("halves")))
+    held = rows.join(hits.hint("shuffle_hash"), F.expr("row = r"), "left").select("row", "doc_id", "text", "halves")
+    state = cut(held.mapInArrow(_sorted_out, "row long, doc_id long, n_words long, sha string, packed binary, size long, ats array<int>, sizes array<int>, grams array<long>, keys array<long>"))
     busy = state.where("sha IS NULL")
-    segments = busy.select("row", "doc_id", "packed", "size", "grams").mapInArrow(_segments, "row long, doc_id long, at int, gram long, words binary")
-    distinct = cut(segments.groupBy("gram", "words").agg(F.min("doc_id").alias("first")))
+    segments = busy.select("doc_id", "packed", "size", "ats", "sizes", "grams", "keys").mapInArrow(_segments, "gram long, key long, words binary, doc_id long")
+    distinct = cut(segments.groupBy("gram", "key", "words").agg(F.min("doc_id").alias("first")))
     hot = cut(distinct.groupBy("gram").agg(F.count("*").alias("n")).where(f"n > {HOT}").select(F.col("gram").alias("g")))
     shards = max(2 * spread(spark), math.ceil(distinct.count() / SHARD))
-    windows = distinct.join(hot, F.expr("gram = g"), "left_semi").select("words", "first", F.explode(F.expr(f"transform(sequence(0, CAST(length(words) / 8 AS INT) - {WINDOW}), i -> named_struct('i', i, 'w', substring(words, 8 * i + 1, {8 * WINDOW})))")).alias("e"))
-    units = distinct.join(hot, F.expr("gram = g"), "left_anti").select(F.pmod(F.xxhash64("gram"), F.lit(shards)).alias("shard"), "words", "first")
-    single = windows.groupBy(F.col("e.w").alias("words")).agg(F.min("first").alias("first")).select(F.pmod(F.xxhash64("words"), F.lit(shards)).alias("shard"), "words", "first")
-    index = lambda u: ordered_groups(u, "shard").mapInArrow(_indexed, "words binary, firsts array<long>")
-    of_windows = windows.select("words", "e.i", "e.w").join(index(single).select(F.col("words").alias("w2"), F.element_at("firsts", 1).alias("f")), F.expr("w = w2"))
-    of_windows = of_windows.groupBy("words").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "f"))), lambda x: x["f"]).alias("firsts"))
-    # Two hashes of 64 bits stand for a segment's words from here.
-    keys = [F.xxhash64("words").alias("k1"), F.xxhash64("words", F.lit(1)).alias("k2")]
-    found = cut(index(units).unionByName(of_windows).select(*keys, "firsts"))
-    places = segments.select("row", "doc_id", "at", *keys).join(found, ["k1", "k2"])
-    starts = F.expr("filter(transform(firsts, (f, i) -> IF(f < doc_id, at + i, -1)), x -> x >= 0)")
-    gone = places.select("row", F.explode(starts).alias("at")).groupBy(F.col("row").alias("r")).agg(F.collect_list("at").alias("starts"))
-    last = busy.select("row", "doc_id", "packed", "size").join(gone.hint("shuffle_hash"), F.expr("row = r"), "left").select("row", "doc_id", "packed", "size", "starts")
+    each = F.expr(f"transform(sequence(0, CAST(length(words) / 8 AS INT) - {WINDOW}), i -> named_struct('i', i, 'w', substring(words, 8 * i + 1, {8 * WINDOW})))")
+    windows = distinct.join(hot, F.expr("gram = g"), "left_semi").select("gram", "key", "first", F.explode(each).alias("e"))
+    units = distinct.join(hot, F.expr("gram = g"), "left_anti").select(F.pmod(F.xxhash64("gram"), F.lit(shards)).alias("shard"), "gram", "key", "words", "first")
+    # A hot gram's windows are units of their own, told by two hashes.
+    once = windows.groupBy(F.col("e.w").alias("words")).agg(F.min("first").alias("first"))
+    single = once.select(F.pmod(F.xxhash64("words"), F.lit(shards)).alias("shard"), F.xxhash64("words").alias("gram"), F.xxhash64("words", F.lit(1)).alias("key"), "words", "first")
+    index = lambda u: ordered_groups(u, "shard").mapInArrow(_indexed, "gram long, key long, firsts array<long>")
+    answers = index(single).select(F.col("gram").alias("w1"), F.col("key").alias("w2"), F.element_at("firsts", 1).alias("f"))
+    of_windows = windows.select("gram", "key", "e.i", "e.w").join(answers, F.expr("xxhash64(w) = w1 AND xxhash64(w, 1) = w2"))
+    of_windows = of_windows.groupBy("gram", "key").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "f"))), lambda x: x["f"]).alias("firsts"))
+    # A gram and a hash of all words stand for a segment's words from here.
+    found = cut(index(units).unionByName(of_windows))
+    of_rows = busy.select("row", "doc_id", F.explode(F.arrays_zip("ats", "grams", "keys")).alias("s")).select("row", "doc_id", "s.ats", F.col("s.grams").alias("gram"), F.col("s.keys").alias("key"))
+    starts = F.expr("filter(transform(firsts, (f, i) -> IF(f < doc_id, ats + i, -1)), x -> x >= 0)").alias("starts")
+    gone = of_rows.join(found, ["gram", "key"]).select("row", starts).where("size(starts) > 0")
+    gone = gone.groupBy(F.col("row").alias("r")).agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    last = busy.select("row", "doc_id", "packed", "size").join(gone.hint("shuffle_hash"), F.expr("row = r"), "left").select("doc_id", "packed", "size", F.coalesce("starts", F.expr("CAST(array() AS array<int>)")).alias("starts"))
     done = last.mapInArrow(_removed, "doc_id long, n_words long, n_removed long, kept_sha256 string")
     return state.where("sha IS NOT NULL").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("kept_sha256")).unionByName(done)
 
