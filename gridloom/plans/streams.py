@@ -70,34 +70,82 @@ def rerolled(v):
 
 q("ST05_touched_days", rerolled, "hourly", "SELECT CAST(local_hour_start AS DATE) AS local_date, CAST(sum(sample_count) AS BIGINT) AS n, sum(kwh) AS kwh FROM hourly GROUP BY ALL", doubles="kwh")
 
-DELTAS = "hub string, id string, at_s long, kind string, epoch long, fields string"
+FRAMES = "hub string, id string, at_s long, number long, kind string, fields string"
+TARGETS = 4
+_P = 1_000_000_000
 
 
-def deltas(v):
-    """Events as partial deltas of eight objects on two hubs, with seeds, reconnections and syncs."""
-    e = v.table("events")
-    kind = F.when(F.col("event_id") % 211 == 0, "connect").when(F.col("event_id") % 23 == 0, "sync").when(F.col("event_id") % 17 == 0, "seed").otherwise("delta")
+def frames(v):
+    """Events as frames of four objects on each of two hubs: sessions, seeds, and deltas of one field of three; some are null."""
+    n = F.col("event_id")
+    kind = F.when(n % 211 == 0, "connect").when(n % 211 == 105, "disconnect").when(n % 17 == 0, "seed").otherwise("delta")
     at = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(ts AS TIMESTAMP_NTZ))")
-    fields = F.to_json(F.create_map(F.concat(F.lit("f"), (F.col("event_id") % 3).cast("string")), F.when(F.col("event_id") % 11 > 0, F.col("value").cast("string"))))
-    return e.select(F.concat(F.lit("h"), (F.col("user_id") % 2).cast("string")).alias("hub"), (F.col("user_id") % 8).cast("string").alias("id"), at.alias("at_s"), kind.alias("kind"), F.floor(F.col("event_id") / 2110).cast("long").alias("epoch"), F.coalesce(fields, F.lit("{}")).alias("fields"))
+    value = F.when(n % 11 > 0, F.floor("value").cast("string"))
+    fields = F.to_json(F.create_map(F.concat(F.lit("f"), (n % 3).cast("string")), value), {"ignoreNullFields": "false"})
+    return v.table("events").select(F.concat(F.lit("h"), (F.col("user_id") % 2).cast("string")).alias("hub"), (F.col("user_id") % 8).cast("string").alias("id"), at.alias("at_s"), (at * _P + n).alias("number"), kind.alias("kind"), fields.alias("fields"))
 
 
 def merged_stream(v):
-    """Deltas land in time order, one file for each of five stretches, and every file is a micro-batch: state carries over."""
-    path, rows = storage.new_path(v.spark, "deltas"), deltas(v)
-    for lo, hi in ((0, 6), (6, 12), (12, 18), (18, 24), (24, 32)):
-        rows.where(f"dayofmonth(timestamp_seconds(at_s)) BETWEEN {lo + 1} AND {hi}").coalesce(1).write.mode("append").parquet(path)
-    stream = v.spark.readStream.schema(DELTAS).option("maxFilesPerTrigger", 1).parquet(path)
-    return v.spark.read.parquet(ingest.run_to_table(state.merge_deltas(stream), "fields"))
-
-
-q("ST06_merge_deltas", merged_stream)
-q("ST07_seed_guard", lambda v: state.merge_batch(deltas(v)).where("value_source = 'seed'"))
-q("ST08_eviction", lambda v: state.merge_batch(deltas(v)).groupBy("hub", "id", "field").agg(F.max("updated_s").alias("updated_s"), F.count("*").alias("samples")))
-q("ST09_emission_gate", lambda v: state.merge_batch(deltas(v)).groupBy("hub", "id").agg(F.count("*").alias("samples"), F.max(F.col("sample_s") - F.col("updated_s")).alias("oldest_s")))
-q("ST10_sync_rule", lambda v: state.merge_batch(deltas(v).withColumn("kind", F.regexp_replace("kind", "^sync$", "tick"))).groupBy("hub").agg(F.count("*").alias("samples")))
-q("ST11_fixed_cadence", lambda v: state.merge_batch(deltas(v)).groupBy((F.col("sample_s") % state.CADENCE_S).alias("offset_s")).agg(F.count("*").alias("samples")))
-q("ST12_value_sources", lambda v: state.merge_batch(deltas(v)).groupBy("value_source").agg(F.count("*").alias("samples"), F.countDistinct("id").alias("objects")))
+    """Frames land in three stretches of time; the stream is started anew after each, from one checkpoint, and takes its state along."""
+    src, check, out = (storage.new_path(v.spark, n) for n in ("frames", "checkpoint", "merged"))
+    for lo, hi in ((1, 10), (11, 20), (21, 31)):
+        frames(v).where(f"dayofmonth(timestamp_seconds(at_s)) BETWEEN {lo} AND {hi}").repartition(4).write.mode("append").parquet(src)
+        ingest.run_to_table(state.merge_deltas(v.spark.readStream.schema(FRAMES).parquet(src), TARGETS), "merged", checkpoint=check, path=out)
+    return v.spark.read.parquet(out)
+
+
+def samples(v):
+    return merged_stream(v).where("what = 'sample'")
+
+
+def by_mode(v):
+    taken = samples(v)
+    tick = F.ceil(F.col("at_s") / state.CADENCE_S).cast("long") * state.CADENCE_S
+    seeds = frames(v).where("kind = 'seed'").select("hub", "id", tick.alias("at_s"), "number", F.explode(F.from_json("fields", "map<string,string>")).alias("field", "value")).where("value IS NOT NULL")
+    polls = seeds.groupBy("hub", "id", "at_s", "field").agg(F.max_by("value", "number").alias("value"))
+    modes = [state.with_polls(taken, polls, m).withColumn("mode", F.lit(m)) for m in ("ws", "hybrid")]
+    return modes[0].unionByName(modes[1]).groupBy("mode", "value_source").agg(F.count("*").alias("samples"), F.countDistinct("id").alias("objects"))
+
+
+# The same rules as intervals: p orders frames (second, then number), a session runs from its connect to the next mark, a write until the next
+# that takes effect, and a tick sees all frames up to the end of its second.
+_STATE_SQL = f"""WITH e AS (SELECT *, t * {_P} + event_id AS p FROM (SELECT event_id, 'h' || CAST(user_id % 2 AS VARCHAR) AS hub, CAST(user_id % 8 AS VARCHAR) AS id, CAST(floor(epoch(ts)) AS BIGINT) AS t,
+CASE WHEN event_id % 211 = 0 THEN 'connect' WHEN event_id % 211 = 105 THEN 'disconnect' WHEN event_id % 17 = 0 THEN 'seed' ELSE 'delta' END AS kind,
+'f' || CAST(event_id % 3 AS VARCHAR) AS field, CASE WHEN event_id % 11 > 0 THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS v FROM events)),
+over_all AS (SELECT max(t) AS max_t FROM e),
+marks AS (SELECT hub, p AS session, t AS since, kind AS mark, lead(p) OVER (PARTITION BY hub ORDER BY p) AS end_p FROM e WHERE kind IN ('connect', 'disconnect')),
+w AS (SELECT x.*, since, end_p FROM (SELECT *, max(CASE WHEN kind IN ('connect', 'disconnect') THEN p END) OVER (PARTITION BY hub ORDER BY p) AS session FROM e) x JOIN marks USING (hub, session) WHERE mark = 'connect' AND kind IN ('delta', 'seed')),
+flood AS (SELECT hub, session, max(fp) AS flood_p FROM (SELECT hub, session, id, min(p) AS fp FROM w WHERE kind = 'delta' GROUP BY ALL) GROUP BY ALL HAVING count(*) >= {TARGETS}),
+late AS (SELECT hub, session, since, end_p, CASE WHEN min(t) < since + 20 THEN least(min(p) FILTER (t = since + 20), (since + 20) * {_P} + {_P - 1}) ELSE min(p) FILTER (t >= since + 20) END AS late_p FROM w GROUP BY hub, session, since, end_p),
+synced AS (SELECT hub, session, end_p, least(flood_p, late_p) AS sync_p, least(flood_p, late_p) // {_P} AS sync_s, CASE WHEN flood_p <= coalesce(late_p, flood_p) THEN 'flood' ELSE 'timeout' END AS how
+FROM late LEFT JOIN flood USING (hub, session) WHERE least(flood_p, late_p) < coalesce(end_p, (SELECT max_t * {_P} FROM over_all))),
+g AS (SELECT *, count(*) FILTER (kind = 'delta') OVER (PARTITION BY hub, session, id, field ORDER BY p) AS grp FROM w),
+g2 AS (SELECT *, max(CASE WHEN kind = 'delta' THEN v END) OVER gw AS dv, min(CASE WHEN kind = 'seed' AND v IS NOT NULL THEN p END) OVER gw AS fs FROM g WINDOW gw AS (PARTITION BY hub, session, id, field, grp)),
+iv AS (SELECT *, lead(p) OVER (PARTITION BY hub, session, id, field ORDER BY p) AS next_p FROM g2 WHERE kind = 'delta' OR (dv IS NULL AND p = fs)),
+heard AS (SELECT hub, t, lead(t) OVER (PARTITION BY hub ORDER BY t) AS next_t FROM (SELECT DISTINCT hub, t FROM e WHERE kind IN ('delta', 'connect'))),
+ticks AS (SELECT hub, s, s * {_P} + {_P - 1} AS sp FROM (SELECT hub, t, next_t, ((t + 29) // 30 + j) * 30 AS s FROM heard, (VALUES (0), (1), (2), (3)) js(j)), over_all WHERE s - t <= 90 AND s < coalesce(next_t, max_t) AND s < max_t),
+samples AS (SELECT k.hub, i.id, k.s AS at_s, i.field, i.v AS value, i.t AS updated_s, i.kind AS value_source, i.session FROM ticks k JOIN synced c ON c.hub = k.hub AND sync_p <= sp AND (c.end_p IS NULL OR c.end_p > sp)
+JOIN iv i ON i.hub = c.hub AND i.session = c.session AND i.p <= sp AND (next_p IS NULL OR next_p > sp) WHERE v IS NOT NULL),
+ends AS (SELECT hub, session, id, field, v FROM (SELECT DISTINCT hub, session, id, field FROM w) LEFT JOIN (SELECT hub, session, id, field, v FROM iv WHERE next_p IS NULL) USING (hub, session, id, field)),
+evicted AS (SELECT hub, id, field, session, at_s FROM (SELECT c.hub, l.id, l.field, c.session, c.sync_s AS at_s, c.sync_p, l.v, row_number() OVER (PARTITION BY c.hub, c.session, l.id, l.field ORDER BY l.session DESC) AS r
+FROM (SELECT *, lag(session) OVER (PARTITION BY hub ORDER BY session) AS before FROM synced) c JOIN ends l ON l.hub = c.hub AND l.session < c.session AND l.session >= coalesce(c.before, 0)) z
+WHERE r = 1 AND v IS NOT NULL AND NOT EXISTS (SELECT 1 FROM w WHERE w.hub = z.hub AND w.id = z.id AND w.field = z.field AND w.session = z.session AND w.p <= z.sync_p))
+"""
+_BY_FIELD = "hub, id, field, count(*) AS samples, CAST(sum(CAST(value AS BIGINT)) AS BIGINT) AS total, max(at_s) AS last_s"
+_SEEDED = "hub, id, field, session, updated_s, count(*) AS samples"
+_GATE = "hub, session, count(DISTINCT at_s) AS ticks, min(at_s) AS first_s, max(at_s) AS last_s, max(at_s - updated_s) AS oldest_s"
+_CADENCE = f"hub, at_s % {state.CADENCE_S} AS offset_s, count(*) AS samples, count(DISTINCT at_s) AS ticks"
+
+
+q("ST06_merge_deltas", lambda v: samples(v).groupBy("hub", "id", "field").agg(F.count("*").alias("samples"), F.sum(F.col("value").cast("long")).alias("total"), F.max("at_s").alias("last_s")), "", f"{_STATE_SQL} SELECT {_BY_FIELD} FROM samples GROUP BY ALL")
+q("ST07_seed_guard", lambda v: samples(v).where("value_source = 'seed'").groupBy("hub", "id", "field", "session", "updated_s").agg(F.count("*").alias("samples")), "", f"{_STATE_SQL} SELECT {_SEEDED} FROM samples WHERE value_source = 'seed' GROUP BY ALL")
+q("ST08_eviction", lambda v: merged_stream(v).where("what = 'evicted'").select("hub", "id", "field", "session", "at_s"), "", f"{_STATE_SQL} SELECT * FROM evicted")
+q("ST09_emission_gate", lambda v: samples(v).groupBy("hub", "session").agg(F.countDistinct("at_s").alias("ticks"), F.min("at_s").alias("first_s"), F.max("at_s").alias("last_s"), F.max(F.col("at_s") - F.col("updated_s")).alias("oldest_s")), "", f"{_STATE_SQL} SELECT {_GATE} FROM samples GROUP BY ALL")
+q("ST10_sync_rule", lambda v: merged_stream(v).where("what = 'sync'").select("hub", "session", "at_s", F.col("value").alias("how")), "", f"{_STATE_SQL} SELECT hub, session, sync_s AS at_s, how FROM synced")
+q("ST11_fixed_cadence", lambda v: samples(v).groupBy("hub", (F.col("at_s") % state.CADENCE_S).alias("offset_s")).agg(F.count("*").alias("samples"), F.countDistinct("at_s").alias("ticks")), "", f"{_STATE_SQL} SELECT {_CADENCE} FROM samples GROUP BY ALL")
+q("ST12_value_sources", by_mode, "", f"""{_STATE_SQL}, polls AS (SELECT DISTINCT hub, id, field, (t + 29) // 30 * 30 AS at_s FROM e WHERE kind = 'seed' AND v IS NOT NULL),
+modes AS (SELECT 'ws' AS mode, value_source, id FROM samples UNION ALL SELECT 'hybrid', value_source, id FROM samples UNION ALL SELECT 'hybrid', 'rest', id FROM polls p WHERE NOT EXISTS (SELECT 1 FROM samples s WHERE s.hub = p.hub AND s.at_s = p.at_s))
+SELECT mode, value_source, count(*) AS samples, count(DISTINCT id) AS objects FROM modes GROUP BY ALL""")
 
 
 def restarted(v):

@@ -1,6 +1,14 @@
-"""Partial deltas merged per object: last writer wins, absent is not null, null clears; with eviction, seeds and gated emission.
+"""Pushed partial deltas merged per hub, with sessions, seeds, eviction, a gate, and samples at a fixed cadence.
 
-The processor keeps one small record per object, so state grows with objects, not with deltas.
+Frames are ordered by second and sequence. ``connect`` opens a session and ``disconnect`` ends it; frames outside a session are
+dropped. A ``delta`` sets the fields it names and leaves others; a null clears. A ``seed`` (a polled snapshot) sets a field only
+where the session holds no value for it. A session is in sync once deltas touched every target of the hub (``flood``), or
+``SYNC_TIMEOUT_S`` after it opened if anything has come by then, else when something comes (``timeout``). Fields that the session has not
+established are dropped at sync, by membership and never by age. While in sync and heard from (a delta or the connect) within
+``SILENCE_S``, each field with a value gives a row at every ``CADENCE_S``-th second; otherwise nothing does.
+
+State is one record per hub, so it grows with hubs and their objects, not with frames. What is due after a hub's last frame comes by an
+event-time timer.
 """
 
 from __future__ import annotations
@@ -10,110 +18,119 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-#: One row per field an object has, at each sample. ``value_source`` tells a seed from a delta.
-OUTPUT = "hub string, id string, sample_s long, field string, value string, updated_s long, value_source string"
-STATE = "fields string, epoch long, synced boolean, heard_s long, next_s long, since_s long"
+#: One row per field and sample (``what`` = sample), dropped field (evicted), or session that comes in sync (sync: ``value`` is how).
+OUTPUT = "hub string, id string, at_s long, field string, value string, updated_s long, value_source string, session long, what string"
+STATE = "record string"
 SILENCE_S = 90
 CADENCE_S = 30
 SYNC_TIMEOUT_S = 20
-
-
-class ObjectState:
-    """The fields of one object, as a pure value: ``fields`` maps a name to (value, second, epoch, source); a null value is a cleared field."""
-
-    def __init__(self, fields: dict | None = None, epoch: int = 0, synced: bool = False, heard_s: int = 0, next_s: int = 0, since_s: int = 0):
-        self.fields, self.epoch, self.synced, self.heard_s, self.next_s, self.since_s = fields or {}, epoch, synced, heard_s, next_s, since_s
-
-    def apply(self, delta: dict[str, str | None], at_s: int, epoch: int, seed: bool = False, only_older_than: int | None = None) -> tuple[int, int]:
-        """(applied, cleared). A seed never overwrites a field that a delta set at or after ``only_older_than``."""
-        applied = cleared = 0
-        for name, value in delta.items():
-            old = self.fields.get(name)
-            if old and old[1] > at_s:
-                continue
-            if old and seed and only_older_than is not None and old[1] >= only_older_than:
-                continue
-            # A cleared field keeps its time, so that an older delta that arrives later does not bring it back.
-            self.fields[name] = (value, at_s, epoch, "seed" if seed else "delta")
-            applied += value is not None
-            cleared += value is None and old is not None and old[0] is not None
-        self.heard_s, self.epoch = max(self.heard_s, at_s), max(self.epoch, epoch)
-        return applied, cleared
-
-    def evict_before(self, epoch: int) -> int:
-        """Drop fields that the current connection has not established: by membership, never by age."""
-        gone = {n: f[0] for n, f in self.fields.items() if f[2] < epoch}
-        for n in gone:
-            del self.fields[n]
-        return sum(v is not None for v in gone.values())
-
-    def open_at(self, now_s: int) -> bool:
-        """The emission gate: synced, and heard from lately."""
-        return self.synced and now_s - self.heard_s <= SILENCE_S
-
-    def samples(self, until_s: int) -> Iterator[tuple]:
-        """(second, field, value, updated, source) at each cadence step up to ``until_s``; nothing while the gate is shut."""
-        while self.next_s and self.next_s <= until_s:
-            if not self.open_at(self.next_s):  # and shut it stays until the next event
-                self.next_s = (until_s // CADENCE_S + 1) * CADENCE_S
-                return
-            for name, (value, at, _, source) in sorted(self.fields.items()):
+_NAMES = [c.split()[0] for c in OUTPUT.split(", ")]
+
+
+class HubState:
+    """One hub's record. ``fields`` maps an object to its fields, each (value, second, session, source); a null value is a cleared field."""
+
+    def __init__(self, targets: int, record: dict | None = None):
+        r = record or {}
+        self.targets = targets
+        self.fields: dict[str, dict[str, list]] = r.get("fields", {})
+        self.session, self.since, self.heard, self.tick = r.get("session", 0), r.get("since", 0), r.get("heard", 0), r.get("tick", 0)
+        self.connected, self.synced, self.content = r.get("connected", False), r.get("synced", False), r.get("content", False)
+        self.touched: list[str] = r.get("touched", [])
+
+    def record(self) -> dict:
+        return {k: v for k, v in vars(self).items() if k != "targets"}
+
+    def due(self) -> int | None:
+        """The next second at which something can happen without a frame."""
+        if not self.connected or not (self.synced or self.content):
+            return None
+        return self.tick if self.synced and self.tick <= self.heard + SILENCE_S else None if self.synced else self.since + SYNC_TIMEOUT_S
+
+    def advance(self, until: int) -> Iterator[tuple]:
+        """All that is due up to the second ``until``."""
+        first = self.tick
+        if self.connected and not self.synced and self.content and self.since + SYNC_TIMEOUT_S <= until:
+            at = self.since + SYNC_TIMEOUT_S
+            yield from self._sync("timeout", at)
+            first = max(first, -(-at // CADENCE_S) * CADENCE_S)
+        if self.connected and self.synced:
+            for s in range(first, min(until, self.heard + SILENCE_S) + 1, CADENCE_S):
+                for i, held in self.fields.items():
+                    for name, (value, at, session, source) in held.items():
+                        if value is not None:
+                            yield i, s, name, value, at, source, session, "sample"
+        self.tick = max(self.tick, (until // CADENCE_S + 1) * CADENCE_S)
+
+    def frame(self, kind: str, at: int, number: int, i: str, fields: dict[str, str | None]) -> Iterator[tuple]:
+        """One frame, after all that was due before its second."""
+        yield from self.advance(at - 1)
+        if kind == "connect":
+            self.connected, self.synced, self.content, self.touched = True, False, False, []
+            self.session, self.since, self.heard = number, at, at
+        elif kind == "disconnect":
+            self.connected = self.synced = False
+        elif self.connected:
+            self.content = True
+            if kind == "delta":
+                self.heard = at
+                if i not in self.touched:
+                    self.touched.append(i)
+            held = self.fields.setdefault(i, {})
+            for name, value in fields.items():
+                old = held.get(name)
+                guarded = kind == "seed" and old is not None and old[0] is not None and old[2] == self.session
+                if not guarded and not (old is not None and old[1] > at):
+                    held[name] = [value, at, self.session, kind]
+            if not self.synced and len(self.touched) >= self.targets:
+                yield from self._sync("flood", at)
+            elif not self.synced and at >= self.since + SYNC_TIMEOUT_S:
+                yield from self._sync("timeout", at)
+
+    def _sync(self, how: str, at: int) -> Iterator[tuple]:
+        self.synced = True
+        yield None, at, None, how, None, None, self.session, "sync"
+        for i, held in self.fields.items():
+            for name in [n for n, f in held.items() if f[2] != self.session]:
+                value, updated, _, source = held.pop(name)
                 if value is not None:
-                    yield self.next_s, name, value, at, source
-            self.next_s += CADENCE_S
-
-    def dump(self) -> tuple:
-        return json.dumps(self.fields), self.epoch, self.synced, self.heard_s, self.next_s, self.since_s
-
-    @classmethod
-    def load(cls, row: tuple) -> ObjectState:
-        return cls({k: tuple(v) for k, v in json.loads(row[0]).items()}, *row[1:])
-
-
-def step(state: ObjectState, event: dict, out: list) -> None:
-    """One event in order: 'delta', 'seed', 'connect' (a new epoch), 'sync' or 'tick'."""
-    at = int(event["at_s"])
-    out.extend(state.samples(at - 1))
-    kind, epoch = event["kind"], int(event["epoch"])
-    state.since_s = state.since_s or at
-    if kind == "connect":
-        state.epoch, state.synced, state.since_s = epoch, False, at
-    elif kind == "sync":
-        state.evict_before(epoch)
-        state.synced = True
-    elif kind in ("delta", "seed"):
-        state.apply(json.loads(event["fields"]), at, epoch, kind == "seed", at if kind == "seed" else None)
-        if not state.synced and at - state.since_s >= SYNC_TIMEOUT_S and any(f[0] is not None for f in state.fields.values()):
-            state.synced = True
-    if not state.next_s:
-        state.next_s = (at // CADENCE_S + 1) * CADENCE_S
-
-
-def _update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    now = ObjectState.load(state.get) if state.exists else ObjectState()
-    events = pd.concat(list(frames)).sort_values(["at_s", "kind", "fields"])
-    out: list = []
-    for event in events.to_dict("records"):
-        step(now, event, out)
-    state.update(now.dump())
-    rows = [(key[0], key[1], s, f, v, u, src) for s, f, v, u, src in out]
-    yield pd.DataFrame(rows, columns=["hub", "id", "sample_s", "field", "value", "updated_s", "value_source"])
-
-
-def merge_deltas(stream: DataFrame) -> DataFrame:
-    """Sampled fields of every object of a stream of (hub, id, at_s, kind, epoch, fields as JSON)."""
-    return stream.groupBy("hub", "id").applyInPandasWithState(_update, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
-
-
-def merge_batch(events: DataFrame) -> DataFrame:
-    """The same over a table: an object's whole history in order."""
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        now, out = ObjectState(), []
-        for event in pdf.sort_values(["at_s", "kind", "fields"]).to_dict("records"):
-            step(now, event, out)
-        return pd.DataFrame([(pdf["hub"].iloc[0], pdf["id"].iloc[0], *r) for r in out], columns=["hub", "id", "sample_s", "field", "value", "updated_s", "value_source"])
-
-    return events.groupBy("hub", "id").applyInPandas(one, OUTPUT)
+                    yield i, at, name, None, updated, source, self.session, "evicted"
+
+
+def merge_deltas(stream: DataFrame, targets: int) -> DataFrame:
+    """What the hubs of a stream of (hub, id, at_s, number, kind, fields as JSON) give; ``targets``: objects of a hub.
+
+    ``number`` orders frames and is unique in a hub. Frames at or before the watermark (the latest second of earlier batches) are dropped.
+    """
+
+    def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        hub = HubState(targets, json.loads(state.get[0]) if state.exists else None)
+        out: list[tuple] = []
+        if state.hasTimedOut:
+            out.extend(hub.advance(state.getCurrentWatermarkMs() // 1000 - 1))
+        else:
+            rows = pd.concat(list(frames)).sort_values("number")
+            for kind, at, number, i, fields in zip(rows["kind"], rows["at_s"], rows["number"], rows["id"], rows["fields"], strict=True):
+                out.extend(hub.frame(kind, int(at), int(number), i, json.loads(fields)))
+        state.update((json.dumps(hub.record()),))
+        if (due := hub.due()) is not None:
+            state.setTimeoutTimestamp(max(due * 1000, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame([(key[0], *r) for r in out], columns=_NAMES).astype({"updated_s": "Int64"})
+
+    timed = stream.withColumn("event_time", F.timestamp_seconds("at_s")).withWatermark("event_time", "0 seconds")
+    return timed.groupBy("hub").applyInPandasWithState(update, OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def with_polls(samples: DataFrame, polls: DataFrame, mode: str) -> DataFrame:
+    """Samples by mode: ``ws`` leaves a gap where the push feed gave none; ``hybrid`` takes the polled rows (hub, id, at_s, field, value) there,
+    and ``value_source`` tells them."""
+    if mode not in ("ws", "hybrid"):
+        raise ValueError(f"mode {mode!r}: ws or hybrid")
+    cols = ["hub", "id", "at_s", "field", "value", "value_source"]
+    if mode == "ws":
+        return samples.select(*cols)
+    missing = polls.join(samples.select("hub", "at_s").distinct(), ["hub", "at_s"], "left_anti")
+    return samples.select(*cols).unionByName(missing.withColumn("value_source", F.lit("rest")).select(*cols))

@@ -16,7 +16,7 @@ from gridloom.operators import anomalies, coverage, dedupe, dimension, hvac, int
 from gridloom.plans.reports import bucket_width
 from gridloom.schemas import OBSERVATION, ContractError, conform
 from gridloom.sources import payloads
-from gridloom.streaming.state import ObjectState, step
+from gridloom.streaming.state import HubState
 
 UTC0 = datetime(2024, 1, 10, 12)
 
@@ -168,26 +168,32 @@ def test_unpositioned_breakers_and_null_legs_have_no_rows(spark):
     assert sorted((r.channel_id, r.value) for r in rows) == [("breaker_p4", 11.0), ("ct_1_a", 7.0)]
 
 
-def test_object_state_rules():
-    o = ObjectState()
-    assert o.apply({"a": "1", "b": "2"}, 10, 1) == (2, 0) and o.apply({"a": None}, 11, 1) == (0, 1)
-    assert o.apply({"b": "0"}, 9, 1) == (0, 0)  # older than what is held
-    assert o.apply({"a": "0"}, 10, 1) == (0, 0) and o.fields["a"][0] is None  # and so is what was cleared since
-    assert o.apply({"b": "9"}, 12, 1, seed=True, only_older_than=10) == (0, 0)
-    o.apply({"c": "3"}, 20, 2)
-    assert o.evict_before(2) == 1 and list(o.fields) == ["c"]
-    assert not o.open_at(21)
-    o.synced = True
-    assert o.open_at(21) and not o.open_at(200)
-
-
-def test_steps_emit_on_cadence_while_heard():
-    o, out = ObjectState(), []
-    event = lambda at, kind, fields="{}": step(o, {"at_s": at, "kind": kind, "epoch": 1, "fields": fields}, out)
-    event(5, "delta", '{"a": "1"}')
-    event(6, "sync")
-    event(400, "delta", '{"a": "2"}')
-    assert [x[0] for x in out] == [30, 60, 90]
+def drive(hub, *frames):
+    out = []
+    for n, (kind, at, i, fields) in enumerate(frames):
+        out.extend(hub.frame(kind, at, n + 1, i, fields))
+    return out
+
+
+def test_hub_merges_clears_and_guards():
+    hub = HubState(1)
+    out = drive(hub, ("delta", 3, "x", {"z": "0"}), ("connect", 5, "", {}), ("delta", 6, "x", {"a": "1", "b": "2"}), ("delta", 7, "x", {"a": None}), ("seed", 8, "x", {"a": "7", "b": "9", "c": "3"}), ("delta", 31, "x", {"c": "4"}))
+    assert out[0][1:4] == (6, None, "flood")  # frames before a connect are dropped; the only target is touched
+    assert sorted((r[1], r[2], r[3], r[5]) for r in out[1:]) == [(30, "a", "7", "seed"), (30, "b", "2", "delta"), (30, "c", "3", "seed")]
+
+
+def test_hub_is_silent_unless_in_sync_and_heard():
+    hub = HubState(2)
+    out = drive(hub, ("connect", 0, "", {}), ("seed", 1, "y", {"a": "5"}), ("delta", 400, "x", {"a": "1"}), ("disconnect", 500, "", {}), ("delta", 501, "x", {"a": "2"}))
+    assert [(r[0], r[1], r[3], r[7]) for r in out] == [(None, 20, "timeout", "sync"), *(("y", s, "5", "sample") for s in (30, 60, 90)), *((i, s, v, "sample") for s in (420, 450, 480) for i, v in (("y", "5"), ("x", "1")))]
+
+
+def test_hub_evicts_by_session_never_by_age():
+    hub = HubState(2)
+    drive(hub, ("connect", 0, "", {}), ("delta", 1, "x", {"a": "1", "b": "2"}), ("delta", 2, "y", {"a": "1"}))
+    out = list(hub.frame("connect", 10, 10, "", {})) + list(hub.frame("delta", 11, 11, "x", {"a": "3"})) + list(hub.advance(60))
+    assert [(r[0], r[1], r[2], r[7]) for r in out] == [(None, 30, None, "sync"), ("x", 30, "b", "evicted"), ("y", 30, "a", "evicted"), ("x", 30, "a", "sample"), ("x", 60, "a", "sample")]
+    assert hub.due() == 90 and HubState(2, hub.record()).record() == hub.record()
 
 
 def test_bucket_choice():
