@@ -38,6 +38,12 @@ def unmapped(live: DataFrame, dim: DataFrame) -> DataFrame:
     return live.select(*CHANNEL).distinct().join(dim.select(*CHANNEL), CHANNEL, "left_anti").withColumn("suggested", channel_name())
 
 
+def skeleton(live: DataFrame, dim: DataFrame) -> DataFrame:
+    """Map entries to fill in for live channels that the dimension lacks: what is known is set, what a person must say is null."""
+    empty = [F.lit(None).cast("string").alias(c) for c in ("label", "category", "panel")]
+    return unmapped(live, dim).select(*CHANNEL, "suggested", *empty, F.lit(False).alias("is_primary"))
+
+
 def layout_diff(before: DataFrame, after: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Keys whose value changed, appeared or went: history under the same id would change its meaning."""
     b, a = before.select(*keys, F.col(value).alias("before")), after.select(*keys, F.col(value).alias("after"))

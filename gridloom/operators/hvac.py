@@ -37,8 +37,8 @@ def off_state(pairs: DataFrame, idle_w: float = 25.0) -> DataFrame:
 
 
 def feeder_profile(pairs: DataFrame, speed: str = "rpm") -> DataFrame:
-    """Correlation of watts with speed and with its cube."""
-    return pairs.withColumn("cube", F.pow(F.col(speed), 3)).agg(F.count("*").alias("n"), pearson(speed, "watts").alias("r_speed"), pearson("cube", "watts").alias("r_cube"))
+    """Correlation of watts with speed, its cube, air flow and capacity."""
+    return pairs.withColumn("cube", F.pow(F.col(speed), 3)).agg(F.count("*").alias("n"), pearson(speed, "watts").alias("r_speed"), pearson("cube", "watts").alias("r_cube"), pearson("cfm", "watts").alias("r_cfm"), pearson("capacity", "watts").alias("r_capacity"))
 
 
 def speed_bands(pairs: DataFrame, speed: str = "rpm", width: int = 200) -> DataFrame:

@@ -56,6 +56,23 @@ def cadence(raw: DataFrame, expected_s: float, least: int = 20, tolerance: float
     return d.withColumn("agrees", ok)
 
 
+class CadenceError(ValueError):
+    """The samples' own interval is not the configured one, so energy would be wrong by their ratio."""
+
+
+def checked_rollup(raw: DataFrame, poll_interval_s: float = 30, tz: str = TZ, allow_mismatch: bool = False) -> DataFrame:
+    """The hourly rollup behind the cadence check: days that contradict ``poll_interval_s`` are an error that names the first of them, or, with
+    ``allow_mismatch``, rows whose ``cadence_agrees`` is false. Days with too few samples for a verdict pass, as null. Runs the check at once."""
+    days = cadence(raw, poll_interval_s, tz=tz)
+    hourly = hourly_rollup(raw, poll_interval_s, tz)
+    if not allow_mismatch:
+        off = days.where("NOT agrees").orderBy("local_day").limit(5).collect()  # for the message
+        if off:
+            raise CadenceError(f"configured {poll_interval_s} s; observed " + ", ".join(f"{r.local_day}: {r.observed_s:g} s" for r in off))
+    verdicts = days.select("local_day", F.col("agrees").alias("cadence_agrees"))
+    return hourly.withColumn("local_day", F.to_date("local_hour_start")).join(verdicts, "local_day", "left").drop("local_day")
+
+
 def reconcile(raw: DataFrame, hourly: DataFrame) -> DataFrame:
     """(raw_rows, rolled_rows): equal, or samples were lost."""
     a = raw.where(~F.col("metric").isin(*DAY_GRAIN)).agg(F.count("*").alias("raw_rows"))

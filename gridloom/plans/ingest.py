@@ -204,6 +204,7 @@ def live_docs(v):
 
 
 q("I16_live_channels", lambda v: p.live_channels(live_docs(v)), "obs", "SELECT DISTINCT source, device_id, channel_id FROM obs")
+q("Q21_skeleton_rows", lambda v: dimension.skeleton(p.live_channels(live_docs(v)), v.dim).drop("suggested"), "obs dim", "SELECT DISTINCT source, device_id, channel_id, CAST(NULL AS VARCHAR) AS label, CAST(NULL AS VARCHAR) AS category, CAST(NULL AS VARCHAR) AS panel, false AS is_primary FROM obs ANTI JOIN dim USING (source, device_id, channel_id)")
 q("Q21_discover_unmapped", lambda v: dimension.unmapped(p.live_channels(live_docs(v)), v.dim).select(*CHANNEL), "obs dim", "SELECT DISTINCT source, device_id, channel_id FROM obs ANTI JOIN dim USING (source, device_id, channel_id)")
 
 

@@ -9,7 +9,7 @@ from ..functions import scalar as s
 from ..operators import aggregates as a
 from ..operators import anomalies as an
 from ..operators import coverage as cov
-from ..operators import dimension, hvac, integrity
+from ..operators import dimension, hvac, integrity, reports, rollup
 from ..operators import meters as m
 from ..schemas import CHANNEL
 from ..views import POLL_S
@@ -95,18 +95,18 @@ _STATES = "CASE event_type WHEN 'click' THEN 'off' WHEN 'view' THEN 'low' WHEN '
 def pairs(v):
     """Capacity and state of volts samples with the same bucket's mean feed watts."""
     state = F.when(F.col("event_type") == "click", "off").when(F.col("event_type") == "view", "low").when(F.col("event_type") == "error", "high").when(F.col("event_type") == "signup", "idle").otherwise("dehumidify")
-    states = v.obs.where("metric = 'volts'").groupBy(lt.bucket("ts_utc", 3600).alias("bucket")).agg(F.avg((F.col("event_id") % 101).cast("double")).alias("capacity"), F.max(state).alias("state"), F.avg((F.col("event_id") % 5000).cast("double")).alias("rpm"))
+    states = v.obs.where("metric = 'volts'").groupBy(lt.bucket("ts_utc", 3600).alias("bucket")).agg(F.avg((F.col("event_id") % 101).cast("double")).alias("capacity"), F.max(state).alias("state"), F.avg((F.col("event_id") % 5000).cast("double")).alias("rpm"), F.avg((F.col("event_id") % 700).cast("double")).alias("cfm"))
     power = v.obs.where("metric = 'watts'").where(s.level() == "feed").groupBy(lt.bucket("ts_utc", 3600).alias("bucket")).agg(F.avg("value").alias("watts"))
     return hvac.state_vs_power(states, power)
 
 
-_PAIRS = f"; p AS (SELECT * FROM (SELECT date_trunc('hour', ts_utc) AS bucket, avg(event_id % 101) AS capacity, max({_STATES}) AS state, avg(event_id % 5000) AS rpm FROM obs WHERE metric = 'volts' GROUP BY ALL) LEFT JOIN (SELECT date_trunc('hour', ts_utc) AS bucket, avg(value) AS watts FROM obs WHERE metric = 'watts' AND {FEED} GROUP BY ALL) USING (bucket)), c AS (SELECT *, watts / capacity AS pp FROM p WHERE capacity > 0 AND watts IS NOT NULL)"
-q("Q12_state_vs_power", pairs, "obs", _PAIRS + " SELECT * FROM p", doubles="capacity rpm watts")
+_PAIRS = f"; p AS (SELECT * FROM (SELECT date_trunc('hour', ts_utc) AS bucket, avg(event_id % 101) AS capacity, max({_STATES}) AS state, avg(event_id % 5000) AS rpm, avg(event_id % 700) AS cfm FROM obs WHERE metric = 'volts' GROUP BY ALL) LEFT JOIN (SELECT date_trunc('hour', ts_utc) AS bucket, avg(value) AS watts FROM obs WHERE metric = 'watts' AND {FEED} GROUP BY ALL) USING (bucket)), c AS (SELECT *, watts / capacity AS pp FROM p WHERE capacity > 0 AND watts IS NOT NULL)"
+q("Q12_state_vs_power", pairs, "obs", _PAIRS + " SELECT * FROM p", doubles="capacity rpm cfm watts")
 q("A24_capacity_agreement", lambda v: hvac.agreement(pairs(v)), "obs", _PAIRS + " SELECT count(*) AS n, corr(capacity, watts) AS r, avg(pp) AS w_per_point, stddev_pop(pp) AS sd, avg(pp) * 100 AS full_load_w FROM c", doubles="r w_per_point sd full_load_w")
 q("A24_capacity_bands", lambda v: hvac.capacity_bands(pairs(v)), "obs", _PAIRS + " SELECT CAST(round_even(capacity / 5, 0) * 5 AS INTEGER) AS band, count(*) AS n, avg(watts) AS mean_w, min(watts) AS min_w, max(watts) AS max_w FROM p WHERE capacity > 0 GROUP BY ALL", doubles="mean_w min_w max_w")
 _RUN = "state NOT IN ('off', 'idle')"
 q("A25_off_state", lambda v: hvac.off_state(pairs(v)), "obs", _PAIRS + f" SELECT count(*) FILTER (WHERE NOT {_RUN} AND watts <= 25) AS off_quiet, count(*) FILTER (WHERE NOT {_RUN} AND watts > 25) AS off_drawing, count(*) FILTER (WHERE {_RUN} AND watts > 25) AS on_drawing, count(*) FILTER (WHERE {_RUN} AND watts <= 25) AS on_quiet, max(watts) FILTER (WHERE NOT {_RUN}) AS off_max_w, avg(watts) FILTER (WHERE {_RUN}) AS on_mean_w FROM p".replace("NOT state NOT IN", "state IN"), doubles="off_max_w on_mean_w")
-q("A26_feeder_profile", lambda v: hvac.feeder_profile(pairs(v)), "obs", _PAIRS + " SELECT count(*) AS n, corr(rpm, watts) AS r_speed, corr(pow(rpm, 3), watts) AS r_cube FROM p", doubles="r_speed r_cube")
+q("A26_feeder_profile", lambda v: hvac.feeder_profile(pairs(v)), "obs", _PAIRS + " SELECT count(*) AS n, corr(rpm, watts) AS r_speed, corr(pow(rpm, 3), watts) AS r_cube, corr(cfm, watts) AS r_cfm, corr(capacity, watts) AS r_capacity FROM p", doubles="r_speed r_cube r_cfm r_capacity")
 q("A26_speed_bands", lambda v: hvac.speed_bands(pairs(v)), "obs", _PAIRS + " SELECT CAST(floor(rpm / 200) * 200 AS BIGINT) AS band, count(*) AS n, avg(watts) AS mean_w FROM p GROUP BY ALL", doubles="mean_w")
 q("P27_modelled_power", lambda v: hvac.modelled(pairs(v)).select("bucket", "modelled_w", "residual_w"), "obs", _PAIRS + ", k AS (SELECT CASE WHEN count(*) >= 30 THEN avg(pp) ELSE 29.9 END AS coefficient FROM c) SELECT bucket, capacity * coefficient AS modelled_w, watts - capacity * coefficient AS residual_w FROM p, k", doubles="modelled_w residual_w")
 q("Q09_hvac_compare", lambda v: hvac.modelled(pairs(v)).groupBy("state").agg(F.count("*").alias("buckets"), F.avg("watts").alias("mean_w"), F.avg(F.abs("residual_w")).alias("mean_abs_residual_w")), "obs", _PAIRS + ", k AS (SELECT CASE WHEN count(*) >= 30 THEN avg(pp) ELSE 29.9 END AS coefficient FROM c) SELECT state, count(*) AS buckets, avg(watts) AS mean_w, avg(abs(watts - capacity * coefficient)) AS mean_abs_residual_w FROM p, k GROUP BY ALL", doubles="mean_w mean_abs_residual_w")
@@ -139,3 +139,26 @@ q("P24_coverage_classes", lambda v: cov.matrix(v.hourly, 3600).groupBy("status")
 q("J16_decode_join", lambda v: v.obs.withColumn("code", (F.col("event_id") % 6).cast("int")).join(v.spark.createDataFrame([(0, "off"), (1, "low"), (2, "high"), (3, "idle"), (4, "dehumidify")], "code int, word string"), "code", "left").groupBy("code", "word").agg(F.count("*").alias("n")), "obs", "SELECT CAST(event_id % 6 AS INTEGER) AS code, list_element(['off', 'low', 'high', 'idle', 'dehumidify'], CAST(event_id % 6 + 1 AS INTEGER)) AS word, count(*) AS n FROM obs GROUP BY ALL")
 q("Q20_layout_changes", lambda v: dimension.layout_diff(*latest_kinds(v), LAYOUT, "kind").groupBy("change").agg(F.count("*").alias("n")), "obs", f"; {LAYOUTS} SELECT {CHANGE} AS change, count(*) AS n FROM b FULL JOIN a USING (device_id, channel_id, user_id) WHERE before IS DISTINCT FROM after GROUP BY ALL")
 q("Q01_rollup", lambda v: v.hourly.groupBy(F.to_date("local_hour_start").alias("local_day"), "metric").agg(F.sum("sample_count").alias("samples"), F.sum("kwh").alias("kwh"), F.max("p95").alias("p95")), "hourly", f"SELECT {DAY} AS local_day, metric, CAST(sum(sample_count) AS BIGINT) AS samples, sum(kwh) AS kwh, max(p95) AS p95 FROM hourly GROUP BY ALL", doubles="kwh p95")
+
+# -------------------------------------------------------------------------------------------------- blocks of composite reports
+FIRST, LAST, NOW = "2024-01-02", "2024-01-29", "2024-01-20 12:30:00"
+_RANGE = f"{DAY} BETWEEN DATE '{FIRST}' AND DATE '{LAST}'"
+
+
+def history(block: str):
+    return lambda v: reports.history(v.hourly, v.daily, v.meter, v.dim, FIRST, LAST, POLL_S)[block]
+
+
+q("Q04_history_circuit_days", history("circuit_days"), "hourly", f"SELECT {DAY} AS local_day, device_id || '/' || channel_id AS series, {LEVEL} AS level, sum(kwh) AS kwh FROM hourly WHERE metric = 'watts' AND {_RANGE} GROUP BY ALL", doubles="kwh")
+q("Q04_history_meter", history("meter"), "hourly meter", f"; p AS (SELECT local_day, sum(kwh) AS panel_kwh, count(*) AS series, CAST(min(n) AS BIGINT) AS worst_samples FROM (SELECT {DAY} AS local_day, device_id, channel_id, sum(kwh) AS kwh, sum(sample_count) AS n FROM hourly WHERE metric = 'watts' AND {FEED} AND {_RANGE} GROUP BY ALL) GROUP BY ALL), m AS (SELECT device_id, CAST(ts_local AS DATE) AS local_day, sum(value) AS meter_kwh, count(*) AS intervals FROM meter WHERE interval_s = 900 AND CAST(ts_local AS DATE) BETWEEN DATE '{FIRST}' AND DATE '{LAST}' GROUP BY ALL) SELECT *, panel_kwh - meter_kwh AS delta_kwh FROM p FULL JOIN m USING (local_day)", doubles="panel_kwh meter_kwh delta_kwh")
+# Orders lie in other years than events, so the components' block is asked for the years of the orders.
+q("Q04_history_hvac", lambda v: reports.history(v.hourly, v.daily, v.meter, v.dim, "1992-01-01", "1998-12-31", POLL_S)["hvac"], "daily", "SELECT local_day, " + ", ".join(f"max(kwh) FILTER (WHERE channel_id = '{c}') AS kwh_{c}" for c in ("low", "medium", "high", "urgent", "not_specified")) + ", sum(usd) AS usd, count(*) AS components FROM daily WHERE local_day BETWEEN DATE '1992-01-01' AND DATE '1998-12-31' GROUP BY ALL", doubles="kwh_low kwh_medium kwh_high kwh_urgent kwh_not_specified usd")
+q("Q04_history_coverage", history("coverage"), "hourly", f"; p AS (SELECT {DAY} AS local_day, source, device_id, channel_id, metric, CAST(sum(sample_count) AS BIGINT) AS samples, CAST({86400 // POLL_S} AS BIGINT) AS expected, sum(sample_count) / {86400 / POLL_S} * 100 AS coverage_pct FROM hourly WHERE {_RANGE} GROUP BY ALL) SELECT *, CAST(24 AS BIGINT) AS hours, CASE WHEN coverage_pct >= 98 THEN 'complete' WHEN coverage_pct >= 80 THEN 'thin' WHEN coverage_pct >= 50 THEN 'sparse' ELSE 'mostly missing' END AS status FROM p", doubles="coverage_pct")
+q("Q04_history_kpi", history("kpi"), "hourly", f"; d AS (SELECT device_id, channel_id, {DAY} AS local_day, sum(kwh) AS kwh FROM hourly WHERE metric = 'watts' AND {_RANGE} GROUP BY ALL), b AS (SELECT device_id || '/' || channel_id AS k, sum(kwh) AS kwh FROM d WHERE channel_id LIKE 'breaker_%' GROUP BY ALL) SELECT (SELECT sum(kwh) FROM d WHERE {FEED}) AS house_kwh, (SELECT count(DISTINCT local_day) FROM d) AS days, (SELECT arg_max(k, kwh) FROM b) AS top_branch, (SELECT max(kwh) FROM b) AS top_kwh", doubles="house_kwh top_kwh")
+q("Q09_hvac_series", lambda v: reports.hvac_compare(pairs(v))["series"].select("bucket", "state", "capacity", "watts", "modelled_w", "residual_w"), "obs", _PAIRS + ", k AS (SELECT CASE WHEN count(*) >= 30 THEN avg(pp) ELSE 29.9 END AS coefficient FROM c) SELECT bucket, state, capacity, watts, capacity * coefficient AS modelled_w, watts - capacity * coefficient AS residual_w FROM p, k", doubles="capacity watts modelled_w residual_w")
+live = lambda block: lambda v: reports.live_panel(v.obs, v.dim, NOW, 2 * 86400, 7200, POLL_S)[block]
+_WINDOW = f"ts_utc < '{NOW}' AND ts_utc >= TIMESTAMP '{NOW}' - INTERVAL 2 DAY"
+q("Q18_series_stats", live("stats"), "obs", f"SELECT source, device_id, channel_id, metric, count(*) AS n, count(*) FILTER (WHERE value = 0) AS zeros, min(value) AS min, max(value) AS max, avg(value) AS mean, count(*) / {2 * 86400 / POLL_S} * 100 AS coverage_pct FROM obs WHERE {_WINDOW} GROUP BY ALL", doubles="min max mean coverage_pct")
+q("Q18_top_overlay", live("overlay"), "obs", f"; l AS (SELECT source, device_id, channel_id, max(value) AS peak FROM obs WHERE metric = 'watts' AND {_WINDOW} GROUP BY ALL ORDER BY peak DESC, source, device_id, channel_id LIMIT 3) SELECT source, device_id, channel_id, time_bucket(INTERVAL '7200 seconds', ts_utc, TIMESTAMP '1970-01-01') AS bucket, avg(value) AS mean_w, count(*) AS n FROM obs SEMI JOIN l USING (source, device_id, channel_id) WHERE metric = 'watts' AND {_WINDOW} GROUP BY ALL", doubles="mean_w")
+_CADENCE = f"; dl AS (SELECT ts_local, date_diff('microsecond', lag(ts_utc) OVER (PARTITION BY source, device_id, channel_id, metric ORDER BY ts_utc), ts_utc) // 1000000 AS delta_s FROM obs), days AS (SELECT CAST(ts_local AS DATE) AS local_day, CASE WHEN count(*) >= 20 THEN abs(median(delta_s) - {POLL_S}) <= 0.25 * {POLL_S} END AS cadence_agrees FROM dl WHERE delta_s >= 1 GROUP BY CAST(ts_local AS DATE))"
+q("Q01_checked_rollup", lambda v: rollup.checked_rollup(v.obs, POLL_S, allow_mismatch=True).groupBy(F.to_date("local_hour_start").alias("local_day"), "metric", "cadence_agrees").agg(F.sum("sample_count").alias("samples"), F.sum("kwh").alias("kwh")), "obs hourly", _CADENCE + f" SELECT h.local_day, metric, cadence_agrees, CAST(sum(sample_count) AS BIGINT) AS samples, sum(kwh) AS kwh FROM (SELECT *, {DAY} AS local_day FROM hourly) h LEFT JOIN days USING (local_day) GROUP BY ALL", doubles="kwh")

@@ -208,3 +208,11 @@ def test_report_range():
     for bad in ({"start": "2024-01-01"}, {"days": 401}, {"days": 0}, {"start": "2024-01-02", "end": "2024-01-01"}):
         with pytest.raises(ValueError):
             report_range(**bad)
+
+
+def test_rollup_refuses_another_cadence(spark):
+    raw = samples(spark, every(UTC0, 60))
+    assert rollup.checked_rollup(raw, 30).select("cadence_agrees").distinct().collect() == [(True,)]
+    with pytest.raises(rollup.CadenceError, match="configured 120 s"):
+        rollup.checked_rollup(raw, 120)
+    assert rollup.checked_rollup(raw, 120, allow_mismatch=True).where("cadence_agrees").count() == 0
