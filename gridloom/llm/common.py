@@ -133,8 +133,10 @@ def groups_of(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]
 
 
 def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First row and row after the last of each run of equal keys."""
-    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    """First row and row after the last of each run of equal keys; no rows have no runs."""
+    if not len(keys):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     return first, np.r_[first[1:], len(keys)]
 
 
