@@ -35,10 +35,24 @@ def absent_hours(hourly: DataFrame, tz: str = TZ) -> DataFrame:
     placed = series.crossJoin(F.broadcast(calendar)).select(*CHANNEL, "metric", F.explode("days").alias("local_day"))  # one row beside each
     return placed.join(spine, "local_day").drop("local_day").join(hourly.select(*CHANNEL, "metric", "hour_start_utc"), [*CHANNEL, "metric", "hour_start_utc"], "left_anti")
 
+
+def previous_sample(raw: DataFrame) -> DataFrame:
+    """Each sample with the instant of its series' ``previous`` one; a series' first has no row.
+
+    A series is worked on by UTC day, so a long history is many tasks; each day starts with the last sample before it, carried over.
+    """
+    key = [*CHANNEL, "metric"]
+    days = raw.withColumn("_day", F.to_date("ts_utc"))
+    following = F.lead("_day").over(Window.partitionBy(*key).orderBy("_day"))
+    carried = days.groupBy(*key, "_day").agg(F.max("ts_utc").alias("ts_utc")).withColumn("_day", following).where("_day IS NOT NULL").withColumn("_carried", F.lit(True))
+    rows = days.withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
+    w = Window.partitionBy(*key, "_day").orderBy("ts_utc")
+    return rows.withColumn("previous", F.lag("ts_utc").over(w)).where("NOT _carried AND previous IS NOT NULL").drop("_day", "_carried")
+
+
 def gaps(obs: DataFrame, interval_s: float) -> DataFrame:
     """Stretches between consecutive samples longer than 1.5 intervals, with how many samples are missing."""
-    w = Window.partitionBy(*CHANNEL, "metric").orderBy("ts_utc")
-    out = obs.withColumn("gap_start", F.lag("ts_utc").over(w)).where("gap_start IS NOT NULL").withColumn("gap_s", F.expr("timestampdiff(SECOND, gap_start, ts_utc)"))
+    out = previous_sample(obs.select(*CHANNEL, "metric", "ts_utc")).withColumnRenamed("previous", "gap_start").withColumn("gap_s", F.expr("timestampdiff(SECOND, gap_start, ts_utc)"))
     return out.where(F.col("gap_s") > 1.5 * interval_s).select(*CHANNEL, "metric", "gap_start", F.col("ts_utc").alias("gap_end"), "gap_s", (F.bround(F.col("gap_s") / interval_s) - 1).cast("long").alias("missing"))
 
 
@@ -73,10 +87,18 @@ def hole_runs(series: DataFrame, bucket_s: int) -> DataFrame:
 
 
 def zero_runs(obs: DataFrame, below: float = 0.0) -> DataFrame:
-    """Runs of consecutive samples at or below ``below``."""
-    w = Window.partitionBy(*CHANNEL, "metric").orderBy("ts_utc", "value")
-    rows = obs.withColumn("_n", F.row_number().over(w)).where(F.col("value") <= below)
-    return islands(rows, [*CHANNEL, "metric"], F.col("_n"), {"run_start": F.min("ts_utc"), "run_end": F.max("ts_utc")})
+    """Runs of consecutive samples at or below ``below``; a null value breaks a run.
+
+    A run is told by how many samples of the series before it are not such: counted by UTC day, each day starting from a carried row.
+    """
+    key = [*CHANNEL, "metric"]
+    other = (~F.coalesce(F.col("value") <= below, F.lit(False))).cast("long")
+    days = obs.select(*key, "ts_utc", "value", F.to_date("ts_utc").alias("_day"), other.alias("_other"))
+    before = F.sum("_other").over(Window.partitionBy(*key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1))
+    carried = days.groupBy(*key, "_day").agg(F.sum("_other").alias("_other")).withColumn("_other", before).where("_other IS NOT NULL")
+    w = Window.partitionBy(*key, "_day").orderBy("ts_utc", "value").rowsBetween(Window.unboundedPreceding, 0)
+    rows = days.unionByName(carried, allowMissingColumns=True).withColumn("_run", F.sum("_other").over(w)).where(F.col("value") <= below)
+    return rows.groupBy(*key, "_run").agg(F.count("*").alias("length"), F.min("ts_utc").alias("run_start"), F.max("ts_utc").alias("run_end")).drop("_run")
 
 
 def quiet_streaks(daily: DataFrame, floor: float) -> DataFrame:

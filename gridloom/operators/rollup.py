@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.localtime import TZ, hour, local, local_date
 from ..functions.scalar import coverage_class
 from ..schemas import CHANNEL, HOURLY
 from ..vocab import DAY_GRAIN
+from .coverage import previous_sample
 
 
 def hourly_rollup(raw: DataFrame, poll_interval_s: float = 30, tz: str = TZ) -> DataFrame:
@@ -45,8 +46,7 @@ def recent_rollup(raw: DataFrame, now: Column, poll_interval_s: float) -> DataFr
 
 def deltas(raw: DataFrame) -> DataFrame:
     """Seconds since the channel's previous sample of the metric; the first has none."""
-    w = Window.partitionBy(*CHANNEL, "metric").orderBy("ts_utc")
-    return raw.withColumn("previous", F.lag("ts_utc").over(w)).where("previous IS NOT NULL").withColumn("delta_s", F.expr("timestampdiff(SECOND, previous, ts_utc)"))
+    return previous_sample(raw).withColumn("delta_s", F.expr("timestampdiff(SECOND, previous, ts_utc)"))
 
 
 def cadence(raw: DataFrame, expected_s: float, least: int = 20, tolerance: float = 0.25, tz: str = TZ) -> DataFrame:

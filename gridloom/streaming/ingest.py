@@ -47,7 +47,8 @@ def reroll_touched_days(stream: DataFrame, raw_path: str, hourly_path: str, chec
         spark = df.sparkSession
         with_days(df).withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("local_date", "batch").parquet(raw_path)
         touched = df.select(local_date("ts_utc", tz).alias("local_date")).distinct()
-        landed = spark.read.parquet(raw_path).join(touched, "local_date", "left_semi").drop("batch").dropDuplicates(DEDUPE_KEY)
+        schema = T.StructType([*df.schema.fields, T.StructField("local_date", T.DateType()), T.StructField("batch", T.LongType())])
+        landed = spark.read.schema(schema).parquet(raw_path).join(touched, "local_date", "left_semi").drop("batch").dropDuplicates(DEDUPE_KEY)
         write_days(hourly_rollup(landed, poll_interval_s, tz).withColumn("local_date", F.to_date("local_hour_start")), hourly_path)
 
     stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

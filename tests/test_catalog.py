@@ -11,7 +11,7 @@ from gridloom import catalog
 
 duckdb = pytest.importorskip("duckdb")
 DATA = "/root/testdata/sf0.001"
-NAMES = ("R01_hourly_rollup", "R01_hourly_rollup_dst", "A01_daily_kwh", "A09_coverage_matrix", "W06_frozen_runs", "W08_hole_runs", "A33_priced_lines", "I06_panel_payload", "I11_espi_intervals", "Q05_compare_meter", "K03_regenerate_days", "I02_tolerant_hourly", "I04_read_daily", "I12_usage_csv", "Q17_import_meter", "J06_absent_hours", "A15_meter_groups", "Q20_layout_changes", "Q02_findings", "ST03_hourly_windows", "ST05_touched_days")
+NAMES = ("R01_hourly_rollup", "R01_hourly_rollup_dst", "A01_daily_kwh", "A09_coverage_matrix", "W06_frozen_runs", "W08_hole_runs", "A33_priced_lines", "I06_panel_payload", "I11_espi_intervals", "Q05_compare_meter", "K03_regenerate_days", "I02_tolerant_hourly", "I04_read_daily", "I12_usage_csv", "Q17_import_meter", "J06_absent_hours", "A15_meter_groups", "Q20_layout_changes", "Q02_findings", "ST03_hourly_windows", "ST05_touched_days", "W02_deltas", "W04_gaps", "W12_zero_runs")
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")

@@ -216,3 +216,16 @@ def test_rollup_refuses_another_cadence(spark):
     with pytest.raises(rollup.CadenceError, match="configured 120 s"):
         rollup.checked_rollup(raw, 120)
     assert rollup.checked_rollup(raw, 120, allow_mismatch=True).where("cadence_agrees").count() == 0
+
+
+def test_series_cross_midnight(spark):
+    """Previous samples, gaps and runs at zero go on over days; a null value and another channel break a run."""
+    at = ["2024-01-01 10:00:00", "2024-01-01 23:00:00", "2024-01-02 00:30:00", "2024-01-04 01:00:00", "2024-01-04 02:00:00", "2024-01-05 00:00:00"]
+    rows = [(t, "s", "d", "ct1", "watts", v) for t, v in zip(at, [5.0, 0.0, 0.0, 0.0, None, 0.0], strict=True)] + [(at[2], "s", "d", "ct2", "watts", 0.0)]
+    obs = spark.createDataFrame(rows, "ts_utc string, source string, device_id string, channel_id string, metric string, value double").withColumn("ts_utc", F.col("ts_utc").cast("timestamp_ntz"))
+    steps = coverage.previous_sample(obs).select("channel_id", F.col("previous").cast("string"), F.col("ts_utc").cast("string")).collect()
+    assert sorted(map(tuple, steps)) == [("ct1", a, b) for a, b in zip(at, at[1:])]
+    gaps = coverage.gaps(obs, 12 * 3600).select(F.col("gap_start").cast("string"), "missing").collect()
+    assert sorted(map(tuple, gaps)) == [(at[2], 3), (at[4], 1)]
+    runs = coverage.zero_runs(obs).select("channel_id", F.col("run_start").cast("string"), F.col("run_end").cast("string"), "length").collect()
+    assert sorted(map(tuple, runs)) == [("ct1", at[1], at[3], 3), ("ct1", at[5], at[5], 1), ("ct2", at[2], at[2], 1)]
