@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, forest, licenses, minhash, mixing, quality, secrets, sharding, substrings, templates
+from . import decontaminate, forest, licenses, minhash, mixing, negatives, packing, quality, repair, secrets, sharding, substrings, templates
 from .common import table
 
 
@@ -52,5 +52,22 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_minhash_near_dedup, op4_decontamination, op5_html_extraction, op6_embedding_near_dedup, op7_sharding, op8_quality_classifier, op9_mixing, op10_substring_dedup)}
-ORACLES: dict[str, str] = {"op1_license_scan": licenses.oracle()}
+def op11_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """``tokenizer``: a tokenizer's file in place of the public one."""
+    if tokenizer is None:
+        import public_tokenizers
+
+        tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.digest(packing.pack(packing.pieces(table(spark, sf_dir, "documents"), tokenizer, with_ids=False)))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(negatives.relabelled(table(spark, sf_dir, "embeddings")))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_minhash_near_dedup, op4_decontamination, op5_html_extraction, op6_embedding_near_dedup, op7_sharding, op8_quality_classifier, op9_mixing, op10_substring_dedup, op11_packing, op12_hard_negatives, op13_conversation_repair)}
+ORACLES: dict[str, str] = {"op1_license_scan": licenses.oracle(), "op12_hard_negatives": negatives.oracle()}
