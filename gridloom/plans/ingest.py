@@ -235,7 +235,7 @@ q("Q16_backfill_daily", lambda v: dedupe.precedence_union({"export": v.daily.whe
 def _stored(v, df, write, name):
     path = storage.new_path(v.spark, name)
     write(df, path)
-    return v.spark.read.parquet(path)
+    return storage.read_published(v.spark, path)
 
 
 _OBS = ["event_id", *OBSERVATION.fieldNames()]
@@ -265,7 +265,7 @@ def _regenerated(v):
     path = storage.new_path(v.spark, "hourly")
     storage.write_rollup(v.obs, path, POLL_S)
     storage.write_rollup(v.obs.where("to_date(ts_local) = DATE'2024-01-10'").withColumn("value", F.col("value") * 2), path, POLL_S)  # a late day
-    return v.spark.read.parquet(path).groupBy("local_date").agg(F.sum("kwh").alias("kwh"), F.sum("sample_count").alias("n"))
+    return storage.read_published(v.spark, path).groupBy("local_date").agg(F.sum("kwh").alias("kwh"), F.sum("sample_count").alias("n"))
 
 
 q("K03_regenerate_days", _regenerated, "hourly", f"SELECT {DAY} AS local_date, sum(kwh) * CASE WHEN {DAY} = DATE '2024-01-10' THEN 2 ELSE 1 END AS kwh, CAST(sum(sample_count) AS BIGINT) AS n FROM hourly GROUP BY {DAY}", doubles="kwh")
@@ -286,9 +286,9 @@ def _registered(v):
     path, name = storage.new_path(v.spark, "registered"), "gridloom_hourly"
     storage.write_rollup(v.obs, path, POLL_S)
     v.spark.sql(f"DROP TABLE IF EXISTS {name}")
-    schema = type(HOURLY)([*HOURLY.fields, *(v.spark.read.parquet(path).schema[n] for n in ("local_date",))])
+    schema = type(HOURLY)([*HOURLY.fields, storage.read_published(v.spark, path).schema["local_date"]])
     v.spark.sql(storage.create_table_sql(name, schema, {"": "Hourly statistics", "kwh": "Energy over observed time only"}, path, ["local_date"]))
-    v.spark.sql(f"MSCK REPAIR TABLE {name}")
+    storage.register_partitions(v.spark, name, path)
     return v.spark.table(name).where("local_date = DATE'2024-01-10'").groupBy("metric").agg(F.count("*").alias("n"), F.sum("kwh").alias("kwh"))
 
 

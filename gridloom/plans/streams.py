@@ -65,7 +65,7 @@ def rerolled(v):
     for half in ("event_id % 2 = 0", "event_id % 2 = 1"):
         rows.where(half).repartition(2).write.mode("append").parquet(src)
         ingest.reroll_touched_days(ingest.stream_of(v.spark, src, ROWS), raw, hourly, check, POLL_S)
-    return v.spark.read.parquet(hourly).groupBy("local_date").agg(F.sum("sample_count").alias("n"), F.sum("kwh").alias("kwh"))
+    return storage.read_published(v.spark, hourly).groupBy("local_date").agg(F.sum("sample_count").alias("n"), F.sum("kwh").alias("kwh"))
 
 
 q("ST05_touched_days", rerolled, "hourly", "SELECT CAST(local_hour_start AS DATE) AS local_date, CAST(sum(sample_count) AS BIGINT) AS n, sum(kwh) AS kwh FROM hourly GROUP BY ALL", doubles="kwh")
@@ -85,13 +85,22 @@ def frames(v):
     return v.table("events").select(F.concat(F.lit("h"), (F.col("user_id") % 2).cast("string")).alias("hub"), (F.col("user_id") % 8).cast("string").alias("id"), at.alias("at_s"), (at * _P + n).alias("number"), kind.alias("kind"), fields.alias("fields"))
 
 
+#: Frames reach the collector up to an hour out of order, and those of the second hub a day and a half after the first's.
+DISORDER_S, LAG_S = 3600, 129_600
+
+
 def merged_stream(v):
-    """Frames land in three stretches of time; the stream is started anew after each, from one checkpoint, and takes its state along."""
+    """Frames land as they arrive, in four stretches; the stream is started anew after each, from one checkpoint, and takes its state along."""
     src, check, out = (storage.new_path(v.spark, n) for n in ("frames", "checkpoint", "merged"))
-    for lo, hi in ((1, 10), (11, 20), (21, 31)):
-        frames(v).where(f"dayofmonth(timestamp_seconds(at_s)) BETWEEN {lo} AND {hi}").repartition(4).write.mode("append").parquet(src)
-        ingest.run_to_table(state.merge_deltas(v.spark.readStream.schema(FRAMES).parquet(src), TARGETS), "merged", checkpoint=check, path=out)
-    return v.spark.read.parquet(out)
+    arrival = F.col("at_s") + (F.col("number") % DISORDER_S * 37) % DISORDER_S + F.when(F.col("hub") == "h1", LAG_S).otherwise(0)
+    rows = frames(v).withColumn("arrival", arrival)
+    first, last = rows.agg(F.min("arrival"), F.max("arrival")).first()
+    for k in range(4):
+        stretch = F.least(F.floor((F.col("arrival") - (first or 0)) * 4 / max((last or 0) - (first or 0), 1)), F.lit(3))
+        rows.where(stretch == k).drop("arrival").repartition(4).write.mode("append").parquet(src)
+        stream = v.spark.readStream.schema(FRAMES).option("maxFilesPerTrigger", 100).parquet(src)
+        ingest.run_to_table(state.merge_deltas(stream, TARGETS, DISORDER_S), "merged", checkpoint=check, path=out, store=ingest.ROCKSDB)
+    return v.spark.read.schema(state.OUTPUT).parquet(out)
 
 
 def samples(v):
@@ -108,22 +117,22 @@ def by_mode(v):
 
 
 # The same rules as intervals: p orders frames (second, then number), a session runs from its connect to the next mark, a write until the next
-# that takes effect, and a tick sees all frames up to the end of its second.
-_STATE_SQL = f"""WITH e AS (SELECT *, t * {_P} + event_id AS p FROM (SELECT event_id, 'h' || CAST(user_id % 2 AS VARCHAR) AS hub, CAST(user_id % 8 AS VARCHAR) AS id, CAST(floor(epoch(ts)) AS BIGINT) AS t,
+# that takes effect, and a tick sees all frames up to the end of its second. A hub's time is that of its newest frame less the disorder allowed.
+_STATE_SQL = f"""WITH e0 AS (SELECT *, t * {_P} + event_id AS p, max(t) OVER (PARTITION BY hub) - {DISORDER_S} AS lim FROM (SELECT event_id, 'h' || CAST(user_id % 2 AS VARCHAR) AS hub, CAST(user_id % 8 AS VARCHAR) AS id, CAST(floor(epoch(ts)) AS BIGINT) AS t,
 CASE WHEN event_id % 211 = 0 THEN 'connect' WHEN event_id % 211 = 105 THEN 'disconnect' WHEN event_id % 17 = 0 THEN 'seed' ELSE 'delta' END AS kind,
 'f' || CAST(event_id % 3 AS VARCHAR) AS field, CASE WHEN event_id % 11 > 0 THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS v FROM events)),
-over_all AS (SELECT max(t) AS max_t FROM e),
+e AS (SELECT * FROM e0 WHERE t <= lim), lims AS (SELECT DISTINCT hub, lim FROM e0),
 marks AS (SELECT hub, p AS session, t AS since, kind AS mark, lead(p) OVER (PARTITION BY hub ORDER BY p) AS end_p FROM e WHERE kind IN ('connect', 'disconnect')),
 w AS (SELECT x.*, since, end_p FROM (SELECT *, max(CASE WHEN kind IN ('connect', 'disconnect') THEN p END) OVER (PARTITION BY hub ORDER BY p) AS session FROM e) x JOIN marks USING (hub, session) WHERE mark = 'connect' AND kind IN ('delta', 'seed')),
 flood AS (SELECT hub, session, max(fp) AS flood_p FROM (SELECT hub, session, id, min(p) AS fp FROM w WHERE kind = 'delta' GROUP BY ALL) GROUP BY ALL HAVING count(*) >= {TARGETS}),
 late AS (SELECT hub, session, since, end_p, CASE WHEN min(t) < since + 20 THEN least(min(p) FILTER (t = since + 20), (since + 20) * {_P} + {_P - 1}) ELSE min(p) FILTER (t >= since + 20) END AS late_p FROM w GROUP BY hub, session, since, end_p),
 synced AS (SELECT hub, session, end_p, least(flood_p, late_p) AS sync_p, least(flood_p, late_p) // {_P} AS sync_s, CASE WHEN flood_p <= coalesce(late_p, flood_p) THEN 'flood' ELSE 'timeout' END AS how
-FROM late LEFT JOIN flood USING (hub, session) WHERE least(flood_p, late_p) < coalesce(end_p, (SELECT max_t * {_P} FROM over_all))),
+FROM late LEFT JOIN flood USING (hub, session) JOIN lims USING (hub) WHERE least(flood_p, late_p) < coalesce(end_p, (lim + 1) * {_P})),
 g AS (SELECT *, count(*) FILTER (kind = 'delta') OVER (PARTITION BY hub, session, id, field ORDER BY p) AS grp FROM w),
 g2 AS (SELECT *, max(CASE WHEN kind = 'delta' THEN v END) OVER gw AS dv, min(CASE WHEN kind = 'seed' AND v IS NOT NULL THEN p END) OVER gw AS fs FROM g WINDOW gw AS (PARTITION BY hub, session, id, field, grp)),
 iv AS (SELECT *, lead(p) OVER (PARTITION BY hub, session, id, field ORDER BY p) AS next_p FROM g2 WHERE kind = 'delta' OR (dv IS NULL AND p = fs)),
 heard AS (SELECT hub, t, lead(t) OVER (PARTITION BY hub ORDER BY t) AS next_t FROM (SELECT DISTINCT hub, t FROM e WHERE kind IN ('delta', 'connect'))),
-ticks AS (SELECT hub, s, s * {_P} + {_P - 1} AS sp FROM (SELECT hub, t, next_t, ((t + 29) // 30 + j) * 30 AS s FROM heard, (VALUES (0), (1), (2), (3)) js(j)), over_all WHERE s - t <= 90 AND s < coalesce(next_t, max_t) AND s < max_t),
+ticks AS (SELECT hub, s, s * {_P} + {_P - 1} AS sp FROM (SELECT hub, t, next_t, ((t + 29) // 30 + j) * 30 AS s FROM heard, (VALUES (0), (1), (2), (3)) js(j)) JOIN lims USING (hub) WHERE s - t <= 90 AND s < coalesce(next_t, lim + 1) AND s <= lim),
 samples AS (SELECT k.hub, i.id, k.s AS at_s, i.field, i.v AS value, i.t AS updated_s, i.kind AS value_source, i.session FROM ticks k JOIN synced c ON c.hub = k.hub AND sync_p <= sp AND (c.end_p IS NULL OR c.end_p > sp)
 JOIN iv i ON i.hub = c.hub AND i.session = c.session AND i.p <= sp AND (next_p IS NULL OR next_p > sp) WHERE v IS NOT NULL),
 ends AS (SELECT hub, session, id, field, v FROM (SELECT DISTINCT hub, session, id, field FROM w) LEFT JOIN (SELECT hub, session, id, field, v FROM iv WHERE next_p IS NULL) USING (hub, session, id, field)),
@@ -143,7 +152,7 @@ q("ST08_eviction", lambda v: merged_stream(v).where("what = 'evicted'").select("
 q("ST09_emission_gate", lambda v: samples(v).groupBy("hub", "session").agg(F.countDistinct("at_s").alias("ticks"), F.min("at_s").alias("first_s"), F.max("at_s").alias("last_s"), F.max(F.col("at_s") - F.col("updated_s")).alias("oldest_s")), "", f"{_STATE_SQL} SELECT {_GATE} FROM samples GROUP BY ALL")
 q("ST10_sync_rule", lambda v: merged_stream(v).where("what = 'sync'").select("hub", "session", "at_s", F.col("value").alias("how")), "", f"{_STATE_SQL} SELECT hub, session, sync_s AS at_s, how FROM synced")
 q("ST11_fixed_cadence", lambda v: samples(v).groupBy("hub", (F.col("at_s") % state.CADENCE_S).alias("offset_s")).agg(F.count("*").alias("samples"), F.countDistinct("at_s").alias("ticks")), "", f"{_STATE_SQL} SELECT {_CADENCE} FROM samples GROUP BY ALL")
-q("ST12_value_sources", by_mode, "", f"""{_STATE_SQL}, polls AS (SELECT DISTINCT hub, id, field, (t + 29) // 30 * 30 AS at_s FROM e WHERE kind = 'seed' AND v IS NOT NULL),
+q("ST12_value_sources", by_mode, "", f"""{_STATE_SQL}, polls AS (SELECT DISTINCT hub, id, field, (t + 29) // 30 * 30 AS at_s FROM e0 WHERE kind = 'seed' AND v IS NOT NULL),
 modes AS (SELECT 'ws' AS mode, value_source, id FROM samples UNION ALL SELECT 'hybrid', value_source, id FROM samples UNION ALL SELECT 'hybrid', 'rest', id FROM polls p WHERE NOT EXISTS (SELECT 1 FROM samples s WHERE s.hub = p.hub AND s.at_s = p.at_s))
 SELECT mode, value_source, count(*) AS samples, count(DISTINCT id) AS objects FROM modes GROUP BY ALL""")
 

@@ -1,15 +1,16 @@
-"""Datasets partitioned on the local date: staged writes, verification before publication, idempotent regeneration."""
+"""Datasets partitioned on the local date: staged and counted versions, published at once by a pointer; idempotent regeneration."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .functions.localtime import TZ, local, local_date
+from .functions.localtime import TZ, local, local_date, utc
 from .operators.dedupe import merge_latest, new_keys, precedence_union
 from .operators.rollup import hourly_rollup
 from .schemas import DEDUPE_KEY, SORT_KEY
@@ -35,14 +36,123 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def write_days(df: DataFrame, path: str, day: str = "local_date", mode: str = "overwrite") -> None:
-    """Replace the days that ``df`` holds and leave the others: dynamic partition overwrite, canonical order in files, ZSTD.
+# A dataset's files lie in folders of versions, ``v=<id>/<partition>=<value>/``. A pointer file, numbered upwards, says which version holds each
+# partition. Writing stages a new version, counts it, and then adds a pointer: until then, and if anything fails, readers see the
+# pointer before, and so all the old rows. Two writers that start from one pointer can't both add the next.
+_POINTERS = "_pointers"
+_WHOLE = "."
 
-    Rows are rebalanced by day: adaptive execution splits a large day into files of the advisory size, and puts small days together.
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    _, at, fs = _fs(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+
+
+def _pointer(spark: SparkSession, path: str) -> tuple[int, dict[str, str]]:
+    """The newest whole pointer: its number, and the version of each partition. A pointer whose last line is missing was never finished."""
+    for name in sorted(_listed(spark, f"{path}/{_POINTERS}"), reverse=True):
+        jvm, at, fs = _fs(spark, f"{path}/{_POINTERS}/{name}")
+        stream = fs.open(at)
+        try:
+            lines = bytes(stream.readAllBytes()).decode().splitlines()
+        finally:
+            stream.close()
+        if lines and lines[-1] == "end":
+            return int(name), dict(line.split("\t") for line in lines[:-1])
+    return -1, {}
+
+
+def _point(spark: SparkSession, path: str, number: int, versions: dict[str, str]) -> None:
+    """Add a pointer; an error if another writer was first."""
+    jvm, at, fs = _fs(spark, f"{path}/{_POINTERS}/{number:012d}")
+    stream = fs.create(at, False)
+    stream.write(bytearray("".join(f"{k}\t{v}\n" for k, v in sorted(versions.items())).encode() + b"end\n"))
+    stream.close()
+
+
+def _rows_in(spark: SparkSession, path: str, schema: T.StructType) -> int:
+    """Rows that readers find in a staged version."""
+    return spark.read.schema(schema).parquet(path).count()
+
+
+def publish(df: DataFrame, path: str, by: str | None = None) -> dict[str, int]:
+    """Replace the partitions that ``df`` holds (``by`` None: the whole dataset), all at once, and leave the others.
+
+    The new rows are staged, read back and counted against what was seen on the way; a difference is a :class:`VerificationError` and
+    nothing is published. Returns the counts. Old versions stay until :func:`vacuum`.
     """
-    order = [c for c in (*SORT_KEY, "metric", "value", "unit") if c in df.columns]
-    out = df.hint("rebalance", F.col(day)).sortWithinPartitions(day, *order)
-    out.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(day).parquet(path)
+    spark = df.sparkSession
+    number, versions = _pointer(spark, path)
+    version, seen = f"v=r{uuid.uuid4().hex}", Observation()
+    staged = f"{path}/{version}"
+    out = df.observe(seen, F.count(F.lit(1)).alias("expected"))
+    if by:
+        # Rebalanced by partition: adaptive execution splits a large one into files of the advisory size, and puts small ones together.
+        order = [c for c in (*SORT_KEY, "metric", "value", "unit") if c in df.columns]
+        out = out.hint("rebalance", F.col(by)).sortWithinPartitions(by, *order)
+    writer = out.write.mode("overwrite").option("compression", "zstd")
+    (writer.partitionBy(by) if by else writer).parquet(staged)
+    written = _rows_in(spark, staged, df.schema)
+    try:
+        expected = seen.get["expected"]
+    except Py4JJavaError:  # a plan that adaptive execution found to be empty observes nothing
+        if written:
+            raise
+        expected = 0
+    if written != expected:
+        _, at, fs = _fs(spark, staged)
+        fs.delete(at, True)
+        raise VerificationError(f"{path}: {written} rows written, {expected} expected; nothing was published")
+    parts = [n for n in _listed(spark, staged) if n.startswith(f"{by}=")] if by else [_WHOLE]
+    _point(spark, path, number + 1, versions | dict.fromkeys(parts, version) if by else {_WHOLE: version})
+    return {"expected": expected, "written": written}
+
+
+def read_published(spark: SparkSession, path: str, schema: T.StructType | None = None, between: tuple[str, str] | None = None) -> DataFrame:
+    """The rows published last; ``between`` takes only partitions whose value lies there, so other folders are not even listed.
+
+    ``schema`` includes the partition column; columns that older files lack read null. Without one, a dataset must have rows.
+    """
+    _, versions = _pointer(spark, path)
+    lo, hi = between or ("", "")
+    at = [f"{path}/{v}" if part == _WHOLE else f"{path}/{v}/{part}" for part, v in sorted(versions.items()) if between is None or lo <= part.partition("=")[2] <= hi]
+    if not at:
+        if schema is None:
+            raise FileNotFoundError(f"{path}: nothing is published")
+        return spark.createDataFrame([], schema)
+    reader = spark.read.option("basePath", path)
+    return (reader if schema is None else reader.schema(schema)).parquet(*at).drop("v")
+
+
+def vacuum(spark: SparkSession, path: str, keep: int = 1) -> list[str]:
+    """Delete versions that none of the ``keep`` newest pointers names, and older pointers: what failed writes staged goes too.
+
+    Must not run beside a writer, whose staged version has no pointer yet.
+    """
+    names = sorted(_listed(spark, f"{path}/{_POINTERS}"), reverse=True)
+    live: set[str] = set()
+    for name in names[:keep]:
+        _, at, fs = _fs(spark, f"{path}/{_POINTERS}/{name}")
+        stream = fs.open(at)
+        live |= {line.split("\t")[1] for line in bytes(stream.readAllBytes()).decode().splitlines() if "\t" in line}
+        stream.close()
+    gone = [n for n in _listed(spark, path) if n.startswith("v=") and n not in live]
+    for name in (*gone, *(f"{_POINTERS}/{n}" for n in names[keep:])):
+        _, at, fs = _fs(spark, f"{path}/{name}")
+        fs.delete(at, True)
+    return gone
+
+
+def write_days(df: DataFrame, path: str, day: str = "local_date") -> None:
+    """Replace the days that ``df`` holds and leave the others, in canonical order; see :func:`publish`."""
+    publish(df, path, day)
 
 
 def with_days(raw: DataFrame, tz: str = TZ) -> DataFrame:
@@ -50,16 +160,16 @@ def with_days(raw: DataFrame, tz: str = TZ) -> DataFrame:
 
 
 def read_days(spark: SparkSession, path: str, schema: T.StructType, first: str, last: str) -> DataFrame:
-    """Rows of the local days asked for: a partition filter, so other days' files are not read."""
+    """Rows of the local days asked for: only those days' files are listed and read."""
     full = T.StructType([*schema.fields, T.StructField("local_date", T.DateType())])
-    return spark.read.schema(full).parquet(path).where(F.col("local_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    return read_published(spark, path, full, (first, last)).where(F.col("local_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
 
 
 def read_months(spark: SparkSession, path: str, schema: T.StructType, first: str, last: str, day: str = "local_day") -> DataFrame:
     """Rows of the local days asked for out of files by month: only those months' files are read."""
     full = T.StructType([*schema.fields, T.StructField("local_month", T.StringType())])
     lo, hi = F.lit(first).cast("date"), F.lit(last).cast("date")
-    rows = spark.read.schema(full).parquet(path).where(F.col("local_month").between(first[:7], last[:7]))
+    rows = read_published(spark, path, full, (first[:7], last[:7]))
     return rows.where(F.col(day).between(lo, hi)).drop("local_month")
 
 
@@ -69,25 +179,21 @@ def read_tolerant(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def verified_write(df: DataFrame, path: str) -> DataFrame:
-    """Write, count what was written against what was observed on the way, and return the metrics row or raise."""
-    from pyspark.sql import Observation
+    """Replace the whole dataset and return the counts as a row; see :func:`publish`."""
+    counts = publish(df, path)
+    return df.sparkSession.createDataFrame([(counts["expected"], counts["written"])], "expected long, written long")
 
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("expected")).write.mode("overwrite").option("compression", "zstd").parquet(path)
-    spark = df.sparkSession
-    written, expected = spark.read.parquet(path).count(), seen.get["expected"]
-    if written != expected:
-        raise VerificationError(f"{path}: {written} rows written, {expected} expected")
-    return spark.createDataFrame([(expected, written)], "expected long, written long")
+
+def hour_end(ts_utc: Column | str, tz: str = TZ) -> Column:
+    """When the local clock's hour that holds an instant is over for good: 01:00 of a fall-back night ends with its second round."""
+    return utc(F.date_trunc("hour", local(ts_utc, tz)).cast("timestamp_ntz"), tz, fold=1) + F.expr("INTERVAL 1 HOUR")
 
 
 def land_closed_hours(raw: DataFrame, path: str, now: Column, tz: str = TZ) -> None:
-    """Hourly parts of hours whose UTC end has passed; a re-run overwrites the same hours. The repeated autumn hour is one part,
-    closed only when both have passed."""
-    rows = raw.withColumn("local_hour", F.date_format(local("ts_utc", tz), "yyyy-MM-dd-HH"))
-    ends = rows.groupBy("local_hour").agg((F.date_trunc("hour", F.max("ts_utc")).cast("timestamp_ntz") + F.expr("INTERVAL 1 HOUR")).alias("end"))
-    closed = rows.join(ends.where(F.col("end") <= now).select("local_hour"), "local_hour", "left_semi")
-    write_days(closed, path, day="local_hour")
+    """Hourly parts of local hours that are over by the calendar, whatever samples have come; a re-run replaces the same hours. The repeated
+    autumn hour is one part, closed only when both rounds are over."""
+    rows = raw.withColumn("local_hour", F.date_format(local("ts_utc", tz), "yyyy-MM-dd-HH")).where(hour_end("ts_utc", tz) <= now)
+    write_days(rows, path, day="local_hour")
 
 
 def compact(parts: DataFrame, existing: DataFrame, path: str) -> None:
@@ -118,8 +224,8 @@ def retention(archived: DataFrame, day_files: DataFrame, now: Column, least_days
 
 
 def write_dimension(dim: DataFrame, path: str) -> None:
-    """The channel dimension: one small file, sorted by its key."""
-    dim.coalesce(1).sortWithinPartitions("source", "device_id", "channel_id").write.mode("overwrite").parquet(path)
+    """The channel dimension: one small file, sorted by its key; see :func:`publish`."""
+    publish(dim.coalesce(1).sortWithinPartitions("source", "device_id", "channel_id"), path)
 
 
 def create_table_sql(name: str, schema: T.StructType, comments: dict[str, str], path: str, partitions: list[str]) -> str:
@@ -129,3 +235,12 @@ def create_table_sql(name: str, schema: T.StructType, comments: dict[str, str],
         return f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT '{note}'" if note else "")
 
     return f"CREATE TABLE {name} ({', '.join(map(column, schema))}) USING parquet PARTITIONED BY ({', '.join(partitions)}) COMMENT '{comments.get('', '')}' LOCATION '{path}'"
+
+
+def register_partitions(spark: SparkSession, name: str, path: str) -> None:
+    """Point the table's partitions at the versions published last: new ones are added, replaced ones moved."""
+    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    for part, version in sorted(_pointer(spark, path)[1].items()):
+        column, value = part.split("=", 1)
+        where = f"PARTITION ({column} = '{value}')"
+        spark.sql(f"ALTER TABLE {name} {where} SET LOCATION '{path}/{version}/{part}'" if part in known else f"ALTER TABLE {name} ADD {where} LOCATION '{path}/{version}/{part}'")
