@@ -4,8 +4,8 @@ A group's vector has its share of all bytes, words and rows. Packing has two lev
 vectors for inputs of any size. Light groups are dealt by hash to parts of about ``PART_GROUPS`` (or to ``UNITS`` parts, where that is fewer); a task packs each part's groups,
 heaviest first, into the part's own bins, each group where the dot product with the bin's residual capacity is highest. The
 driver then packs those bins, and heavy groups (a ``UNITS``-th of a total or more, so ``3 * UNITS`` at most) as they are, into
-the shards by the same rule. A group goes whole where some shard has room for it; only a group that fits in no shard (one text
-may hold a third of all rows) is split, and dealt row by row.
+the shards by the same rule. A group goes whole: where some shard has room for it, or else where the room is largest. Only a group above
+a whole shard (one text may hold a third of all rows) is split, and dealt row by row.
 
 The law that holds is ``bytes``: shard sizes are near equal, because bytes weigh more than words and rows in the dot product
 and the last vectors placed are the lightest.
@@ -26,7 +26,7 @@ from .common import cut, groups_of, numbered, ordered_groups, runs, words_of
 #: Bins of all parts together, where there are few parts; a group with a share of one in so many is heavy.
 UNITS = 4096
 PART_GROUPS = 50_000
-#: A group that fits in no shard is split into pieces of this share of a shard; lighter groups are never split.
+#: A group above a whole shard, in bytes or rows, is split into pieces of this share of a shard; all others stay whole.
 PIECE = 1 / 256
 #: Weights of bytes, words and rows in the dot product.
 WEIGHTS = (1.0, 0.2, 0.2)
@@ -36,8 +36,8 @@ def pack(vectors: Iterable[tuple[float, float, float]], bins: int, weights: tupl
     """For each vector the bins that it goes to, heaviest first: where its dot product with the residual capacity is highest.
 
     Bins whose bytes would pass an equal share take a vector only if all would. Ties go to the lowest bin. With ``rows``, a
-    vector of several rows that fits in no bin, and is above ``PIECE`` of one, is split into equal pieces, which are listed
-    each; else every list has one bin.
+    vector of several rows that is above an equal share by itself is split into equal pieces, which are listed each; else every list
+    has one bin.
     """
     v = np.array(list(vectors), float).reshape(-1, 3)
     total = v.sum(0)
@@ -54,7 +54,7 @@ def pack(vectors: Iterable[tuple[float, float, float]], bins: int, weights: tupl
 
     for i in np.lexsort((np.arange(len(v)), -(v @ w), -v[:, 0])):
         share, pieces = max(v[i, 0], v[i, 2]) * bins, 1  # in parts of a bin: of its bytes, or of its rows
-        if count[i] > 1 and share > PIECE and (share > 1 or not (left[:, 0] >= v[i, 0]).any()):
+        if count[i] > 1 and share > 1:
             pieces = min(count[i], math.ceil(share / PIECE))
         out[i] = [put(v[i] / pieces) for _ in range(pieces)]
     return out
@@ -74,7 +74,7 @@ def shard(docs: DataFrame, shards: int = 8, text: str = "text", id_col: str = "d
 
     ``size`` is the text's UTF-8 bytes plus 1 (null text: 1; its CRC is that of the empty text). ``slot`` counts each
     shard's rows from 0 without gaps, in an order that depends on id and text alone. Equal texts share a shard unless their
-    group fits in none. Repeated rows are kept and count one each; no rows in, no rows out; other columns are ignored.
+    group is above an equal share of all bytes or rows. Repeated rows are kept and count one each; no rows in, no rows out; other columns are ignored.
     """
     value = F.coalesce(F.col(text), F.lit(""))
     rows = cut(docs.select(

@@ -87,7 +87,7 @@ def test_rows_of_nulls(spark):
         n = len(rows)
         labels = spark.createDataFrame([(i, 1, 0) for i in range(10)] + [(None, None, None)], "doc_id long, quality int, toxic int")
         bench = spark.createDataFrame([(None, None), (None, "w x y"), (1, None)], "item_id long, text string")
-        assert licenses.report(licenses.scan(d)).count() >= 0 and secrets.digest(secrets.findings(d, secrets.scan_new(d))).count() == n
+        assert [r.license for r in licenses.report(licenses.scan(d)).collect()] == [None] * n and secrets.digest(secrets.findings(d, secrets.scan_new(d))).count() == n
         assert minhash.near_duplicates(d).count() == n and substrings.dedup(d).count() == n
         assert decontaminate.digest(decontaminate.overlaps(d, bench)).count() == n
         assert sharding.shard(d).count() == n and mixing.taken_words(mixing.mix(d)).count() == n
@@ -109,11 +109,12 @@ def test_stages_on_edge_tables(spark, tmp_path):
         assert (n > 10) == (d is docs) and now.where(F.col("shard").isNull()).count() == 0
 
 
-def test_long_texts_of_one_seed(spark):
+def test_ties_and_long_texts(spark):
     """Ties: many equal texts and equal sizes give the same result on each run."""
     rng = random.Random(3)
-    rows = [(i, rng.choice(["a b c", "d e f", None]), "en", rng.choice(["s", None])) for i in range(200)]
+    rows = [(i, rng.choice(["a b c", "d e f", None]), "en", rng.choice(["s", None])) for i in range(200)] + [(200 + i, f"{i} " + "long " * 100_000, "en", "s") for i in range(3)]
     runs = [sorted(map(tuple, sharding.shard(frame(spark, some), shards=4).collect())) for some in (rows, rows[::-1])]
-    assert [(r[0], r[1]) for r in runs[0]] == [(r[0], r[1]) for r in runs[1]]
+    assert runs[0] == runs[1] and {r[0]: r[1] for r in runs[0]}[201] == 500_003
+    assert {r[0] for r in runs[0]} == {r[0] for r in rows} and len({r[4] for r in runs[0] if r[0] >= 200}) == 3
     taken = [sorted(map(tuple, mixing.taken_words(mixing.mix(frame(spark, some))).collect())) for some in (rows, rows[::-1])]
     assert taken[0] == taken[1]
