@@ -151,7 +151,7 @@ def imported(v, *write):
     path = storage.new_path(v.spark, "exports")
     for w in write:
         w(v, path)
-    return exports.checked(exports.readings(exports.read_files(v.spark, path), 900))
+    return exports.checked(exports.readings(exports.open_exports(v.spark, path), 900))
 
 
 def _statuses(v):
@@ -169,8 +169,8 @@ def _kinds(v):
     path = storage.new_path(v.spark, "mixed")
     usage_files(v, path)
     feed_files(v, path)
-    lines = F.when(F.col("feed"), F.regexp_count("text", F.lit("<espi:IntervalReading>"))).otherwise(F.regexp_count("text", F.lit("\n")) - 1)
-    return exports.read_files(v.spark, path).groupBy("feed").agg(F.sum(lines).alias("readings"))
+    found = exports.open_exports(v.spark, path)
+    return exports.readings(found, 900).join(found.files, "file").groupBy((F.col("kind") == "feed").alias("feed")).agg(F.count("*").alias("readings"))
 
 
 q("I13_files_sniffed", _kinds, "", "SELECT unnest([true, false]) AS feed, count(*) AS readings FROM events")

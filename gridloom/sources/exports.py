@@ -1,55 +1,94 @@
 """Utility meter exports read from files: Green Button (ESPI) feeds and usage tables in CSV, told apart by content.
 
-A file is one row until its readings are taken apart; no file list passes through the driver. Every reading keeps a ``status``: 'ok', or
-why it is left out, so an import can say what it skipped. Nothing is guessed: units, scale and flow come from the feed's reading
-types, interval lengths from the file, and a missing reading gives no row.
+A feed is read entry by entry: the text source splits files at the end of an element name, so a large feed is many tasks and no task holds
+more than an entry. Usage tables are read by Spark's CSV reader, files of one width together; quoted cells may hold line breaks, so a
+table is streamed by one task. Every reading, row and file keeps a ``status``: 'ok', or why it is left out, so an import can say
+what it skipped. Nothing is guessed: units, scale and flow come from the feed's reading types, interval lengths from the file, and
+a missing reading gives no row.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from typing import NamedTuple
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.localtime import TZ, local, utc
 from ..functions.scalar import to_kwh
 
-#: What is read of a feed; namespaces are ignored.
-FEED = (
-    "struct<entry:array<struct<link:array<struct<_href:string,_rel:string>>,content:struct<UsagePoint:struct<name:string>,"
+#: What is read of a feed's entry; namespaces are ignored.
+ENTRY = (
+    "struct<link:array<struct<_href:string,_rel:string>>,content:struct<UsagePoint:struct<name:string>,"
     "ReadingType:struct<uom:string,powerOfTenMultiplier:string,flowDirection:string,intervalLength:string>,"
-    "IntervalBlock:array<struct<interval:struct<duration:string>,IntervalReading:array<struct<timePeriod:struct<start:string,duration:string>,value:string>>>>>>>>"
+    "IntervalBlock:array<struct<interval:struct<duration:string>,IntervalReading:array<struct<timePeriod:struct<start:string,duration:string>,value:string>>>>>,_broken:string>"
 )
+#: Codes of the feed's own schema; fixed values.
 FORWARD, WATT_HOURS = 1, 72
 READING = ["file", "device_id", "ts_utc", "ts_local", "interval_s", "value", "status"]
-#: Columns of a usage table, by a part of their header; earlier parts go first.
+#: Columns of a usage table, by a part of their header; earlier parts go first. Fixed values.
 HEADERS = {"start": ("start", "interval", "date", "time"), "usage": ("kwh", "usage", "consumption", "value"), "end": ("end",), "flow": ("direction", "flow"), "meter": ("meter", "usage point", "account")}
+#: Beginnings of a flow's name that count as energy delivered, besides none. Fixed values.
+DELIVERED = ("deliver", "consum", "forward")
 
 
 class ExportError(ValueError):
     """The files could not be read without guessing at what they mean."""
 
 
-def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """(file, text, feed): each file whole, without a byte order mark; ``feed`` tells an ESPI feed from a table by its first words.
-    An empty file has no row."""
-    rows = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-    text = F.regexp_replace("value", "^\\uFEFF", "")
-    head = F.lower(F.substring(F.ltrim(text), 1, 400))
-    feed = head.startswith("<?xml") | head.contains("<feed") | head.contains("espi")
-    return rows.select(F.col("_metadata.file_path").alias("file"), text.alias("text"), feed.alias("feed"))
+class Exports(NamedTuple):
+    """A folder's files by kind: 'feed', 'table' or 'empty' (white space alone). ``files`` has (file, kind)."""
+
+    spark: SparkSession
+    files: DataFrame
+    feeds: list[str]
+    tables: list[str]
+
+
+def open_exports(spark: SparkSession, path: str) -> Exports:
+    """Tell files apart by the first character of their content: a feed's root element opens there, a table's header cannot.
+
+    The driver gets one short row a file, as Spark's own file index does.
+    """
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).inputFiles()  # with those that have no bytes
+    every = spark.createDataFrame([(n.replace("file:///", "file:/", 1),) for n in names], "file string")  # as _metadata has them
+    # Pieces between two noughts are short in either kind, whatever a file's lines are.
+    pieces = spark.read.option("recursiveFileLookup", True).option("lineSep", "00").text(path)
+    bare = F.regexp_replace("value", r"^[\uFEFF\s]+", "")
+    heads = pieces.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.substring(bare, 1, 1).alias("c"), F.monotonically_increasing_id().alias("n"))
+    heads = heads.where("at = 0 AND c <> ''").groupBy("file").agg(F.min_by("c", "n").alias("c"))
+    kind = F.when(F.col("c").isNull(), "empty").when(F.col("c") == "<", "feed").otherwise("table")
+    found = every.join(heads, "file", "left").select("file", kind.alias("kind")).collect()
+    of = lambda kind: sorted(unquote(r.file) for r in found if r.kind == kind)
+    return Exports(spark, spark.createDataFrame([tuple(r) for r in found], "file string, kind string"), of("feed"), of("table"))
 
 
 def _whole(text: Column) -> Column:
     return F.trim(text).try_cast("double").cast("long")
 
 
-def feed_readings(files: DataFrame, tz: str = TZ) -> DataFrame:
+def entries(found: Exports) -> DataFrame:
+    """(file, link, content, broken): a row per entry of the feeds. Files are split wherever ``entry>`` stands, whatever its prefix; a piece
+    that ends in a closing tag is an entry's inside, behind its opening tag if that has attributes."""
+    pieces = found.spark.read.option("lineSep", "entry>").text(found.feeds).select(F.col("_metadata.file_path").alias("file"), "value")
+    inside = F.regexp_extract("value", r"(?s)^(?:.*<(?:[\w.-]+:)?entry\s[^>]*>)?(.*)</(?:[\w.-]+:)?$", 1)
+    rows = pieces.where(F.col("value").rlike(r"</(?:[\w.-]+:)?$")).select("file", F.concat(F.lit("<entry>"), inside, F.lit("</entry>")).alias("x"))
+    parsed = F.from_xml("x", ENTRY, {"ignoreNamespace": "true", "columnNameOfCorruptRecord": "_broken"})
+    return rows.select("file", parsed.alias("e")).select("file", "e.link", "e.content", F.col("e._broken").isNotNull().alias("broken"))
+
+
+def feed_readings(found: Exports, tz: str = TZ) -> DataFrame:
     """Readings of ESPI feeds. A block's reading type is found over links from either end, or is the feed's only one.
 
-    Statuses besides 'ok': 'reverse' flow, 'unit' that is no energy, 'blank' time or value, 'no type', 'no duration'.
+    Statuses besides 'ok': 'reverse' flow, 'unit' that is no energy, 'blank' time or value, 'no type', 'no duration', and 'malformed' (a row for
+    each entry that is no XML).
     """
-    parsed = files.where("feed").select("file", F.from_xml("text", FEED, {"ignoreNamespace": "true"}).alias("x"))
-    e = parsed.select("file", F.explode("x.entry").alias("e")).select("file", "e.link", "e.content.*")
+    if not found.feeds:
+        return _none(found.spark)
+    read = entries(found)
+    e = read.where("NOT broken").select("file", "link", "content.*")
     links = lambda rel: F.transform(F.filter("link", lambda k: k["_rel"] == rel), lambda k: F.rtrim(k["_href"], F.lit("/")))
     e = e.withColumn("href", F.coalesce(F.try_element_at(links("self"), F.lit(1)), F.lit(""))).withColumn("related", links("related"))
     what = F.struct(_whole(F.col("ReadingType.uom")).alias("uom"), F.coalesce(_whole(F.col("ReadingType.powerOfTenMultiplier")), F.lit(0)).alias("power"), _whole(F.col("ReadingType.flowDirection")).alias("flow"), _whole(F.col("ReadingType.intervalLength")).alias("length"))
@@ -69,7 +108,12 @@ def feed_readings(files: DataFrame, tz: str = TZ) -> DataFrame:
         .when(start.isNull() | raw.isNull(), "blank").when(F.coalesce(length, F.lit(0)) <= 0, "no duration").otherwise("ok")
     )
     rows = rows.withColumn("ts_utc", F.timestamp_add("SECOND", start, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))).withColumn("status", status)
-    return rows.select("file", "device_id", "ts_utc", local("ts_utc", tz).alias("ts_local"), length.cast("int").alias("interval_s"), F.when(F.col("status") == "ok", to_kwh(raw, F.col("t.power"), F.col("t.uom"))).alias("value"), "status")
+    rows = rows.select("file", "device_id", "ts_utc", local("ts_utc", tz).alias("ts_local"), length.cast("int").alias("interval_s"), F.when(F.col("status") == "ok", to_kwh(raw, F.col("t.power"), F.col("t.uom"))).alias("value"), "status")
+    return rows.unionByName(read.where("broken").select("file", F.lit("malformed").alias("status")), allowMissingColumns=True)
+
+
+def _none(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "file string, device_id string, ts_utc timestamp_ntz, ts_local timestamp_ntz, interval_s int, value double, status string")
 
 
 def wall_time(text: Column) -> Column:
@@ -92,35 +136,56 @@ def wall_time(text: Column) -> Column:
 
 
 def _cells(line: Column) -> Column:
-    """The cells of a CSV line; quoted cells may hold commas and doubled quotes, and no line breaks."""
+    """The cells of a header line; quoted cells may hold commas and doubled quotes."""
     found = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
     return F.transform(found, lambda c: F.trim(F.when(c.startswith('"'), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c)))
 
 
-def table_readings(files: DataFrame, interval_s: int | None = None, tz: str = TZ) -> DataFrame:
+def _headers(found: Exports) -> DataFrame:
+    """(file, head): the lower-case cells of each table's first line that is not blank."""
+    lines = found.spark.read.text(found.tables).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "^\\uFEFF", "").alias("line"), F.monotonically_increasing_id().alias("n"))
+    first = lines.where("trim(line) <> ''").groupBy("file").agg(F.min_by("line", "n").alias("line"))
+    return first.select("file", F.transform(_cells(F.col("line")), lambda h: F.lower(h)).alias("head"))
+
+
+def _table_rows(found: Exports, headers: DataFrame) -> DataFrame:
+    """(file, c, odd): cells of every row below the headers; ``odd`` rows have not as many as their header."""
+    widths = headers.groupBy(F.size("head").alias("width")).agg(F.collect_list("file").alias("files")).collect()  # paths, as in the file index
+    parts = []
+    for w in widths:
+        names = [f"c{i}" for i in range(w.width)]
+        reader = found.spark.read.schema(", ".join(f"{n} string" for n in names) + ", _odd string").option("columnNameOfCorruptRecord", "_odd")
+        rows = reader.option("header", True).option("multiLine", True).option("escape", '"').csv(sorted(map(unquote, w.files)))
+        parts.append(rows.select(F.col("_metadata.file_path").alias("file"), F.transform(F.array(*names), lambda c: F.trim(c)).alias("c"), F.col("_odd").isNotNull().alias("odd")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def table_readings(found: Exports, interval_s: int | None = None, tz: str = TZ) -> DataFrame:
     """Readings of usage tables, their columns found by header. A reading's length is that to its end column, else ``interval_s``, else
     the file's commonest spacing (ties to the shorter).
 
-    Statuses besides 'ok': 'reverse' flow (anything but blank, or what starts with deliver, consum or forward), 'blank' usage, 'unreadable'
-    time or number, 'no duration', and 'no columns' (one row) for a file whose header has no start or no usage column.
+    Statuses besides 'ok': 'reverse' flow (anything but blank, or what starts as ``DELIVERED`` says), 'blank' usage, 'short' (a row without a
+    start or usage cell), 'unreadable' time or number, 'no duration', and 'no columns' (one row) for a file whose header has no start
+    or no usage column. Lines without any character are no rows.
     """
-    lines = files.where("NOT feed").select("file", F.split("text", "\r?\n").alias("lines"))
-    lines = lines.withColumn("head", F.transform(_cells(F.element_at("lines", 1)), lambda h: F.lower(h)))
+    if not found.tables:
+        return _none(found.spark)
+    headers = _headers(found)
 
     def column(parts: tuple[str, ...]) -> Column:
         at = lambda p: F.nullif(F.array_position(F.transform("head", lambda h: F.contains(h, F.lit(p))), F.lit(True)), F.lit(0).cast("long"))
         return F.coalesce(*(at(p) for p in parts)).cast("int")
 
-    lines = lines.select("file", "lines", *(column(parts).alias(f"at_{name}") for name, parts in HEADERS.items()))
-    unknown = lines.where("at_start IS NULL OR at_usage IS NULL").select("file", F.lit("no columns").alias("status"))
-    rows = lines.where("at_start IS NOT NULL AND at_usage IS NOT NULL").select("*", F.explode(F.expr("slice(lines, 2, greatest(size(lines) - 1, 0))")).alias("line")).drop("lines")
-    rows = rows.withColumn("c", _cells(F.col("line"))).where("exists(c, x -> x <> '') AND size(c) >= greatest(at_start, at_usage)")
+    at = headers.select("file", *(column(parts).alias(f"at_{name}") for name, parts in HEADERS.items()))
+    unknown = at.where("at_start IS NULL OR at_usage IS NULL").select("file", F.lit("no columns").alias("status"))
+    rows = _table_rows(found, headers).join(at.where("at_start IS NOT NULL AND at_usage IS NOT NULL"), "file")
     cell = lambda name: F.when(F.col(f"at_{name}").isNotNull(), F.try_element_at("c", F.col(f"at_{name}")))
-    flow, meter, plain = F.lower(F.coalesce(cell("flow"), F.lit(""))), F.coalesce(cell("meter"), F.lit("")), F.translate(cell("usage"), ",$", "")
+    flow, meter, plain = F.lower(F.coalesce(cell("flow"), F.lit(""))), F.coalesce(cell("meter"), F.lit("")), F.translate(F.coalesce(cell("usage"), F.lit("")), ",$", "")
     number = F.nullif(F.regexp_extract(meter, r"(\d{4,})", 1), F.lit(""))
     rows = rows.select(
         "file", F.coalesce(number, F.nullif(meter, F.lit("")), F.lit("unknown")).alias("device_id"), wall_time(cell("start")).alias("ts_local"), wall_time(cell("end")).alias("end_local"),
-        plain.try_cast("double").alias("value"), (plain == "").alias("blank"), ((flow != "") & ~flow.rlike("^(deliver|consum|forward)")).alias("back"),
+        plain.try_cast("double").alias("value"), (plain == "").alias("blank"), ((flow != "") & ~flow.rlike(f"^({'|'.join(DELIVERED)})")).alias("back"),
+        (F.col("odd") & (cell("usage").isNull() | cell("start").isNull())).alias("short"),
     )
     rows = rows.withColumn("ts_utc", utc("ts_local", tz)).withColumn("own_s", F.timestamp_diff("SECOND", F.col("ts_utc"), utc("end_local", tz)))
     if interval_s is None:
@@ -131,14 +196,18 @@ def table_readings(files: DataFrame, interval_s: int | None = None, tz: str = TZ
     else:
         rows = rows.withColumn("usual", F.lit(interval_s).cast("long"))
     length = F.coalesce(F.nullif("own_s", F.lit(0).cast("long")), "usual")
-    status = F.when(F.col("back"), "reverse").when(F.col("blank"), "blank").when(F.col("ts_utc").isNull() | F.col("value").isNull(), "unreadable").when(F.coalesce(length, F.lit(0)) <= 0, "no duration").otherwise("ok")
+    status = F.when(F.col("short"), "short").when(F.col("back"), "reverse").when(F.col("blank"), "blank").when(F.col("ts_utc").isNull() | F.col("value").isNull(), "unreadable").when(F.coalesce(length, F.lit(0)) <= 0, "no duration").otherwise("ok")
     rows = rows.withColumn("status", status).select("file", "device_id", "ts_utc", "ts_local", length.cast("int").alias("interval_s"), F.when(F.col("status") == "ok", F.col("value")).alias("value"), "status")
     return rows.unionByName(unknown, allowMissingColumns=True)
 
 
-def readings(files: DataFrame, interval_s: int | None = None, tz: str = TZ) -> DataFrame:
-    """Readings of all files, whichever kind each is."""
-    return feed_readings(files, tz).unionByName(table_readings(files, interval_s, tz))
+def readings(found: Exports, interval_s: int | None = None, tz: str = TZ) -> DataFrame:
+    """Readings of all files, whichever kind each is. A file that gives no row has one with the status 'empty', 'no rows' (a table of a header
+    alone) or 'no readings' (a feed without any)."""
+    rows = feed_readings(found, tz).unionByName(table_readings(found, interval_s, tz))
+    why = F.when(F.col("kind") == "empty", "empty").when(F.col("kind") == "table", "no rows").otherwise("no readings")
+    bare = found.files.join(rows.select("file").distinct(), "file", "left_anti").select("file", why.alias("status"))
+    return rows.unionByName(bare, allowMissingColumns=True)
 
 
 def observations(found: DataFrame) -> DataFrame:
@@ -152,13 +221,13 @@ def census(found: DataFrame) -> DataFrame:
 
 
 #: Statuses under which units, scale, times or lengths are unknown: an import stops on them.
-REFUSED = ("no type", "no duration", "no columns", "unreadable")
+REFUSED = ("no type", "no duration", "no columns", "unreadable", "malformed")
 
 
 def checked(found: DataFrame) -> DataFrame:
-    """The readings, or an error that names files which cannot be read without guessing, or give nothing that can be imported."""
+    """The readings, or an error that names files which cannot be read without guessing, or without any usable row."""
     refused = F.count_if(F.col("status").isin(*REFUSED)) > 0
-    nothing = (F.count_if(F.col("status") == "ok") == 0) & (F.count_if(F.col("status").isin("reverse", "unit")) > 0)
+    nothing = F.count_if(F.col("status") == "ok") == 0
     bad = found.groupBy("file").agg(F.array_sort(F.collect_set("status")).alias("statuses"), (refused | nothing).alias("bad")).where("bad").orderBy("file").limit(5).collect()
     if bad:
         raise ExportError("; ".join(f"{r.file}: {', '.join(r.statuses)}" for r in bad))

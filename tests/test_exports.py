@@ -37,7 +37,7 @@ def land(tmp_path, **files):
 
 
 def rows(spark, path, **options):
-    found = exports.readings(exports.read_files(spark, path), **options)
+    found = exports.readings(exports.open_exports(spark, path), **options)
     return found.select(F.element_at(F.split("file", "/"), -1).alias("file"), "device_id", "ts_utc", "interval_s", "value", "status").collect()
 
 
@@ -59,7 +59,7 @@ def test_feed_without_type_or_with_one(spark, tmp_path):
     got = {r.file: (r.status, r.value, r.interval_s, r.device_id) for r in rows(spark, land(tmp_path, one=one, none=none))}
     assert got == {"one": ("ok", 1.0, 86400, "77"), "none": ("no type", None, 900, "77")}
     with pytest.raises(exports.ExportError, match="none: no type"):
-        exports.checked(exports.readings(exports.read_files(spark, str(tmp_path))))
+        exports.checked(exports.readings(exports.open_exports(spark, str(tmp_path))))
 
 
 def test_layouts(spark):
@@ -84,9 +84,51 @@ def test_tables(spark, tmp_path):
         ("plain", "2024-01-05T05:45:00", "M 7", 900, None, "reverse"), ("plain", "2024-01-05T06:00:00", "M 7", 900, 4.0, "ok"),
     ]
     assert {r.interval_s for r in rows(spark, path, interval_s=1800) if r.file == "plain"} == {1800}
-    assert {(r.file.rsplit("/", 1)[-1], r.status): r.n for r in exports.census(exports.readings(exports.read_files(spark, path))).collect()}[("plain", "ok")] == 3
+    assert {(r.file.rsplit("/", 1)[-1], r.status): r.n for r in exports.census(exports.readings(exports.open_exports(spark, path))).collect()}[("plain", "ok")] == 3
 
 
 def test_kinds_by_content(spark, tmp_path):
     path = land(tmp_path, **{"bom.txt": feed([(1, [(0, 900, 1)])]), "feed.csv": feed([]), "table.xml": "date,kwh\n", "blank": "\n"})
-    assert {r.file.rsplit("/", 1)[-1]: r.feed for r in exports.read_files(spark, path).collect()} == {"bom.txt": True, "feed.csv": True, "table.xml": False, "blank": False}
+    assert {r.file.rsplit("/", 1)[-1]: r.kind for r in exports.open_exports(spark, path).files.collect()} == {"bom.txt": "feed", "feed.csv": "feed", "table.xml": "table", "blank": "empty"}
+
+
+def test_every_line_and_file_has_a_status(spark, tmp_path):
+    """Quoted line breaks, CR endings, short and long rows, header-only and empty files; no file without a usable row is taken."""
+    path = land(
+        tmp_path, quoted='Date,kWh,"Note,\tmore"\n2024-01-05 00:00,1,"two\nlines"\n2024-01-05 00:15,2,"say ""hi"", x"\n', cr="Date,kWh\r2024-01-05 00:00,3\r2024-01-05 00:15,4\r", head="Date,kWh\n", zero="", **{"with space": "Date,kWh\n2024-01-05 01:00,7\n"},
+        short="Date,Flow,kWh\n2024-01-05 00:00\n2024-01-05 00:15,,5\n2024-01-05 00:30,,6,extra\n\n2024-01-05 00:45,,\n", only="Date,kWh\n2024-01-05 00:00\n", bare="<feed></feed>",
+    )
+    found = exports.readings(exports.open_exports(spark, path), 900)
+    got = {(r.file.rsplit("/", 1)[-1], r.status): r.n for r in exports.census(found).collect()}
+    assert got == {("quoted", "ok"): 2, ("cr", "ok"): 2, ("with%20space", "ok"): 1, ("head", "no rows"): 1, ("zero", "empty"): 1, ("short", "short"): 1, ("short", "ok"): 2, ("short", "blank"): 1, ("only", "short"): 1, ("bare", "no readings"): 1}
+    assert sorted(r.value for r in exports.observations(found).collect()) == [1, 2, 3, 4, 5, 6, 7]
+    with pytest.raises(exports.ExportError) as e:
+        exports.checked(found)
+    assert all(f"/{n}: " in str(e.value) for n in ("head", "zero", "only", "bare")) and "quoted" not in str(e.value)
+
+
+def test_a_large_feed_is_many_tasks(spark, tmp_path):
+    """One file, split in the midst of entries, gives what a file for each block gives; opening tags may have prefixes and attributes."""
+    blocks = [(1, [(900 * (40 * b + k), 900, b + k) for k in range(40)]) for b in range(60)]
+    (tmp_path / "one").mkdir(), (tmp_path / "many").mkdir()
+    text = feed(blocks)
+    land(tmp_path / "one", all=text)
+    for b, block in enumerate(blocks):
+        land(tmp_path / "many", **{f"f{b}": feed([block]).replace("<entry>", f'<entry id="{b}">' if b % 2 else "<a:entry>").replace("</entry>", "</entry>" if b % 2 else "</a:entry>").replace("<feed ", '<feed xmlns:a="http://www.w3.org/2005/Atom" ')})
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 20_000)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1000)
+    try:
+        found = exports.open_exports(spark, str(tmp_path / "one"))
+        assert exports.entries(found).rdd.getNumPartitions() > 10 and exports.entries(found).count() == 2 + 2 * 60
+        one, many = (sorted((r.ts_utc, r.value, r.status) for r in rows(spark, str(tmp_path / d))) for d in ("one", "many"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert one == many and len(one) == 2400 and {r[2] for r in one} == {"ok"}
+
+
+def test_malformed_entries_are_refused(spark, tmp_path):
+    path = land(tmp_path, bad=feed([(1, [(0, 900, 1)])]).replace("</espi:IntervalBlock>", "</espi:Other>"))
+    assert ("malformed", 1) in {(r.status, r.n) for r in exports.census(exports.readings(exports.open_exports(spark, path))).collect()}
+    with pytest.raises(exports.ExportError, match="malformed"):
+        exports.checked(exports.readings(exports.open_exports(spark, path)))
