@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.localtime import local_date
+from ..functions.localtime import TZ, day_table, local_date, midnight_utc, seconds
 from ..functions.scalar import level
 from ..schemas import CHANNEL
 
@@ -28,14 +28,15 @@ def label(facts: DataFrame, dim: DataFrame, how: str = "left") -> DataFrame:
     return facts.join(dim, CHANNEL, how)
 
 
-def circuits(hourly: DataFrame, dim: DataFrame, poll_interval_s: float, first: str, last: str) -> DataFrame:
+def circuits(hourly: DataFrame, dim: DataFrame, poll_interval_s: float, first: str, last: str, tz: str = TZ) -> DataFrame:
     """Channels of local days ``first`` to ``last`` ranked by energy, with coverage of the range's real hours."""
     day = local_day()
     rows = hourly.where("metric = 'watts'").where(day.between(F.lit(first).cast("date"), F.lit(last).cast("date")))
     out = rows.groupBy(*CHANNEL).agg(
         F.sum("kwh").alias("kwh"), F.max("max").alias("peak_w"), F.sum("sample_count").alias("samples"), F.count("*").alias("hours"), F.countDistinct(day).alias("days"), F.min(day).alias("first_day"), F.max(day).alias("last_day")
     )
-    span = F.expr(f"(datediff(DATE'{last}', DATE'{first}') + 1) * 86400 / {poll_interval_s}")
+    # From midnight to midnight on the local clock: days of 23 and 25 hours count as they are.
+    span = (seconds(midnight_utc(F.date_add(F.lit(last).cast("date"), 1), tz)) - seconds(midnight_utc(F.lit(first).cast("date"), tz))) / poll_interval_s
     out = label(out, dim.select(*CHANNEL, "label", "category")).withColumn("level", level()).withColumn("coverage_pct", F.col("samples") / span * 100)
     return out.orderBy(F.col("kwh").desc_nulls_last(), *CHANNEL)
 
@@ -60,6 +61,25 @@ def panel_daily(hourly: DataFrame) -> DataFrame:
     return hourly.where("metric = 'watts'").where(level() == "feed").groupBy(local_day().alias("local_day")).agg(F.sum("kwh").alias("kwh"), F.sum("observed_seconds").alias("observed_seconds"), F.countDistinct(F.struct("device_id", "channel_id")).alias("channels"))
 
 
+def with_coverage(days: DataFrame, observed_s: Column, tz: str = TZ) -> DataFrame:
+    """``coverage``: observed seconds as a share of the local day's own 23, 24 or 25 hours."""
+    lengths = day_table(days.select("local_day"), tz).select("local_day", "hours")
+    return days.join(lengths, "local_day").withColumn("coverage", observed_s / (F.col("hours") * 3600)).drop("hours")
+
+
+def panel_coverage(hourly: DataFrame, tz: str = TZ) -> DataFrame:
+    """(local_day, kwh, coverage) of the feeds together."""
+    days = panel_daily(hourly)
+    return with_coverage(days, F.col("observed_seconds") / F.col("channels"), tz).select("local_day", "kwh", "coverage")
+
+
+def feed_coverage(hourly: DataFrame, tz: str = TZ) -> DataFrame:
+    """(local_day, panel_kwh, channels, coverage): the feeds' energy, how many reported, and the coverage of the worst."""
+    series = hourly.where("metric = 'watts'").where(level() == "feed").groupBy(local_day().alias("local_day"), *CHANNEL).agg(F.sum("kwh").alias("kwh"), F.sum("observed_seconds").alias("seconds"))
+    days = series.groupBy("local_day").agg(F.sum("kwh").alias("panel_kwh"), F.count("*").alias("channels"), F.min("seconds").alias("seconds"))
+    return with_coverage(days, F.col("seconds"), tz).drop("seconds")
+
+
 def panel_hours(hourly: DataFrame, channels: list[str]) -> DataFrame:
     """Energy of the named channels per hour, the worst channel's samples, and how many series reported."""
     return hourly.where("metric = 'watts'").where(F.col("channel_id").isin(*channels)).groupBy("hour_start_utc").agg(F.sum("kwh").alias("panel_kwh"), F.min("sample_count").alias("worst_samples"), F.countDistinct(F.struct("device_id", "channel_id")).alias("series"))

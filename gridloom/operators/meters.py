@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.localtime import TZ, day_table, hour, local_date
-from .aggregates import panel_hours
+from .aggregates import panel_hours, with_coverage
 
 
 def day_totals(meter: DataFrame, interval_s: int) -> DataFrame:
@@ -70,6 +70,12 @@ def cycle(meter: DataFrame, cycles: DataFrame, tz: str = TZ) -> DataFrame:
     )
 
 
+def day_coverage(meter: DataFrame, interval_s: int, device: str, tz: str = TZ) -> DataFrame:
+    """(local_day, kwh, coverage) of one meter: its intervals against those of the day's own 23, 24 or 25 hours."""
+    days = day_totals(meter.where(F.col("device_id") == device), interval_s)
+    return with_coverage(days, F.col("intervals") * interval_s, tz).select("local_day", "kwh", "coverage")
+
+
 def day_totals_finest(meter: DataFrame) -> DataFrame:
     return finest(meter).groupBy("device_id", "interval_s", local_date("ts_utc").alias("local_day")).agg(F.sum("value").alias("kwh"), F.count("*").alias("intervals"))
 

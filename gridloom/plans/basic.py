@@ -96,6 +96,7 @@ q("J17_excluded_metrics", lambda v: v.obs.join(v.spark.createDataFrame([(m,) for
 # ------------------------------------------------------------------------------------------------------------- aggregates
 q("A01_daily_kwh", lambda v: a.label(a.daily_kwh(rollup.hourly_rollup(dedupe.dedupe(v.obs_dup.select("ts_utc", *CHANNEL, "metric", "prec", "value", "unit"), precedence=["prec"]), POLL_S), 50.0), v.dim.select(*CHANNEL, "label")), "obs obs_dup dim", "; deduped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, device_id, channel_id, metric, ts_utc ORDER BY prec, value, unit) AS rn FROM obs_dup) WHERE rn = 1), " + hourly_sql("hourly", "deduped") + f" SELECT source, device_id, channel_id, {DAY} AS local_day, sum(kwh) AS kwh, CAST(sum(observed_seconds) AS BIGINT) AS observed_seconds, count(*) AS hours, max(max) AS peak_w, count(*) FILTER (WHERE mean >= 50) AS busy_hours, any_value(label) AS label FROM hourly LEFT JOIN dim USING (source, device_id, channel_id) WHERE metric = 'watts' GROUP BY source, device_id, channel_id, {DAY}", doubles="kwh peak_w")
 q("A02_circuits", lambda v: a.circuits(v.hourly, v.dim, POLL_S, "2024-01-05", "2024-01-20"), "hourly dim", f"SELECT source, device_id, channel_id, sum(kwh) AS kwh, max(max) AS peak_w, CAST(sum(sample_count) AS BIGINT) AS samples, count(*) AS hours, count(DISTINCT {DAY}) AS days, min({DAY}) AS first_day, max({DAY}) AS last_day, any_value(label) AS label, any_value(category) AS category, {LEVEL} AS level, sum(sample_count) / (16 * 86400 / {POLL_S}) * 100 AS coverage_pct FROM hourly LEFT JOIN dim USING (source, device_id, channel_id) WHERE metric = 'watts' AND {DAY} BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY source, device_id, channel_id", doubles="kwh peak_w coverage_pct")
+q("A02_circuits_dst", lambda v: a.circuits(v.hourly_dst, v.dim, POLL_S, "2024-03-05", "2024-03-20"), "hourly_dst dim", f"SELECT source, device_id, channel_id, sum(kwh) AS kwh, max(max) AS peak_w, CAST(sum(sample_count) AS BIGINT) AS samples, count(*) AS hours, count(DISTINCT {DAY}) AS days, min({DAY}) AS first_day, max({DAY}) AS last_day, any_value(label) AS label, any_value(category) AS category, {LEVEL} AS level, sum(sample_count) / ((16 * 86400 - 3600) / {POLL_S}) * 100 AS coverage_pct FROM hourly_dst LEFT JOIN dim USING (source, device_id, channel_id) WHERE metric = 'watts' AND {DAY} BETWEEN DATE '2024-03-05' AND DATE '2024-03-20' GROUP BY source, device_id, channel_id", doubles="kwh peak_w coverage_pct")
 q("A03_circuit_days", lambda v: a.circuit_days(v.hourly), "hourly", f"SELECT {DAY} AS local_day, device_id || '/' || channel_id AS series, {LEVEL} AS level, sum(kwh) AS kwh FROM hourly WHERE metric = 'watts' GROUP BY ALL", doubles="kwh")
 q("A04_level_totals", lambda v: a.level_totals(v.hourly), "hourly", f"SELECT {LEVEL} AS level, sum(kwh) AS kwh, count(DISTINCT device_id || '/' || channel_id) AS channels FROM hourly WHERE metric = 'watts' GROUP BY ALL", doubles="kwh")
 q("A05_panel_days", lambda v: a.panel_days(v.hourly), "hourly", f"SELECT local_day, sum(kwh) AS kwh, count(*) AS series, CAST(min(n) AS BIGINT) AS worst_samples FROM (SELECT {DAY} AS local_day, source, device_id, channel_id, sum(kwh) AS kwh, sum(sample_count) AS n FROM hourly WHERE metric = 'watts' AND {FEED} GROUP BY ALL) GROUP BY ALL", doubles="kwh")

@@ -12,7 +12,7 @@ from ..operators import coverage as cov
 from ..operators import dimension, hvac, integrity, reports, rollup
 from ..operators import meters as m
 from ..schemas import CHANNEL
-from ..views import POLL_S
+from ..views import POLL_S, day_hours_sql
 from .basic import DAY, FEED, LEVEL
 from .registry import Registry
 from .windows import CHANGE, LAYOUT, LAYOUTS, latest_kinds
@@ -23,21 +23,28 @@ TODAY = "2024-01-25"
 KEY = "source || '/' || device_id || '/' || channel_id"
 
 # -------------------------------------------------------------------------------------------------------------- integrity
-_PANEL = f"panel AS (SELECT {DAY} AS local_day, sum(kwh) AS kwh, sum(observed_seconds) / count(DISTINCT device_id || channel_id) / 86400 AS coverage FROM hourly WHERE metric = 'watts' AND {FEED} GROUP BY ALL)"
-_METER = "md AS (SELECT CAST(ts_local AS DATE) AS local_day, sum(value) AS meter_kwh, count(*) / 96 AS meter_coverage FROM meter WHERE interval_s = 900 AND device_id = 'm0' GROUP BY ALL)"
+def _panel(hourly: str = "hourly") -> str:
+    return f"panel AS (SELECT local_day, kwh, seconds / channels / ({day_hours_sql('local_day')} * 3600) AS coverage FROM (SELECT {DAY} AS local_day, sum(kwh) AS kwh, sum(observed_seconds) AS seconds, count(DISTINCT device_id || channel_id) AS channels FROM {hourly} WHERE metric = 'watts' AND {FEED} GROUP BY ALL))"
+
+
+def _disagree(hourly: str = "hourly", meter: str = "meter") -> str:
+    metered = f"md AS (SELECT local_day, meter_kwh, n * 900 / ({day_hours_sql('local_day')} * 3600) AS meter_coverage FROM (SELECT CAST(ts_local AS DATE) AS local_day, sum(value) AS meter_kwh, count(*) AS n FROM {meter} WHERE interval_s = 900 AND device_id = 'm0' GROUP BY ALL))"
+    return f"; {_panel(hourly)}, {metered}, j AS (SELECT *, abs(kwh - meter_kwh) / nullif(meter_kwh, 0) * 100 AS off_pct FROM panel FULL JOIN md USING (local_day)), d AS (SELECT *, CASE WHEN kwh IS NULL THEN 'no panel' WHEN meter_kwh IS NULL THEN 'no meter' WHEN coverage < 0.9 THEN 'panel short' WHEN meter_coverage < 0.9 THEN 'meter short' END AS skipped FROM j)"
 
 
 def panel_days(v):
-    p = a.panel_daily(v.hourly)
-    return p.select("local_day", "kwh", (F.col("observed_seconds") / F.col("channels") / 86400).alias("coverage"))
+    return a.panel_coverage(v.hourly)
 
 
 def meter_days(v):
-    return m.day_totals(v.meter, 900).where("device_id = 'm0'").select("local_day", "kwh", (F.col("intervals") / 96).alias("coverage"))
+    return m.day_coverage(v.meter, 900, "m0")
 
 
-_DISAGREE = f"; {_PANEL}, {_METER}, j AS (SELECT *, abs(kwh - meter_kwh) / nullif(meter_kwh, 0) * 100 AS off_pct FROM panel FULL JOIN md USING (local_day)), d AS (SELECT *, CASE WHEN kwh IS NULL THEN 'no panel' WHEN meter_kwh IS NULL THEN 'no meter' WHEN coverage < 0.9 THEN 'panel short' WHEN meter_coverage < 0.9 THEN 'meter short' END AS skipped FROM j)"
-q("Q02_meter_disagreement", lambda v: integrity.meter_disagreement(panel_days(v), meter_days(v)), "hourly meter", _DISAGREE + " SELECT *, CASE WHEN skipped IS NULL THEN off_pct > 10 END AS disagrees FROM d", doubles="kwh coverage meter_kwh meter_coverage off_pct")
+_DISAGREE = _disagree()
+_JUDGED = " SELECT *, CASE WHEN skipped IS NULL THEN off_pct > 10 END AS disagrees FROM d"
+_DOUBLES = "kwh coverage meter_kwh meter_coverage off_pct"
+q("Q02_meter_disagreement", lambda v: integrity.meter_disagreement(panel_days(v), meter_days(v)), "hourly meter", _DISAGREE + _JUDGED, doubles=_DOUBLES)
+q("Q02_meter_disagreement_dst", lambda v: integrity.meter_disagreement(a.panel_coverage(v.hourly_dst), m.day_coverage(v.meter_dst, 900, "m0")), "hourly_dst meter_dst", _disagree("hourly_dst", "meter_dst") + _JUDGED, doubles=_DOUBLES)
 q("Q02_feed_below_children", lambda v: integrity.feed_against_children(v.hourly), "hourly", f"; h AS (SELECT device_id, hour_start_utc, {DAY} AS local_day, sum(mean) FILTER (WHERE {FEED}) AS feed_w, sum(mean) FILTER (WHERE channel_id LIKE 'breaker_%' OR channel_id LIKE 'ct_2%') AS children_w, count(*) FILTER (WHERE channel_id LIKE 'breaker_%' OR channel_id LIKE 'ct_2%') AS children FROM hourly WHERE metric = 'watts' GROUP BY ALL) SELECT *, children_w - feed_w AS excess_w FROM h WHERE feed_w IS NOT NULL AND children >= 3 AND children_w - feed_w > greatest(0.05 * feed_w, 100)", doubles="feed_w children_w excess_w")
 
 
@@ -69,16 +76,27 @@ def above(v):
 
 _ABOVE = _BAND + f", above AS (SELECT device_id, channel_id, local_day, kwh, median, median + width AS upper, kwh - median AS excess_kwh FROM k JOIN bands USING (device_id, channel_id) WHERE local_day = DATE '{TODAY}' AND kwh > median + 0.25 * width)"
 q("Q03_above_band", above, "hourly", _ABOVE + " SELECT * FROM above", doubles="kwh median upper excess_kwh")
-q("Q03_digest", lambda v: integrity.report([an.as_findings(above(v)), channel_check(v)[0].where(f"local_day = DATE'{TODAY}' AND rule = 'negative_reading'")]).groupBy("rule", "local_day").agg(F.count("*").alias("n"), F.sum("kwh").alias("kwh")), "hourly", _ABOVE + f" SELECT 'above_band' AS rule, local_day, count(*) AS n, sum(excess_kwh) AS kwh FROM above GROUP BY ALL UNION ALL SELECT 'negative_reading', DATE '{TODAY}', count(*), NULL FROM (SELECT DISTINCT {KEY} FROM hourly WHERE metric = 'watts' AND min < 5 AND {DAY} = DATE '{TODAY}') HAVING count(*) > 0", doubles="kwh")
 q("Q03_went_quiet", lambda v: an.went_quiet(_daily(v).withColumn("channel_id", F.concat_ws("/", "device_id", "channel_id")), TODAY, 0.5, 1).drop("first_day").select("channel_id", "length", "last_day"), "hourly", f"; {_KWH}, x AS (SELECT device_id || '/' || channel_id AS c, local_day, date_diff('day', DATE '1970-01-01', local_day) AS o FROM k WHERE kwh < 0.5 AND local_day <= DATE '{TODAY}'), y AS (SELECT *, o - row_number() OVER (PARTITION BY c ORDER BY o) AS run FROM x) SELECT c AS channel_id, count(*) AS length, max(local_day) AS last_day FROM y GROUP BY c, run HAVING max(local_day) = DATE '{TODAY}'")
 q("Q03_stuck_loads", lambda v: an.stuck_loads(_daily(v), TODAY, 4, 0.5, 0.9).select("device_id", "channel_id", "duty", "usual_duty"), "hourly", f"; {_KWH}, u AS (SELECT device_id, channel_id, sum(busy_hours) / sum(hours) AS usual_duty FROM k WHERE local_day < DATE '{TODAY}' GROUP BY ALL) SELECT device_id, channel_id, busy_hours / hours AS duty, usual_duty FROM k JOIN u USING (device_id, channel_id) WHERE local_day = DATE '{TODAY}' AND hours >= 4 AND busy_hours / hours >= 0.5 AND usual_duty < 0.9", doubles="duty usual_duty")
 q("Q03_strip_heat", lambda v: an.strip_heat(v.daily, v.daily.where("channel_id = 'low'").select("local_day", F.col("kwh").alias("low")), "urgent", 300.0, 200.0).select("local_day", "kwh", "low"), "daily", "SELECT d.local_day, d.kwh, o.kwh AS low FROM daily d JOIN daily o ON d.local_day = o.local_day AND o.channel_id = 'low' WHERE d.channel_id = 'urgent' AND d.kwh >= 300 AND o.kwh > 200", doubles="kwh low")
 q("Q03_envelope", lambda v: an.envelope(m.day_totals(v.meter, 900), "m1", 5.5, 4.9, 2), "meter", "; d AS (SELECT CAST(ts_local AS DATE) AS local_day, sum(value) AS kwh FROM meter WHERE interval_s = 900 AND device_id = 'm1' GROUP BY ALL), y AS (SELECT *, date_diff('day', DATE '1970-01-01', local_day) - row_number() OVER (ORDER BY local_day) AS run FROM d WHERE kwh < 4.9) SELECT 'high' AS kind, local_day, kwh, CAST(1 AS BIGINT) AS days FROM d WHERE kwh > 5.5 UNION ALL SELECT 'low', max(local_day), sum(kwh), count(*) FROM y GROUP BY run HAVING count(*) >= 2", doubles="kwh")
 q("Q03_phantom_growth", lambda v: an.phantom_growth(a.night_floor(v.hourly), TODAY, 21, 5.0), "hourly", f"; f AS (SELECT local_day, min(w) AS floor_w, count(*) AS night_hours FROM (SELECT hour_start_utc, {DAY} AS local_day, sum(mean) AS w FROM hourly WHERE metric = 'watts' AND {FEED} AND hour(local_hour_start) BETWEEN 1 AND 4 GROUP BY ALL) GROUP BY ALL), b AS (SELECT median(floor_w) AS usual_w, count(*) AS nights FROM f WHERE local_day < DATE '{TODAY}' AND local_day >= DATE '{TODAY}' - 21) SELECT *, floor_w - usual_w AS growth_w, floor_w - usual_w >= 5 AS found FROM f, b WHERE local_day = DATE '{TODAY}'", doubles="floor_w usual_w growth_w")
-_news = lambda v: an.news(channel_check(v)[0].where("rule = 'negative_reading'"), channel_check(v)[0].where(f"rule = 'negative_reading' AND local_day < DATE'2024-01-01'"))
-_NEWS = f"; n AS (SELECT {KEY} AS key, {DAY} AS local_day FROM hourly WHERE metric = 'watts' AND min < 5 GROUP BY ALL) SELECT key, count(*) AS days FROM n WHERE key NOT IN (SELECT key FROM n WHERE local_day < DATE '2024-01-01') GROUP BY ALL"
-q("J21_new_findings", lambda v: _news(v).groupBy("key").agg(F.count("*").alias("days")), "hourly", _NEWS)
-q("ST14_notify_on_change", lambda v: _news(v).groupBy("rule").agg(F.countDistinct("key").alias("keys")), "hourly", _NEWS.replace("SELECT key, count(*) AS days", "SELECT 'negative_reading' AS rule, count(DISTINCT key) AS keys").replace(" GROUP BY ALL", "", 2).replace("min < 5", "min < 5 GROUP BY ALL", 1) + " HAVING count(*) > 0")
+#: Findings known before, and those of a later report.
+SINCE = "2024-01-15"
+_early = lambda v: channel_check(v)[0].where(f"local_day < DATE'{SINCE}'")
+_late = lambda v: channel_check(v)[0].where(f"local_day >= DATE'{SINCE}'")
+_ALL_FOUND = _DISAGREE + ", " + _FOUND.removeprefix("; ") + ", found AS (SELECT rule, key, local_day FROM c UNION ALL SELECT rule, key, local_day FROM (SELECT * FROM n) t(rule, key, local_day, h, k) UNION ALL SELECT rule, key, local_day FROM (SELECT * FROM x) t(rule, key, local_day, h, k) UNION ALL SELECT 'meter_disagreement', 'meter', local_day FROM d WHERE skipped IS NULL AND off_pct > 10)"
+_TWO = f", e AS (SELECT rule, key, max(local_day) AS day FROM found WHERE local_day < DATE '{SINCE}' GROUP BY ALL), l AS (SELECT rule, key, max(local_day) AS day, count(*) AS days FROM found WHERE local_day >= DATE '{SINCE}' GROUP BY ALL)"
+q("J21_new_findings", lambda v: an.news(_late(v), _early(v)).groupBy("rule", "key").agg(F.count("*").alias("days")), "hourly meter", _ALL_FOUND + _TWO + " SELECT rule, key, days FROM l ANTI JOIN e USING (rule, key)")
+
+
+def notified(v):
+    """The later report's transitions, from a ledger in which the early report's feed findings could not be delivered."""
+    known = an.signed(_early(v)).select("signature", "rule", "key", F.col("day").alias("since"), (F.col("rule") != "feed_below_children").alias("sent"))
+    return an.transitions(known, _late(v)).select("rule", "key", "since", "change", "send")
+
+
+q("ST14_notify_on_change", notified, "hourly meter", _ALL_FOUND + _TWO + ", t AS (SELECT rule, key, coalesce(e.day, l.day) AS since, CASE WHEN l.day IS NULL THEN 'cleared' WHEN e.day IS NULL THEN 'new' WHEN rule = 'feed_below_children' THEN 'undelivered' ELSE 'kept' END AS change FROM e FULL JOIN l USING (rule, key)) SELECT *, change IN ('new', 'undelivered') AS send FROM t")
 q("J22_night_hours", lambda v: a.night_floor(v.hourly).select("local_day", "night_hours"), "hourly", f"SELECT {DAY} AS local_day, count(DISTINCT hour_start_utc) AS night_hours FROM hourly WHERE metric = 'watts' AND {FEED} AND hour(local_hour_start) BETWEEN 1 AND 4 GROUP BY ALL")
 
 # ---------------------------------------------------------------------------------------------------- history and gap reports
@@ -121,17 +139,18 @@ def bucket_width(window_s: int, poll_s: int, most: int = 600) -> int:
     raise ValueError(f"no bucket width for a window of {window_s} s")
 
 
-_component = lambda v: v.hourly.where("metric = 'watts' AND channel_id = 'breaker_p1'").groupBy(F.to_date("local_hour_start").alias("local_day")).agg(F.sum("kwh").alias("kwh"))
+_component = lambda hourly: hourly.where("metric = 'watts' AND channel_id = 'breaker_p1'").groupBy(F.to_date("local_hour_start").alias("local_day")).agg(F.sum("kwh").alias("kwh"))
 
 
-def feed_coverage(v):
-    series = v.hourly.where("metric = 'watts'").where(s.level() == "feed").groupBy(F.to_date("local_hour_start").alias("local_day"), *CHANNEL).agg(F.sum("kwh").alias("kwh"), F.sum("observed_seconds").alias("seconds"))
-    return series.groupBy("local_day").agg(F.sum("kwh").alias("panel_kwh"), F.count("*").alias("channels"), (F.min("seconds") / 86400).alias("coverage"))
+def _feeds(hourly: str = "hourly") -> str:
+    return f"; g AS (SELECT {DAY} AS local_day, device_id, channel_id, sum(kwh) AS kwh, sum(observed_seconds) AS seconds FROM {hourly} WHERE metric = 'watts' AND {FEED} GROUP BY ALL), f AS (SELECT local_day, panel_kwh, channels, seconds / ({day_hours_sql('local_day')} * 3600) AS coverage FROM (SELECT local_day, sum(kwh) AS panel_kwh, count(*) AS channels, min(seconds) AS seconds FROM g GROUP BY ALL))"
 
 
-_FEEDS = f"; g AS (SELECT {DAY} AS local_day, device_id, channel_id, sum(kwh) AS kwh, sum(observed_seconds) AS seconds FROM hourly WHERE metric = 'watts' AND {FEED} GROUP BY ALL), f AS (SELECT local_day, sum(kwh) AS panel_kwh, count(*) AS channels, min(seconds) / 86400 AS coverage FROM g GROUP BY ALL)"
-q("A28_feed_coverage", feed_coverage, "hourly", _FEEDS + " SELECT * FROM f", doubles="panel_kwh coverage")
-q("Q10_component_vs_panel", lambda v: hvac.component_vs_panel(_component(v), feed_coverage(v), 4, 0.3), "hourly", _FEEDS + f", c AS (SELECT {DAY} AS local_day, sum(kwh) AS kwh FROM hourly WHERE metric = 'watts' AND channel_id = 'breaker_p1' GROUP BY ALL) SELECT *, CASE WHEN channels = 4 AND coverage >= 0.3 THEN panel_kwh - kwh END AS delta_kwh FROM c FULL JOIN f USING (local_day)", doubles="kwh panel_kwh coverage delta_kwh")
+_VS = ", c AS (SELECT {} AS local_day, sum(kwh) AS kwh FROM {} WHERE metric = 'watts' AND channel_id = 'breaker_p1' GROUP BY ALL) SELECT *, CASE WHEN channels = 4 AND coverage >= 0.3 THEN panel_kwh - kwh END AS delta_kwh FROM c FULL JOIN f USING (local_day)"
+q("A28_feed_coverage", lambda v: a.feed_coverage(v.hourly), "hourly", _feeds() + " SELECT * FROM f", doubles="panel_kwh coverage")
+q("A28_feed_coverage_dst", lambda v: a.feed_coverage(v.hourly_dst), "hourly_dst", _feeds("hourly_dst") + " SELECT * FROM f", doubles="panel_kwh coverage")
+q("Q10_component_vs_panel", lambda v: hvac.component_vs_panel(_component(v.hourly), a.feed_coverage(v.hourly), 4, 0.3), "hourly", _feeds() + _VS.format(DAY, "hourly"), doubles="kwh panel_kwh coverage delta_kwh")
+q("Q10_component_vs_panel_dst", lambda v: hvac.component_vs_panel(_component(v.hourly_dst), a.feed_coverage(v.hourly_dst), 4, 0.3), "hourly_dst", _feeds("hourly_dst") + _VS.format(DAY, "hourly_dst"), doubles="kwh panel_kwh coverage delta_kwh")
 
 # ------------------------------------------------------------------------------------------------------- live panel and layout
 q("Q18_live_panel", lambda v: a.label(a.latest(v.obs.where("ts_utc < TIMESTAMP_NTZ'2024-01-20 12:30:00'")), v.dim.select(*CHANNEL, "label")).withColumn("age_s", F.expr("timestampdiff(SECOND, ts_utc, TIMESTAMP_NTZ'2024-01-20 12:30:00')")).select(s.label_or_tail("label").alias("label"), "metric", "value", "age_s", s.freshness("age_s", POLL_S).alias("freshness")), "obs dim", f"; l AS (SELECT source, device_id, channel_id, metric, max(ts_utc) AS ts, arg_max(value, ts_utc) AS value, date_diff('microsecond', max(ts_utc), TIMESTAMP '2024-01-20 12:30:00') // 1000000 AS age_s FROM obs WHERE ts_utc < '2024-01-20 12:30:00' GROUP BY ALL) SELECT coalesce(label, channel_id || ' · ' || device_id) AS label, metric, value, age_s, CASE WHEN age_s <= {1.5 * POLL_S} THEN 'live' WHEN age_s <= {3 * POLL_S} THEN 'late' ELSE 'silent' END AS freshness FROM l LEFT JOIN dim USING (source, device_id, channel_id)", doubles="value")
@@ -162,3 +181,57 @@ q("Q18_series_stats", live("stats"), "obs", f"SELECT source, device_id, channel_
 q("Q18_top_overlay", live("overlay"), "obs", f"; l AS (SELECT source, device_id, channel_id, max(value) AS peak FROM obs WHERE metric = 'watts' AND {_WINDOW} GROUP BY ALL ORDER BY peak DESC, source, device_id, channel_id LIMIT 3) SELECT source, device_id, channel_id, time_bucket(INTERVAL '7200 seconds', ts_utc, TIMESTAMP '1970-01-01') AS bucket, avg(value) AS mean_w, count(*) AS n FROM obs SEMI JOIN l USING (source, device_id, channel_id) WHERE metric = 'watts' AND {_WINDOW} GROUP BY ALL", doubles="mean_w")
 _CADENCE = f"; dl AS (SELECT ts_local, date_diff('microsecond', lag(ts_utc) OVER (PARTITION BY source, device_id, channel_id, metric ORDER BY ts_utc), ts_utc) // 1000000 AS delta_s FROM obs), days AS (SELECT CAST(ts_local AS DATE) AS local_day, CASE WHEN count(*) >= 20 THEN abs(median(delta_s) - {POLL_S}) <= 0.25 * {POLL_S} END AS cadence_agrees FROM dl WHERE delta_s >= 1 GROUP BY CAST(ts_local AS DATE))"
 q("Q01_checked_rollup", lambda v: rollup.checked_rollup(v.obs, POLL_S, allow_mismatch=True).groupBy(F.to_date("local_hour_start").alias("local_day"), "metric", "cadence_agrees").agg(F.sum("sample_count").alias("samples"), F.sum("kwh").alias("kwh")), "obs hourly", _CADENCE + f" SELECT h.local_day, metric, cadence_agrees, CAST(sum(sample_count) AS BIGINT) AS samples, sum(kwh) AS kwh FROM (SELECT *, {DAY} AS local_day FROM hourly) h LEFT JOIN days USING (local_day) GROUP BY ALL", doubles="kwh")
+
+# ---------------------------------------------------------------------------------------------------------------- whole reports
+LIMITS = reports.Limits(least_samples=1, limit_w=400.0, busy_watts=50.0, floor_kwh=0.05, quiet_days=1, stuck_hours=4, stuck_duty=0.5, strip_kwh=3.0, mild_f=2.0, barn_high=5.5, barn_low=4.9, barn_days=2, growth_w=5.0)
+#: Component energy and outdoor lows in the days of the events: two channels stand for them.
+_strip = lambda v: a.daily_kwh(v.hourly).where("channel_id = 'breaker_p10' AND device_id = 'hub0'").select("local_day", "channel_id", (F.col("kwh") * 100).alias("kwh"))
+_outdoor = lambda v: a.daily_kwh(v.hourly).where("channel_id = 'breaker_p14' AND device_id = 'hub0'").select("local_day", (F.col("kwh") * 100).alias("low"))
+
+
+def digested(block: str):
+    """The digest of a day over instruments whose even devices read a little low, so that some are found at fault and some are not."""
+
+    def build(v):
+        shifted = v.hourly.withColumn("min", F.when(F.col("device_id") == "hub0", F.col("min") - 0.5).otherwise(F.col("min")))
+        return reports.digest(shifted, _strip(v), v.meter, TODAY, "m0", "m1", "breaker_p10", _outdoor(v), limits=LIMITS)[block]
+
+    return build
+
+
+_T = f"DATE '{TODAY}'"
+_DIGEST = f"""; hh AS (SELECT * REPLACE (CASE WHEN device_id = 'hub0' THEN min - 0.5 ELSE min END AS min), {KEY} AS key, {DAY} AS local_day FROM hourly WHERE metric = 'watts'), {_disagree().removeprefix('; ')},
+c0 AS (SELECT 'corrupt_reading' AS rule, key, local_day, NULL AS kwh FROM hh WHERE greatest(abs(min), abs(max)) >= 400 GROUP BY ALL), n0 AS (SELECT 'negative_reading' AS rule, key, local_day, NULL AS kwh FROM hh WHERE min < 0 GROUP BY ALL),
+still AS (SELECT key, min, hour_start_utc, local_day, date_diff('hour', TIMESTAMP '1970-01-01', hour_start_utc) - row_number() OVER (PARTITION BY key, min ORDER BY hour_start_utc) AS run FROM hh WHERE channel_id LIKE 'ct%' AND min = max AND min <> 0),
+fr AS (SELECT 'frozen_channel' AS rule, key, CAST(min(local_day) AS DATE) AS local_day, NULL AS kwh FROM (SELECT key, min, run, min(CAST(hour_start_utc AS DATE)) AS local_day, count(*) AS n FROM still GROUP BY ALL HAVING count(*) >= 2) GROUP BY key, min, run),
+ex AS (SELECT 'feed_below_children' AS rule, device_id AS key, local_day, NULL AS kwh FROM (SELECT device_id, hour_start_utc, local_day, sum(mean) FILTER (WHERE {FEED}) AS f, sum(mean) FILTER (WHERE channel_id LIKE 'breaker_%' OR channel_id LIKE 'ct_2%') AS c, count(*) FILTER (WHERE channel_id LIKE 'breaker_%' OR channel_id LIKE 'ct_2%') AS k FROM hh GROUP BY ALL) WHERE f IS NOT NULL AND k >= 3 AND c - f > greatest(0.05 * f, 100) GROUP BY ALL),
+bad AS (SELECT DISTINCT key FROM (SELECT key FROM c0 UNION ALL SELECT key FROM n0 UNION ALL SELECT key FROM fr)),
+k AS (SELECT key, local_day, sum(kwh) AS kwh, count(*) AS hours, count(*) FILTER (WHERE mean >= 50) AS busy FROM hh ANTI JOIN bad USING (key) GROUP BY ALL),
+b0 AS (SELECT * FROM k WHERE local_day < {_T} AND local_day >= {_T} - 21), mm AS (SELECT key, median(kwh) AS median FROM b0 GROUP BY ALL HAVING count(*) >= 7), ff AS (SELECT key, median(abs(kwh - median)) AS mad FROM b0 JOIN mm USING (key) GROUP BY ALL),
+ov AS (SELECT 'above_band' AS rule, key, local_day, kwh - median AS kwh FROM k JOIN mm USING (key) JOIN ff USING (key) WHERE local_day = {_T} AND kwh > median + greatest(mad * 1.4826 * 4, 0.05, median * 0.15)),
+qu AS (SELECT 'circuit_went_quiet' AS rule, key, local_day, NULL AS kwh FROM k WHERE local_day = {_T} AND kwh < 0.5),
+us AS (SELECT key, sum(busy) / sum(hours) AS duty FROM k WHERE local_day < {_T} GROUP BY ALL), st AS (SELECT 'stuck_load' AS rule, key, local_day, NULL AS kwh FROM k JOIN us USING (key) WHERE local_day = {_T} AND hours >= 4 AND busy / hours >= 0.5 AND duty < 0.9),
+dk AS (SELECT channel_id, local_day, sum(kwh) * 100 AS kwh FROM (SELECT channel_id, {DAY} AS local_day, kwh FROM hourly WHERE metric = 'watts' AND device_id = 'hub0' AND channel_id IN ('breaker_p10', 'breaker_p14')) GROUP BY ALL),
+sh AS (SELECT 'strip_heat_in_mild_weather' AS rule, 'breaker_p10' AS key, a.local_day, a.kwh FROM dk a JOIN dk o ON o.local_day = a.local_day AND o.channel_id = 'breaker_p14' WHERE a.channel_id = 'breaker_p10' AND a.local_day = {_T} AND a.kwh >= 3 AND o.kwh > 2),
+bd AS (SELECT CAST(ts_local AS DATE) AS local_day, sum(value) AS kwh FROM meter WHERE interval_s = 900 AND device_id = 'm1' GROUP BY ALL), low AS (SELECT *, date_diff('day', DATE '1970-01-01', local_day) - row_number() OVER (ORDER BY local_day) AS run FROM bd WHERE kwh < 4.9 AND local_day <= {_T}),
+be AS (SELECT 'barn_envelope' AS rule, 'm1' AS key, local_day, NULL AS kwh FROM (SELECT local_day FROM bd WHERE kwh > 5.5 UNION ALL SELECT max(local_day) FROM low GROUP BY run HAVING count(*) >= 2) WHERE local_day = {_T}),
+nf AS (SELECT local_day, min(w) AS w FROM (SELECT hour_start_utc, local_day, sum(mean) AS w FROM hh ANTI JOIN bad USING (key) WHERE {FEED} AND hour(local_hour_start) BETWEEN 1 AND 4 GROUP BY ALL) GROUP BY ALL),
+ph AS (SELECT 'phantom_load_growth' AS rule, 'house' AS key, local_day, NULL AS kwh FROM nf WHERE local_day = {_T} AND w - (SELECT median(w) FROM nf WHERE local_day < {_T} AND local_day >= {_T} - 21) >= 5),
+rules AS (SELECT * FROM c0 UNION ALL SELECT * FROM n0 UNION ALL SELECT * FROM fr UNION ALL SELECT * FROM ex UNION ALL SELECT 'meter_disagreement', 'meter', local_day, kwh - meter_kwh FROM d WHERE skipped IS NULL AND off_pct > 10 UNION ALL SELECT * FROM ov UNION ALL SELECT * FROM qu UNION ALL SELECT * FROM st UNION ALL SELECT * FROM sh UNION ALL SELECT * FROM be UNION ALL SELECT * FROM ph)"""
+q("Q03_digest", lambda v: digested("findings")(v).select("rule", "key", "local_day", "kwh", "usd"), "hourly meter", _DIGEST + f" SELECT rule, key, local_day, CAST(kwh AS DOUBLE) AS kwh, kwh * 0.12 AS usd FROM rules WHERE local_day = {_T}", doubles="kwh usd")
+q("Q03_untrusted", digested("untrusted"), "hourly meter", _DIGEST + " SELECT key FROM bad")
+q("Q03_above_every_day", lambda v: an.trailing_bands(_daily(v), ["device_id", "channel_id"], floor_kwh=0.05).where(F.col("kwh") > F.col("median") + 0.25 * F.col("width")).select("device_id", "channel_id", "local_day", "kwh", "median", "upper"), "hourly", f"; {_KWH}, w AS (SELECT device_id, channel_id, local_day, kwh, median(kwh) OVER p AS median, list(kwh) OVER p AS l FROM k WINDOW p AS (PARTITION BY device_id, channel_id ORDER BY local_day RANGE BETWEEN INTERVAL 21 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)), x AS (SELECT * EXCLUDE (l), greatest(list_median(list_transform(l, lambda x: abs(x - median))) * 1.4826 * 4, 0.05, median * 0.15) AS width FROM w WHERE len(l) >= 7) SELECT device_id, channel_id, local_day, kwh, median, median + width AS upper FROM x WHERE kwh > median + 0.25 * width", doubles="kwh median upper")
+
+
+def equipment(block: str):
+    def build(v):
+        state = F.when(F.col("event_type") == "click", "off").when(F.col("event_type") == "view", "low").when(F.col("event_type") == "error", "high").when(F.col("event_type") == "signup", "idle").otherwise("dehumidify")
+        states = v.obs.where("metric = 'volts'").groupBy(lt.bucket("ts_utc", 3600).alias("bucket")).agg(F.avg((F.col("event_id") % 101).cast("double")).alias("capacity"), F.max(state).alias("state"), F.avg((F.col("event_id") % 5000).cast("double")).alias("rpm"), F.avg((F.col("event_id") % 700).cast("double")).alias("cfm"))
+        return reports.hvac_report(v.obs, v.hourly, _component(v.hourly), states, f"{FIRST} 00:00:00", f"{LAST} 00:00:00", 3600, POLL_S, 4, 0.3)[block]
+
+    return build
+
+
+q("Q09_observed_energy", equipment("energy"), "obs", f"; b AS (SELECT date_trunc('hour', ts_utc) AS bucket, source, device_id, channel_id, avg(value) AS w, least(3600, count(*) * {POLL_S}) AS s FROM obs WHERE metric = 'watts' AND ts_utc >= '{FIRST}' AND ts_utc < '{LAST}' GROUP BY ALL) SELECT source, device_id, channel_id, sum(w * s) / 3.6e6 AS kwh, CAST(sum(s) AS DOUBLE) AS observed_s FROM b GROUP BY ALL", doubles="kwh observed_s", digits=4)
+q("Q09_equipment_days", equipment("days"), "hourly", _feeds() + _VS.format(DAY, "hourly"), doubles="kwh panel_kwh coverage delta_kwh")
+q("Q09_states", equipment("states"), "obs", _PAIRS.replace("FROM obs WHERE metric", f"FROM obs WHERE ts_utc >= '{FIRST}' AND ts_utc < '{LAST}' AND metric") + ", k AS (SELECT CASE WHEN count(*) >= 30 THEN avg(pp) ELSE 29.9 END AS coefficient FROM c) SELECT state, count(*) AS buckets, avg(watts) AS mean_w, avg(abs(watts - capacity * coefficient)) AS mean_abs_residual_w FROM p, k GROUP BY ALL", doubles="mean_w mean_abs_residual_w")

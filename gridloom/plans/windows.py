@@ -50,6 +50,7 @@ q("W08_hole_runs", lambda v: cov.hole_runs(cov.bucket_series(v.obs, _LO, _HI, 72
 q("W09_baseline", lambda v: an.baseline(v.daily, "1997-06-15").groupBy("channel_id").agg(F.count("*").alias("days"), F.median("kwh").alias("median")), "daily", "SELECT channel_id, count(*) AS days, median(kwh) AS median FROM daily WHERE local_day < DATE '1997-06-15' AND local_day >= DATE '1997-06-15' - 21 GROUP BY ALL", doubles="median")
 q("W11_change_points", lambda v: cov.change_points(v.obs, CHANNEL, ["ts_utc", "event_id"], "event_type").select("event_id", "previous", "event_type"), "obs", "SELECT event_id, previous, event_type FROM (SELECT event_id, event_type, lag(event_type) OVER (PARTITION BY source, device_id, channel_id ORDER BY ts_utc, event_id) AS previous FROM obs) WHERE previous <> event_type")
 q("W12_zero_runs", lambda v: cov.zero_runs(v.obs, 20.0), "obs", f"; x AS (SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY ts_utc, value) AS o FROM obs), y AS (SELECT *, o - row_number() OVER (PARTITION BY {KEY} ORDER BY o) AS run FROM x WHERE value <= 20) SELECT {KEY}, count(*) AS length, min(ts_utc) AS run_start, max(ts_utc) AS run_end FROM y GROUP BY {KEY}, run")
+q("W09_trailing_bands", lambda v: an.trailing_bands(v.daily, ["channel_id"]).select("channel_id", "local_day", "kwh", "days", "median", "mad", "upper"), "daily", "; w AS (SELECT *, median(kwh) OVER p AS md, list(kwh) OVER p AS l FROM daily WINDOW p AS (PARTITION BY channel_id ORDER BY local_day RANGE BETWEEN INTERVAL 21 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)), x AS (SELECT channel_id, local_day, kwh, CAST(coalesce(len(l), 0) AS BIGINT) AS days, CASE WHEN len(l) >= 7 THEN md END AS median, CASE WHEN len(l) >= 7 THEN list_median(list_transform(l, lambda x: abs(x - md))) END AS mad FROM w) SELECT *, CASE WHEN days >= 7 THEN median + greatest(mad * 1.4826 * 4, 0.5, median * 0.15) END AS upper FROM x", doubles="kwh median mad upper")
 q("A23_bands", lambda v: an.bands(v.daily.where("local_day >= DATE'1997-01-01' AND local_day < DATE'1998-01-01'"), ["channel_id"]), "daily", "; d AS (SELECT * FROM daily WHERE local_day >= DATE '1997-01-01' AND local_day < DATE '1998-01-01'), m AS (SELECT channel_id, median(kwh) AS median, count(*) AS days FROM d GROUP BY ALL HAVING count(*) >= 7), f AS (SELECT channel_id, median(abs(kwh - median)) AS mad FROM d JOIN m USING (channel_id) GROUP BY ALL), b AS (SELECT channel_id, median, days, mad, greatest(mad * 1.4826 * 4, 0.5, median * 0.15) AS width FROM m JOIN f USING (channel_id)) SELECT *, median + width AS upper FROM b", doubles="median mad width upper")
 
 # --------------------------------------------------------------------------------------------------------- sorts and top-k
@@ -79,6 +80,7 @@ def _ledger(v):
 
 
 q("Q19_watch", lambda v: ledger.watch(_ledger(v), v.table("events").select("event_type").union(v.table("region").select(F.col("r_name"))).withColumnRenamed("event_type", "stage"), "2024-01-31 00:00:00"), "", "WITH l AS (SELECT event_type AS stage, ts, value > 60 AS ok, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS n FROM events), t AS (SELECT stage, max(ts) AS last_at, max(n) - coalesce(max(n) FILTER (WHERE ok), 0) AS failures FROM l GROUP BY ALL), s AS (SELECT DISTINCT event_type AS stage FROM events UNION SELECT r_name FROM region) SELECT stage, date_diff('microsecond', last_at, TIMESTAMP '2024-01-31') // 1000000 AS age_s, CAST(coalesce(failures, 0) AS BIGINT) AS failures, CASE WHEN last_at IS NULL THEN 'unknown' WHEN failures >= 2 THEN 'failing' WHEN date_diff('microsecond', last_at, TIMESTAMP '2024-01-31') // 1000000 > 7200 THEN 'stale' ELSE 'fine' END AS state FROM s LEFT JOIN t USING (stage)")
+q("Q19_meter_age", lambda v: ledger.meter_alarms(v.meter.where("device_id <> 'm2' OR ts_utc < TIMESTAMP_NTZ'2024-01-20 00:00:00'"), v.rates.select(F.col("meter").alias("device_id")).union(v.table("region").select("r_name")), "2024-01-31 00:00:00"), "meter rates", "; n AS (SELECT device_id, max(ts_utc) AS newest FROM meter WHERE device_id <> 'm2' OR ts_utc < '2024-01-20' GROUP BY ALL), x AS (SELECT DISTINCT meter AS device_id FROM rates UNION SELECT r_name FROM region) SELECT device_id, date_diff('microsecond', newest, TIMESTAMP '2024-01-31') // 1000000 AS age_s, CASE WHEN newest IS NULL THEN 'unknown' WHEN date_diff('microsecond', newest, TIMESTAMP '2024-01-31') // 1000000 > 259200 THEN 'stale' ELSE 'fine' END AS state FROM x LEFT JOIN n USING (device_id)")
 q("Q19_failure_runs", lambda v: ledger.failure_runs(_ledger(v)), "", "WITH l AS (SELECT event_type AS stage, ts, value > 60 AS ok, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS o FROM events), y AS (SELECT *, o - row_number() OVER (PARTITION BY stage ORDER BY o) AS run FROM l WHERE NOT ok) SELECT stage, count(*) AS length, min(ts) AS first_at, max(ts) AS last_at FROM y GROUP BY stage, run")
 q("ST13_freshness", lambda v: a.latest(v.obs).withColumn("age_s", F.expr("timestampdiff(SECOND, ts_utc, TIMESTAMP_NTZ'2024-01-31 00:00:00')")).select(*CHANNEL, "metric", "age_s", s.freshness("age_s", POLL_S).alias("freshness")), "obs", f"SELECT {KEY}, date_diff('microsecond', max(ts_utc), TIMESTAMP '2024-01-31') // 1000000 AS age_s, CASE WHEN date_diff('microsecond', max(ts_utc), TIMESTAMP '2024-01-31') // 1000000 <= 1.5 * {POLL_S} THEN 'live' WHEN date_diff('microsecond', max(ts_utc), TIMESTAMP '2024-01-31') // 1000000 <= 3 * {POLL_S} THEN 'late' ELSE 'silent' END AS freshness FROM obs GROUP BY {KEY}")
 q("J11_bucket_join", lambda v: v.obs.where("metric = 'volts'").groupBy(lt.bucket("ts_utc", 900).alias("bucket")).agg(F.avg("value").alias("volts")).join(v.obs.where("metric = 'watts'").groupBy(lt.bucket("ts_utc", 900).alias("bucket")).agg(F.avg("value").alias("watts")), "bucket", "left"), "obs", "; b AS (SELECT *, time_bucket(INTERVAL '900 seconds', ts_utc, TIMESTAMP '1970-01-01') AS bucket FROM obs) SELECT * FROM (SELECT bucket, avg(value) AS volts FROM b WHERE metric = 'volts' GROUP BY ALL) LEFT JOIN (SELECT bucket, avg(value) AS watts FROM b WHERE metric = 'watts' GROUP BY ALL) USING (bucket)", doubles="volts watts")

@@ -61,14 +61,25 @@ class Views:
     def hourly(self) -> DataFrame:
         return rollup.hourly_rollup(self.obs, poll_interval_s=POLL_S)
 
+    @cached_property
+    def hourly_dst(self) -> DataFrame:
+        return rollup.hourly_rollup(self.obs_dst, poll_interval_s=POLL_S)
+
     @cached_property
     def dim(self) -> DataFrame:
         return self.spark.createDataFrame([("leviton", *r) for r in _DIM], "source string, device_id string, channel_id string, label string, category string, panel string, is_primary boolean")
 
     @cached_property
     def meter(self) -> DataFrame:
+        return self.meters()
+
+    @cached_property
+    def meter_dst(self) -> DataFrame:
+        return self.meters(60)
+
+    def meters(self, shift_days: int = 0) -> DataFrame:
         """Three meters at 900 s, and the same energy again at 3600 s."""
-        e = self.table("events").select(F.col("ts").cast("timestamp_ntz").alias("ts"), F.concat(F.lit("m"), (F.col("user_id") % 3).cast("string")).alias("device_id"), "value")
+        e = self.table("events").select((F.col("ts").cast("timestamp_ntz") + F.expr(f"INTERVAL {shift_days} DAY")).alias("ts"), F.concat(F.lit("m"), (F.col("user_id") % 3).cast("string")).alias("device_id"), "value")
         hour = F.expr("CAST(date_trunc('HOUR', ts) AS TIMESTAMP_NTZ)")
         quarter = F.expr("CAST(date_trunc('HOUR', ts) AS TIMESTAMP_NTZ) + make_dt_interval(0, 0, CAST(floor(minute(ts) / 15) * 15 AS INT), 0)")
         parts = [e.groupBy("device_id", at.alias("ts_utc")).agg((F.sum("value") / 1000).alias("value")).withColumn("interval_s", F.lit(s)) for at, s in ((quarter, 900), (hour, 3600))]
@@ -121,20 +132,32 @@ count(*) AS sample_count, CASE WHEN metric = 'watts' THEN avg(value) * count(*)
 FROM (SELECT *, date_trunc('hour', ts_utc) AS hour_start_utc FROM {source}) WHERE metric NOT IN ('kwh_day', 'cost_day_usd') GROUP BY hour_start_utc, source, device_id, channel_id, metric)"""
 
 
+def _meter_sql(name: str, days: int) -> str:
+    ts = f"(ts + INTERVAL {days} DAY)"
+    return f"""{name} AS (SELECT ts_utc, {local_sql("ts_utc")} AS ts_local, device_id, value, interval_s FROM (
+SELECT 'm' || CAST(user_id % 3 AS VARCHAR) AS device_id, date_trunc('hour', {ts}) + to_minutes(CAST(floor(minute({ts}) / 15) * 15 AS INTEGER)) AS ts_utc, sum(value) / 1000 AS value, 900 AS interval_s FROM events GROUP BY ALL
+UNION ALL SELECT 'm' || CAST(user_id % 3 AS VARCHAR), date_trunc('hour', {ts}), sum(value) / 1000, 3600 FROM events GROUP BY ALL))"""
+
+
+def day_hours_sql(day: str) -> str:
+    """The number of hours of a local day."""
+    return f"date_diff('hour', {utc_sql(f'CAST({day} AS TIMESTAMP)')}, {utc_sql(f'CAST({day} + 1 AS TIMESTAMP)')})"
+
+
 CTE = {
     "obs": _obs_sql("obs", 0),
     "obs_dst": _obs_sql("obs_dst", 60),
     "obs_dup": "obs_dup AS (SELECT *, 1 AS prec FROM obs UNION ALL SELECT * REPLACE (value + 1 AS value), 0 AS prec FROM obs WHERE event_id % 7 = 0)",
     "hourly": hourly_sql("hourly", "obs"),
+    "hourly_dst": hourly_sql("hourly_dst", "obs_dst"),
     "dim": "dim AS (SELECT * FROM (VALUES " + _values(tuple(("leviton", *r) for r in _DIM), ("VARCHAR",) * 6 + ("BOOLEAN",)) + ") t(source, device_id, channel_id, label, category, panel, is_primary))",
-    "meter": f"""meter AS (SELECT ts_utc, {local_sql("ts_utc")} AS ts_local, device_id, value, interval_s FROM (
-SELECT 'm' || CAST(user_id % 3 AS VARCHAR) AS device_id, date_trunc('hour', ts) + to_minutes(CAST(floor(minute(ts) / 15) * 15 AS INTEGER)) AS ts_utc, sum(value) / 1000 AS value, 900 AS interval_s FROM events GROUP BY ALL
-UNION ALL SELECT 'm' || CAST(user_id % 3 AS VARCHAR), date_trunc('hour', ts), sum(value) / 1000, 3600 FROM events GROUP BY ALL))""",
+    "meter": _meter_sql("meter", 0),
+    "meter_dst": _meter_sql("meter_dst", 60),
     "daily": "daily AS (SELECT CAST(o_orderdate AS DATE) AS local_day, replace(lower(regexp_extract(o_orderpriority, '^[0-9]-(.*)$', 1)), ' ', '_') AS channel_id, sum(o_totalprice) / 1000 AS kwh, sum(o_totalprice) / 9000 AS usd FROM orders GROUP BY ALL)",
     "rates": "rates AS (SELECT * FROM (VALUES " + _values(_RATES, ("VARCHAR", "DATE", *("DECIMAL(12,6)",) * 3)) + ") t(meter, effective_from, basic, energy, dsm))",
     "cycles": "cycles AS (SELECT * FROM (VALUES " + _values(_CYCLES, ("VARCHAR", "DATE", "DATE", *("DECIMAL(12,6)",) * 5)) + ") t(meter, cycle_start, cycle_end, fuel, env_pct, rar_pct, pgr_pct, hea))",
 }
-_NEEDS = {"obs_dup": ("obs",), "hourly": ("obs",)}
+_NEEDS = {"obs_dup": ("obs",), "hourly": ("obs",), "hourly_dst": ("obs_dst",)}
 
 
 def sql(names: str, body: str) -> str:

@@ -12,7 +12,7 @@ from gridloom import storage
 from gridloom.functions import localtime as lt
 from gridloom.functions import scalar as s
 from gridloom.functions.ranges import report_range
-from gridloom.operators import anomalies, coverage, dedupe, dimension, hvac, integrity, ledger, meters, rollup, tariffs
+from gridloom.operators import aggregates, anomalies, coverage, dedupe, dimension, hvac, integrity, ledger, meters, rollup, tariffs
 from gridloom.plans.reports import bucket_width
 from gridloom.schemas import OBSERVATION, ContractError, conform
 from gridloom.sources import payloads
@@ -229,3 +229,73 @@ def test_series_cross_midnight(spark):
     assert sorted(map(tuple, gaps)) == [(at[2], 3), (at[4], 1)]
     runs = coverage.zero_runs(obs).select("channel_id", F.col("run_start").cast("string"), F.col("run_end").cast("string"), "length").collect()
     assert sorted(map(tuple, runs)) == [("ct1", at[1], at[3], 3), ("ct1", at[5], at[5], 1), ("ct2", at[2], at[2], 1)]
+
+
+def test_trailing_bands_equal_day_by_day(spark):
+    """A range of days in one job finds what each day by itself finds, over absent days and keys that start late."""
+    import random
+
+    rng = random.Random(2)
+    rows = [(c, date(2024, 1, 1) + timedelta(days=i), 10 + rng.random() * (2 if rng.random() < 0.8 else 100)) for c in "abc" for i in range(60) if rng.random() < 0.8 and (c != "c" or i > 40)]
+    daily = spark.createDataFrame(rows, "channel_id string, local_day date, kwh double").cache()
+    days = [date(2024, 2, 1) + timedelta(days=i) for i in range(0, 28, 3)]
+    want = {(r.channel_id, r.local_day): round(r.excess_kwh, 9) for d in days for r in anomalies.above_band(daily, str(d), ["channel_id"]).collect()}
+    got = {(r.channel_id, r.local_day): round(r.excess_kwh, 9) for r in anomalies.above_trailing_band(daily, ["channel_id"], "2024-02-01", "2024-02-28").collect() if r.local_day in days}
+    assert got == want and len(want) >= 3
+    some = anomalies.trailing_bands(daily, ["channel_id"], usable=F.col("kwh") < 12.5).where("upper IS NOT NULL").agg(F.max("median")).first()[0]
+    assert some < 13
+
+
+def test_ledger_forgets_cleared_and_repeats_undelivered(spark):
+    from gridloom.storage import new_path
+
+    found = lambda *keys: spark.createDataFrame([("rule", k, date(2024, 1, 1)) for k in keys], "rule string, key string, local_day date")
+    path, told = new_path(spark, "ledger"), []
+
+    def deliver(works):
+        def send(rows):
+            told.append(sorted(r.key for r in rows.collect()))
+            return works
+
+        return send
+
+    change = lambda f, works=True: {r.key: (r.change, r.send) for r in anomalies.notify(f, path, deliver(works)).collect()}
+    assert change(found("a", "a")) == {"a": ("new", True)}
+    assert change(found("a", "b"), works=False) == {"a": ("kept", False), "b": ("new", True)}
+    assert change(found("a", "b")) == {"a": ("kept", False), "b": ("undelivered", True)}
+    assert change(found("b")) == {"a": ("cleared", False), "b": ("kept", False)}
+    assert change(found("a", "b")) == {"a": ("new", True), "b": ("kept", False)}
+    assert change(found()) == {"a": ("cleared", False), "b": ("cleared", False)}
+    assert told == [["a"], ["b"], ["b"], ["a"]]  # nothing is said where nothing is due
+
+
+@pytest.mark.parametrize(("firing", "was", "want"), [([], None, (False, "still-clear")), (["x"], None, (True, "changed")), (["x"], (["x"], 1), (False, "unchanged")), (["x"], (["x"], 30), (True, "repeat")), ([], (["x"], 1), (True, "recovered")), (["y", "x"], (["x"], 1), (True, "changed"))])
+def test_watch_decisions(spark, firing, was, want):
+    now = datetime(2024, 1, 10, 12)
+    alarms = spark.createDataFrame([(c, "stale") for c in firing], "check string, state string")
+    last = spark.createDataFrame([(was[0], now - timedelta(hours=was[1]))] if was else [], "firing array<string>, notified_at timestamp_ntz")
+    row = anomalies.watch_decision(alarms, last, "2024-01-10 12:00:00").first()
+    assert (row.send, row.reason, row.firing) == (*want, sorted(firing))
+
+
+def test_meter_age(spark):
+    meter = spark.createDataFrame([("a", UTC0), ("b", UTC0 - timedelta(days=4))], "device_id string, ts_utc timestamp_ntz")
+    expected = spark.createDataFrame([("a",), ("b",), ("c",)], "device_id string")
+    got = ledger.meter_alarms(meter, expected, "2024-01-10 12:03:00")
+    assert {r.device_id: r.state for r in got.collect()} == {"a": "fine", "b": "stale", "c": "unknown"}
+    stages = spark.createDataFrame([("s", "fine"), ("t", "failing")], "stage string, state string")
+    assert {r.check for r in ledger.alarms(stages, got).collect()} == {"meter b", "meter c", "stage t"}
+
+
+@pytest.mark.parametrize(("day", "hours"), [("2024-03-10", 23), ("2024-03-11", 24), ("2024-11-03", 25)])
+def test_coverage_by_the_days_own_length(spark, day, hours):
+    """A day observed throughout has a coverage of one, whatever its length."""
+    start = spark.range(1).select(lt.midnight_utc(F.lit(day).cast("date")).alias("t")).first().t
+    rows = [(start + timedelta(hours=h), "ct_1_a", 1.0) for h in range(hours)]
+    raw = spark.createDataFrame(rows, "ts_utc timestamp_ntz, channel_id string, value double").select("ts_utc", lt.local("ts_utc").alias("ts_local"), F.lit("s").alias("source"), F.lit("d").alias("device_id"), "channel_id", F.lit("watts").alias("metric"), "value", F.lit("W").alias("unit"))
+    hourly = rollup.hourly_rollup(raw, 3600)
+    assert [r.coverage for r in aggregates.feed_coverage(hourly).collect()] == [1.0] and [r.coverage for r in aggregates.panel_coverage(hourly).collect()] == [1.0]
+    dim = spark.createDataFrame([], "source string, device_id string, channel_id string, label string, category string")
+    assert [r.coverage_pct for r in aggregates.circuits(hourly, dim, 3600, day, day).collect()] == [100.0]
+    meter = raw.select("ts_utc", "device_id", "value", F.lit(3600).alias("interval_s"))
+    assert [r.coverage for r in meters.day_coverage(meter, 3600, "d").collect()] == [1.0]
