@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -154,12 +154,48 @@ def test_html(spark):
     assert got == {i: (t, len(t)) for i, t in want.items()}
 
 
-def test_html_constants_in_articles(spark):
-    """Blocks that a host repeats in its articles are template, whatever their class; two pages, or copies of one, make no template."""
-    page = lambda i: f"<html><body><article><h1>T{i}</h1><p>own {i}</p><div class='box{i % 2}x'>Join us</div><div class='more'>Read on</div></article></body></html>"
-    rows = [(i, "http://a.x/", page(2 * i)) for i in range(6)] + [(10 + i, "http://b.x/", page(2 * i)) for i in range(2)] + [(20 + i, "http://c.x/", page(2 * (i % 2))) for i in range(8)]
-    got = {r.page_id: r.text for r in templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    assert got == {i: f"T{n} own {n}" + ("" if i < 10 else " Join us Read on") for i, n in [(i, 2 * i) for i in range(6)] + [(10, 0), (11, 2)] + [(20 + i, 2 * (i % 2)) for i in range(8)]}
+def pages_of(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def test_html_keeps_what_articles_repeat(spark):
+    """Text that a host repeats in its articles is main text; elements with furniture's words go where the template has them."""
+    page = lambda i, extra="": f"<html><body><div class='top'>Site {i}</div><article><h1>T{i}</h1><p>Mix well and serve.</p><p>own {i}, of some length</p>{extra}</article></body></html>"
+    share = "<div class='share'>Tell a friend</div>"
+    rows = [(i, "http://a.x/", page(i, share)) for i in range(4)] + [(10, "http://b.x/", page(10, share))] + [(20 + i, "http://c.x/", page(20 + i, "<section class='search'><p>How search works</p></section>" if i == 2 else "")) for i in range(5)]
+    got = {r.page_id: r.text for r in templates.extract(pages_of(spark, rows)).collect()}
+    own = lambda i: f"T{i} Mix well and serve. own {i}, of some length"
+    assert got == {i: own(i) for i in (0, 1, 2, 3, 20, 21, 23, 24)} | {10: own(10) + " Tell a friend", 22: own(22) + " How search works"}
+
+
+def test_html_equivalence_classes_equal_brute_force(spark):
+    """Elements grouped by the vector of their occurrences on every page of a host, spelled out."""
+    rng = random.Random(6)
+    part = ["<nav><a>m</a></nav>", "<div class='a'><p>x</p></div>", "<div class='b'>y</div>", "<article><h1>t</h1><p>z</p></article>", "<section><h2>s</h2></section>", "<p>q</p>"]
+    rows = [(i, f"http://{'abc'[i % 3]}.x/", "<body>" + "".join(p * rng.choice([0, 1, 1, 1, 2]) for p in part) + "</body>") for i in range(30)] + [(100, "http://d.x/", "<body><p>one</p></body>")]
+    pages = pages_of(spark, rows).select(templates.host_of().alias("host"), "html")
+    want = set()
+    for host in "abcd":
+        distinct = sorted({h for _, u, h in rows if u == f"http://{host}.x/"})
+        found = [templates.elements(h) for h in distinct]
+        vectors = {p: tuple(f.get(p, [0])[0] for f in found) for f in found for p in f}
+        members = Counter(vectors.values())
+        for p, v in vectors.items():
+            on = sum(n > 0 for n in v)
+            if members[v] >= 2 and 2 * on >= len(distinct):
+                want.add((f"{host}.x", templates.token(p), on, sum(f.get(p, [0, 0])[1] for f in found)))
+    got = {(r.host, r.token, r.on, r.volume) for r in templates.classes(pages).collect()}
+    assert got == want and len(want) > 15
+
+
+def test_html_without_classes_is_another_result(spark, monkeypatch):
+    """The template decides: without it a page gives its body, adverts and all."""
+    page = "<html><body><div class='ad'>Buy this</div><article><h1>T</h1><p>own text</p></article></body></html>"
+    d = pages_of(spark, [(1, "http://a.x/", page), (2, "http://b.x/", page.replace("article>", "div>"))])
+    assert {r.text for r in templates.extract(d).collect()} == {"T own text"}
+    real = templates.templates
+    monkeypatch.setattr(templates, "templates", lambda pages: real(pages).limit(0))
+    assert {r.text for r in templates.extract(d).collect()} == {"Buy this T own text"}
 
 
 @pytest.mark.parametrize(
@@ -167,7 +203,12 @@ def test_html_constants_in_articles(spark):
     [
         ("<body class='no-sidebar'><article><h1>T</h1><p>own</p></article></body>", "T own"),
         ("<body class='comments-open'><p>own text</p><div class='sidebar'>side</div></body>", "own text"),
-        ("<body><div class='search-page'><article class='post has-comments'><p>own</p><div class='share'>no</div></article></div></body>", "own"),
+        ("<body><div class='search-page'><article class='post has-comments'><p>own</p><div class='share'>yes</div></article></div></body>", "own yes"),
+        ("<body><article><h1>T</h1><p>a b</p><section class='search'><h2>How search works</h2><p>So.</p></section></article></body>", "T a b How search works So."),
+        ("<body><article><h1>T</h1><div class='widgets'><p>all of the text</p></div></article></body>", "T all of the text"),
+        ("<body><div id='c'><h1>T</h1><p>short text</p></div><div class='x-comments-list'><p>a comment much longer than the text is</p></div></body>", "T short text"),
+        ("<body><article><h1>T</h1><p>text</p><div class='ad'>buy</div><ul class='comments'><li>a comment much longer than the text</li></ul></article></body>", "T text"),
+        ("<body><div class='ad-wrapper'><article><p>own</p></article></div></body>", "own"),
         ("<body><h1>Forum</h1><section id='discussion'><p>first post of some length</p><p>second</p></section></body>", "Forum first post of some length second"),
         ("<body><article><p>own</p></article><ol class='comments'><article><p>much longer than the article itself</p></article></ol></body>", "own"),
         ("<body><div><p>own</p><p>more</p></div><nav>Menu</nav></body>", "own more"),
