@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.localtime import TZ, bucket, day_table, hour_spine
+from ..functions.localtime import TZ, bucket, day_table, local, midnight_utc
 from ..functions.scalar import coverage_class
 from ..schemas import CHANNEL
 
@@ -26,14 +26,17 @@ def short_hours(hourly: DataFrame, expected: int, share: float = 0.9) -> DataFra
 def absent_hours(hourly: DataFrame, tz: str = TZ) -> DataFrame:
     """Hours of observed days on which a series has no row at all.
 
-    Each series is placed on every observed day, whose hours follow by an equi join, and what was observed is taken away.
+    A series' days are one row, with the hours seen on each (25 at most); every observed day's own hours are taken from the calendar, and
+    what was seen is taken away: the rollup is read twice and joined with nothing but the list of days.
     """
-    days = hourly.select(F.to_date("local_hour_start").alias("local_day")).distinct()
-    spine = hour_spine(days, tz).select("local_day", "hour_start_utc", "local_hour_start")
-    series = hourly.select(*CHANNEL, "metric").distinct()
-    calendar = days.agg(F.collect_set("local_day").alias("days"))  # one row: a few hundred days a year
-    placed = series.crossJoin(F.broadcast(calendar)).select(*CHANNEL, "metric", F.explode("days").alias("local_day"))  # one row beside each
-    return placed.join(spine, "local_day").drop("local_day").join(hourly.select(*CHANNEL, "metric", "hour_start_utc"), [*CHANNEL, "metric", "hour_start_utc"], "left_anti")
+    day = F.to_date("local_hour_start")
+    days = hourly.groupBy(*CHANNEL, "metric", day.alias("local_day")).agg(F.collect_set("hour_start_utc").alias("hours"))
+    series = days.groupBy(*CHANNEL, "metric").agg(F.map_from_entries(F.collect_list(F.struct("local_day", "hours"))).alias("seen"))
+    calendar = hourly.agg(F.collect_set(day).alias("days"))  # one row: a few hundred days a year
+    placed = series.crossJoin(F.broadcast(calendar)).select(*CHANNEL, "metric", "seen", F.explode("days").alias("local_day"))  # one row beside each
+    own = F.sequence(midnight_utc("local_day", tz), midnight_utc(F.date_add("local_day", 1), tz) - F.expr("INTERVAL 1 HOUR"), F.expr("INTERVAL 1 HOUR"))
+    absent = F.array_except(own, F.coalesce(F.try_element_at("seen", F.col("local_day")), F.array().cast("array<timestamp_ntz>")))
+    return placed.select(*CHANNEL, "metric", F.explode(absent).alias("hour_start_utc")).withColumn("local_hour_start", local("hour_start_utc", tz))
 
 
 def previous_sample(raw: DataFrame) -> DataFrame:

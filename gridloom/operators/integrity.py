@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import is_child, level
 from ..schemas import CHANNEL
+from ..storage import cut
 from ..vocab import RULES
-from .aggregates import local_day
+from .aggregates import local_day, panel_coverage
 from .coverage import islands
 
 
@@ -70,11 +71,13 @@ def report(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).orderBy(order, "local_day", "key")
 
 
-def check_channels(hourly: DataFrame, panel_days: DataFrame, meter_days: DataFrame, least_samples: int = 100, limit_w: float = 100_000, least_hours: int = 2) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(findings, skipped, untrusted channels)."""
+def check_channels(hourly: DataFrame, meter_days: DataFrame, least_samples: int = 100, limit_w: float = 100_000, least_hours: int = 2) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(findings, skipped, untrusted channels). The rollup's watts and the findings are written to the shared folder once, as several rules and
+    all three results read them."""
+    hourly = cut(hourly.where("metric = 'watts'").select(*CHANNEL, "metric", "hour_start_utc", "local_hour_start", "mean", "min", "max", "sample_count", "kwh", "observed_seconds"))
     frozen = frozen_runs(hourly, least_samples, least_hours)
     excess = worst_hours(feed_against_children(hourly))
-    metered = meter_disagreement(panel_days, meter_days)
+    metered = meter_disagreement(panel_coverage(hourly), meter_days)
     found = report([
         corrupt(hourly, limit_w), negative(hourly),
         finding(frozen, "frozen_channel", _key(*CHANNEL), F.to_date("first_hour"), F.concat(F.col("length").cast("string"), F.lit(" hours at one value"))),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.localtime import bucket
 from ..functions.scalar import freshness, label_or_tail, level
 from ..schemas import CHANNEL
+from ..storage import cut
 from . import aggregates, anomalies, coverage, hvac, integrity, meters
 
 
@@ -64,11 +65,13 @@ def digest(hourly: DataFrame, daily: DataFrame, meter: DataFrame, day: str, prim
 
     ``daily`` is day-grain energy of components (``strip`` the resistance heat's), ``outdoor`` (local_day, low), ``rpm_span`` (local_day, span):
     a day on which the compressor modulated excuses loads that are on all day. Blocks: 'findings' (rule, key, local_day, headline,
-    kwh, usd) in rule order, 'skipped' (key, reason, n) for what could not be judged, 'untrusted' (key).
+    kwh, usd) in rule order, 'skipped' (key, reason, n) for what could not be judged, 'untrusted' (key). The rollup's watts are written to the
+    shared folder once.
     """
-    n, d, k = limits, F.lit(day).cast("date"), ["device_id", "channel_id"]
+    n, d = limits, F.lit(day).cast("date")
     key, on_day = F.concat_ws("/", *CHANNEL), F.col("local_day") == d
-    found, skipped, untrusted = integrity.check_channels(hourly, aggregates.panel_coverage(hourly), meters.day_coverage(meter, interval_s, primary), n.least_samples, n.limit_w)
+    hourly = cut(hourly.where("metric = 'watts'"))
+    found, skipped, untrusted = integrity.check_channels(hourly, meters.day_coverage(meter, interval_s, primary), n.least_samples, n.limit_w)
     days = anomalies.trusted(aggregates.daily_kwh(hourly, n.busy_watts), untrusted, key)
     over = anomalies.above_band(days, day, [*CHANNEL], n.baseline_days, n.usd_per_kwh, floor_kwh=n.floor_kwh)
     quiet = anomalies.went_quiet(days.withColumn("series", key), day, n.quiet_kwh, n.quiet_days, "series")

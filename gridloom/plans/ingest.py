@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import storage
-
 from ..functions import scalar as s
 from ..operators import dedupe, dimension, rollup
 from ..schemas import CHANNEL, HOURLY, OBSERVATION, conform
@@ -24,13 +23,26 @@ def _text():
     return F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
+_landed: dict[tuple, str] = {}
+
+
+def landed(v, name: str, docs):
+    """Documents as a collector leaves them: JSON lines in files, written once a session for each folder of tables, and read as a source."""
+    key = (v.spark.sparkContext.applicationId, v.dir, name)
+    if key not in _landed:
+        path = storage.new_path(v.spark, name)
+        docs.select("value").repartition(int(v.spark.conf.get("spark.sql.shuffle.partitions"))).write.text(path)
+        _landed[key] = path
+    return v.spark.read.text(_landed[key])
+
+
 def panel_docs(v):
     """A hub poll for each event, as JSON text."""
     e = v.table("events")
     breaker = F.struct((F.col("user_id") % 30).cast("int").alias("position"), (1 + F.col(_ID) % 2).cast("int").alias("poles"), F.when(F.col(_ID) % 9 == 0, "NONE-2").otherwise("LB120").alias("model"), F.col("value").alias("power"), F.when(F.col(_ID) % 5 > 0, F.col("value") * 2).alias("power2"))
     ct = F.struct((1 + F.col(_ID) % 3).cast("int").alias("channel"), F.when(F.col(_ID) % 4 == 0, "NOT_USED").otherwise("MAIN").alias("usageType"), F.col("value").alias("activePower"), F.when(F.col(_ID) % 2 > 0, F.col("value") + 1).alias("activePower2"))
     doc = F.to_json(F.struct(F.concat(F.lit("hub"), (F.col("user_id") % 2).cast("string")).alias("hub"), _text().alias("ts"), F.array(breaker).alias("breakers"), F.array(ct).alias("cts")))
-    return p.parse(e.select(doc.alias("value")), p.PANEL)
+    return p.parse(landed(v, "panel", e.select(doc.alias("value"))), p.PANEL)
 
 
 _HEAD = f"ts AS ts_utc, {local_sql('ts')} AS ts_local"
@@ -46,7 +58,7 @@ def status_docs(v):
     word = F.when(F.col("event_type") == "click", "cool").when(F.col("event_type") == "view", "HEAT").when(F.col("event_type") == "error", "defrost").otherwise("off")
     zones = F.array(F.struct(F.lit(1).alias("id"), F.when(F.col(_ID) % 3 > 0, "on").otherwise("off").alias("enabled"), F.round("value", 1).cast("string").alias("rt"), F.lit("low").alias("fan")), F.struct(F.lit(2).alias("id"), F.lit("off").alias("enabled"), F.lit("70").alias("rt"), F.lit("low").alias("fan")))
     doc = F.to_json(F.struct(F.lit("hp1").alias("device"), _text().alias("ts"), F.when(F.col(_ID) % 2 == 0, "F").otherwise("C").alias("cfgem"), word.alias("mode"), F.when(F.col(_ID) % 4 == 0, "low").when(F.col(_ID) % 4 == 1, "250").otherwise((F.col(_ID) % 101).cast("string")).alias("opstat"), (F.col(_ID) % 90).cast("string").alias("oat"), F.when(F.col(_ID) % 5 == 0, "None").otherwise("500").alias("cfm"), F.lit("513").alias("iducfm"), zones.alias("zones")))
-    return p.parse(e.select(doc.alias("value")), p.STATUS)
+    return p.parse(landed(v, "status", e.select(doc.alias("value"))), p.STATUS)
 
 
 _COUNT = "SELECT channel_id, metric, unit, count(*) AS n, sum(value) AS total FROM ({}) GROUP BY ALL"

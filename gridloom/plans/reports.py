@@ -50,7 +50,7 @@ q("Q02_feed_below_children", lambda v: integrity.feed_against_children(v.hourly)
 
 def channel_check(v):
     shifted = v.hourly.withColumn("min", F.col("min") - 5)
-    return integrity.check_channels(shifted, panel_days(v), meter_days(v), least_samples=1, limit_w=400.0)
+    return integrity.check_channels(shifted, meter_days(v), least_samples=1, limit_w=400.0)
 
 
 _FOUND = f"""; c AS (SELECT 'corrupt_reading' AS rule, {KEY} AS key, {DAY} AS local_day, count(*) || ' hours beyond the limit' AS headline, NULL AS kwh FROM hourly WHERE metric = 'watts' AND greatest(abs(min - 5), abs(max)) >= 400 GROUP BY ALL),

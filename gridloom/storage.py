@@ -36,6 +36,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Write the frame to the shared folder and read it back: what reads it several times computes it once, and a lost executor costs a re-read."""
+    path = new_path(df.sparkSession, "cut")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # A dataset's files lie in folders of versions, ``v=<id>/<partition>=<value>/``. A pointer file, numbered upwards, says which version holds each
 # partition. Writing stages a new version, counts it, and then adds a pointer: until then, and if anything fails, readers see the
 # pointer before, and so all the old rows. Two writers that start from one pointer can't both add the next.
