@@ -32,7 +32,7 @@ from .minhash import _forest
 
 #: Chance that all trees part a pair at the threshold, at most.
 MISS = 0.01
-#: More trees than this are not planted; the README's recall is for fewer.
+#: Where more trees than this would be needed, all pairs are compared, block by block.
 MOST_TREES = 64
 LEAF = 512
 SAMPLE = 8192
@@ -120,7 +120,7 @@ def send(nodes: list[tuple], x: np.ndarray) -> Iterator[tuple[int, bool, np.ndar
 
 
 def plant(x: np.ndarray, total: float, leaf: int, threshold: float, miss: float = MISS, seed: int = 0) -> list[list[tuple]]:
-    """Trees over a sample of ``total`` members, as many as ``miss`` asks for."""
+    """Trees over a sample of ``total`` members, as many as ``miss`` asks for; if ``MOST_TREES`` do not do, one that holds all in a leaf."""
     u = np.random.default_rng([seed, 3]).standard_normal(x.shape)
     u -= (u * x).sum(1, keepdims=True) * x
     length = np.linalg.norm(u, axis=1, keepdims=True)
@@ -141,8 +141,8 @@ def plant(x: np.ndarray, total: float, leaf: int, threshold: float, miss: float
         chance = float(met.mean() / len(trees)) ** further
         enough = 1 if chance >= 1 else math.ceil(math.log(miss) / math.log(1 - chance)) if chance > 0 else MOST_TREES
         if float((met > 0).mean()) >= 1 - miss and len(trees) >= enough:
-            break
-    return trees
+            return trees
+    return [[(None, True, 0.0, 0, 0)]]  # one dense leaf
 
 
 def _number(*parts: int | np.ndarray) -> np.ndarray:

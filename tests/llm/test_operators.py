@@ -244,6 +244,19 @@ def test_embeddings(spark):
     assert all(small[i][0] <= w[0] for i, w in want.items())
 
 
+def test_embeddings_beyond_the_most_trees(spark, monkeypatch):
+    """Where trees would part too many pairs, all pairs are compared in blocks, and none is missed."""
+    monkeypatch.setattr(forest, "MOST_TREES", 1)
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=(60, 12))
+    vectors = [(i, (base[i % 60] + rng.normal(size=12) * 0.3).tolist()) for i in range(400)]
+    x = forest.units([np.array(v).tobytes() for _, v in vectors])
+    assert forest.plant(x, 400.0, 16, 0.9, seed=96) == [[(None, True, 0.0, 0, 0)]]
+    d = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in forest.near_duplicates(d, leaf=16).collect()}
+    assert got == forest.brute(vectors) and sum(n for n, _ in got.values()) > 100
+
+
 def test_sharding(spark, docs):
     rows = [*docs, docs[0], *[(1000 + i, "hot text", "en", "a") for i in range(150)]]
     got = sharding.shard(frame(spark, rows), 8).collect()
