@@ -70,4 +70,4 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_minhash_near_dedup, op4_decontamination, op5_html_extraction, op6_embedding_near_dedup, op7_sharding, op8_quality_classifier, op9_mixing, op10_substring_dedup, op11_packing, op12_hard_negatives, op13_conversation_repair)}
-ORACLES: dict[str, str] = {"op1_license_scan": licenses.oracle(), "op12_hard_negatives": negatives.oracle()}
+ORACLES: dict[str, str] = {"op1_license_scan": licenses.oracle(), "op12_hard_negatives": negatives.oracle(), "op13_conversation_repair": repair.oracle()}

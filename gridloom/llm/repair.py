@@ -321,3 +321,38 @@ def repair(rows: DataFrame) -> DataFrame:
     out = parts.where("ways IS NULL").unionByName(opened.where("parts = 1")).unionByName(late)
     gaps = F.coalesce(F.expr("high - low + 1 - turns"), F.lit(0)).cast("long")
     return out.select("conv_id", gaps.alias("gaps"), *(F.col(c).cast("long").alias(c) for c in ("blank", "duplicate", "truncated", "illegal", "cost")), "audit", "repaired_sha256")
+
+
+def oracle() -> str:
+    """The same in DuckDB's SQL, for ``conversations`` with the damage of :func:`damaged`: a recursive query keeps the least (cost, audit) of each
+    state, with the text so far, row by row; at most two inserts follow each other, as more are never cheapest."""
+    white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    put = lambda s, cost, letter, line: f"CASE WHEN {s} IS NOT NULL THEN {{'c': CAST({s}.c + {cost} AS BIGINT), 'a': {s}.a || '{letter}', 't': {s}.t || {line}}} END"
+    gone = lambda s: put(s, DELETE, "D", "''")
+    keep = lambda s, initial: f"CASE WHEN stays AND initial = '{initial}' THEN {put(s, 'more', 'K', 'own')} END"
+    rerole = lambda s, role: f"CASE WHEN stays THEN {put(s, f'{REROLE} + more', 'R', f"chr(10) || '{role}:' || text")} END"
+    insert = lambda s, role: put(s, INSERT, "I", f"chr(10) || '{role}:'")
+    least = lambda *some: f"list_min([{', '.join(some)}])"
+    taken = {q: [f"s{q}"] for q in range(4)}
+    into = {q: [gone(f"s{q}"), keep(f"s{q}", "")] for q in taken}
+    for q, takes in enumerate(TAKES):
+        for initial, to in takes.items():
+            into[to].append(keep(f"s{q}", initial))
+        into[MISSES[q][1]].append(rerole(f"s{q}", MISSES[q][0]))
+    nothing = "CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR))"
+    closed = f"n0 AS s0, n1 AS s1, {least('n2', insert('n0', 'user'), insert('n1', 'user'), insert('n3', 'user'))} AS s2, n3"
+    last = f"s0, s1, s2, {least('n3', insert('s2', 'assistant'))} AS s3"
+    crc = "xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(substr(k, CAST(i AS INTEGER), 1)) AS BIGINT))), lambda c, b: list_reduce(list_prepend(xor(c, b), [CAST(0 AS BIGINT) FOR z IN range(8)]), lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"
+    return f"""WITH RECURSIVE raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+marked AS (SELECT *, {crc} % 20 AS kind FROM raw),
+hurt AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS again FROM marked),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), again) AS n, rtrim(text, {white}) AS bare, substr(role, 1, 1) AS initial FROM hurt),
+judged AS (SELECT *, CASE WHEN bare = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 2 WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault, lag(initial) OVER (PARTITION BY conv_id ORDER BY n) || initial AS pair FROM numbered),
+steps AS (SELECT conv_id AS cid, n, text, initial, fault IN (0, 3) AS stays, CASE WHEN fault = 3 THEN {TRUNCATED} ELSE 0 END AS more, chr(10) || role || ':' || text AS own FROM judged),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+dp AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, {last} FROM (SELECT conv_id, {closed} FROM (SELECT conv_id, {{'c': CAST(0 AS BIGINT), 'a': '', 't': ''}} AS n0, {nothing} AS n1, {nothing} AS n2, {nothing} AS n3 FROM ids))
+UNION ALL SELECT conv_id, i, {last} FROM (SELECT conv_id, i, {closed} FROM (SELECT conv_id, i + 1 AS i, {', '.join(f'{least(*into[q])} AS n{q}' for q in taken)} FROM dp JOIN steps ON cid IS NOT DISTINCT FROM conv_id AND n = i + 1))),
+ends AS (SELECT conv_id AS cid, arg_max({least('s0', 's3')}, i) AS best FROM dp GROUP BY ALL),
+counts AS (SELECT conv_id AS id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY ALL)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c AS cost, best.a AS audit, sha256(substr(best.t, 2)) AS repaired_sha256
+FROM ids JOIN ends ON cid IS NOT DISTINCT FROM conv_id LEFT JOIN counts ON id IS NOT DISTINCT FROM conv_id"""

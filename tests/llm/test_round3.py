@@ -264,3 +264,15 @@ def test_queries_over_given_tables(spark, name):
     else:
         rows = [(r.conv_id, r.turn, r.role, r.text) for r in spark.read.parquet(f"{data}/conversations.parquet").collect()]
         assert sorted(got, key=str) == answers(rows)
+
+
+def test_sql_repairs_alike():
+    """The oracle's recursive query against the recursion from the end, over nulls, odd roles and every kind of damage."""
+    duckdb = pytest.importorskip("duckdb")
+    import pandas as pd
+
+    rows = made(60, 8)
+    db = duckdb.connect()
+    db.register("given", pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]).astype({"conv_id": "Int64", "turn": "Int64"}))
+    db.execute("CREATE TABLE conversations AS SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, CAST(role AS VARCHAR) AS role, CAST(text AS VARCHAR) AS text FROM given")
+    assert sorted(db.execute(repair.oracle()).fetchall(), key=str) == answers(rows)
