@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.localtime import TZ, day_table, local_date, midnight_utc, seconds
+from ..functions.localtime import TZ, local_date, midnight_utc, seconds
 from ..functions.scalar import level
 from ..schemas import CHANNEL
 
@@ -63,8 +63,8 @@ def panel_daily(hourly: DataFrame) -> DataFrame:
 
 def with_coverage(days: DataFrame, observed_s: Column, tz: str = TZ) -> DataFrame:
     """``coverage``: observed seconds as a share of the local day's own 23, 24 or 25 hours."""
-    lengths = day_table(days.select("local_day"), tz).select("local_day", "hours")
-    return days.join(lengths, "local_day").withColumn("coverage", observed_s / (F.col("hours") * 3600)).drop("hours")
+    length = seconds(midnight_utc(F.date_add("local_day", 1), tz)) - seconds(midnight_utc("local_day", tz))
+    return days.withColumn("coverage", observed_s / length)
 
 
 def panel_coverage(hourly: DataFrame, tz: str = TZ) -> DataFrame:
