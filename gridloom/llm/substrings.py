@@ -6,9 +6,11 @@ one gram make a segment; equal segments are one, with the smallest id that holds
 equal windows meet in a shard and each shard's size follows the number of shards, not the input. Segments of a gram that too
 many segments share are dealt by single windows instead.
 
-A shard sorts its segments' suffixes, keeps their Burrows-Wheeler transform in a wavelet matrix of packed bits, and
-streams all its windows through backward search: the interval found is where the window starts, and the smallest id in it is the
-first document that holds it. Documents whose id is larger lose the window's words.
+A shard sorts its segments' suffixes and keeps their Burrows-Wheeler transform in a wavelet matrix of packed bits, with the
+smallest id of any interval of suffixes beside it. Its segments are streamed through backward search, which takes their matching
+statistics: for each word, how far back a match that ends there reaches in documents of a smaller id than the segment's first
+holder. Stretches where it reaches ``WINDOW`` words are reported as intervals; that document loses their words, and every later
+holder loses the segment.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ GRAM = 7
 #: Segments in a shard, about; and of one gram, before it is dealt by windows.
 SHARD = 20_000
 HOT = 2_000
+#: Parts that the holders of a window of such a gram are merged in; its index tells the smallest of them.
+PARTS = 4
 #: Bytes of text for each bucket of grams, at most; a bucket is sorted in a task's memory.
 BUCKET = 16 << 20
 _CODEC = "zstd"
@@ -193,7 +197,7 @@ class FMIndex:
             after[: self.n - k] = rank[k:] + 1
             _, rank = np.unique(rank * (int(rank.max()) + 2) + after, return_inverse=True)
             k *= 2
-        self.sa = np.argsort(rank, kind="stable")
+        self.sa = np.argsort(rank, kind="stable").astype(np.int32)
         bwt = text[self.sa - 1].astype(np.int64)  # the first suffix is preceded by the last word: a separator
         self.levels = max(1, (top - 1).bit_length())
         self.bits, self.counts, self.zeros = [], [], []
@@ -221,48 +225,70 @@ class FMIndex:
         c = text[start + size - 1]
         lo, hi = self.first[c], self.first[c + 1]
         for i in range(size - 2, -1, -1):
-            c = text[start + i]
-            lo, hi = self.first[c] + self._down(c, lo) - self.base[c], self.first[c] + self._down(c, hi) - self.base[c]
+            lo, hi = self.step(text[start + i], lo, hi)
         return lo, hi
 
-
-def firsts(segments: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
-    """For each segment, the smallest id that holds each of its windows, by one index over all segments."""
+    def step(self, c: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The intervals of the words ``c`` before the patterns of the intervals given."""
+        return self.first[c] + self._down(c, lo) - self.base[c], self.first[c] + self._down(c, hi) - self.base[c]
+
+    def matching(self, holder: np.ndarray, text: np.ndarray, ends: np.ndarray, own: np.ndarray, most: int = WINDOW) -> np.ndarray:
+        """Matching statistics: the length, up to ``most``, of the longest match that ends at each of ``ends`` and starts at a place
+        whose ``holder`` is below ``own``. A longer match contains a shorter one, so one that finds no such place goes no further.
+        """
+        least = [holder[self.sa]]  # smallest holders of 1, 2, 4, ... suffixes
+        while 2 << len(least) <= 2 * int(np.diff(self.first)[1:].max(initial=1)):
+            half = 1 << (len(least) - 1)
+            least.append(np.append(np.minimum(least[-1][:-half], least[-1][half:]), least[-1][-half:]))
+        least, length, alive = np.stack(least), np.zeros(len(ends), np.int64), np.arange(len(ends))
+        lo, hi = np.zeros(len(ends), np.int64), np.full(len(ends), self.n)
+        for i in range(most):
+            c = text[ends[alive] - i]
+            lo, hi = self.step(c, lo, hi) if i else (self.first[c], self.first[c + 1])
+            k = np.frexp(hi - lo)[1] - 1
+            less = np.minimum(least[k, lo], least[k, hi - (1 << k)]) < own[alive]
+            alive, lo, hi = alive[less], lo[less], hi[less]
+            length[alive] = i + 1
+        return length
+
+
+def repeats(segments: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Intervals of each segment whose every window a smaller id holds in these segments, by one index over all: where the
+    intervals of each segment begin and end in the two lists that follow, of first words and of ends (exclusive)."""
     sizes = np.array([len(s) // 8 for s in segments], np.int64)
     _, number = np.unique(np.frombuffer(b"".join(segments), np.uint64), return_inverse=True)
     begin = np.cumsum(sizes + 1) - sizes - 1  # a separator, word 0, ends each segment
     text = np.zeros(int((sizes + 1).sum()), np.int64)
     owner = np.repeat(np.arange(len(sizes)), sizes + 1)
     text[np.arange(len(text)) < begin[owner] + sizes[owner]] = number + 1
-    index = FMIndex(text)
+    holder = np.unique(ids, return_inverse=True)[1].astype(np.int32)
     n = sizes - WINDOW + 1
     start = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-    lo, hi = index.find(text, start, WINDOW)
-    held = np.append(ids[owner[index.sa]], np.iinfo(np.int64).max)
-    spans, back = np.unique(lo, return_inverse=True)
-    ends = np.zeros(len(spans), np.int64)
-    ends[back] = hi
-    least = np.minimum.reduceat(held, np.stack([spans, ends], 1).ravel())[::2]
-    return np.split(least[back], np.cumsum(n)[:-1])
+    segment = owner[start]
+    length = FMIndex(text).matching(holder[owner], text, start + WINDOW - 1, holder[segment])
+    start, segment = start[length == WINDOW], segment[length == WINDOW]
+    lo, hi = runs(start - np.arange(len(start)) + segment * WINDOW)  # consecutive windows of one segment
+    start, last, segment = start[lo], start[hi - 1], segment[lo]
+    return np.searchsorted(segment, np.arange(len(sizes) + 1)), start - begin[segment], last - begin[segment] + WINDOW
 
 
 def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, key, firsts) of each segment of each shard."""
+    """(gram, key, first, words, froms, tos) of each segment of each shard."""
     for table in groups_of(batches, "shard"):
         for lo, hi in zip(*runs(table.column("shard").to_numpy()), strict=True):
             part = table.slice(lo, hi - lo).combine_chunks().to_batches()[0]
-            found = firsts(part.column(3).to_pylist(), part.column(4).to_numpy())
-            offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])])
-            yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), _lists(offsets, np.concatenate(found))], names=["gram", "key", "firsts"])
+            segments = part.column(3).to_pylist()
+            bounds, froms, tos = repeats(segments, part.column(4).to_numpy())
+            words = pa.array([len(s) // 8 for s in segments], pa.int32())
+            yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), part.column(4), words, _lists(bounds, froms.astype(np.int32)), _lists(bounds, tos.astype(np.int32))], names=["gram", "key", "first", "words", "froms", "tos"])
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _pieces(batches):
         w = Words(_texts(batch.column(1), batch.column(2)), SPACES)
-        starts, n = batch.column(3), len(w.hash)
-        at = starts.flatten().to_numpy().astype(np.int64)
-        at = at + np.repeat(w.first[:-1], np.diff(starts.offsets.to_numpy()))  # a window ends inside its document
-        keep = np.cumsum(np.bincount(at, minlength=n + 1) - np.bincount(at + WINDOW, minlength=n + 1))[:n] == 0
+        n = len(w.hash)
+        at = lambda c: np.bincount(c.flatten().to_numpy() + np.repeat(w.first[:-1], np.diff(c.offsets.to_numpy())), minlength=n + 1)  # noqa: B023, E731
+        keep = np.cumsum(at(batch.column(3)) - at(batch.column(4)))[:n] == 0  # an interval ends inside its document
         kept = np.diff(np.concatenate([[0], np.cumsum(keep)])[w.first])
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(w.count.astype(np.int64)), pa.array((w.count - kept).astype(np.int64)), pa.array(_digests(w, keep), pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
@@ -294,20 +320,21 @@ def dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFr
     each = F.expr(f"transform(sequence(0, CAST(length(words) / 8 AS INT) - {WINDOW}), i -> named_struct('i', i, 'w', substring(words, 8 * i + 1, {8 * WINDOW})))")
     windows = distinct.join(hot, F.expr("gram = g"), "left_semi").select("gram", "key", "first", F.explode(each).alias("e"))
     units = distinct.join(hot, F.expr("gram = g"), "left_anti").select(F.pmod(F.xxhash64("gram"), F.lit(shards)).alias("shard"), "gram", "key", "words", "first")
-    # A hot gram's windows are units of their own, told by two hashes.
-    once = windows.groupBy(F.col("e.w").alias("words")).agg(F.min("first").alias("first"))
+    # A hot gram's windows are units of their own, told by two hashes; a window's few units differ in their holder, and the smallest has no match.
+    once = windows.groupBy(F.col("e.w").alias("words"), F.pmod(F.xxhash64("first"), F.lit(PARTS)).alias("part")).agg(F.min("first").alias("first"))
     single = once.select(F.pmod(F.xxhash64("words"), F.lit(shards)).alias("shard"), F.xxhash64("words").alias("gram"), F.xxhash64("words", F.lit(1)).alias("key"), "words", "first")
-    index = lambda u: ordered_groups(u, "shard").mapInArrow(_indexed, "gram long, key long, firsts array<long>")
-    answers = index(single).select(F.col("gram").alias("w1"), F.col("key").alias("w2"), F.element_at("firsts", 1).alias("f"))
-    of_windows = windows.select("gram", "key", "e.i", "e.w").join(answers, F.expr("xxhash64(w) = w1 AND xxhash64(w, 1) = w2"))
-    of_windows = of_windows.groupBy("gram", "key").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "f"))), lambda x: x["f"]).alias("firsts"))
+    index = lambda u: ordered_groups(u, "shard").mapInArrow(_indexed, "gram long, key long, first long, words int, froms array<int>, tos array<int>")
+    answers = index(single).where("size(froms) = 0").select(F.col("gram").alias("w1"), F.col("key").alias("w2"), F.col("first").alias("f"))
+    of_windows = windows.select("gram", "key", "first", "e.i", "e.w").join(answers, F.expr("xxhash64(w) = w1 AND xxhash64(w, 1) = w2"))
+    of_windows = of_windows.groupBy("gram", "key").agg(F.min("first").alias("first"), (F.count("*") + WINDOW - 1).cast("int").alias("words"), F.collect_list(F.when(F.col("f") < F.col("first"), F.col("i"))).alias("froms"))
     # A gram and a hash of all words stand for a segment's words from here.
-    found = cut(index(units).unionByName(of_windows))
+    found = cut(index(units).unionByName(of_windows.withColumn("tos", F.transform("froms", lambda i: i + WINDOW))))
     of_rows = busy.select("row", "doc_id", F.explode(F.arrays_zip("ats", "grams", "keys")).alias("s")).select("row", "doc_id", "s.ats", F.col("s.grams").alias("gram"), F.col("s.keys").alias("key"))
-    starts = F.expr("filter(transform(firsts, (f, i) -> IF(f < doc_id, ats + i, -1)), x -> x >= 0)").alias("starts")
-    gone = of_rows.join(found, ["gram", "key"]).select("row", starts).where("size(starts) > 0")
-    gone = gone.groupBy(F.col("row").alias("r")).agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    last = busy.select("row", "doc_id", "packed", "size").join(gone.hint("shuffle_hash"), F.expr("row = r"), "left").select("doc_id", "packed", "size", F.coalesce("starts", F.expr("CAST(array() AS array<int>)")).alias("starts"))
+    whole = "transform(IF(doc_id > first, array({0}), {1}), x -> x + ats)"  # a later holder loses the segment
+    gone = of_rows.join(found, ["gram", "key"]).select("row", F.expr(whole.format("0", "froms")).alias("froms"), F.expr(whole.format("words", "tos")).alias("tos")).where("size(froms) > 0")
+    gone = gone.groupBy(F.col("row").alias("r")).agg(*(F.flatten(F.collect_list(c)).alias(c) for c in ("froms", "tos")))
+    none = F.expr("CAST(array() AS array<int>)")
+    last = busy.select("row", "doc_id", "packed", "size").join(gone.hint("shuffle_hash"), F.expr("row = r"), "left").select("doc_id", "packed", "size", F.coalesce("froms", none).alias("froms"), F.coalesce("tos", none).alias("tos"))
     done = last.mapInArrow(_removed, "doc_id long, n_words long, n_removed long, kept_sha256 string")
     return state.where("sha IS NOT NULL").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("kept_sha256")).unionByName(done)
 

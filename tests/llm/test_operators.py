@@ -433,6 +433,38 @@ def test_fm_index():
             assert sorted(index.sa[a:b].tolist()) == want
 
 
+def test_matching_statistics():
+    """Lengths and intervals against brute force."""
+    rng = np.random.default_rng(2)
+    text = rng.integers(1, 4, 400)
+    text[24::25] = 0  # pieces of 24 words, each with its holder
+    holder = np.repeat(rng.integers(0, 5, 16), 25).astype(np.int32)
+    ends = np.flatnonzero(np.arange(400) % 25 % 11 >= 2)
+    ends = ends[(ends % 25 >= 12) & (ends % 25 < 24)]
+    own = rng.integers(0, 5, len(ends)).astype(np.int32)
+    got = substrings.FMIndex(text).matching(holder, text, ends, own)
+    for e, o, n in zip(ends, own, got, strict=True):
+        ok = lambda k: any(holder[i] < o and (text[i : i + k] == text[e - k + 1 : e + 1]).all() for i in range(len(text) - k + 1))  # noqa: B023, E731
+        assert n == max([k for k in range(1, substrings.WINDOW + 1) if ok(k)], default=0)
+    base = rng.integers(1, 1 << 60, 60).astype(np.uint64)
+    segments, ids = [base[:40], base[20:60], base[5:30], rng.integers(1, 1 << 60, 20).astype(np.uint64)], np.array([7, 9, 3, 1])
+    bounds, froms, tos = substrings.repeats([s.tobytes() for s in segments], ids)
+    assert [list(zip(froms[a:b], tos[a:b], strict=True)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [[(5, 30)], [(0, 20)], [], []]
+
+
+def test_substrings_of_different_segments(spark, monkeypatch):
+    """One passage in different segments: what is removed comes from the index, for usual grams and for hot ones."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdef") for _ in range(6))
+    passage = [word() for _ in range(40)]
+    texts = [(i, " ".join([word() for _ in range(20)] + passage[rng.randrange(10) : 40 - rng.randrange(10)] + [word() for _ in range(9)])) for i in range(60)]
+    d = frame(spark, [(i, t, "en", "a") for i, t in texts])
+    want = substrings.brute(texts)
+    for hot in (2_000, 1):
+        monkeypatch.setattr(substrings, "HOT", hot)
+        assert {r.doc_id: tuple(r)[1:] for r in substrings.dedup(d).collect()} == want
+
+
 def test_quality(spark):
     rng = random.Random(8)
     good = lambda: " ".join(rng.choice(["the", "river", "runs", "over", "stones", "and", "grass", "in", "morning", "light"]) for _ in range(60))
