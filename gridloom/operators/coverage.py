@@ -54,8 +54,16 @@ def previous_sample(raw: DataFrame) -> DataFrame:
 
 
 def gaps(obs: DataFrame, interval_s: float) -> DataFrame:
-    """Stretches between consecutive samples longer than 1.5 intervals, with how many samples are missing."""
-    out = previous_sample(obs.select(*CHANNEL, "metric", "ts_utc")).withColumnRenamed("previous", "gap_start").withColumn("gap_s", F.expr("timestampdiff(SECOND, gap_start, ts_utc)"))
+    """Stretches between consecutive samples longer than 1.5 intervals, with how many samples are missing.
+
+    Those inside a UTC day come from the day's own samples, those between days from the days' first and last samples.
+    """
+    key = [*CHANNEL, "metric"]
+    days = obs.select(*key, "ts_utc", F.to_date("ts_utc").alias("_day"))
+    inside = days.withColumn("gap_start", F.lag("ts_utc").over(Window.partitionBy(*key, "_day").orderBy("ts_utc")))
+    ends = days.groupBy(*key, "_day").agg(F.min("ts_utc").alias("ts_utc"), F.max("ts_utc").alias("_last"))
+    between = ends.withColumn("gap_start", F.lag("_last").over(Window.partitionBy(*key).orderBy("_day"))).drop("_last")
+    out = inside.unionByName(between).withColumn("gap_s", F.expr("timestampdiff(SECOND, gap_start, ts_utc)"))
     return out.where(F.col("gap_s") > 1.5 * interval_s).select(*CHANNEL, "metric", "gap_start", F.col("ts_utc").alias("gap_end"), "gap_s", (F.bround(F.col("gap_s") / interval_s) - 1).cast("long").alias("missing"))
 
 
