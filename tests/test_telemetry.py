@@ -89,6 +89,21 @@ def test_frozen_runs_zero_is_off_and_gaps_break(spark):
     assert [(r.length, r.first_hour) for r in integrity.frozen_runs(df).collect()] == [(2, UTC0)]
 
 
+def test_gaps_between_days_and_series(spark):
+    """Gaps inside a day, over midnight and over whole days; ties, one-sample days, and keys and times that are null."""
+    rows = []
+    for channel in ("a", None):
+        for ts in ("2024-01-01 23:58:00", "2024-01-01 23:59:00", "2024-01-02 00:00:00", "2024-01-02 00:00:00", "2024-01-02 00:05:00", "2024-01-05 12:00:00", "2024-01-06 12:00:30", None):
+            rows.append(("s", "d", channel, "watts", ts))
+    rows.append(("s", "d", "b", "watts", "2024-01-03 00:00:00"))
+    raw = spark.createDataFrame(rows, "source string, device_id string, channel_id string, metric string, ts_utc string").withColumn("ts_utc", F.col("ts_utc").cast("timestamp_ntz"))
+    got = coverage.gaps(raw, 60).select("channel_id", F.col("gap_start").cast("string"), F.col("gap_end").cast("string"), "missing").collect()
+    want = [("2024-01-02 00:00:00", "2024-01-02 00:05:00", 4), ("2024-01-02 00:05:00", "2024-01-05 12:00:00", 5034), ("2024-01-05 12:00:00", "2024-01-06 12:00:30", 1439)]
+    assert sorted(map(tuple, (r for r in got if r.channel_id == "a"))) == [("a", *w) for w in want]
+    assert sorted(r[1:] for r in got if r.channel_id is None) == want and len(got) == 6
+    assert coverage.gaps(raw.limit(0), 60).count() == 0
+
+
 def test_gaps_and_holes(spark):
     raw = samples(spark, [(UTC0 + timedelta(seconds=x), "c", 1) for x in (0, 30, 60, 180, 210)])
     g = coverage.gaps(raw, 30).collect()
