@@ -89,22 +89,30 @@ def frames(v):
 DISORDER_S, LAG_S = 3600, 129_600
 
 
-def merged_stream(v):
-    """Frames land as they arrive, in four stretches; the stream is started anew after each, from one checkpoint, and takes its state along."""
+def merged_stream(v, ended: bool = False):
+    """Frames land as they arrive, in four stretches; the stream is started anew after each, from one checkpoint, and takes its state along.
+
+    ``ended``: after the last frames each hub's clock goes on until all that waits is taken and the hub counts as silent; without, the
+    last ``DISORDER_S`` seconds of each hub wait for frames to come.
+    """
     src, check, out = (storage.new_path(v.spark, n) for n in ("frames", "checkpoint", "merged"))
     arrival = F.col("at_s") + (F.col("number") % DISORDER_S * 37) % DISORDER_S + F.when(F.col("hub") == "h1", LAG_S).otherwise(0)
     rows = frames(v).withColumn("arrival", arrival)
     first, last = rows.agg(F.min("arrival"), F.max("arrival")).first()
-    for k in range(4):
-        stretch = F.least(F.floor((F.col("arrival") - (first or 0)) * 4 / max((last or 0) - (first or 0), 1)), F.lit(3))
-        rows.where(stretch == k).drop("arrival").repartition(4).write.mode("append").parquet(src)
+    stretch = F.least(F.floor((F.col("arrival") - (first or 0)) * 4 / max((last or 0) - (first or 0), 1)), F.lit(3))
+    landing = [rows.where(stretch == k).drop("arrival").repartition(4) for k in range(4)]
+    if ended:
+        end = F.max("at_s") + state.SILENCE_S + DISORDER_S
+        landing.append(rows.groupBy("hub").agg(end.alias("at_s")).select("hub", F.lit("").alias("id"), "at_s", (F.col("at_s") * _P).alias("number"), F.lit("clock").alias("kind"), F.lit("{}").alias("fields")))
+    for landed_frames in landing:
+        landed_frames.write.mode("append").parquet(src)
         stream = v.spark.readStream.schema(FRAMES).option("maxFilesPerTrigger", 100).parquet(src)
         ingest.run_to_table(state.merge_deltas(stream, TARGETS, DISORDER_S), "merged", checkpoint=check, path=out, store=ingest.ROCKSDB)
     return v.spark.read.schema(state.OUTPUT).parquet(out)
 
 
-def samples(v):
-    return merged_stream(v).where("what = 'sample'")
+def samples(v, ended: bool = False):
+    return merged_stream(v, ended).where("what = 'sample'")
 
 
 def by_mode(v):
@@ -117,7 +125,8 @@ def by_mode(v):
 
 
 # The same rules as intervals: p orders frames (second, then number), a session runs from its connect to the next mark, a write until the next
-# that takes effect, and a tick sees all frames up to the end of its second. A hub's time is that of its newest frame less the disorder allowed.
+# that takes effect, and a tick sees all frames up to the end of its second. A hub's time is that of its newest frame less the disorder allowed;
+# in _ENDED_SQL it goes on to SILENCE_S past that frame, and no frame waits.
 _STATE_SQL = f"""WITH e0 AS (SELECT *, t * {_P} + event_id AS p, max(t) OVER (PARTITION BY hub) - {DISORDER_S} AS lim FROM (SELECT event_id, 'h' || CAST(user_id % 2 AS VARCHAR) AS hub, CAST(user_id % 8 AS VARCHAR) AS id, CAST(floor(epoch(ts)) AS BIGINT) AS t,
 CASE WHEN event_id % 211 = 0 THEN 'connect' WHEN event_id % 211 = 105 THEN 'disconnect' WHEN event_id % 17 = 0 THEN 'seed' ELSE 'delta' END AS kind,
 'f' || CAST(event_id % 3 AS VARCHAR) AS field, CASE WHEN event_id % 11 > 0 THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS v FROM events)),
@@ -140,6 +149,7 @@ evicted AS (SELECT hub, id, field, session, at_s FROM (SELECT c.hub, l.id, l.fie
 FROM (SELECT *, lag(session) OVER (PARTITION BY hub ORDER BY session) AS before FROM synced) c JOIN ends l ON l.hub = c.hub AND l.session < c.session AND l.session >= coalesce(c.before, 0)) z
 WHERE r = 1 AND v IS NOT NULL AND NOT EXISTS (SELECT 1 FROM w WHERE w.hub = z.hub AND w.id = z.id AND w.field = z.field AND w.session = z.session AND w.p <= z.sync_p))
 """
+_ENDED_SQL = _STATE_SQL.replace(f" - {DISORDER_S} AS lim", f" + {state.SILENCE_S} AS lim", 1).replace("(SELECT * FROM e0 WHERE t <= lim)", "(SELECT * FROM e0)", 1)
 _BY_FIELD = "hub, id, field, count(*) AS samples, CAST(sum(CAST(value AS BIGINT)) AS BIGINT) AS total, max(at_s) AS last_s"
 _SEEDED = "hub, id, field, session, updated_s, count(*) AS samples"
 _GATE = "hub, session, count(DISTINCT at_s) AS ticks, min(at_s) AS first_s, max(at_s) AS last_s, max(at_s - updated_s) AS oldest_s"
@@ -147,7 +157,7 @@ _CADENCE = f"hub, at_s % {state.CADENCE_S} AS offset_s, count(*) AS samples, cou
 
 
 q("ST06_merge_deltas", lambda v: samples(v).groupBy("hub", "id", "field").agg(F.count("*").alias("samples"), F.sum(F.col("value").cast("long")).alias("total"), F.max("at_s").alias("last_s")), "", f"{_STATE_SQL} SELECT {_BY_FIELD} FROM samples GROUP BY ALL")
-q("ST07_seed_guard", lambda v: samples(v).where("value_source = 'seed'").groupBy("hub", "id", "field", "session", "updated_s").agg(F.count("*").alias("samples")), "", f"{_STATE_SQL} SELECT {_SEEDED} FROM samples WHERE value_source = 'seed' GROUP BY ALL")
+q("ST07_seed_guard", lambda v: samples(v, ended=True).where("value_source = 'seed'").groupBy("hub", "id", "field", "session", "updated_s").agg(F.count("*").alias("samples")), "", f"{_ENDED_SQL} SELECT {_SEEDED} FROM samples WHERE value_source = 'seed' GROUP BY ALL")
 q("ST08_eviction", lambda v: merged_stream(v).where("what = 'evicted'").select("hub", "id", "field", "session", "at_s"), "", f"{_STATE_SQL} SELECT * FROM evicted")
 q("ST09_emission_gate", lambda v: samples(v).groupBy("hub", "session").agg(F.countDistinct("at_s").alias("ticks"), F.min("at_s").alias("first_s"), F.max("at_s").alias("last_s"), F.max(F.col("at_s") - F.col("updated_s")).alias("oldest_s")), "", f"{_STATE_SQL} SELECT {_GATE} FROM samples GROUP BY ALL")
 q("ST10_sync_rule", lambda v: merged_stream(v).where("what = 'sync'").select("hub", "session", "at_s", F.col("value").alias("how")), "", f"{_STATE_SQL} SELECT hub, session, sync_s AS at_s, how FROM synced")

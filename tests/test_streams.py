@@ -10,7 +10,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom import storage
+from gridloom import catalog, storage
 from gridloom.plans.streams import FRAMES
 from gridloom.streaming import ingest, state
 
@@ -115,3 +115,20 @@ def test_modes(spark, mode):
     polls = spark.createDataFrame([("h", "x", 30, "a", "7"), ("h", "x", 60, "a", "8")], "hub string, id string, at_s long, field string, value string")
     got = state.with_polls(taken, polls, mode).select("at_s", "value", F.col("value_source")).collect()
     assert sorted(map(tuple, got)) == [(30, "1", "delta")] + [(60, "8", "rest")] * (mode == "hybrid")
+
+
+ENDED = {
+    "ST07_seed_guard": [("h0", "0", "f2", 1_704_067_200 * 10**9, 1_704_067_240, 2)],
+}
+
+
+@pytest.mark.parametrize("name", ENDED)
+def test_no_frame_is_left_waiting(spark, tmp_path, name):
+    """A hub whose frames all come within the last hour: every one is taken, and samples go on until it counts as silent."""
+    at = lambda s: datetime(2024, 1, 1, 0, 0, s)
+    rows = [(0, at(0), 0, 1.0), *((n, at(n), 2 * n - 2, float(n)) for n in range(1, 5)), (17, at(40), 0, 7.0)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, value double").write.parquet(f"{tmp_path}/events.parquet")
+    assert sorted(map(tuple, catalog.QUERIES[name](spark, str(tmp_path)).collect())) == ENDED[name]
+    db = pytest.importorskip("duckdb").connect()
+    db.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    assert sorted(db.execute(catalog.ORACLES[name]).fetchall()) == ENDED[name]
