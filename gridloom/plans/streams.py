@@ -116,7 +116,7 @@ def samples(v, ended: bool = False):
 
 
 def by_mode(v):
-    taken = samples(v)
+    taken = samples(v, ended=True)
     tick = F.ceil(F.col("at_s") / state.CADENCE_S).cast("long") * state.CADENCE_S
     seeds = frames(v).where("kind = 'seed'").select("hub", "id", tick.alias("at_s"), "number", F.explode(F.from_json("fields", "map<string,string>")).alias("field", "value")).where("value IS NOT NULL")
     polls = seeds.groupBy("hub", "id", "at_s", "field").agg(F.max_by("value", "number").alias("value"))
@@ -162,7 +162,7 @@ q("ST08_eviction", lambda v: merged_stream(v).where("what = 'evicted'").select("
 q("ST09_emission_gate", lambda v: samples(v).groupBy("hub", "session").agg(F.countDistinct("at_s").alias("ticks"), F.min("at_s").alias("first_s"), F.max("at_s").alias("last_s"), F.max(F.col("at_s") - F.col("updated_s")).alias("oldest_s")), "", f"{_STATE_SQL} SELECT {_GATE} FROM samples GROUP BY ALL")
 q("ST10_sync_rule", lambda v: merged_stream(v).where("what = 'sync'").select("hub", "session", "at_s", F.col("value").alias("how")), "", f"{_STATE_SQL} SELECT hub, session, sync_s AS at_s, how FROM synced")
 q("ST11_fixed_cadence", lambda v: samples(v, ended=True).groupBy("hub", (F.col("at_s") % state.CADENCE_S).alias("offset_s")).agg(F.count("*").alias("samples"), F.countDistinct("at_s").alias("ticks")), "", f"{_ENDED_SQL} SELECT {_CADENCE} FROM samples GROUP BY ALL")
-q("ST12_value_sources", by_mode, "", f"""{_STATE_SQL}, polls AS (SELECT DISTINCT hub, id, field, (t + 29) // 30 * 30 AS at_s FROM e0 WHERE kind = 'seed' AND v IS NOT NULL),
+q("ST12_value_sources", by_mode, "", f"""{_ENDED_SQL}, polls AS (SELECT DISTINCT hub, id, field, (t + 29) // 30 * 30 AS at_s FROM e0 WHERE kind = 'seed' AND v IS NOT NULL),
 modes AS (SELECT 'ws' AS mode, value_source, id FROM samples UNION ALL SELECT 'hybrid', value_source, id FROM samples UNION ALL SELECT 'hybrid', 'rest', id FROM polls p WHERE NOT EXISTS (SELECT 1 FROM samples s WHERE s.hub = p.hub AND s.at_s = p.at_s))
 SELECT mode, value_source, count(*) AS samples, count(DISTINCT id) AS objects FROM modes GROUP BY ALL""")
 

@@ -120,6 +120,7 @@ def test_modes(spark, mode):
 ENDED = {
     "ST07_seed_guard": [("h0", "0", "f2", 1_704_067_200 * 10**9, 1_704_067_240, 2)],
     "ST11_fixed_cadence": [("h0", 0, 14, 3)],
+    "ST12_value_sources": [("hybrid", "delta", 12, 4), ("hybrid", "seed", 2, 1), ("ws", "delta", 12, 4), ("ws", "seed", 2, 1)],
 }
 
 
