@@ -1,12 +1,14 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of characters, trained on trusted text, one for each language.
 
-Training takes a bounded sample of each language's trusted rows (``TRUSTED``), four fifths for counts and one fifth held out. N-gram counts are
-tables keyed by (lang, gram) and every order is estimated by joins on them: counts, continuation counts, discounts, weights.
+Training takes every trusted row. Rows are dealt to ``FOLDS`` folds by their id, and a language has a model for each: it counts the trusted rows
+of the other folds and scores the documents of its own, so that each trusted row is counted, and each is held out of the model that scores it.
+N-gram counts are tables keyed by (fold and lang, gram) and every order is estimated by joins on them: counts, continuation counts, discounts,
+weights.
 Scoring is sharded: documents are dealt to batches by language and hash; a batch asks once for each distinct gram it
 holds, the asked grams join the tables order by order, and the answers come back to their batch, where each document's
-perplexity is summed. A document is rejected above the threshold of its language, the quantile ``QUANTILE`` of held-out perplexities. A
-language with fewer than ``LEAST`` held-out rows takes its own held-out median, times that quantile of all held-out rows'
-ratios to their languages' medians.
+perplexity is summed. A document is rejected above the threshold of its language, the quantile ``QUANTILE`` of the perplexities of its
+trusted rows. A language with fewer than ``LEAST`` of them takes its own median, times that quantile of all trusted rows' ratios
+to their languages' medians.
 """
 
 from __future__ import annotations
@@ -17,19 +19,20 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, groups_of, mix, ordered_groups, runs, small_batches, spread
+from .common import cut, groups_of, mix, ordered_groups, running_total, runs, small_batches, spread
 
 ORDER = 4
-#: Trusted rows of a language that its model and thresholds are fitted on: all, or about so many where it has more.
-TRUSTED = 20_000
-HELD_OUT = 5
-#: A document is rejected above this quantile of its language's held-out perplexities.
+#: Models of a language (one digit): each leaves the trusted rows of its own fold out.
+FOLDS = 5
+#: A document is rejected above this quantile of its language's trusted rows' perplexities.
 QUANTILE = 0.98
-#: Fewer held-out rows give a language no quantile of their own.
+#: Fewer trusted rows give a language no quantile of their own.
 LEAST = 100
+#: Buckets of perplexities for a factor of e, in which ranks are counted.
+BUCKETS = 1 << 14
 #: Bytes of text in a batch, about: a language has as many batches as its text asks for.
 BATCH_BYTES = 12 << 20
 PAD = "\n" * (ORDER - 1)
@@ -159,43 +162,77 @@ class Model:
         return now.select("lang", "gram", (-F.log(F.coalesce("p", F.col("scale") * F.col("floor")))).alias("loss"))
 
 
-def classify(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED, text: str = "text", id_col: str = "doc_id", lang: str = "lang") -> DataFrame:
+def _other_folds(seen: DataFrame) -> DataFrame:
+    """(lang, gram, n) of each fold's model from the counts of all folds: what the other folds have. ``lang`` is fold:lang on both sides."""
+    fold = F.substring("lang", 1, 1)
+    left = [F.sum("n") - F.sum(F.when(fold == str(k), F.col("n")).otherwise(0)) for k in range(FOLDS)]
+    every = seen.groupBy(F.expr("substring(lang, 3)").alias("lang"), "gram").agg(F.array(*left).alias("left"))
+    each = every.select("lang", "gram", F.posexplode("left").alias("fold", "n")).where("n > 0")
+    return each.select(F.concat(F.col("fold").cast("string"), F.lit(":"), F.col("lang")).alias("lang"), "gram", "n")
+
+
+def quantiles(rows: DataFrame, **shares: float) -> DataFrame:
+    """(lang, n, a column for each share): exact interpolated quantiles of ``perplexity``. Ranks are counted in buckets of near values, so
+    that no task holds a language."""
+    values = cut(rows.groupBy("lang", "perplexity").agg(F.count("*").alias("n")).withColumn("bucket", F.floor(F.log("perplexity") * BUCKETS)))
+    before = running_total(values.groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "lang", "bucket", "n", "before")
+    inside = Window.partitionBy("lang", "bucket").orderBy("perplexity").rowsBetween(Window.unboundedPreceding, 0)
+    total = values.groupBy("lang").agg(F.sum("n").alias("total"))  # a row for each language
+    ranked = values.withColumn("inside", F.sum("n").over(inside)).join(before, ["lang", "bucket"]).join(F.broadcast(total), "lang")
+
+    def at(share: float):
+        place = (F.col("total") - 1) * share
+        value = lambda rank: F.min(F.when(F.col("before") + F.col("inside") > rank, F.col("perplexity")))
+        low, high = value(F.floor(place)), value(F.ceil(place))
+        return low + (high - low) * F.max(place - F.floor(place))
+
+    return ranked.groupBy("lang").agg(F.max("total").alias("n"), *(at(share).alias(name) for name, share in shares.items()))
+
+
+def _drawn(rows: DataFrame, good: DataFrame, trusted: int) -> DataFrame:
+    """The ids of about ``trusted`` trusted rows of each language."""
+    known = cut(rows.select(F.col("doc_id").alias("t_id"), F.col("lang").alias("t_lang")).join(good, "t_id", "left_semi").distinct())
+    counts = known.groupBy("t_lang").agg(F.count("*").alias("n"))
+    return cut(known.join(F.broadcast(counts), "t_lang").where(F.pmod(F.xxhash64("t_id", F.lit("trusted")), F.col("n")) < trusted).select("t_id").distinct())
+
+
+def classify(docs: DataFrame, labels: DataFrame, trusted: int | None = None, text: str = "text", id_col: str = "doc_id", lang: str = "lang") -> DataFrame:
     """(doc_id, lang, perplexity, threshold, kept) for every row of ``docs``.
 
-    ``labels`` has doc_id, quality (1: trusted, unless toxic is 1 too). Null and empty texts have no perplexity and are
-    rejected. Languages without a trusted held-out row (null language included) have a null threshold and keep all text they
-    have. Repeated rows each have their row; with empty labels all text is kept; no rows, no rows.
+    ``labels`` has doc_id, quality (1: trusted, unless toxic is 1 too); the models count all trusted rows, or about ``trusted``
+    of each language if that is given; thresholds are over all of them. Null and empty texts have no perplexity and are rejected. Languages without a trusted row that has a
+    perplexity (null language included) have a null threshold and keep all text they have. Repeated rows each have their row; with
+    empty labels all text is kept; no rows, no rows.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    good = labels.where("quality = 1" + (" AND coalesce(toxic, 0) = 0" if "toxic" in labels.columns else "")).select(F.col("doc_id").alias("t_id")).distinct()
+    good = labels.where("quality = 1" + (" AND coalesce(toxic, 0) = 0" if "toxic" in labels.columns else "")).select(F.col("doc_id").alias("t_id"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    known = cut(rows.select(F.col("doc_id").alias("t_id"), F.col("lang").alias("t_lang")).join(good, "t_id", "left_semi").distinct())
-    counts = known.groupBy("t_lang").agg(F.count("*").alias("n"))
-    drawn = known.join(F.broadcast(counts), "t_lang").where(F.pmod(F.xxhash64("t_id", F.lit("trusted")), F.col("n")) < trusted)
-    sample = cut(drawn.select("t_id", "t_lang", (F.pmod(F.xxhash64("t_id"), F.lit(HELD_OUT)) == 0).alias("held")))
-    sample = F.broadcast(sample)  # about ``trusted`` rows of a language at most
-    mine = F.expr("doc_id = t_id AND lang = t_lang")
+    counted = good if trusted is None else _drawn(rows, good, trusted)
+    rows = rows.withColumn("lang", F.concat(F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("string"), F.lit(":"), F.col("lang")))
     sizes = cut(rows.groupBy(F.col("lang").alias("s_lang")).agg(F.ceil(F.sum(F.octet_length("text")) / BATCH_BYTES + F.lit(0.001)).alias("parts")))
     tasks = max(spread(spark), math.ceil((sizes.agg(F.sum("parts")).first()[0] or 0) / 4))
-    rows = rows.join(F.broadcast(sizes), F.expr("lang = s_lang"))  # a row for each language
-    rows = rows.withColumn("batch", F.xxhash64("lang", F.pmod(F.xxhash64("doc_id", "text"), F.col("parts"))))
-    packed = lambda r: r.select("batch", "doc_id", "lang", "text").mapInArrow(_packed, "batch long, pack binary")
+
+    def packed(some: DataFrame) -> DataFrame:
+        sized = some.join(F.broadcast(sizes), F.expr("lang = s_lang"))  # a row for each language and fold
+        batch = F.xxhash64("lang", F.pmod(F.xxhash64("doc_id", "text"), F.col("parts")))
+        return sized.select(batch.alias("batch"), "doc_id", "lang", "text").mapInArrow(_packed, "batch long, pack binary")
+
     schema = "batch long, lang string, gram string, n long"
-    taught = rows.join(sample.where("NOT held"), mine, "left_semi")
-    model = Model(cut(ordered_groups(packed(taught), "batch").mapInArrow(_asked, schema).groupBy("lang", "gram").agg(F.sum("n").alias("n"))))
+    taught = rows.join(counted.hint("shuffle_hash"), F.expr("doc_id = t_id"), "left_semi")
+    model = Model(cut(_other_folds(ordered_groups(packed(taught), "batch").mapInArrow(_asked, schema))))
     # One exchange of the texts serves both what batches ask and what they score.
     dealt = packed(rows).repartition(tasks, "batch")
-    asked = dealt.sortWithinPartitions("batch").mapInArrow(_asked, schema).select("batch", "lang", "gram")
-    losses = model.losses(asked.select("lang", "gram").distinct())
+    # And one of what they ask serves both the distinct grams and the answers: both sides read the same columns, without nulls.
+    asked = dealt.sortWithinPartitions("batch").mapInArrow(_asked, schema).select("batch", "lang", "gram").where("lang IS NOT NULL AND gram IS NOT NULL").repartition("lang", "gram")
+    losses = model.losses(asked.groupBy("lang", "gram").agg(F.max("batch").alias("last")).where("last IS NOT NULL").select("lang", "gram"))
     answers = asked.join(losses, ["lang", "gram"]).select("batch", "gram", "loss")
     scored = dealt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(_scored, "doc_id long, lang string, perplexity double, size long")
-    scored = cut(scored.withColumn("perplexity", F.when(~F.isnan("perplexity"), F.col("perplexity"))))
-    held = scored.join(sample.where("held"), mine, "left_semi").where("perplexity IS NOT NULL")
-    of = lambda share: F.percentile("perplexity", F.lit(share))
-    own = cut(held.groupBy("lang").agg(F.when(F.count("*") >= LEAST, of(QUANTILE)).alias("own"), of(0.5).alias("middle")))  # a row for each language
-    ratio = held.join(F.broadcast(own), "lang").select((F.col("perplexity") / F.col("middle")).alias("perplexity")).agg(of(QUANTILE).alias("ratio"))
-    limits = own.crossJoin(F.broadcast(ratio)).select("lang", F.coalesce("own", F.col("middle") * F.col("ratio")).alias("threshold"))  # one row beside each
+    scored = cut(scored.withColumn("lang", F.expr("substring(lang, 3)")).withColumn("perplexity", F.when(~F.isnan("perplexity"), F.col("perplexity"))))
+    held = scored.join(good, F.expr("doc_id = t_id"), "left_semi").where("perplexity IS NOT NULL")
+    own = cut(quantiles(held, high=QUANTILE, middle=0.5).select("lang", F.when(F.col("n") >= LEAST, F.col("high")).alias("own"), "middle"))  # a row for each language
+    ratios = held.join(F.broadcast(own), "lang").select(F.lit("").alias("lang"), (F.col("perplexity") / F.col("middle")).alias("perplexity"))
+    limits = own.crossJoin(F.broadcast(quantiles(ratios, ratio=QUANTILE).select("ratio"))).select("lang", F.coalesce("own", F.col("middle") * F.col("ratio")).alias("threshold"))  # one row beside each
     out = scored.join(F.broadcast(limits), "lang", "left")
     kept = (F.col("size") > 0) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     return out.select("doc_id", F.when(F.col("lang") != "", F.col("lang")).alias("lang"), "perplexity", "threshold", kept.alias("kept"))
