@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from gridloom.llm import quality
 
 from .test_operators import frame, kneser_ney
@@ -45,3 +46,14 @@ def test_quantiles(spark):
     values = {"en": [rng.choice([1.0, 2.5, rng.uniform(0.5, 30)]) for _ in range(501)], "fr": [3.0], "de": [4.0, 1.0]}
     got = {r.lang: (r.n, r.high, r.middle) for r in quality.quantiles(spark.createDataFrame([(g, x) for g, v in values.items() for x in v], "lang string, perplexity double"), high=0.98, middle=0.5).collect()}
     assert got == {g: (len(v), pytest.approx(np.quantile(v, 0.98)), pytest.approx(np.median(v))) for g, v in values.items()}
+
+
+def test_pipeline_takes_all_trusted_rows(spark, tmp_path):
+    """The pipeline's first stage drops what lies above the quantile over all trusted rows."""
+    rng = random.Random(7)
+    docs = frame(spark, [(i, "".join(rng.choice("aaabbc d") for _ in range(rng.randint(5, 30))), "en", "a") for i in range(110)])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(110)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    at = {r.doc_id: r.perplexity for r in quality.classify(docs, labels).collect()}
+    kept = {r.doc_id for r in corpus_pipeline.quality_filter(spark, docs, str(tmp_path)).collect()}
+    assert kept == {i for i, p in at.items() if p <= np.quantile(list(at.values()), quality.QUANTILE)} and len(kept) == 107
