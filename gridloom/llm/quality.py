@@ -2,6 +2,7 @@
 
 Training takes every trusted row. Rows are dealt to ``FOLDS`` folds by their id, and a language has a model for each: it counts the trusted rows
 of the other folds and scores the documents of its own, so that each trusted row is counted, and each is held out of the model that scores it.
+With ``whole``, as in the pipeline, one more model counts all trusted rows of the language and scores the documents that are not trusted.
 N-gram counts are tables keyed by (fold and lang, gram) and every order is estimated by joins on them: counts, continuation counts, discounts,
 weights.
 Scoring is sharded: documents are dealt to batches by language and hash; a batch asks once for each distinct gram it
@@ -162,10 +163,11 @@ class Model:
         return now.select("lang", "gram", (-F.log(F.coalesce("p", F.col("scale") * F.col("floor")))).alias("loss"))
 
 
-def _other_folds(seen: DataFrame) -> DataFrame:
-    """(lang, gram, n) of each fold's model from the counts of all folds: what the other folds have. ``lang`` is fold:lang on both sides."""
+def _other_folds(seen: DataFrame, folds: int = FOLDS) -> DataFrame:
+    """(lang, gram, n) of each fold's model from the counts of all folds: what the other folds have; everything, for a fold that
+    counts none. ``lang`` is fold:lang on both sides."""
     fold = F.substring("lang", 1, 1)
-    left = [F.sum("n") - F.sum(F.when(fold == str(k), F.col("n")).otherwise(0)) for k in range(FOLDS)]
+    left = [F.sum("n") - F.sum(F.when(fold == str(k), F.col("n")).otherwise(0)) for k in range(folds)]
     every = seen.groupBy(F.expr("substring(lang, 3)").alias("lang"), "gram").agg(F.array(*left).alias("left"))
     each = every.select("lang", "gram", F.posexplode("left").alias("fold", "n")).where("n > 0")
     return each.select(F.concat(F.col("fold").cast("string"), F.lit(":"), F.col("lang")).alias("lang"), "gram", "n")
@@ -196,11 +198,12 @@ def _drawn(rows: DataFrame, good: DataFrame, trusted: int) -> DataFrame:
     return cut(known.join(F.broadcast(counts), "t_lang").where(F.pmod(F.xxhash64("t_id", F.lit("trusted")), F.col("n")) < trusted).select("t_id").distinct())
 
 
-def classify(docs: DataFrame, labels: DataFrame, trusted: int | None = None, text: str = "text", id_col: str = "doc_id", lang: str = "lang") -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, trusted: int | None = None, whole: bool = False, text: str = "text", id_col: str = "doc_id", lang: str = "lang") -> DataFrame:
     """(doc_id, lang, perplexity, threshold, kept) for every row of ``docs``.
 
     ``labels`` has doc_id, quality (1: trusted, unless toxic is 1 too); the models count all trusted rows, or about ``trusted``
-    of each language if that is given; thresholds are over all of them. Null and empty texts have no perplexity and are rejected. Languages without a trusted row that has a
+    of each language if that is given; thresholds are over all of them. With ``whole`` only trusted rows are scored by their folds'
+    models, and all others by one that leaves none out. Null and empty texts have no perplexity and are rejected. Languages without a trusted row that has a
     perplexity (null language included) have a null threshold and keep all text they have. Repeated rows each have their row; with
     empty labels all text is kept; no rows, no rows.
     """
@@ -209,7 +212,11 @@ def classify(docs: DataFrame, labels: DataFrame, trusted: int | None = None, tex
     good = labels.where("quality = 1" + (" AND coalesce(toxic, 0) = 0" if "toxic" in labels.columns else "")).select(F.col("doc_id").alias("t_id"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     counted = good if trusted is None else _drawn(rows, good, trusted)
-    rows = rows.withColumn("lang", F.concat(F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("string"), F.lit(":"), F.col("lang")))
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS))
+    if whole:  # texts meet the labels once, for the folds and for what is counted
+        rows = cut(rows.join(good.distinct().hint("shuffle_hash"), F.expr("doc_id = t_id"), "left").withColumn("known", F.col("t_id").isNotNull()).drop("t_id"))
+        fold = F.when(F.col("known"), fold).otherwise(FOLDS)
+    rows = rows.withColumn("lang", F.concat(fold.cast("string"), F.lit(":"), F.col("lang")))
     sizes = cut(rows.groupBy(F.col("lang").alias("s_lang")).agg(F.ceil(F.sum(F.octet_length("text")) / BATCH_BYTES + F.lit(0.001)).alias("parts")))
     tasks = max(spread(spark), math.ceil((sizes.agg(F.sum("parts")).first()[0] or 0) / 4))
 
@@ -219,8 +226,8 @@ def classify(docs: DataFrame, labels: DataFrame, trusted: int | None = None, tex
         return sized.select(batch.alias("batch"), "doc_id", "lang", "text").mapInArrow(_packed, "batch long, pack binary")
 
     schema = "batch long, lang string, gram string, n long"
-    taught = rows.join(counted.hint("shuffle_hash"), F.expr("doc_id = t_id"), "left_semi")
-    model = Model(cut(_other_folds(ordered_groups(packed(taught), "batch").mapInArrow(_asked, schema))))
+    taught = rows.where("known") if whole and trusted is None else rows.join(counted.hint("shuffle_hash"), F.expr("doc_id = t_id"), "left_semi")
+    model = Model(cut(_other_folds(ordered_groups(packed(taught), "batch").mapInArrow(_asked, schema), FOLDS + whole)))
     # One exchange of the texts serves both what batches ask and what they score.
     dealt = packed(rows).repartition(tasks, "batch")
     # And one of what they ask serves both the distinct grams and the answers: both sides read the same columns, without nulls.
@@ -238,7 +245,7 @@ def classify(docs: DataFrame, labels: DataFrame, trusted: int | None = None, tex
     return out.select("doc_id", F.when(F.col("lang") != "", F.col("lang")).alias("lang"), "perplexity", "threshold", kept.alias("kept"))
 
 
-def kept_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that are not rejected; rows of one id with several texts go if any of them is."""
-    gone = classify(docs, labels, **options).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not rejected by models of all trusted rows; rows of one id with several texts go if any of them is."""
+    gone = classify(docs, labels, whole=True).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone.hint("shuffle_hash"), F.expr("doc_id <=> _gone"), "left_anti")
