@@ -107,7 +107,11 @@ _ESPI_SQL = "SELECT 'm' || CAST(user_id % 3 AS VARCHAR) AS device_id, date_trunc
 q("I11_espi_intervals", lambda v: p.espi_readings(espi_entries(v)), "", _ESPI_SQL, doubles="value")
 q("J10_link_graph", lambda v: p.espi_readings(espi_entries(v)).groupBy("device_id").agg(F.count("*").alias("n")), "", f"SELECT device_id, count(*) AS n FROM ({_ESPI_SQL}) GROUP BY ALL")
 def usage_files(v, path: str) -> None:
-    """Usage tables in nine layouts of their times, each with its headers: half of them have end columns, and some flows and readings are to be skipped."""
+    """Usage tables in nine layouts of their times, each with its headers: half of them have end columns, and some flows and readings are to be skipped.
+
+    A folder for each layout: without ``partitionBy``, Spark writes a table of a header alone where the first partition has no row of a layout,
+    and an import refuses that.
+    """
     e = v.table("events").withColumn("k", F.col(_ID) % 9)
     layouts = ("MM/dd/yyyy hh:mm:ss a", "MM/dd/yyyy hh:mm a", "MM/dd/yyyy HH:mm:ss", "M/d/yyyy H:mm", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm", "MM/dd/yyyy", "yyyy-MM-dd")
     whole = F.floor(F.col("value") * 100)
@@ -118,7 +122,7 @@ def usage_files(v, path: str) -> None:
     for k, layout in enumerate(layouts):
         start, end = F.date_format("ts", layout), F.date_format(F.col("ts") + F.expr("INTERVAL 30 MINUTES"), layout)
         cells = [start.alias("Interval Start"), *([end.alias("Interval End")] if k < 7 and k % 2 else []), usage.alias("Consumption (kWh)" if k % 3 else "Usage"), flow.alias("Flow Direction"), meter.alias("Account, meter")]
-        e.where(f"k = {k}").select(*cells).write.mode("append").option("header", True).csv(path)
+        e.where(f"k = {k}").select(*cells, F.lit(k).alias("layout")).write.mode("append").partitionBy("layout").option("header", True).csv(path)
 
 
 _CSV_TS = "CASE WHEN event_id % 9 IN (7, 8) THEN date_trunc('day', ts) WHEN event_id % 9 IN (1, 3, 6) THEN date_trunc('minute', ts) ELSE date_trunc('second', ts) END"

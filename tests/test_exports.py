@@ -7,7 +7,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from gridloom.plans import ingest
 from gridloom.sources import exports
+from gridloom.views import Views
 
 BASE = "https://x.example/espi/1_1/resource"
 
@@ -132,3 +134,22 @@ def test_malformed_entries_are_refused(spark, tmp_path):
     assert ("malformed", 1) in {(r.status, r.n) for r in exports.census(exports.readings(exports.open_exports(spark, path))).collect()}
     with pytest.raises(exports.ExportError, match="malformed"):
         exports.checked(exports.readings(exports.open_exports(spark, path)))
+
+
+@pytest.fixture
+def sparse(spark, tmp_path):
+    """Views over events whose first partition has no row: a file of one row group, read in pieces, as larger tables are."""
+    e = spark.range(400).selectExpr("id AS event_id", "TIMESTAMP_NTZ'2024-01-05 00:00:00' + make_dt_interval(0, 0, CAST(7 * id AS INT), 0) AS ts", "id % 17 AS user_id", "CAST(id % 50 AS DOUBLE) AS value")
+    e.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1000)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    v = Views(spark, str(tmp_path))
+    assert v.table("events").rdd.glom().map(len).collect()[0] == 0
+    yield v
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_no_table_of_a_header_alone(sparse):
+    """Of 35 events 7 are 'reverse' and 4 of the others 'blank'."""
+    assert ingest.REGISTRY.queries["I12_usage_csv"](sparse.spark, sparse.dir).count() == sum(i % 5 > 0 and i % 7 > 0 for i in range(400))
