@@ -154,7 +154,8 @@ def feed_files(v, path: str) -> None:
     )
     feeds = days.groupBy("day").agg(F.concat_ws("", F.collect_list(entries)).alias("entries"))
     head = F.lit('<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom" xmlns:espi="http://naesb.org/espi">')
-    feeds.select(F.concat(head, other, F.col("entries"), F.lit("</feed>")).alias("value")).write.mode("append").option("maxRecordsPerFile", 1).text(path)
+    # By day, as a partition without days would leave a file without bytes.
+    feeds.select("day", F.concat(head, other, F.col("entries"), F.lit("</feed>")).alias("value")).write.mode("append").option("maxRecordsPerFile", 1).partitionBy("day").text(path)
 
 
 _FEED_STATUS = "CASE WHEN user_id % 4 = 3 THEN 'reverse' WHEN user_id % 4 = 2 THEN 'unit' WHEN event_id % 13 = 0 THEN 'blank' ELSE 'ok' END"

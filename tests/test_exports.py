@@ -153,3 +153,18 @@ def sparse(spark, tmp_path):
 def test_no_table_of_a_header_alone(sparse):
     """Of 35 events 7 are 'reverse' and 4 of the others 'blank'."""
     assert ingest.REGISTRY.queries["I12_usage_csv"](sparse.spark, sparse.dir).count() == sum(i % 5 > 0 and i % 7 > 0 for i in range(400))
+
+
+def test_no_file_without_bytes(sparse):
+    """Two days dealt over eight partitions that adaptive execution leaves as they are."""
+    spark = sparse.spark
+    shuffle = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in shuffle}
+    try:
+        for k, v in shuffle.items():
+            spark.conf.set(k, v)
+        got = ingest.REGISTRY.queries["Q17_import_meter"](spark, sparse.dir).collect()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert {how: sum(r["rows"] for r in got if r.how == how) for how in ("csv", "xml")} == {"csv": 400, "xml": 400}
