@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import storage
@@ -131,31 +132,47 @@ _CSV_ALL = f"SELECT {utc_sql(_CSV_TS)} AS ts_utc, {_CSV_TS} AS ts_local, CAST(13
 _CSV_SQL = f"SELECT * EXCLUDE (status) FROM ({_CSV_ALL}) WHERE status = 'ok'"
 
 
+#: Readings of an interval block at most: a block is an entry, and an entry is one row of the feeds' reader.
+BLOCK = 1000
+
+
 def feed_files(v, path: str) -> None:
-    """An ESPI feed for each day, of four meters: links from either end, energy, other units, reverse flow, and lengths that only the type states."""
-    e = v.table("events").withColumn("m", (F.col("user_id") % 4).cast("string")).withColumn("day", F.to_date("ts"))
+    """An ESPI feed for each day, of four meters: links from either end, energy, other units, reverse flow, and lengths that only the type states.
+
+    A feed is written line by line, a line for each reading with what opens or closes its block, meter and day around it: lines are sorted and
+    streamed, so no row holds more than a reading. By day, as a partition without days would leave a file without bytes.
+    """
+    day = Window.partitionBy("day").orderBy("m", _ID)
+    e = v.table("events").select(_ID, "ts", "value", (F.col("user_id") % 4).cast("string").alias("m"), F.to_date("ts").alias("day"))
+    e = e.withColumn("n", F.row_number().over(day)).withColumn("before", F.lag("m").over(day)).withColumn("after", F.lead(F.struct("m")).over(day))
+    starts, ends = (F.col("n") == 1) | ~F.col("before").eqNullSafe(F.col("m")), F.col("after").isNull() | ~F.col("after.m").eqNullSafe(F.col("m"))
+    lines = e.select("day", "n", "m", _ID, "ts", "value", starts.alias("starts"), ends.alias("ends"), F.col("after").isNull().alias("last")).sortWithinPartitions("day", "n")
     start = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(ts AS TIMESTAMP_NTZ))").cast("string")
-    tag = lambda name, text: F.concat(F.lit(f"<espi:{name}>"), text, F.lit(f"</espi:{name}>"))
-    length = F.when(F.col("m") == "1", "").otherwise(tag("duration", F.lit("900")))
-    value = F.when(F.col(_ID) % 13 == 0, "").otherwise(tag("value", F.floor(F.col("value") * 100).cast("string")))
-    reading = tag("IntervalReading", F.concat(tag("timePeriod", F.concat(length, tag("start", start))), value))
-    days = e.groupBy("m", "day").agg(F.concat_ws("", F.collect_list(reading)).alias("readings"))  # a meter's day
-    point = F.concat(F.lit("https://x/espi/1_1/resource/UsagePoint/77"), F.col("m"))
-    meter, kind = F.concat(point, F.lit("/MeterReading/"), F.col("m")), F.concat(F.lit("https://x/espi/1_1/resource/ReadingType/"), F.col("m"))
-    link = lambda rel, href: F.concat(F.lit(f'<link rel="{rel}" href="'), href, F.lit('"/>'))
-    entry = lambda links, content: F.concat(F.lit("<entry>"), *links, F.lit("<content>"), content, F.lit("</content></entry>"))
-    type_ = F.concat(tag("flowDirection", F.when(F.col("m") == "3", "19").otherwise("1")), tag("intervalLength", F.lit("1800")), tag("powerOfTenMultiplier", F.lit("1")), tag("uom", F.when(F.col("m") == "2", "38").otherwise("72")))
+    text = lambda *parts: F.concat_ws("", *parts)
+    tag = lambda name, *parts: text(F.lit(f"<espi:{name}>"), *parts, F.lit(f"</espi:{name}>"))
+    length = F.when(F.col("m") != "1", tag("duration", F.lit("900")))
+    value = F.when(F.col(_ID) % 13 != 0, tag("value", F.floor(F.col("value") * 100).cast("string")))
+    reading = tag("IntervalReading", tag("timePeriod", length, tag("start", start)), value)
+    point = text(F.lit("https://x/espi/1_1/resource/UsagePoint/77"), F.col("m"))
+    meter, kind = text(point, F.lit("/MeterReading/"), F.col("m")), text(F.lit("https://x/espi/1_1/resource/ReadingType/"), F.col("m"))
+    link = lambda rel, href: text(F.lit(f'<link rel="{rel}" href="'), href, F.lit('"/>'))
+    entry = lambda links, content: text(F.lit("<entry>"), *links, F.lit("<content>"), content, F.lit("</content></entry>"))
+    type_ = text(tag("flowDirection", F.when(F.col("m") == "3", "19").otherwise("1")), tag("intervalLength", F.lit("1800")), tag("powerOfTenMultiplier", F.lit("1")), tag("uom", F.when(F.col("m") == "2", "38").otherwise("72")))
     other = entry([link("self", F.lit("https://x/espi/1_1/resource/ReadingType/other"))], tag("ReadingType", tag("uom", F.lit("38"))))
-    entries = F.concat(
-        entry([link("self", point)], tag("UsagePoint", F.when(F.col("m") == "0", tag("name", F.lit("1308468"))).otherwise(""))),
-        entry([link("self", kind), F.when(F.col("m") == "1", link("related", meter)).otherwise("")], tag("ReadingType", type_)),
-        entry([link("self", meter), link("related", point), F.when(F.col("m") == "1", "").otherwise(link("related", kind))], F.lit("<espi:MeterReading/>")),
-        entry([link("self", F.concat(meter, F.lit("/IntervalBlock/1")))], tag("IntervalBlock", F.col("readings"))),
+    entries = text(
+        entry([link("self", point)], tag("UsagePoint", F.when(F.col("m") == "0", tag("name", F.lit("1308468"))))),
+        entry([link("self", kind), F.when(F.col("m") == "1", link("related", meter))], tag("ReadingType", type_)),
+        entry([link("self", meter), link("related", point), F.when(F.col("m") != "1", link("related", kind))], F.lit("<espi:MeterReading/>")),
     )
-    feeds = days.groupBy("day").agg(F.concat_ws("", F.collect_list(entries)).alias("entries"))
     head = F.lit('<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom" xmlns:espi="http://naesb.org/espi">')
-    # By day, as a partition without days would leave a file without bytes.
-    feeds.select("day", F.concat(head, other, F.col("entries"), F.lit("</feed>")).alias("value")).write.mode("append").option("maxRecordsPerFile", 1).partitionBy("day").text(path)
+    block = F.floor(F.col("n") / BLOCK)
+    opens, closes = F.col("starts") | (F.col("n") % BLOCK == 0), F.col("ends") | ((F.col("n") + 1) % BLOCK == 0)
+    line = text(
+        F.when(F.col("n") == 1, text(head, other)), F.when(F.col("starts"), entries),
+        F.when(opens, text(F.lit("<entry>"), link("self", text(meter, F.lit("/IntervalBlock/"), block.cast("string"))), F.lit("<content><espi:IntervalBlock>"))),
+        reading, F.when(closes, "</espi:IntervalBlock></content></entry>"), F.when(F.col("last"), "</feed>"),
+    )
+    lines.select("day", line.alias("value")).write.mode("append").partitionBy("day").text(path)
 
 
 _FEED_STATUS = "CASE WHEN user_id % 4 = 3 THEN 'reverse' WHEN user_id % 4 = 2 THEN 'unit' WHEN event_id % 13 = 0 THEN 'blank' ELSE 'ok' END"

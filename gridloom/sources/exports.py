@@ -16,6 +16,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions.localtime import TZ, local, utc
 from ..functions.scalar import to_kwh
 
@@ -87,7 +88,7 @@ def feed_readings(found: Exports, tz: str = TZ) -> DataFrame:
     """
     if not found.feeds:
         return _none(found.spark)
-    read = entries(found)
+    read = storage.cut(entries(found))  # types, links, names and blocks are all taken from it: feeds are parsed once
     e = read.where("NOT broken").select("file", "link", "content.*")
     links = lambda rel: F.transform(F.filter("link", lambda k: k["_rel"] == rel), lambda k: F.rtrim(k["_href"], F.lit("/")))
     e = e.withColumn("href", F.coalesce(F.try_element_at(links("self"), F.lit(1)), F.lit(""))).withColumn("related", links("related"))
@@ -203,8 +204,8 @@ def table_readings(found: Exports, interval_s: int | None = None, tz: str = TZ)
 
 def readings(found: Exports, interval_s: int | None = None, tz: str = TZ) -> DataFrame:
     """Readings of all files, whichever kind each is. A file that gives no row has one with the status 'empty', 'no rows' (a table of a header
-    alone) or 'no readings' (a feed without any)."""
-    rows = feed_readings(found, tz).unionByName(table_readings(found, interval_s, tz))
+    alone) or 'no readings' (a feed without any). Files are read here, and the readings kept in the shared folder."""
+    rows = storage.cut(feed_readings(found, tz).unionByName(table_readings(found, interval_s, tz)))  # a census, a check and the import read it
     why = F.when(F.col("kind") == "empty", "empty").when(F.col("kind") == "table", "no rows").otherwise("no readings")
     bare = found.files.join(rows.select("file").distinct(), "file", "left_anti").select("file", why.alias("status"))
     return rows.unionByName(bare, allowMissingColumns=True)

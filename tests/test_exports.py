@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
@@ -168,3 +169,24 @@ def test_no_file_without_bytes(sparse):
         for k, v in was.items():
             spark.conf.set(k, v)
     assert {how: sum(r["rows"] for r in got if r.how == how) for how in ("csv", "xml")} == {"csv": 400, "xml": 400}
+
+
+def test_feeds_are_streamed_by_lines(sparse, tmp_path, monkeypatch):
+    """A day's feed is one file of XML; its lines and blocks stay small, whatever the day holds."""
+    monkeypatch.setattr(ingest, "BLOCK", 20, raising=False)
+    ingest.feed_files(sparse, str(tmp_path / "feeds"))
+    texts = [f.read_text() for f in sorted((tmp_path / "feeds").rglob("part-*"))]
+    roots = [ElementTree.fromstring(x) for x in texts]
+    name = "{http://naesb.org/espi}Interval"
+    blocks = [[len(list(b.iter(f"{name}Reading"))) for b in r.iter(f"{name}Block")] for r in roots]
+    assert [sum(b) for b in blocks] == [206, 194] and all(0 < n <= 20 for b in blocks for n in b)
+    assert all(len(list(r.iter("{http://naesb.org/espi}ReadingType"))) == 5 for r in roots)
+    assert max(len(line) for x in texts for line in x.splitlines()) < 3000
+
+
+def test_feeds_are_parsed_once(spark, tmp_path, monkeypatch):
+    """Census, check and import read kept readings, not the files."""
+    found = exports.open_exports(spark, land(tmp_path, a=feed([(1, [(0, 900, 1)])]), b="Date,kWh\n2024-01-05 00:00,3\n"))
+    kept = exports.readings(found, 900)
+    (tmp_path / "a").unlink(), (tmp_path / "b").unlink()
+    assert exports.checked(kept).count() == 2 and {r.status for r in exports.census(kept).collect()} == {"ok"}
