@@ -204,7 +204,11 @@ def _kinds(v):
     usage_files(v, path)
     feed_files(v, path)
     found = exports.open_exports(v.spark, path)
-    return exports.readings(found, 900).join(found.files, "file").groupBy((F.col("kind") == "feed").alias("feed")).agg(F.count("*").alias("readings"))
+    # Rows that stand for a file or an entry, and no reading, have no device.
+    feed = F.col("kind") == "feed"
+    n = exports.readings(found, 900).where("device_id IS NOT NULL").join(found.files, "file").agg(F.count_if(feed).alias("feeds"), F.count_if(~feed).alias("tables"))
+    row = lambda feed, count: F.struct(F.lit(feed).alias("feed"), F.col(count).alias("readings"))
+    return n.select(F.inline(F.array(row(True, "feeds"), row(False, "tables"))))
 
 
 q("I13_files_sniffed", _kinds, "", "SELECT unnest([true, false]) AS feed, count(*) AS readings FROM events")

@@ -190,3 +190,17 @@ def test_feeds_are_parsed_once(spark, tmp_path, monkeypatch):
     kept = exports.readings(found, 900)
     (tmp_path / "a").unlink(), (tmp_path / "b").unlink()
     assert exports.checked(kept).count() == 2 and {r.status for r in exports.census(kept).collect()} == {"ok"}
+
+
+def test_files_without_readings_are_no_readings(sparse, monkeypatch):
+    """A header alone, another table and an empty file beside the landed ones leave the counts as they are."""
+    land_tables = ingest.usage_files
+
+    def more(v, path):
+        land_tables(v, path)
+        for i, text in enumerate(("Date,kWh", "Alpha,Beta\n1,2", "")):
+            v.spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").option("lineSep", "\n" if text else " ").text(path)
+
+    monkeypatch.setattr(ingest, "usage_files", more)
+    got = ingest.REGISTRY.queries["I13_files_sniffed"](sparse.spark, sparse.dir).collect()
+    assert {r.feed: r.readings for r in got} == {True: 400, False: 400}
